@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.session import shared_dir
@@ -39,9 +39,12 @@ def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class UpsertResult:
+    """What a run did. ``increment`` holds its rows until the next run on the same table."""
+
     written: int
     null_keys: int
     mode: str
+    increment: DataFrame
 
 
 def upsert(
@@ -64,21 +67,19 @@ def upsert(
     """
     cluster_by = cluster_by or [key]
     stage = shared_dir(spark, "upsert", hashlib.md5(path.encode()).hexdigest())
-    counts = source.agg(
-        F.count_if(F.col(key).isNull()).alias("null_keys"), F.count("*").alias("rows")
-    )
-    latest_per_key(source.where(F.col(key).isNotNull()), key, order_by).write.mode("overwrite").parquet(
+    seen = Observation()
+    watched = source.observe(seen, F.count_if(F.col(key).isNull()).alias("null_keys"))
+    latest_per_key(watched.where(F.col(key).isNotNull()), key, order_by).write.mode("overwrite").parquet(
         f"{stage}/increment"
     )
     increment = spark.read.parquet(f"{stage}/increment")
-    null_keys = counts.first()["null_keys"]
-    written = increment.count()
+    null_keys, written = seen.get["null_keys"], increment.count()
 
     if mode == "full" or not table_exists(spark, path):
         write_clustered(increment, path, partition_by, cluster_by)
-        return UpsertResult(written, null_keys, "full")
+        return UpsertResult(written, null_keys, "full", increment)
     if written == 0:
-        return UpsertResult(0, null_keys, "merge")
+        return UpsertResult(0, null_keys, "merge", increment)
 
     target = read_table(spark, path, increment.schema)
     touched = increment.select(partition_by).distinct()
@@ -90,4 +91,4 @@ def upsert(
     write_clustered(
         spark.read.parquet(f"{stage}/merged"), path, partition_by, cluster_by, only_touched=True
     )
-    return UpsertResult(written, null_keys, "merge")
+    return UpsertResult(written, null_keys, "merge", increment)

@@ -70,7 +70,9 @@ def days_since_stockout(features: DataFrame, inventory: DataFrame) -> DataFrame:
     """
     series = Window.partitionBy("store_key", "upc").orderBy("transaction_date")
     marks = (
-        inventory.where(F.col("on_hand_qty") == 0)
+        inventory.where(
+            (F.col("on_hand_qty") == 0) & F.col("store_key").isNotNull() & F.col("upc").isNotNull()
+        )
         .select("store_key", "upc", F.col("snapshot_date").alias("transaction_date"))
         .distinct()
         .withColumns({"_out": F.col("transaction_date"), "_mark": F.lit(True)})
