@@ -136,6 +136,10 @@ STEPS: dict[str, str] = {
 }
 
 
+def _all_text(spec: str) -> str:
+    return ", ".join(f"cast({c.split(':')[0]} as varchar)" for c in spec.split())
+
+
 def _weighted_digits(size: int) -> str:
     """Digits of ``d`` times 1 (last digit) and 3, 1, 3 .. going left."""
     return " + ".join(f"{1 if (size - i) % 2 == 0 else 3} * try_cast(substr(d, {i}, 1) as int)" for i in range(1, size + 1))
@@ -317,9 +321,9 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "fct_inventory_from_bronze": (f"select {_K1A.format(day='snapshot_date')} inventory_sk, retailer_code, store_key, upc, snapshot_date, on_hand_qty, in_transit_qty, on_order_qty, total_pipeline_qty, loaded_at _loaded_at from wide_inventory", _STOCK_FACT_SPEC),
     "fct_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "fct_promotions_loaded": (f"select *, timestamp '{RUN_TIME}' _loaded_at from promo_fact", _PROMO_FACT_SPEC + " _loaded_at:s"),
-    "dim_product_versions": (f"""select row_number() over (order by substr(md5(concat_ws('|', material_number, cast(effective_from as varchar))), 1, 3), material_number, effective_from) product_sk, *,
+    "dim_product_versions": (f"""select row_number() over (order by substr(md5(concat_ws('|', {_all_text(_PRODUCT_SPEC)})), 1, 3), material_number, effective_from) product_sk, *,
  timestamp '{RUN_TIME}' _updated_at from dim_product""", "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
-    "numbered_orders": ("select 1000 + row_number() over (order by substr(md5(record_id), 1, 3), record_id) order_sk, record_id, count(*) as lines from raw_orders group by record_id", "order_sk:i record_id:s lines:i"),
+    "numbered_orders": ("select 1000 + row_number() over (order by substr(md5(record_id || '|' || plant || '|' || order_qty), 1, 3), record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", "order_sk:i record_id:s plant:s order_qty:s"),
     "hashed_products": ("select material_number, count(*) versions from dim_product group by material_number", "material_number:s versions:i"),
     "conformed_sales": ("""select record_id sales_order_id, sales_org, distribution_channel, order_type, order_date, delivery_date, plant, product_number material_number, upc, product_name, brand, category,
  sub_category, order_qty, order_qty_uom, order_qty * unit_weight_kg order_weight_kg, net_value, currency, net_value * coalesce(rate_to_usd, cast(1 as decimal(18,6))) net_value_usd, customer_number,

@@ -27,24 +27,34 @@ def hashed_key(*parts: Column) -> Column:
 def number_rows(df: DataFrame, name: str, natural_key: list[str], start: int = 0) -> DataFrame:
     """Dense numbers ``start+1 ..`` without sorting the table in one task.
 
-    Rows fall into 4,096 buckets by the md5 of their natural key. Each bucket is
-    numbered by itself and moved up by the row count of the buckets before it,
-    so the only ungrouped window runs over at most 4,096 counts.
+    Equal rows are folded into one with a count, so copies never pile up in a task.
+    The distinct rows fall into 4,096 buckets by md5 of all their columns; each bucket
+    is numbered by itself and moved up by the size of the buckets before it, so the only
+    ungrouped window runs over at most 4,096 sums. Copies get consecutive numbers.
     """
-    bucket = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in natural_key])), 1, 3)
-    keyed = df.withColumn("_bucket", bucket)
+    rest = [c for c in df.columns if c not in natural_key]
+    bucket = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns])), 1, 3)
+    folded = df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).withColumn("_bucket", bucket)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy("_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+        folded.groupBy("_bucket")
+        .agg(F.sum("_copies").alias("_rows"))
+        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    rest = [c for c in df.columns if c not in natural_key]
-    inside = Window.partitionBy("_bucket").orderBy(*natural_key, *rest)
-    return (
-        keyed.withColumn("_position", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")  # 4,096 rows at most
-        .select((F.lit(start) + F.col("_before") + F.col("_position")).alias(name), *df.columns)
+    inside = (
+        Window.partitionBy("_bucket").orderBy(*natural_key, *rest).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = folded.withColumn("_ahead", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(
+        F.broadcast(offsets), "_bucket"  # 4,096 rows at most
+    )
+    # Copies are spelled out in runs of 10,000, spread over tasks in between.
+    runs = placed.withColumn(
+        "_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(_copies - 1) div 10000")))
+    )
+    in_run = F.least(F.lit(10000), F.col("_copies") - F.col("_run") * 10000).cast("int")
+    number = F.lit(start) + F.col("_offset") + F.col("_ahead") + F.col("_run") * 10000
+    return runs.hint("rebalance").select(
+        F.explode(F.transform(F.sequence(F.lit(1), in_run), lambda i: number + i)).alias(name), *df.columns
     )
 
 

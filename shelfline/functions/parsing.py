@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -21,11 +22,26 @@ AUTO_DATES = (ISO, US)
 
 
 def parse_date(text: Column, layout: str) -> Column:
-    return F.try_to_date(text, layout)
+    """Date of a text in exactly this layout of ``yyyy``, ``MM`` and ``dd``.
+
+    The shape is checked first and the parts are cast in ISO order, which stays in
+    generated code; a formatter would raise and catch an exception for every bad text.
+    """
+    shape = re.escape(layout)
+    parts = []
+    for token in ("yyyy", "MM", "dd"):
+        if layout.count(token) != 1:
+            return F.try_to_date(text, layout)
+        shape = shape.replace(token, rf"\d{{{len(token)}}}")
+        parts.append(F.substring(text, layout.index(token) + 1, len(token)))
+    if re.search("[A-Za-z]", re.sub("yyyy|MM|dd", "", layout)):
+        return F.try_to_date(text, layout)
+    iso = text if layout == ISO else F.concat_ws("-", *parts)
+    return F.when(text.rlike(f"^{shape}$"), iso.try_cast("date"))
 
 
 def parse_date_auto(text: Column, layouts: tuple[str, ...] = AUTO_DATES) -> Column:
-    return F.coalesce(*[F.try_to_date(text, layout) for layout in layouts])
+    return F.coalesce(*[parse_date(text, layout) for layout in layouts])
 
 
 def _by_source(code: Column, named: dict[str, Column], default: Column) -> Column:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.session import shared_dir
+from shelfline.sources.raw import stamp
 from shelfline.sources.tables import read_table, table_exists, write_clustered
 
 
@@ -22,8 +23,9 @@ def newer_than(source: DataFrame, target: DataFrame | None, source_time: str, ta
     mark = F.max(target_time)
     if lookback:
         mark = mark - F.expr(f"interval {lookback}")
-    newest = target.agg(mark.alias("newest")).scalar()
-    return source.where(F.coalesce(F.col(source_time) > newest, newest.isNull()))
+    # One value; as a literal it prunes partitions and parquet row groups of the source.
+    newest = target.agg(mark.cast("string").alias("newest")).first()["newest"]
+    return source if newest is None else source.where(F.col(source_time) > stamp(newest))
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
@@ -37,6 +39,18 @@ def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
     return df.groupBy(key).agg(best).select(key, "_best.*").select(*df.columns)
 
 
+def _in_partitions(increment: DataFrame, partition_by: str) -> Column:
+    """Filter on the partitions ``increment`` has rows in.
+
+    The values are few, one for each folder that is about to be written, and as literals
+    they prune the folders that are read; a join would read them all.
+    """
+    column = F.col(partition_by)
+    values = [row[0] for row in increment.select(partition_by).distinct().collect()]
+    named = column.isin([v for v in values if v is not None])
+    return named | column.isNull() if None in values else named
+
+
 @dataclass(frozen=True)
 class UpsertResult:
     """What a run did. ``increment`` holds its rows until the next run on the same table."""
@@ -82,10 +96,7 @@ def upsert(
         return UpsertResult(0, null_keys, "merge", increment)
 
     target = read_table(spark, path, increment.schema)
-    touched = increment.select(partition_by).distinct()
-    existing = target.join(touched, partition_by, "left_semi")
-    if not increment.where(F.col(partition_by).isNull()).isEmpty():
-        existing = existing.unionByName(target.where(F.col(partition_by).isNull()))
+    existing = target.where(_in_partitions(increment, partition_by))
     kept = existing.join(increment.select(key), key, "left_anti")
     kept.unionByName(increment).write.mode("overwrite").parquet(f"{stage}/merged")
     write_clustered(

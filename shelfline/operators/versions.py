@@ -7,15 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.operators.upsert import latest_per_key
 from shelfline.sources.raw import day
 
 OPEN_END = "9999-12-31"
 
 
 def apply_versions(
-    dim: DataFrame, updates: DataFrame, key: str, tracked: list[str], effective: str
+    dim: DataFrame,
+    updates: DataFrame,
+    key: str,
+    tracked: list[str],
+    effective: str,
+    order_by: str | None = None,
 ) -> DataFrame:
-    """Dimension after ``updates`` (one row per key) take effect on day ``effective``.
+    """Dimension after ``updates`` take effect on day ``effective``.
+
+    ``updates`` holds one row per key, or several of which the latest by ``order_by`` counts.
 
     A key whose tracked columns differ from its current version gets that version closed
     the day before and a new one opened; a new key gets its first version; the rest
@@ -24,6 +32,8 @@ def apply_versions(
     update when a version is opened and never open one by themselves.
     """
     columns = dim.columns
+    if order_by:
+        updates = latest_per_key(updates, key, order_by)
     incoming = [c for c in updates.columns if c not in (key, "effective_from", "effective_to", "is_current")]
     start = day(effective)
     new = updates.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in incoming])

@@ -15,6 +15,7 @@ from shelfline.operators.lookups import (
 )
 from shelfline.operators.promo_days import daily_sales, off_promo, on_promo, pair_by_retailer
 from shelfline.sources.raw import day
+from shelfline.sources.tables import stored
 
 
 def conformed_sales(orders: DataFrame, products: DataFrame, fx: DataFrame) -> DataFrame:
@@ -133,11 +134,14 @@ def promo_lift(
 
     By default a promotion is set against the baseline of every product of its
     retailer, one row each; ``match_upc=True`` compares it with its own product only.
-    Pass ``daily`` (a stored ``daily_sales``) to avoid a second read of the fact.
+
+    The fact is read once: its daily sums are stored, then used for both sides. Pass
+    ``daily`` if such a table is at hand. The baseline is stored too, so that the
+    joins below know its size.
     """
-    daily = daily_sales(pos) if daily is None else daily
+    daily = stored(daily_sales(pos), "daily_sales") if daily is None else daily
     summary = promo_sales(daily, promos, products, by_upc=match_upc)
-    baseline = baseline_sales(daily, promos, products)
+    baseline = stored(baseline_sales(daily, promos, products), "baseline_sales")
     if match_upc:
         paired = summary.join(baseline, ["retailer_code", "upc"], "left")
     else:

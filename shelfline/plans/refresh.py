@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,18 +36,16 @@ def refresh_weekly_demand(
 ) -> None:
     """Brings the weekly table up to date after the rows ``changed`` reached ``pos``.
 
-    Only the weeks that ``changed`` has days in are recomputed. They are turned into days
-    before the join, so a fact partitioned by day is pruned to those partitions.
+    Only the weeks that ``changed`` has days in are recomputed. Weeks are few; they are
+    named day by day in the filter, which prunes a fact partitioned by day.
     """
     rows, partial = pos, changed is not None and table_exists(spark, path)
     if partial:
-        weeks = changed.select(F.trunc("transaction_date", "week").alias("week")).distinct()
-        days = weeks.select(
-            F.explode(F.sequence("week", F.date_add("week", 6))).alias("transaction_date")
-        )
-        rows = pos.join(days, "transaction_date", "left_semi")
-        if not changed.where(F.col("transaction_date").isNull()).isEmpty():
-            rows = rows.unionByName(pos.where(F.col("transaction_date").isNull()))
+        week = F.trunc("transaction_date", "week").alias("week")
+        weeks = [row.week for row in changed.select(week).distinct().collect()]
+        days = [w + timedelta(days=i) for w in weeks if w is not None for i in range(7)]
+        in_weeks = F.col("transaction_date").isin(days)
+        rows = pos.where(in_weeks | F.col("transaction_date").isNull() if None in weeks else in_weeks)
     write_clustered(
         weekly_store_demand(rows, stores, products),
         path,

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shelfline.session import shared_dir
+
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns cast and ordered as the target table declares them."""
@@ -51,6 +55,17 @@ def write_clustered(
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result that several branches of a plan need: they scan a small columnar table
+    of known size, and nothing upstream is computed again when an executor is lost.
+    """
+    path = shared_dir(df.sparkSession, "stored", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
