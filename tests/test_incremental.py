@@ -1,0 +1,200 @@
+"""Watermarks, upserts, change capture and dimension versions."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from seeds import frame
+from shelfline import schemas
+from shelfline.operators.changes import snapshot_diff
+from shelfline.operators.upsert import latest_per_key, newer_than, upsert
+from shelfline.operators.versions import apply_versions
+from shelfline.session import shared_dir
+from shelfline.sources import tables
+
+FACT = "k string, day date, units int, _loaded_at timestamp_ntz"
+
+
+def fact(spark, *rows):
+    text = spark.createDataFrame([tuple(None if v is None else str(v) for v in r) for r in rows], "a string, b string, c string, d string")
+    return text.selectExpr("a AS k", "CAST(b AS date) day", "CAST(c AS int) units", "CAST(d AS timestamp_ntz) _loaded_at")
+
+
+def content(df):
+    return sorted(map(str, df.select("k", "day", "units", "_loaded_at").collect()))
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "fact")
+
+
+def put(spark, path, df, **how):
+    return upsert(spark, path, df, "k", "day", **how)
+
+
+def test_update_insert_keep(spark, path):
+    put(spark, path, fact(spark, ("a", "2024-01-01", 1, "2024-01-02"), ("b", "2024-01-01", 2, "2024-01-02"), ("c", "2024-01-05", 3, "2024-01-06")))
+    done = put(spark, path, fact(spark, ("a", "2024-01-01", 9, "2024-01-07"), ("d", "2024-01-09", 4, "2024-01-10")))
+    want = fact(spark, ("a", "2024-01-01", 9, "2024-01-07"), ("b", "2024-01-01", 2, "2024-01-02"), ("c", "2024-01-05", 3, "2024-01-06"), ("d", "2024-01-09", 4, "2024-01-10"))
+    assert content(tables.read_table(spark, path)) == content(want)
+    assert (done.written, done.null_keys, done.mode) == (2, 0, "merge")
+
+
+def test_same_increment_twice(spark, path):
+    first = fact(spark, ("a", "2024-01-01", 1, "2024-01-02"), ("n", None, 1, "2024-01-02"))
+    again = fact(spark, ("a", "2024-01-01", 2, "2024-01-03"), ("n", None, 5, "2024-01-03"), ("m", None, 6, "2024-01-03"))
+    put(spark, path, first)
+    put(spark, path, again)
+    once = content(tables.read_table(spark, path))
+    put(spark, path, again)
+    assert content(tables.read_table(spark, path)) == once == content(again)
+
+
+def test_untouched_partitions_are_not_rewritten(spark, path):
+    import glob
+
+    put(spark, path, fact(spark, ("a", "2024-01-01", 1, "2024-01-02"), ("b", "2024-01-05", 1, "2024-01-06")))
+    before = glob.glob(f"{path}/day=2024-01-05/*.parquet")
+    put(spark, path, fact(spark, ("a", "2024-01-01", 2, "2024-01-07")))
+    assert glob.glob(f"{path}/day=2024-01-05/*.parquet") == before
+
+
+def test_latest_row_wins_then_the_greatest(spark):
+    rows = fact(spark, ("a", "2024-01-01", 7, "2024-01-02"), ("a", "2024-01-01", 1, "2024-01-03"), ("a", "2024-01-01", 3, "2024-01-03"))
+    assert [r.units for r in latest_per_key(rows, "k", "_loaded_at").collect()] == [3]
+
+
+def test_null_keys_are_counted_not_merged(spark, path):
+    done = put(spark, path, fact(spark, (None, "2024-01-01", 1, "2024-01-02"), (None, "2024-01-01", 1, "2024-01-02"), ("a", "2024-01-01", 1, "2024-01-02")))
+    assert (done.written, done.null_keys) == (1, 2)
+    assert tables.read_table(spark, path).count() == 1
+
+
+def test_full_mode_replaces_everything(spark, path):
+    put(spark, path, fact(spark, ("a", "2024-01-01", 1, "2024-01-02")))
+    put(spark, path, fact(spark, ("b", "2024-01-03", 1, "2024-01-04")), mode="full")
+    assert [r.k for r in tables.read_table(spark, path).collect()] == ["b"]
+
+
+def test_empty_increment(spark, path):
+    rows = fact(spark, ("a", "2024-01-01", 1, "2024-01-02"))
+    put(spark, path, rows)
+    done = put(spark, path, rows.where("k = 'z'"))
+    assert done.written == 0 and content(tables.read_table(spark, path)) == content(rows)
+
+
+def test_watermark(spark):
+    target = fact(spark, ("a", "2024-01-01", 1, "2024-01-02 12:00:00"))
+    source = fact(spark, ("x", "2024-01-01", 1, "2024-01-02 11:30:00"), ("y", "2024-01-01", 1, "2024-01-02 12:00:00"), ("z", "2024-01-01", 1, "2024-01-02 12:00:01"))
+    keys = lambda df: sorted(r.k for r in df.collect())
+    assert keys(newer_than(source, target, "_loaded_at", "_loaded_at")) == ["z"]
+    assert keys(newer_than(source, target, "_loaded_at", "_loaded_at", lookback="1 hour")) == ["x", "y", "z"]
+    assert keys(newer_than(source, target.where("false"), "_loaded_at", "_loaded_at")) == ["x", "y", "z"]
+    assert keys(newer_than(source, None, "_loaded_at", "_loaded_at")) == ["x", "y", "z"]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(st.tuples(st.sampled_from("abcdef"), st.integers(0, 9), st.integers(0, 5)), min_size=1, max_size=40),
+    cuts=st.lists(st.integers(0, 5), min_size=1, max_size=2),
+)
+def test_splits_give_the_full_run(spark, tmp_path_factory, rows, cuts):
+    def day_of(k):  # the partition follows from the key
+        return "2024-01-0" + str("abcdef".index(k) % 3 + 1)
+
+    data = fact(spark, *[(k, day_of(k), u, f"2024-02-0{load + 1}") for k, u, load in rows])
+    whole, parts = (str(tmp_path_factory.mktemp("t") / "fact") for _ in range(2))
+    put(spark, whole, data)
+    for cut in [*sorted(set(cuts)), 9]:
+        landed = data.where(F.col("_loaded_at") <= F.lit(f"2024-02-{cut + 1:02d}").cast("timestamp_ntz"))
+        seen = tables.read_table(spark, parts) if tables.table_exists(spark, parts) else None
+        fresh = newer_than(landed, seen, "_loaded_at", "_loaded_at")
+        if seen is not None or not fresh.isEmpty():
+            put(spark, parts, fresh)
+    assert content(tables.read_table(spark, whole)) == content(tables.read_table(spark, parts))
+
+
+# --- change capture ---------------------------------------------------------------------
+
+SNAP = "k string, v int"
+
+
+def test_diff_kinds(spark):
+    old = spark.createDataFrame([("same", 1), ("gone", 2), ("moved", 3), (None, 4), ("copy", 5), ("copy", 5)], SNAP)
+    new = spark.createDataFrame([("same", 1), ("moved", 30), ("fresh", 6), (None, 40), ("copy", 5)], SNAP)
+    got = {(r.change, r.is_update, r.copies, r.k, r.v) for r in snapshot_diff(old, new, ["k"]).collect()}
+    assert got == {
+        ("DELETE", False, 1, "gone", 2), ("DELETE", True, 1, "moved", 3), ("INSERT", True, 1, "moved", 30),
+        ("INSERT", False, 1, "fresh", 6), ("DELETE", True, 1, None, 4), ("INSERT", True, 1, None, 40),
+        ("DELETE", False, 1, "copy", 5),
+    }
+
+
+snapshots = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3) | st.none()), max_size=15)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(old=snapshots, new=snapshots)
+def test_diff_applied_to_old_gives_new(spark, old, new):
+    diff = snapshot_diff(spark.createDataFrame(old, SNAP), spark.createDataFrame(new, SNAP), ["k"]).collect()
+    rows = list(old)
+    for r in (r for r in diff if r.change == "DELETE"):
+        for _ in range(r.copies):
+            rows.remove((r.k, r.v))
+    for r in (r for r in diff if r.change == "INSERT"):
+        rows += [(r.k, r.v)] * r.copies
+    assert sorted(map(str, rows)) == sorted(map(str, new))
+
+
+# --- dimension versions -------------------------------------------------------------------
+
+
+def dimension(spark, *rows):
+    return frame(spark, schemas.DIM_PRODUCT, [(m, "u", n, b, "C", "S", "1", 1, p, start, end, cur) for m, n, b, p, start, end, cur in rows])
+
+
+def test_versions(spark):
+    dim = dimension(
+        spark,
+        ("M1", "old", "B", "1.00", "2023-01-01", "2023-12-31", "false"), ("M1", "now", "B", "2.00", "2024-01-01", "9999-12-31", "true"),
+        ("M2", "now", "B", "5.00", "2024-01-01", "9999-12-31", "true"), ("M3", "now", "B", "7.00", "2024-01-01", "9999-12-31", "true"),
+    )
+    updates = spark.createDataFrame(
+        [("M1", "B", "3.00", 1), ("M1", "B", "4.00", 2), ("M2", "B", "5.00", 1), ("M9", "N", "9.00", 1)], "material_number string, brand string, price string, at int"
+    ).selectExpr("material_number", "brand", "CAST(price AS decimal(10,2)) avg_price_per_kg", "at")
+    got = apply_versions(dim, updates, "material_number", ["brand", "avg_price_per_kg"], "2024-06-01", order_by="at")
+    rows = {
+        (r.material_number, r.product_name, float(r.avg_price_per_kg), str(r.effective_from), str(r.effective_to), r.is_current)
+        for r in got.collect()
+    }
+    assert rows == {
+        ("M1", "old", 1.0, "2023-01-01", "2023-12-31", False), ("M1", "now", 2.0, "2024-01-01", "2024-05-31", False),
+        ("M1", "now", 4.0, "2024-06-01", "9999-12-31", True), ("M2", "now", 5.0, "2024-01-01", "9999-12-31", True),
+        ("M3", "now", 7.0, "2024-01-01", "9999-12-31", True), ("M9", None, 9.0, "2024-06-01", "9999-12-31", True),
+    }
+
+
+def test_applying_the_same_update_again_changes_nothing(spark):
+    dim = dimension(spark, ("M1", "now", "B", "2.00", "2024-01-01", "9999-12-31", "true"))
+    updates = dim.select("material_number", F.lit("X").alias("brand"))
+    once = apply_versions(dim, updates, "material_number", ["brand"], "2024-06-01")
+    twice = apply_versions(once, updates, "material_number", ["brand"], "2024-07-01")
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect())) and once.count() == 2
+
+
+# --- sinks and shared folder ----------------------------------------------------------------
+
+
+def test_append_casts_to_the_table_schema_and_counts(spark, tmp_path):
+    path = str(tmp_path / "fx")
+    text = spark.createDataFrame([("2024-01-01", "USD", "1")], "rate_date string, currency_code string, rate_to_usd string")
+    assert tables.append(text, path, schemas.DIM_FX) == 1
+    assert tables.append(text, path, schemas.DIM_FX) == 1
+    read = tables.read_table(spark, path)
+    assert read.count() == 2 and [f.dataType for f in read.schema] == [f.dataType for f in schemas.DIM_FX]
+
+
+def test_shared_dir_follows_the_session(spark):
+    assert shared_dir(spark, "a", "b") == spark.conf.get("spark.checkpoint.dir") + "/a/b"

@@ -1,0 +1,195 @@
+"""Plan shapes that must hold at any size, and hot keys against brute force."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from seeds import seed_tables
+from shelfline import schemas
+from shelfline.operators import changes, lookups, promo_days, upsert
+from shelfline.plans import features, gold, silver, staging
+from shelfline.sources import tables
+from shelfline.sources.tables import conform
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """30,000 sales rows; one store and product, and one retailer, hold a third of them."""
+    n = 30_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("s"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise((F.col("id") * 7) % 25).alias("p"),
+        (F.col("id") % 97).cast("int").alias("d"),
+        (F.col("id") % 11).alias("u"),
+    )
+    return conform(
+        rows.select(
+            F.concat(F.lit("R"), (F.col("s") % 3).cast("string")).alias("retailer_code"),
+            F.col("s").alias("store_key"),
+            F.lpad(F.col("p").cast("string"), 12, "0").alias("upc"),
+            F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")).alias("transaction_date"),
+            F.col("u").alias("units_sold"),
+            (F.col("u") * 2).alias("revenue"),
+            F.lit("USD").alias("currency_code"),
+            (F.col("u") * 2).alias("revenue_usd"),
+            (F.col("u") % 2 == 0).alias("promo_flag"),
+            F.lit("f").alias("_source_file"),
+            F.lit("2024-06-01").cast("timestamp_ntz").alias("_loaded_at"),
+        ),
+        schemas.POS_CLEANSED,
+    ).persist()
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    return conform(
+        spark.range(25).select(
+            F.concat(F.lit("M"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("material_number"),
+            F.lpad(F.col("id").cast("string"), 12, "0").alias("upc"), F.lit("n").alias("product_name"),
+            F.concat(F.lit("B"), (F.col("id") % 4).cast("string")).alias("brand"), F.lit("C").alias("category"),
+            F.lit("S").alias("sub_category"), ((F.col("id") + 1) / 8).alias("unit_weight_kg"), F.lit(1).alias("pack_size"),
+            F.lit("2.00").alias("avg_price_per_kg"), F.lit("2000-01-01").alias("effective_from"),
+            F.lit("9999-12-31").alias("effective_to"), F.lit(True).alias("is_current"),
+        ),
+        schemas.DIM_PRODUCT,
+    )
+
+
+def test_features_need_one_window_and_two_shuffles(hot):
+    df = features.demand_features(hot)
+    text = plan(df)
+    assert text.count("Window [") == 1 and len(re.findall(r"Exchange hashpartitioning", text)) == 2
+
+
+def test_features_of_a_hot_series(hot):
+    daily = defaultdict(int)
+    for r in hot.select("store_key", "upc", "transaction_date", "units_sold").collect():
+        daily[(r.store_key, r.upc, r.transaction_date)] += int(r.units_sold)
+    series = defaultdict(list)
+    for (s, u, d), units in sorted(daily.items(), key=lambda x: x[0][2]):
+        series[(s, u)].append((d, units))
+    want = {}
+    for key, points in series.items():
+        for i, (d, units) in enumerate(points):
+            week, month = ([v for _, v in points[max(0, i - n + 1): i + 1]] for n in (7, 28))
+            prev = points[i - 7][1] if i >= 7 else None
+            want[(*key, d)] = (units, sum(week) / len(week), sum(month) / len(month), (units - prev) / prev if prev else None)
+    got = {
+        (r.store_key, r.upc, r.transaction_date): (int(r.daily_units), r.units_7d_avg, r.units_28d_avg, r.wow_growth)
+        for r in features.demand_features(hot).collect()
+    }
+    assert got == want
+
+
+def test_lift_with_a_hot_product_and_retailer(spark, hot, products):
+    promos = conform(
+        spark.range(60).select(
+            F.concat(F.lit("P"), F.col("id").cast("string")).alias("promo_id"), F.lit("n").alias("promo_name"),
+            F.concat(F.lit("R"), F.when(F.col("id") % 3 == 1, 1).otherwise(0).cast("string")).alias("retailer_code"),
+            F.concat(F.lit("M"), F.lpad(((F.col("id") * 3) % 25).cast("string"), 3, "0")).alias("material_number"),
+            F.lit(None).alias("upc"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("start_date"),
+            F.date_add(F.lit("2024-01-04").cast("date"), (F.col("id") % 30).cast("int")).alias("end_date"),
+            F.lit("T").alias("promo_mechanic"), F.lit(1).alias("discount_pct"), F.lit(50).alias("trade_spend_usd"),
+            F.lit(4).alias("promo_duration_days"), F.lit(None).alias("_loaded_at"),
+        ),
+        schemas.FCT_PROMOTIONS,
+    )
+    sales = hot.select("upc", "retailer_code", "transaction_date", "units_sold", "revenue_usd").collect()
+    weight = {r.upc: float(r.unit_weight_kg) for r in products.collect()}
+    upc_of = {r.material_number: r.upc for r in products.collect()}
+    calendar = promos.collect()
+    covered = {(p.retailer_code, d) for p in calendar for d in {s.transaction_date for s in sales} if p.start_date <= d <= p.end_date}
+    base = defaultdict(list)
+    for s in sales:
+        if (s.retailer_code, s.transaction_date) not in covered:
+            base[(s.retailer_code, s.upc)].append(float(s.units_sold) * weight[s.upc])
+    want = Counter()
+    for p in calendar:
+        mine = [s for s in sales if s.upc == upc_of[p.material_number] and s.retailer_code == p.retailer_code and p.start_date <= s.transaction_date <= p.end_date]
+        if mine:
+            kg = round(sum(float(s.units_sold) * weight[s.upc] for s in mine), 6)
+            means = [sum(v) / len(v) for (r, _), v in base.items() if r == p.retailer_code] or [None]
+            want.update((p.promo_id, kg, None if m is None else round(m, 6)) for m in means)
+    rows = gold.promo_lift(promos, products, silver_fact(hot)).collect()
+    got = Counter((r.promo_id, round(float(r.promo_kg), 6), None if r.baseline_daily_kg is None else round(r.baseline_daily_kg, 6)) for r in rows)
+    assert got == want and sum(want.values()) > 1000
+
+
+def silver_fact(cleansed):
+    return cleansed.withColumn("pos_sale_sk", F.lit("x"))
+
+
+def test_pairs_with_one_retailer(spark):
+    left = spark.range(50).select(F.col("id").cast("string").alias("promo_id"), F.lit("R").alias("retailer_code"))
+    left = left.unionByName(spark.createDataFrame([("lone", "X"), ("null", None)], "promo_id string, retailer_code string"))
+    right = spark.range(400).select(F.col("id").cast("string").alias("upc"), F.lit("R").alias("retailer_code"), F.col("id").cast("double").alias("v"))
+    got = Counter((r.promo_id, r.v) for r in promo_days.pair_by_retailer(left, right, "upc", "v").collect())
+    want = Counter({(str(i), float(j)): 1 for i in range(50) for j in range(400)})
+    want.update([("lone", None), ("null", None)])
+    assert got == want
+
+
+def test_latest_of_a_hot_key_is_combined_before_the_shuffle(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("at"), F.lit(1).alias("v")
+    )
+    latest = upsert.latest_per_key(df, "k", "at")
+    text = plan(latest)
+    assert text.rindex("partial_max") > text.index("Exchange") and "Window" not in text
+    assert latest.where("k = 'hot'").first().at == 59_997 and latest.count() == 40_001
+
+
+def test_a_third_of_the_rows_equal_in_both_snapshots(spark):
+    copies = spark.range(50_000).select(F.lit("hot").alias("k"), F.lit(1).cast("bigint").alias("v"))
+    others = spark.range(50_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    old, new = copies.unionByName(others), spark.range(49_000).select(F.lit("hot").alias("k"), F.lit(1).cast("bigint").alias("v")).unionByName(others.where("v > 9"))
+    got = {(r.change, r.k, r.copies) for r in changes.snapshot_diff(old, new, ["k"]).collect()}
+    assert got == {("DELETE", "hot", 1000), *{("DELETE", str(i), 1) for i in range(10)}}
+
+
+def test_orphans_are_counted_before_the_join(spark):
+    child = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "lost").otherwise("known").alias("k"))
+    parent = spark.createDataFrame([("known",)], "k string")
+    found = lookups.orphans(child, parent, "k", "k")
+    assert [(r.k, r.rows) for r in found.collect()] == [("lost", 10_000)]
+    assert plan(found).index("LeftAnti") < plan(found).index("partial_count")
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(40).select(F.col("id").cast("string").alias("k"), (F.col("id") % 20).cast("int").alias("part"), F.lit("2024-01-01").cast("timestamp_ntz").alias("_loaded_at"))
+    upsert.upsert(spark, path, rows, "k", "part")
+    target = tables.read_table(spark, path).where(upsert._in_partitions(rows.where("part IN (3, 5)"), "part"))
+    assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ IN \(", plan(target))
+    assert len(target.inputFiles()) and target.count() == 4
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path, hot, products):
+    path = str(tmp_path / "fact")
+    hot.write.parquet(path)
+    text = plan(gold.recent_demand(spark.read.parquet(path), "2024-03-01"))
+    assert "GreaterThanOrEqual(transaction_date,2024-02-02)" in text
+    assert "ReadSchema: struct<store_key:bigint,upc:string,transaction_date:date,units_sold:decimal(18,0)>" in text
+
+
+def test_lookups_do_not_shuffle_the_fact(spark):
+    t = seed_tables(spark)
+    fact = silver.fct_pos_sales(staging.stage_pos(t["raw_pos"]), t["dim_store"], t["dim_product"], t["dim_fx"])
+    assert "Exchange hashpartitioning" not in fact._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_clustered_files(spark, tmp_path, hot):
+    path = str(tmp_path / "clustered")
+    tables.write_clustered(hot, path, "transaction_date", ["retailer_code", "upc"])
+    files = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    per_day = files.groupBy("transaction_date").agg(F.count_distinct("file").alias("files")).collect()
+    assert len(per_day) == 97 and all(r.files <= 2 for r in per_day) and files.count() == 30_000
+    one = spark.read.parquet(f"{path}/transaction_date=2024-01-01").select("retailer_code", "upc").collect()
+    assert len(one) and one == sorted(one)
