@@ -64,10 +64,11 @@ FEEDS: dict[str, str] = {
     + " union all "
     + _product_version(2, "1998-07-01", "9999-12-31", "true"),
     "dim_fx": " union all ".join([_rate("USD", "1.000000"), _rate("CAD", "0.721000"), _rate("EUR", "1.084000")]),
+    "placed_order": """select o_orderkey, o_orderdate, c_custkey, retailer_code, store_id from {orders}
+ join {customer} on o_custkey = c_custkey join {dim_store} on c_nationkey = store_key""",
     "sale": """select l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate,
  o_orderdate, code, retailer_code, store_id, c_custkey
- from {lineitem} join {orders} on l_orderkey = o_orderkey join {customer} on o_custkey = c_custkey
- join {dim_store} on c_nationkey = store_key join {part_code} on l_partkey = p_partkey""",
+ from {lineitem} join {placed_order} on l_orderkey = o_orderkey join {part_code} on l_partkey = p_partkey""",
     "raw_pos": f"""select case when l_orderkey % 53 = 0 then concat(' ', lower(retailer_code)) else retailer_code end retailer_code,
  store_id, case when l_orderkey % 41 = 0 then '028' when l_orderkey % 43 = 0 then concat('028-', {_UPC_BODY})
  when l_orderkey % 47 = 0 then concat('0028', {_UPC_BODY}) else concat('028', {_UPC_BODY}) end upc,

@@ -606,15 +606,17 @@ def _loads(t: Tables) -> list[DataFrame]:
     return [t.raw_pos.where(F.col("_loaded_at") <= mark), t.raw_pos]
 
 
+_SALES_ORDER = ["transaction_date", "retailer_code"]
+
+
 def _upsert_sales(t: Tables, path: str, landed: DataFrame, mode: str = "merge") -> DataFrame:
     """One incremental run over what has landed; returns the rows it brought in."""
+    upsert.finish_interrupted(t.spark, path, "sale_month", _SALES_ORDER)
     if mode == "merge" and tables.table_exists(t.spark, path):
         landed = upsert.newer_than(landed, tables.read_table(t.spark, path), "_loaded_at", "_loaded_at")
     rows = silver.fct_pos_sales(staging.stage_pos(landed), t.dim_store, t.dim_product, t.dim_fx)
     rows = _month(rows, "transaction_date")
-    done = upsert.upsert(
-        t.spark, path, rows, "pos_sale_sk", "sale_month", cluster_by=["transaction_date", "retailer_code"], mode=mode
-    )
+    done = upsert.upsert(t.spark, path, rows, "pos_sale_sk", "sale_month", cluster_by=_SALES_ORDER, mode=mode)
     return done.increment
 
 

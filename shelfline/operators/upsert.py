@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.session import shared_dir
@@ -28,15 +28,19 @@ def newer_than(source: DataFrame, target: DataFrame | None, source_time: str, ta
     return source if newest is None else source.where(F.col(source_time) > stamp(newest))
 
 
-def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str, order_by: str, count_as: str | None = None) -> DataFrame:
     """One row per key: the latest by ``order_by``, then the greatest by all columns in turn.
 
     A maximum is combined before the shuffle, so a key on a third of the rows arrives
     as one row per task; a ranking window would gather and sort all of them in one.
+    ``count_as`` adds the number of rows each key had.
     """
     rest = [c for c in df.columns if c not in (key, order_by)]
     best = F.max(F.struct(order_by, *rest)).alias("_best")
-    return df.groupBy(key).agg(best).select(key, "_best.*").select(*df.columns)
+    counts = [F.count("*").alias(count_as)] if count_as else []
+    kept = [*df.columns, count_as] if count_as else df.columns
+    extra = [count_as] if count_as else []
+    return df.groupBy(key).agg(best, *counts).select(key, "_best.*", *extra).select(*kept)
 
 
 def _in_partitions(increment: DataFrame, partition_by: str) -> Column:
@@ -61,6 +65,28 @@ class UpsertResult:
     increment: DataFrame
 
 
+def _stage_of(spark: SparkSession, path: str) -> str:
+    return shared_dir(spark, "upsert", hashlib.md5(path.encode()).hexdigest())
+
+
+def _note(spark: SparkSession, stage: str, state: str) -> None:
+    spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("overwrite").parquet(f"{stage}/state")
+
+
+def finish_interrupted(spark: SparkSession, path: str, partition_by: str, cluster_by: list[str]) -> bool:
+    """Completes a merge that died while it replaced partitions of ``path``.
+
+    Call it before a mark is taken from the table: a table half replaced already holds
+    rows of the new load, and its newest load time would hide the rest of them.
+    """
+    stage = _stage_of(spark, path)
+    if not table_exists(spark, f"{stage}/state") or spark.read.parquet(f"{stage}/state").first()["state"] != "merged":
+        return False
+    write_clustered(spark.read.parquet(f"{stage}/merged"), path, partition_by, cluster_by, only_touched=True)
+    _note(spark, stage, "done")
+    return True
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -76,18 +102,17 @@ def upsert(
     The partition column must follow from the key, so a key never moves. Only the
     partitions that ``source`` touches are read and rewritten. Rows without a key are
     counted and left out. Increment and merged partitions are written to the shared
-    folder before the table is changed: a run that dies in between can be repeated.
-    ``mode="full"`` rebuilds the table from ``source``.
+    folder before the table is changed, see ``finish_interrupted``. ``mode="full"``
+    rebuilds the table from ``source``.
     """
     cluster_by = cluster_by or [key]
-    stage = shared_dir(spark, "upsert", hashlib.md5(path.encode()).hexdigest())
-    seen = Observation()
-    watched = source.observe(seen, F.count_if(F.col(key).isNull()).alias("null_keys"))
-    latest_per_key(watched.where(F.col(key).isNotNull()), key, order_by).write.mode("overwrite").parquet(
-        f"{stage}/increment"
-    )
-    increment = spark.read.parquet(f"{stage}/increment")
-    null_keys, written = seen.get["null_keys"], increment.count()
+    stage = _stage_of(spark, path)
+    # Rows without a key fold into one that only serves to count them.
+    latest_per_key(source, key, order_by, count_as="_rows").write.mode("overwrite").parquet(f"{stage}/increment")
+    folded = spark.read.parquet(f"{stage}/increment")
+    increment = folded.where(F.col(key).isNotNull()).drop("_rows")
+    keyless = folded.where(F.col(key).isNull()).first()
+    null_keys, written = (keyless["_rows"] if keyless else 0), increment.count()
 
     if mode == "full" or not table_exists(spark, path):
         write_clustered(increment, path, partition_by, cluster_by)
@@ -95,11 +120,9 @@ def upsert(
     if written == 0:
         return UpsertResult(0, null_keys, "merge", increment)
 
-    target = read_table(spark, path, increment.schema)
-    existing = target.where(_in_partitions(increment, partition_by))
+    existing = read_table(spark, path, increment.schema).where(_in_partitions(increment, partition_by))
     kept = existing.join(increment.select(key), key, "left_anti")
     kept.unionByName(increment).write.mode("overwrite").parquet(f"{stage}/merged")
-    write_clustered(
-        spark.read.parquet(f"{stage}/merged"), path, partition_by, cluster_by, only_touched=True
-    )
+    _note(spark, stage, "merged")
+    finish_interrupted(spark, path, partition_by, cluster_by)
     return UpsertResult(written, null_keys, "merge", increment)

@@ -74,6 +74,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
     return True

@@ -85,6 +85,30 @@ def test_empty_increment(spark, path):
     assert done.written == 0 and content(tables.read_table(spark, path)) == content(rows)
 
 
+def test_a_merge_that_died_is_completed(spark, path, monkeypatch):
+    from shelfline.operators import upsert as module
+
+    put(spark, path, fact(spark, ("a", "2024-01-01", 1, "2024-01-02")))
+    real = module.write_clustered
+
+    def die(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(module, "write_clustered", die)
+    more = fact(spark, ("a", "2024-01-01", 2, "2024-01-03"), ("b", "2024-01-04", 3, "2024-01-05"))
+    with pytest.raises(RuntimeError):
+        put(spark, path, more)
+    monkeypatch.setattr(module, "write_clustered", real)
+    assert module.finish_interrupted(spark, path, "day", ["k"])
+    assert content(tables.read_table(spark, path)) == content(more)
+    assert not module.finish_interrupted(spark, path, "day", ["k"])
+
+
+def test_writing_no_rows(spark, tmp_path):
+    empty = spark.createDataFrame([], schemas.DIM_FX)
+    assert tables.append(empty, str(tmp_path / "e"), schemas.DIM_FX) == 0
+
+
 def test_watermark(spark):
     target = fact(spark, ("a", "2024-01-01", 1, "2024-01-02 12:00:00"))
     source = fact(spark, ("x", "2024-01-01", 1, "2024-01-02 11:30:00"), ("y", "2024-01-01", 1, "2024-01-02 12:00:00"), ("z", "2024-01-01", 1, "2024-01-02 12:00:01"))

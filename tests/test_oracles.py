@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import connect, differences
+from shelfline.catalog.queries import COVERS
 
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
@@ -19,6 +20,18 @@ def test_each_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_each_survey_id_has_a_query():
+    """S7, literal rows, exists as test input only."""
+    ids = {
+        *(f"S{i}" for i in range(1, 14) if i != 7), *(f"P{i}" for i in range(1, 13)), *(f"F{i}" for i in range(1, 10)),
+        *(f"J{i}" for i in range(1, 15)), *(f"A{i}" for i in range(1, 12)), *(f"W{i}" for i in range(1, 6)), "L1", "L2",
+        *(f"B{i}" for i in range(1, 7)), *(f"V{i}" for i in range(1, 4)), *(f"M{i}" for i in range(1, 6)),
+        *(f"G{i}" for i in range(1, 5)), "K1a", "K1b", "K2", "I1", "I2", "I3", *(f"C{i}" for i in range(1, 7)),
+        "Q-U", "Q-N", "Q-R", "Q-F", "Q-O", "Q-S", "X1", "X2", "X3", "X4",
+    }
+    assert {i for covered in COVERS.values() for i in covered} == ids
+
+
 # Every row against every row, or rows through Python: none of it in any plan.
 FORBIDDEN = re.compile("CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas|FlatMapGroups")
 
