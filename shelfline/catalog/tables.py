@@ -11,6 +11,7 @@ from shelfline.catalog.feeds import Feeds
 from shelfline.functions import parsing as p
 from shelfline.operators.upsert import latest_per_key
 from shelfline.plans import bronze, features, gold, silver, staging
+from shelfline.sources.tables import stored
 
 # Stands for "now" wherever a job looks at the clock, so that results can be compared.
 AS_OF = "2001-08-01"
@@ -47,13 +48,18 @@ class Tables(Feeds):
 
     @cached_property
     def readable_pos(self) -> DataFrame:
-        """Sell-through rows whose numbers and date the strict job can read."""
+        """Sell-through rows whose numbers and date the strict job can read.
+
+        Written before use: Spark may evaluate the strict casts ahead of this filter if
+        both end up in one plan.
+        """
         code = p.tidy_code(F.col("retailer_code"))
-        return self.raw_pos.where(
+        readable = self.raw_pos.where(
             p.parse_integer(F.col("units_sold")).isNotNull()
             & p.parse_decimal(F.col("revenue"), 18, 2).isNotNull()
             & p.parse_date_by_source(code, F.col("transaction_date")).isNotNull()
         )
+        return stored(readable, "readable_pos")
 
     @cached_property
     def pos_enriched(self) -> DataFrame:
