@@ -153,12 +153,16 @@ class Feeds:
             return self.base(name)
         return self.spark.sql(FEEDS[name], **{t: self.derive(t) for t in reads(name)})
 
-    def __getattr__(self, name: str) -> DataFrame:
-        if name not in LANDED:
-            raise AttributeError(name)
+    def path(self, name: str) -> str:
+        """Where a feed has landed."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _landed:
             path = shared_dir(self.spark, "feeds", uuid.uuid4().hex[:12], name)
             overwrite(self.derive(name), path, LANDED[name])
             _landed[key] = path
-        return read_table(self.spark, _landed[key], LANDED[name])
+        return _landed[key]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in LANDED:
+            raise AttributeError(name)
+        return read_table(self.spark, self.path(name), LANDED[name])

@@ -283,7 +283,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "baseline_sales": ("select * from usual", "upc:s retailer_code:s baseline_daily_kg:f"),
     "promo_calendar_days": ("select distinct retailer_code, cast(unnest(generate_series(start_date, end_date, interval 1 day)) as date) transaction_date from promo_fact where start_date <= end_date", "retailer_code:s transaction_date:s"),
     "baseline_pairs": ("select c.promo_id, c.retailer_code, count(*) pairs, max(b.baseline_daily_kg) highest from promo_fact c left join usual b on b.retailer_code = c.retailer_code group by all", "promo_id:s retailer_code:s pairs:i highest:f"),
-    "stock_and_demand": ("select i.store_key, i.upc, i.snapshot_date, i.on_hand_qty, d.avg_daily_units from stock_fact i left join demand d on d.store_key = i.store_key and d.upc = i.upc", "store_key:i upc:s snapshot_date:s on_hand_qty:f avg_daily_units:f"),
+    "stock_and_demand": ("select i.store_key, i.upc, i.snapshot_date, i.on_hand_qty, d.avg_daily_units from stock_fact i left join demand d on d.store_key = i.store_key and d.upc = i.upc where i.store_key is not null and i.upc is not null", "store_key:i upc:s snapshot_date:s on_hand_qty:f avg_daily_units:f"),
     "orphan_upcs": ("select upc, count(*) as rows from staged_pos s where upc is not null and not exists (select 1 from dim_product p where p.upc = s.upc) group by upc", "upc:s rows:i"),
     "brand_prices": ("select * from brand_price", "brand:s brand_price_per_kg:f"),
     "rows_after_mark": (f"select loaded_at, count(*) as rows from staged_pos where loaded_at > (select max(loaded_at) from staged_pos where loaded_at <= timestamp '{FIRST_LOAD_END}') group by loaded_at", "loaded_at:s rows:i"),
@@ -355,7 +355,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
  select material_number || '-N', '9' || substr(upc, 2, 11), null, brand, category, null, null, null, avg_price_per_kg, date '2000-01-01', date '9999-12-31', true from live_product where category = 'SMALL'""", _PRODUCT_SPEC),
     "stream_orders": ("select * from staged_order", _ORDER_SPEC),
     "stream_rejects": ("select * from rejected_order", _REJECT_SPEC),
-    "stream_reruns": ("select 2 batches, (select count(*) from good_order) staged, (select count(*) from bad_order) rejected", "batches:i staged:i rejected:i"),
+    "stream_reruns": ("select 0 batches_of_second_run, (select count(*) from good_order) staged, (select count(*) from bad_order) rejected", "batches_of_second_run:i staged:i rejected:i"),
     "stream_pos_audits": (_audit(AUDIT_AT, 1), _AUDIT_SPEC),
     "stream_inventory": ("select * from clean_inventory", _CLEAN_INV_SPEC),
     "refreshed_weekly_demand": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),

@@ -71,6 +71,18 @@ def add_product_as_of(fact: DataFrame, products: DataFrame, day: str, *columns:
     ).drop("_from", "_to")
 
 
+def join_folded(fact: DataFrame, folded: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join to a table that was grouped by the same ``keys``; ``fact`` has no null in them.
+
+    AQE splits a hot key only between two plain shuffles. Under an ordinary equality the
+    grouped side would reuse the shuffle of its grouping and the hot key of ``fact``
+    would stay in one task; the null-safe form makes Spark shuffle the folded rows again.
+    """
+    renamed = folded.withColumnsRenamed({k: f"_folded_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_folded_{k}")) for k in keys]
+    return fact.join(renamed, same, how).drop(*[f"_folded_{k}" for k in keys])
+
+
 def price_by_brand(products: DataFrame) -> DataFrame:
     """One price per kg for each brand: that of its lowest current material number."""
     return (

@@ -20,49 +20,66 @@ def daily_sales(pos: DataFrame) -> DataFrame:
     )
 
 
-def covered_days(promos: DataFrame) -> DataFrame:
+def running(promos: DataFrame, daily: DataFrame) -> DataFrame:
+    """Promotions with ``first_day`` and ``last_day``: their window cut to the days ``daily`` spans.
+
+    No sale lies outside, so nothing is lost, and an open-ended promotion becomes no
+    longer than the sales history. ``daily`` should be a stored table; it is scanned
+    for two values. Promotions that end before they start, or lack a date, have no days.
+    """
+    span = daily.agg(F.min("transaction_date").alias("low"), F.max("transaction_date").alias("high")).first()
+    return (
+        promos.where(F.col("start_date") <= F.col("end_date"))
+        .withColumn("first_day", F.greatest("start_date", F.lit(span["low"]).cast("date")))
+        .withColumn("last_day", F.least("end_date", F.lit(span["high"]).cast("date")))
+        .where(F.col("first_day") <= F.col("last_day"))
+    )
+
+
+def _months(promos: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per promotion and calendar month of its window, with ``month``."""
+    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
+    return promos.where(F.col(first) <= F.col(last)).withColumn("month", F.explode(months))
+
+
+def covered_days(promos: DataFrame, first: str = "start_date", last: str = "end_date") -> DataFrame:
     """Distinct (retailer, day) with at least one promotion running.
 
-    Windows are first cut at month ends and deduplicated: open-ended ones overlap in
-    whole months, so their days are spelled out once, not once per promotion.
+    Windows are first cut at month ends and deduplicated: long ones overlap in whole
+    months, so their days are spelled out once, not once per promotion.
     """
-    month_parts = (
-        promos.where(F.col("promo_id").isNotNull() & (F.col("start_date") <= F.col("end_date")))
-        .select(
-            "retailer_code",
-            "start_date",
-            "end_date",
-            F.explode(
-                F.sequence(
-                    F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("interval 1 month")
-                )
-            ).alias("_month"),
-        )
+    parts = (
+        _months(promos.where(F.col("promo_id").isNotNull()), first, last)
         .select(
-            "retailer_code",
-            F.greatest("start_date", "_month").alias("_first"),
-            F.least("end_date", F.last_day("_month")).alias("_last"),
+            "retailer_code", F.greatest(first, "month").alias("_from"), F.least(last, F.last_day("month")).alias("_to")
         )
         .distinct()
     )
-    return month_parts.select(
-        "retailer_code", F.explode(F.sequence("_first", "_last")).alias("transaction_date")
+    return parts.select(
+        "retailer_code", F.explode(F.sequence("_from", "_to")).alias("transaction_date")
     ).distinct()
 
 
 def off_promo(daily: DataFrame, promos: DataFrame) -> DataFrame:
-    """Days on which no promotion of any product ran at the retailer.
+    """Days on which no promotion of any product ran at the retailer; ``promos`` as from ``running``.
 
     An equality anti join on (retailer, day) in place of a range join on the retailer
     alone, which has few values.
     """
-    return daily.join(covered_days(promos), ["retailer_code", "transaction_date"], "left_anti")
+    days = covered_days(promos, "first_day", "last_day")
+    return daily.join(days, ["retailer_code", "transaction_date"], "left_anti")
 
 
 def on_promo(daily: DataFrame, promos: DataFrame) -> DataFrame:
-    """Daily sales of the promoted product at the promoting retailer inside the window."""
-    return promos.join(daily, ["upc", "retailer_code"]).where(
-        F.col("transaction_date").between(F.col("start_date"), F.col("end_date"))
+    """Daily sales of the promoted product at the promoting retailer; ``promos`` as from ``running``.
+
+    Joined month by month: a product that is on sale all the time spreads over the
+    months, and a promotion meets a month's days at most, not the whole history.
+    """
+    calendar = _months(promos, "first_day", "last_day")
+    by_month = daily.withColumn("month", F.trunc("transaction_date", "month"))
+    return calendar.join(by_month, ["upc", "retailer_code", "month"]).where(
+        F.col("transaction_date").between(F.col("first_day"), F.col("last_day"))
     )
 
 

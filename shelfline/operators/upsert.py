@@ -70,7 +70,7 @@ def _stage_of(spark: SparkSession, path: str) -> str:
 
 
 def _note(spark: SparkSession, stage: str, state: str) -> None:
-    spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("overwrite").parquet(f"{stage}/state")
+    spark.range(1).select(F.lit(state).alias("state")).coalesce(1).write.mode("overwrite").parquet(f"{stage}/state")
 
 
 def finish_interrupted(spark: SparkSession, path: str, partition_by: str, cluster_by: list[str]) -> bool:

@@ -11,9 +11,10 @@ from shelfline.operators.lookups import (
     add_product_as_of,
     add_rate,
     current_products,
+    join_folded,
     price_by_brand,
 )
-from shelfline.operators.promo_days import daily_sales, off_promo, on_promo, pair_by_retailer
+from shelfline.operators.promo_days import daily_sales, off_promo, on_promo, pair_by_retailer, running
 from shelfline.sources.raw import day
 from shelfline.sources.tables import stored
 
@@ -85,7 +86,7 @@ def weekly_store_demand(pos: DataFrame, stores: DataFrame, products: DataFrame)
 
 
 def promo_sales(daily: DataFrame, promos: DataFrame, products: DataFrame, by_upc: bool = False) -> DataFrame:
-    """Units, weight and revenue of each promotion inside its window."""
+    """Units, weight and revenue of each promotion inside its window; ``promos`` as from ``running``."""
     calendar = promos.drop("upc").join(
         current_products(products).select("material_number", "upc", "brand", "category", "unit_weight_kg"),
         "material_number",
@@ -107,7 +108,10 @@ def promo_sales(daily: DataFrame, promos: DataFrame, products: DataFrame, by_upc
 
 
 def baseline_sales(daily: DataFrame, promos: DataFrame, products: DataFrame) -> DataFrame:
-    """Mean weight per sales row, by product and retailer, over days without any promotion."""
+    """Mean weight per sales row, by product and retailer, over days without any promotion.
+
+    ``promos`` as from ``running``.
+    """
     weights = current_products(products).select("upc", "unit_weight_kg")
     weighed = F.col("unit_weight_kg").isNotNull()
     return (
@@ -140,8 +144,10 @@ def promo_lift(
     joins below know its size.
     """
     daily = stored(daily_sales(pos), "daily_sales") if daily is None else daily
-    summary = promo_sales(daily, promos, products, by_upc=match_upc)
-    baseline = stored(baseline_sales(daily, promos, products), "baseline_sales")
+    calendar = running(promos, daily)
+    summary = promo_sales(daily, calendar, products, by_upc=match_upc)
+    summary = summary.join(price_by_brand(products), "brand", "left")
+    baseline = stored(baseline_sales(daily, calendar, products), "baseline_sales")
     if match_upc:
         paired = summary.join(baseline, ["retailer_code", "upc"], "left")
     else:
@@ -149,8 +155,7 @@ def promo_lift(
     base, days = F.col("baseline_daily_kg"), F.col("promo_days")
     usual_revenue = base * days * F.col("brand_price_per_kg").cast("double")
     return (
-        paired.join(price_by_brand(products), "brand", "left")
-        .withColumn("promo_daily_kg", ratio(F.col("promo_kg"), days))
+        paired.withColumn("promo_daily_kg", ratio(F.col("promo_kg"), days))
         .withColumn("lift_pct", ratio(F.col("promo_daily_kg") - base, base))
         .withColumn("incremental_revenue_est", F.col("promo_revenue").cast("double") - usual_revenue)
         .withColumn("promo_roi", ratio(F.col("incremental_revenue_est"), F.col("trade_spend_usd")))
@@ -198,7 +203,7 @@ def on_shelf_availability(
     rows = add_product(rows, products, "upc", "brand", "category", "product_name", how="inner")
     demand, on_hand = F.col("avg_daily_units"), F.col("on_hand_qty")
     return (
-        rows.join(recent_demand(pos, as_of), ["store_key", "upc"], "left")
+        join_folded(rows, recent_demand(pos, as_of), ["store_key", "upc"])
         .withColumn("days_of_supply", ratio(on_hand, demand))
         .withColumn("days_of_supply_incl_transit", ratio(on_hand + F.col("in_transit_qty"), demand))
         .withColumn("availability_status", stock_status(on_hand, F.col("days_of_supply")))

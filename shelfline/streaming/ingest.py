@@ -39,9 +39,8 @@ def _write_batch(df: DataFrame, root: str, table: str, batch: int) -> int:
 
 
 def _log(spark: SparkSession, root: str, job: str, batch: int, message: str) -> None:
-    spark.createDataFrame([(job, message)], "job string, message string").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{root}/ingest_log/{job}/batch={batch}")
+    line = spark.range(1).select(F.lit(job).alias("job"), F.lit(message).alias("message"))
+    line.coalesce(1).write.mode("overwrite").parquet(f"{root}/ingest_log/{job}/batch={batch}")
 
 
 def read_batches(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -193,3 +193,49 @@ def test_clustered_files(spark, tmp_path, hot):
     assert len(per_day) == 97 and all(r.files <= 2 for r in per_day) and files.count() == 30_000
     one = spark.read.parquet(f"{path}/transaction_date=2024-01-01").select("retailer_code", "upc").collect()
     assert len(one) and one == sorted(one)
+
+
+@pytest.fixture
+def skew_settings(spark):
+    """Nothing broadcast, and thresholds small enough for the fixture to count as skewed."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def split_joins(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0].count("skew=true")
+
+
+def test_hot_store_and_product_are_split_in_joins(spark, hot, products, skew_settings):
+    stores = conform(
+        spark.range(40).select(
+            F.col("id").alias("store_key"), F.concat(F.lit("R"), (F.col("id") % 3).cast("string")).alias("retailer_code"),
+            F.lit("n").alias("retailer_name"), F.col("id").cast("string").alias("store_id"), F.lit("s").alias("store_name"),
+            F.lit("c").alias("city"), F.lit("t").alias("state"), F.lit("r").alias("region"), F.lit("US").alias("country"),
+        ),
+        schemas.DIM_STORE,
+    )
+    stock = hot.repartition(8).select(
+        "store_key", "upc", F.col("transaction_date").alias("snapshot_date"),
+        F.col("units_sold").alias("on_hand_qty"), F.col("units_sold").alias("in_transit_qty"),
+    )
+    availability = gold.on_shelf_availability(stock, stores, products, hot, "2024-03-01")
+    assert split_joins(availability) >= 2  # the store or product lookups, and the demand join
+    assert availability.count() == 30_000
+    demand = gold.recent_demand(hot, "2024-03-01")
+    assert split_joins(lookups.join_folded(stock, demand, ["store_key", "upc"])) == 1
+    assert split_joins(stock.join(demand, ["store_key", "upc"], "left")) == 0  # what join_folded is for
+    assert split_joins(gold.weekly_store_demand(hot.repartition(8), stores, products)) >= 1
