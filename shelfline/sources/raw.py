@@ -47,8 +47,11 @@ def read_files(
     **options: str,
 ) -> DataFrame:
     """A feed of plain payload files; lineage is taken from the scan."""
-    payload = StructType([f for f in FEED_SCHEMAS[feed].fields if f.name not in LINEAGE])
-    return with_lineage(spark.read.format(fmt).options(**options).schema(payload).load(path), loaded_at)
+    return with_lineage(spark.read.format(fmt).options(**options).schema(_payload(feed)).load(path), loaded_at)
+
+
+def _payload(feed: str) -> StructType:
+    return StructType([f for f in FEED_SCHEMAS[feed].fields if f.name not in LINEAGE])
 
 
 def with_lineage(scan: DataFrame, loaded_at: datetime | str | None = None) -> DataFrame:
@@ -64,16 +67,18 @@ def stream_feed(
     path: str,
     fmt: str = "parquet",
     max_files: int = 1000,
+    plain: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Append-only change stream of a landing folder. Files already there are read first."""
-    return (
-        spark.readStream.format(fmt)
-        .options(**options)
-        .option("maxFilesPerTrigger", max_files)
-        .schema(FEED_SCHEMAS[feed])
-        .load(path)
-    )
+    """Append-only change stream of a landing folder. Files already there are read first.
+
+    ``plain`` files hold the payload only; their lineage is taken from the scan and the
+    time of the batch, which a replayed batch keeps.
+    """
+    reader = spark.readStream.format(fmt).options(**options).option("maxFilesPerTrigger", max_files)
+    if plain:
+        return with_lineage(reader.schema(_payload(feed)).load(path))
+    return reader.schema(FEED_SCHEMAS[feed]).load(path)
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:

@@ -1,9 +1,13 @@
 """Landing folders to bronze tables, in micro-batches.
 
-Each batch writes a folder of its own, ``batch=<id>``, in overwrite mode: a batch that is
-run again after a failure replaces what it left behind. With the default trigger a run
-takes in whatever has landed since the last one and stops; if nothing has, no batch runs.
-``processingTime="5 minutes"`` keeps polling.
+Each batch writes folders of its own, ``batch=<id>``, in overwrite mode: a batch that is
+run again after a failure replaces what it left behind. Sales lie one level deeper, below
+the newest load day of their batch: the audit after each batch skips all batches that
+ended before the hours it looks at.
+
+With the default trigger a run takes in whatever has landed since the last one and
+stops; if nothing has, no batch runs. ``processingTime="5 minutes"`` keeps polling.
+Further keywords (``fmt``, ``max_files``, ``plain``, reader options) go to ``stream_feed``.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from shelfline import schemas
 from shelfline.plans.bronze import (
@@ -25,10 +30,14 @@ from shelfline.plans.bronze import (
     rejected_orders,
 )
 from shelfline.plans.staging import type_orders
-from shelfline.sources.raw import stream_feed
+from shelfline.sources.raw import stamp, stream_feed
 
 POLL_INTERVAL = "5 minutes"  # fixed value
 
+_POS_LAYOUT = StructType(
+    [*schemas.POS_CLEANSED.fields, StructField("newest_day", schemas.DATE), StructField("batch", schemas.KEY)]
+)
+
 
 def _write_batch(df: DataFrame, root: str, table: str, batch: int) -> int:
     seen = Observation()
@@ -38,14 +47,20 @@ def _write_batch(df: DataFrame, root: str, table: str, batch: int) -> int:
     return seen.get["rows"]
 
 
+def _newest_day(batch: DataFrame) -> str:
+    """Latest load day in the batch, as a folder name."""
+    newest = batch.agg(F.to_date(F.max("_loaded_at")).alias("day")).first()["day"]
+    return f"newest_day={newest or '__HIVE_DEFAULT_PARTITION__'}"
+
+
 def _log(spark: SparkSession, root: str, job: str, batch: int, message: str) -> None:
     line = spark.range(1).select(F.lit(job).alias("job"), F.lit(message).alias("message"))
     line.coalesce(1).write.mode("overwrite").parquet(f"{root}/ingest_log/{job}/batch={batch}")
 
 
 def read_batches(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A bronze table as one frame, without the batch number."""
-    return spark.read.parquet(f"{root}/{table}").drop("batch")
+    """A bronze table as one frame, without its folder columns."""
+    return spark.read.parquet(f"{root}/{table}").drop("batch", "newest_day")
 
 
 def _start(
@@ -66,7 +81,7 @@ def ingest_orders(
     root: str,
     run_time: datetime | str | None = None,
     processingTime: str | None = None,
-    **source: str,
+    **source,
 ) -> StreamingQuery:
     """Each batch feeds two tables, ``orders_staged`` and ``orders_rejected``.
 
@@ -94,7 +109,7 @@ def ingest_pos(
     as_of: datetime | str | None = None,
     processingTime: str | None = None,
     after: Callable[[DataFrame], None] | None = None,
-    **source: str,
+    **source,
 ) -> StreamingQuery:
     """Fills ``pos_cleansed``, then audits the last hour of loads into ``pos_quality_log``.
 
@@ -103,12 +118,15 @@ def ingest_pos(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = _write_batch(cleanse_pos(batch, stores, fx), root, "pos_cleansed", batch_id)
-        cleansed = session.read.schema(schemas.POS_CLEANSED).parquet(f"{root}/pos_cleansed")
-        _write_batch(pos_quality_audit(cleansed, as_of), root, "pos_quality_log", batch_id)
+        folder = f"pos_cleansed/{_newest_day(batch)}"
+        rows = _write_batch(cleanse_pos(batch, stores, fx), root, folder, batch_id)
+        cleansed = session.read.schema(_POS_LAYOUT).parquet(f"{root}/pos_cleansed")
+        first_day = F.to_date(stamp(as_of) - F.expr("interval 1 hour"))
+        audit = pos_quality_audit(cleansed.where(F.col("newest_day") >= first_day), as_of, hours=1)
+        _write_batch(audit, root, "pos_quality_log", batch_id)
         _log(session, root, "pos", batch_id, f"Processed {rows} POS records.")
         if after:
-            after(session.read.schema(schemas.POS_CLEANSED).parquet(f"{root}/pos_cleansed/batch={batch_id}"))
+            after(cleansed.where(F.col("batch") == batch_id).drop("newest_day", "batch"))
 
     return _start(stream_feed(spark, "raw_pos", landing, **source), work, root, "pos", processingTime)
 
@@ -119,7 +137,7 @@ def ingest_inventory(
     root: str,
     stores: DataFrame,
     processingTime: str | None = None,
-    **source: str,
+    **source,
 ) -> StreamingQuery:
     """Fills ``inventory_cleansed``."""
 

@@ -80,6 +80,40 @@ def test_sales_are_audited_after_each_batch(spark, dirs):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_a_repeated_sales_batch_replaces_its_rows(spark, dirs):
+    land, root = dirs
+    t = seed_tables(spark)
+    drop(spark, land, schemas.RAW_POS, POS)
+    for _ in range(2):
+        ingest.ingest_pos(spark, land, root, t["dim_store"], t["dim_fx"], "2024-11-05 08:30:00").awaitTermination()
+        shutil.rmtree(f"{root}/_offsets/pos/commits")
+    assert ingest.read_batches(spark, root, "pos_cleansed").count() == 15
+    assert [r.total_rows for r in spark.read.parquet(f"{root}/pos_quality_log").collect()] == [15]
+
+
+def test_plain_csv_files(spark, dirs):
+    land, root = dirs
+    payload = landing(spark, schemas.RAW_ORDERS, [*ORDERS, bad_order()]).drop(*schemas.LINEAGE)
+    payload.coalesce(1).write.csv(land, header=True)
+    ingest.ingest_orders(spark, land, root, RUN, fmt="csv", plain=True, header="true").awaitTermination()
+    assert counts(spark, root) == (8, 1)
+    staged = ingest.read_batches(spark, root, "orders_staged")
+    assert staged.where("_source_file LIKE '%.csv' AND _loaded_at IS NOT NULL").count() == 8
+
+
+def test_polling(spark, dirs):
+    land, root = dirs
+    drop(spark, land, schemas.RAW_ORDERS, ORDERS[:3])
+    query = ingest.ingest_orders(spark, land, root, RUN, processingTime="1 second")
+    try:
+        query.processAllAvailable()
+        drop(spark, land, schemas.RAW_ORDERS, ORDERS[3:])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert counts(spark, root) == (8, 0) and ingest.POLL_INTERVAL == "5 minutes"
+
+
 def test_stock_snapshots(spark, dirs):
     land, root = dirs
     drop(spark, land, schemas.RAW_INVENTORY, INVENTORY)
