@@ -54,6 +54,7 @@ def _latest(source: str, key: str, columns: list[str]) -> str:
     )
 
 
+_K1A = "md5(retailer_code || '|' || cast(store_key as varchar) || '|' || upc || '|' || cast({day} as varchar))"
 _SALE = ["retailer_code", "store_key", "upc", "transaction_date", "units_sold", "revenue", "revenue_usd", "kg_sold", "promo_flag", "brand", "category"]
 _STOCK = ["retailer_code", "store_key", "upc", "snapshot_date", "on_hand_qty", "in_transit_qty", "on_order_qty", "total_pipeline_qty"]
 
@@ -94,6 +95,10 @@ STEPS: dict[str, str] = {
  units_sold, revenue, usd revenue_usd, units_sold * coalesce(unit_weight_kg, cast(0 as decimal(10,4))) kg_sold, is_promo promo_flag, brand, category,
  loaded_at _loaded_at from wide_pos""",
     "pos_fact_merged": _latest("pos_fact", "pos_sale_sk", ["_loaded_at", *_SALE]),
+    "bronze_fact": f"""select {_K1A.format(day='transaction_date')} pos_sale_sk, retailer_code, store_key, upc, transaction_date, units_sold, revenue, cast(usd as decimal(18,2)) revenue_usd,
+ units_sold * coalesce(unit_weight_kg, cast(0 as decimal(10,4))) kg_sold, is_promo promo_flag, brand, category, loaded_at _loaded_at from wide_pos""",
+    "bronze_keyed": "select * from bronze_fact where pos_sale_sk is not null",
+    "bronze_fact_merged": _latest("bronze_keyed", "pos_sale_sk", ["_loaded_at", *_SALE]),
     "stock_fact": f"""select {_hashed('retailer_code', 'store_key', 'upc', 'snapshot_date')} inventory_sk, retailer_code, store_key, upc, snapshot_date, on_hand_qty,
  in_transit_qty, on_order_qty, total_pipeline_qty, loaded_at _loaded_at from wide_inventory""",
     "stock_fact_merged": _latest("stock_fact", "inventory_sk", ["_loaded_at", *_STOCK]),
@@ -119,14 +124,14 @@ STEPS: dict[str, str] = {
  window w as (partition by store_key, upc order by transaction_date nulls last),
  w7 as (partition by store_key, upc order by transaction_date nulls last rows between 6 preceding and current row),
  w28 as (partition by store_key, upc order by transaction_date nulls last rows between 27 preceding and current row)""",
-    "promo_sum": """select c.promo_id, c.promo_name, c.promo_mechanic, c.retailer_code, c.trade_spend_usd, c.discount_pct, c.start_date, c.end_date,
+    **{f"promo_sum{m}": f"""select c.promo_id, c.promo_name, c.promo_mechanic, c.retailer_code, c.trade_spend_usd, c.discount_pct, c.start_date, c.end_date,
  date_diff('day', c.start_date, c.end_date) + 1 promo_days, p.upc, p.brand, p.category, sum(f.units_sold) promo_units,
  sum(f.units_sold * p.unit_weight_kg) promo_kg, sum(f.revenue_usd) promo_revenue
- from pos_fact f, live_product p, promo_fact c where p.material_number = c.material_number and f.upc = p.upc and f.retailer_code = c.retailer_code
- and f.transaction_date >= c.start_date and f.transaction_date <= c.end_date group by all""",
-    "usual": f"""select f.upc, f.retailer_code, {_ratio('sum(f.units_sold * p.unit_weight_kg)', 'count(f.units_sold * p.unit_weight_kg)')} baseline_daily_kg
- from pos_fact f join live_product p on p.upc = f.upc where not exists (select 1 from promo_fact c where c.retailer_code = f.retailer_code
- and f.transaction_date between c.start_date and c.end_date) group by f.upc, f.retailer_code""",
+ from pos_fact{m} f, live_product p, promo_fact c where p.material_number = c.material_number and f.upc = p.upc and f.retailer_code = c.retailer_code
+ and f.transaction_date >= c.start_date and f.transaction_date <= c.end_date group by all""" for m in ("", "_merged")},
+    **{f"usual{m}": f"""select f.upc, f.retailer_code, {_ratio('sum(f.units_sold * p.unit_weight_kg)', 'count(f.units_sold * p.unit_weight_kg)')} baseline_daily_kg
+ from pos_fact{m} f join live_product p on p.upc = f.upc where not exists (select 1 from promo_fact c where c.retailer_code = f.retailer_code
+ and f.transaction_date between c.start_date and c.end_date) group by f.upc, f.retailer_code""" for m in ("", "_merged")},
     "brand_price": "select brand, arg_min(avg_price_per_kg, material_number) brand_price_per_kg from live_product group by brand",
     "demand": f"""select store_key, upc, {_ratio('sum(units_sold)', 'count(units_sold)')} avg_daily_units from pos_fact
  where transaction_date >= date '{AS_OF}' - interval 28 day group by store_key, upc""",
@@ -145,13 +150,13 @@ def _weighted_digits(size: int) -> str:
     return " + ".join(f"{1 if (size - i) % 2 == 0 else 3} * try_cast(substr(d, {i}, 1) as int)" for i in range(1, size + 1))
 
 
-def _lift(pair_on: str) -> str:
+def _lift(pair_on: str, fact: str = "") -> str:
     extra = "cast(s.promo_revenue as double) - b.baseline_daily_kg * s.promo_days * cast(bp.brand_price_per_kg as double)"
     daily = _ratio("s.promo_kg", "s.promo_days")
     return f"""select s.promo_id, s.promo_name, s.promo_mechanic, s.retailer_code, s.brand, s.category, s.start_date, s.end_date, s.promo_days, s.promo_kg,
  {daily} promo_daily_kg, b.baseline_daily_kg, {_ratio(daily + ' - b.baseline_daily_kg', 'b.baseline_daily_kg')} lift_pct, s.promo_revenue, s.trade_spend_usd,
  {extra} incremental_revenue_est, {_ratio(extra, 's.trade_spend_usd')} promo_roi
- from promo_sum s left join usual b on {pair_on} left join brand_price bp on bp.brand = s.brand"""
+ from promo_sum{fact} s left join usual{fact} b on {pair_on} left join brand_price bp on bp.brand = s.brand"""
 
 
 def _weekly(fact: str) -> str:
@@ -199,6 +204,10 @@ _MODEL_LINES = [
     ("fct_promotions.material_number.not_null", "error", "select count(*) from promo_fact where material_number is null"),
     ("fct_promotions.material_number.reference", "warn", _strays("promo_fact", "material_number", "dim_product")),
 ]
+_MERGED_LINES = [
+    (name, severity, sql.replace("pos_fact", "pos_fact_merged").replace("stock_fact", "stock_fact_merged"))
+    for name, severity, sql in _MODEL_LINES
+]
 _ASSERTION_LINES = [
     ("fct_pos_sales.pos_sale_sk.unique_or_null", "error", _repeats("pos_fact", "pos_sale_sk", True)),
     ("fct_pos_sales.store_key.reference", "error", _strays("pos_fact", "store_key", "dim_store")),
@@ -225,7 +234,6 @@ _RICH_SPEC = "upc:s retailer_code:s store_id:s transaction_date:s units_sold:i r
 _AUDIT_SPEC = "audit_timestamp:s total_rows:i null_store_key_count:i future_date_count:i negative_revenue_count:i"
 _OUT_SPEC = "store_key:i upc:s transaction_date:s daily_units:f days_since_stockout:i"
 
-_K1A = "md5(retailer_code || '|' || cast(store_key as varchar) || '|' || upc || '|' || cast({day} as varchar))"
 
 
 def _audit(moment: str, hours: int) -> str:
@@ -315,8 +323,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "stg_promo": ("select * from staged_promo", "promo_id:s promo_name:s retailer_code:s material_number:s start_date:s end_date:s promo_mechanic:s discount_pct:f trade_spend_usd:f source_file:s loaded_at:s"),
     "fct_pos_sales": ("select * from pos_fact", _POS_FACT_SPEC),
     "fct_pos_sales_by_store_id": (f"select {_hashed('retailer_code', 'store_id', 'upc', 'transaction_date')} pos_sale_sk, store_key, upc, transaction_date, units_sold from wide_pos", "pos_sale_sk:s store_key:i upc:s transaction_date:s units_sold:f"),
-    "fct_pos_sales_from_bronze": (f"""select {_K1A.format(day='transaction_date')} pos_sale_sk, retailer_code, store_key, upc, transaction_date, units_sold, revenue, cast(usd as decimal(18,2)) revenue_usd,
- units_sold * coalesce(unit_weight_kg, cast(0 as decimal(10,4))) kg_sold, is_promo promo_flag, brand, category, loaded_at _loaded_at from wide_pos""", _POS_FACT_SPEC),
+    "fct_pos_sales_from_bronze": ("select * from bronze_fact", _POS_FACT_SPEC),
     "fct_inventory": ("select * from stock_fact", _STOCK_FACT_SPEC),
     "fct_inventory_from_bronze": (f"select {_K1A.format(day='snapshot_date')} inventory_sk, retailer_code, store_key, upc, snapshot_date, on_hand_qty, in_transit_qty, on_order_qty, total_pipeline_qty, loaded_at _loaded_at from wide_inventory", _STOCK_FACT_SPEC),
     "fct_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
@@ -339,6 +346,13 @@ _ORACLES: dict[str, tuple[str, str]] = {
         "snapshot_date:s retailer_name:s region:s store_name:s store_id:s brand:s category:s product_name:s on_hand_qty:f in_transit_qty:f avg_daily_units:f days_of_supply:f days_of_supply_incl_transit:f availability_status:s"),
     "incremental_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "full_refresh_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
+    "incremental_from_bronze": ("select * from bronze_fact_merged", _POS_FACT_SPEC),
+    "build_report": (_report(_MERGED_LINES), _REPORT_SPEC),
+    "build_counts": (f"""select 'conformed_sales' table_name, count(*) rows_written, count(*) as rows, cast(sum(net_value * coalesce(rate_to_usd, cast(1 as decimal(18,6)))) as decimal(38,4)) total from priced_order
+ union all select 'weekly_store_demand', count(*), count(*), cast(sum(total_kg) as decimal(38,4)) from ({_weekly('pos_fact_merged')}) w
+ union all select 'promo_lift', count(*), count(*), cast(sum(promo_kg) as decimal(38,4)) from ({_lift('b.retailer_code = s.retailer_code', '_merged')}) l
+ union all select 'on_shelf_availability', count(*), count(*), cast(sum(i.on_hand_qty) as decimal(38,4)) from stock_fact_merged i join dim_store st on st.store_key = i.store_key join live_product p on p.upc = i.upc""",
+        "table_name:s rows_written:i rows:i total:f"),
     "incremental_inventory": ("select * from stock_fact_merged", _STOCK_FACT_SPEC),
     "order_changes": ("""select case when copies > 0 then 'INSERT' else 'DELETE' end change, max(copies > 0) over (partition by record_id) and max(copies < 0) over (partition by record_id) is_update, abs(copies) copies,
  record_id, material_number, order_qty, net_value, plant, order_type from (select record_id, material_number, order_qty, net_value, plant, order_type, sum(n) copies from (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from shelfline import schemas
 from shelfline.catalog.tables import AS_OF, AUDIT_AT, FIRST_LOAD_END, RUN_TIME, Tables
 from shelfline.functions import keys, measures, parsing
 from shelfline.operators import changes, lookups, promo_days, quality, upsert, versions
-from shelfline.plans import bronze, features, gold, refresh, silver, staging
+from shelfline.plans import bronze, build, features, gold, refresh, silver, staging
 from shelfline.session import shared_dir
 from shelfline.sources import raw, tables
 from shelfline.streaming import ingest
@@ -606,51 +607,94 @@ def on_shelf_availability(t: Tables) -> DataFrame:
 # --- incremental upkeep ----------------------------------------------------------------
 
 
-def _loads(t: Tables) -> list[DataFrame]:
-    mark = F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
-    return [t.raw_pos.where(F.col("_loaded_at") <= mark), t.raw_pos]
+def _reference_tables(t: Tables) -> dict[str, DataFrame]:
+    return {n: getattr(t, n) for n in ("dim_store", "dim_product", "dim_fx")}
 
 
-_SALES_ORDER = ["transaction_date", "retailer_code"]
+def _loads(t: Tables, feed: str = "raw_pos") -> list[DataFrame]:
+    """The feed as it stood at the end of the first load, and as it stands now."""
+    landed = getattr(t, feed)
+    return [landed.where(F.col("_loaded_at") <= F.lit(FIRST_LOAD_END).cast("timestamp_ntz")), landed]
 
 
-def _upsert_sales(t: Tables, path: str, landed: DataFrame, mode: str = "merge") -> DataFrame:
-    """One incremental run over what has landed; returns the rows it brought in."""
-    upsert.finish_interrupted(t.spark, path, "sale_month", _SALES_ORDER)
-    if mode == "merge" and tables.table_exists(t.spark, path):
-        landed = upsert.newer_than(landed, tables.read_table(t.spark, path), "_loaded_at", "_loaded_at")
-    rows = silver.fct_pos_sales(staging.stage_pos(landed), t.dim_store, t.dim_product, t.dim_fx)
-    rows = _month(rows, "transaction_date")
-    done = upsert.upsert(t.spark, path, rows, "pos_sale_sk", "sale_month", cluster_by=_SALES_ORDER, mode=mode)
-    return done.increment
+def _merge_sales(t: Tables, root: str, landed: DataFrame, full: bool = False) -> DataFrame:
+    """One run over what has landed; returns the rows it brought in. Months, as there are few rows a day."""
+
+    def make(rows: DataFrame) -> DataFrame:
+        return silver.fct_pos_sales(staging.stage_pos(rows), t.dim_store, t.dim_product, t.dim_fx)
+
+    return build.merge_fact(t.spark, root, "fct_pos_sales", landed, make, by="month", full=full).increment
 
 
 @query("I1", "I2", "J14")
 def incremental_pos_sales(t: Tables) -> DataFrame:
-    path = _new_dir(t, "fct_pos_sales")
+    root = _new_dir(t, "incremental")
     for landed in _loads(t):
-        _upsert_sales(t, path, landed)
-    return tables.read_table(t.spark, path).drop("sale_month")
+        _merge_sales(t, root, landed)
+    return build.read_fact(t.spark, root, "fct_pos_sales")
 
 
 @query("I3")
 def full_refresh_pos_sales(t: Tables) -> DataFrame:
-    path = _new_dir(t, "fct_pos_sales")
+    root = _new_dir(t, "incremental")
+    for landed in _loads(t):
+        _merge_sales(t, root, landed, full=True)
+    return build.read_fact(t.spark, root, "fct_pos_sales")
+
+
+@query("I2", "M1", "K1a")
+def incremental_from_bronze(t: Tables) -> DataFrame:
+    """Keys here are null for unknown stores or dates; such rows are counted, not merged."""
+    root = _new_dir(t, "incremental")
     for landed in _loads(t):
-        _upsert_sales(t, path, landed, mode="full")
-    return tables.read_table(t.spark, path).drop("sale_month")
+        build.merge_fact(
+            t.spark, root, "fct_pos_sales", landed,
+            lambda rows: silver.fct_pos_sales_from_bronze(bronze.cleanse_pos(rows, t.dim_store, t.dim_fx), t.dim_product),
+            by="month",
+        )
+    return build.read_fact(t.spark, root, "fct_pos_sales")
 
 
 @query("I2", "M2")
 def incremental_inventory(t: Tables) -> DataFrame:
-    path, mark = _new_dir(t, "fct_inventory"), F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
-    for landed in (t.raw_inventory.where(F.col("_loaded_at") <= mark), t.raw_inventory):
-        if tables.table_exists(t.spark, path):
-            landed = upsert.newer_than(landed, tables.read_table(t.spark, path), "_loaded_at", "_loaded_at")
-        rows = silver.fct_inventory(staging.stage_inventory(landed), t.dim_store)
-        rows = _month(rows, "snapshot_date", "snapshot_month")
-        upsert.upsert(t.spark, path, rows, "inventory_sk", "snapshot_month", cluster_by=["snapshot_date"])
-    return tables.read_table(t.spark, path).drop("snapshot_month")
+    root = _new_dir(t, "incremental")
+    for landed in _loads(t, "raw_inventory"):
+        build.merge_fact(
+            t.spark, root, "fct_inventory", landed,
+            lambda rows: silver.fct_inventory(staging.stage_inventory(rows), t.dim_store), by="month",
+        )
+    return build.read_fact(t.spark, root, "fct_inventory")
+
+
+def _built(t: Tables) -> tuple[str, DataFrame]:
+    root = _new_dir(t, "built")
+    feeds = {n: getattr(t, n) for n in ("raw_pos", "raw_inventory", "raw_promo")}
+    return root, build.build_silver(t.spark, feeds, _reference_tables(t), root, by="month")
+
+
+@query("C5", "S13", "Q-S", "I3")
+def build_report(t: Tables) -> DataFrame:
+    """Staging, silver and then the checks, in order."""
+    return _built(t)[1]
+
+
+@query("C5", "C6", "G1", "G2", "G3", "G4")
+def build_counts(t: Tables) -> DataFrame:
+    """Silver, then all gold tables: their row counts and a total of each."""
+    root, _ = _built(t)
+    rows = build.build_gold(t.spark, _reference_tables(t), t.orders_staged, root, AS_OF)
+    totals = {
+        "conformed_sales": F.sum("net_value_usd"), "weekly_store_demand": F.sum("total_kg"),
+        "promo_lift": F.sum("promo_kg"), "on_shelf_availability": F.sum("on_hand_qty"),
+    }
+    parts = [
+        tables.read_table(t.spark, build.gold_path(root, name)).agg(
+            F.lit(name).alias("table_name"), F.lit(rows[name]).alias("rows_written"),
+            F.count("*").alias("rows"), total.cast("decimal(38,4)").alias("total"),
+        )
+        for name, total in totals.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("C4")
@@ -733,11 +777,11 @@ def stream_inventory(t: Tables) -> DataFrame:
 @query("C6", "G2")
 def refreshed_weekly_demand(t: Tables) -> DataFrame:
     """The fact grows in two runs; after the second only the touched weeks are rebuilt."""
-    fact, weekly = _new_dir(t, "fct_pos_sales"), _new_dir(t, "weekly_store_demand")
+    root, weekly = _new_dir(t, "incremental"), _new_dir(t, "weekly_store_demand")
     for landed in _loads(t):
-        changed = _upsert_sales(t, fact, landed)
+        changed = _merge_sales(t, root, landed)
         refresh.refresh_weekly_demand(
-            t.spark, weekly, tables.read_table(t.spark, fact), t.dim_store, t.dim_product, changed
+            t.spark, weekly, build.read_fact(t.spark, root, "fct_pos_sales"), t.dim_store, t.dim_product, changed
         )
     return tables.read_table(t.spark, weekly)
 
