@@ -83,7 +83,7 @@ def on_promo(daily: DataFrame, promos: DataFrame) -> DataFrame:
     )
 
 
-def pair_by_retailer(left: DataFrame, right: DataFrame, spread_by: str, value: str, slices: int = 32) -> DataFrame:
+def pair_by_retailer(left: DataFrame, right: DataFrame, spread_by: str, value: str, slices: int = 128) -> DataFrame:
     """Left join on ``retailer_code`` where both sides hold many rows per retailer.
 
     ``right`` is cut into ``slices`` by hash of ``spread_by`` and ``left`` is repeated
