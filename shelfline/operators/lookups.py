@@ -1,19 +1,37 @@
 """Joins of facts to reference tables.
 
-No join carries a broadcast hint. Spark broadcasts a reference table only while
-its size is below ``spark.sql.autoBroadcastJoinThreshold``, measured again at run
-time by AQE; past that the join is a sort-merge join whose hot keys AQE splits
-(the fact is always the side that may be split).
+The joins themselves carry no hint: Spark broadcasts a reference table while its size
+is below ``spark.sql.autoBroadcastJoinThreshold``. ``if_small`` raises that limit for
+a table whose size it has measured. Past the limit the join is a sort-merge join whose
+hot keys AQE splits (the fact is always the side that may be split).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shelfline.schemas import RATE
 
 
+# Of a broadcast table in memory; a fraction of what an executor of a few GB can hold.
+BROADCAST_LIMIT = 256 * 1024 * 1024
+
+
+def if_small(table: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """The table, marked for broadcast if its rows take up at most ``limit`` bytes.
+
+    The size is measured by one aggregation over the table: eight bytes a column plus
+    the bytes of its texts. The mark lasts through filters and projections, so a fact
+    of any size is not shuffled for a product master of a million rows.
+    """
+    texts = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
+    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(16 + 8 * len(table.columns)))
+    size = table.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    return F.broadcast(table) if size <= limit else table
+
+
 def current_products(products: DataFrame) -> DataFrame:
     return products.where(F.col("is_current"))
 

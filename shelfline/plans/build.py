@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators.lookups import if_small
 from shelfline.operators.quality import MODEL_CHECKS, run_checks
 from shelfline.operators.upsert import UpsertResult, finish_interrupted, newer_than, upsert
 from shelfline.plans import gold, silver, staging
@@ -66,7 +67,7 @@ def build_silver(
     ``feeds``: raw_pos, raw_inventory, raw_promo. ``reference``: dim_product, dim_store,
     dim_fx. Returns the check report.
     """
-    stores, products, fx = (reference[n] for n in ("dim_store", "dim_product", "dim_fx"))
+    stores, products, fx = (if_small(reference[n]) for n in ("dim_store", "dim_product", "dim_fx"))
     staged = {
         "stg_pos": staging.stage_pos(feeds["raw_pos"]),
         "stg_inventory": staging.stage_inventory(feeds["raw_inventory"]),
@@ -94,7 +95,7 @@ def build_gold(
     as_of: str | None = None,
 ) -> dict[str, int]:
     """Rebuilds the four gold tables from the silver tables; returns their row counts."""
-    stores, products, fx = (reference[n] for n in ("dim_store", "dim_product", "dim_fx"))
+    stores, products, fx = (if_small(reference[n]) for n in ("dim_store", "dim_product", "dim_fx"))
     pos, stock, promos = (read_fact(spark, root, n) for n in (*FACTS, "fct_promotions"))
     jobs = {
         "conformed_sales": lambda: gold.conformed_sales(orders_staged, products, fx),

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
 from shelfline import schemas
+from shelfline.operators.lookups import if_small
 from shelfline.plans.bronze import (
     accepted_orders,
     cleanse_inventory,
@@ -115,6 +116,7 @@ def ingest_pos(
 
     ``after`` is called with the cleansed rows of the batch, for refreshes that follow.
     """
+    stores, fx = if_small(stores), if_small(fx)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -140,6 +142,7 @@ def ingest_inventory(
     **source,
 ) -> StreamingQuery:
     """Fills ``inventory_cleansed``."""
+    stores = if_small(stores)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = _write_batch(cleanse_inventory(batch, stores), root, "inventory_cleansed", batch_id)

@@ -179,6 +179,17 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, hot, products):
     assert "ReadSchema: struct<store_key:bigint,upc:string,transaction_date:date,units_sold:decimal(18,0)>" in text
 
 
+def test_only_a_measured_table_is_marked_for_broadcast(spark, hot, products, skew_settings):
+    def joined(limit):
+        table = lookups.if_small(products, limit) if limit is not None else products
+        return plan(lookups.add_product(hot, table, "upc", "brand"))
+
+    row = 16 + 8 * 12 + 4 + 12 + 1 + 2 + 1 + 1  # fixed part and the bytes of each text
+    assert "BroadcastHashJoin" in joined(25 * row) and "SortMergeJoin" not in joined(25 * row)
+    assert "SortMergeJoin" in joined(25 * row - 1) and "SortMergeJoin" in joined(None)
+    assert lookups.if_small(products.where("false")).count() == 0
+
+
 def test_lookups_do_not_shuffle_the_fact(spark):
     t = seed_tables(spark)
     fact = silver.fct_pos_sales(staging.stage_pos(t["raw_pos"]), t["dim_store"], t["dim_product"], t["dim_fx"])
