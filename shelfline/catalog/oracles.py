@@ -259,6 +259,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "rebuild_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "clustered_pos_sales": ("select cast(date_trunc('month', transaction_date) as date) sale_month, retailer_code, count(*) as rows, sum(units_sold) units, sum(kg_sold) kg from pos_fact group by all",
         "sale_month:s retailer_code:s rows:i units:f kg:f"),
+    "sorted_products": ("select brand, category, count(*) versions, sum(unit_weight_kg) kg from dim_product group by all", "brand:s category:s versions:i kg:f"),
     "named_tables": ("select st.region, f.brand, sum(f.units_sold) units from pos_fact f join dim_store st on st.store_key = f.store_key group by all", "region:s brand:s units:f"),
     "staging_views": ("select 'stg_pos' view_name, count(*) as rows, max(loaded_at) newest from staged_pos union all select 'stg_inventory', count(*), max(loaded_at) from staged_inventory union all select 'stg_promo', count(*), max(loaded_at) from staged_promo",
         "view_name:s rows:i newest:s"),

@@ -167,6 +167,17 @@ def clustered_pos_sales(t: Tables) -> DataFrame:
     )
 
 
+@query("S11", "M4")
+def sorted_products(t: Tables) -> DataFrame:
+    path = _new_dir(t, "dim_product_versions")
+    tables.write_sorted(silver.dim_product_versions(t.dim_product, RUN_TIME), path, ["brand", "category"])
+    return (
+        tables.read_table(t.spark, path)
+        .groupBy("brand", "category")
+        .agg(F.count("*").alias("versions"), F.sum("unit_weight_kg").alias("kg"))
+    )
+
+
 @query("S12")
 def named_tables(t: Tables) -> DataFrame:
     raw.register_views(t.spark, {"sales_fact": t.fct_pos_sales, "store_list": t.dim_store})

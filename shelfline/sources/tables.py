@@ -55,6 +55,15 @@ def write_clustered(
     )
 
 
+def write_sorted(df: DataFrame, path: str, cluster_by: list[str]) -> None:
+    """A table without folders whose files cover consecutive ranges of ``cluster_by``.
+
+    The other columns continue the order, so a value on many rows may span several files.
+    """
+    order = [*cluster_by, *[c for c in df.columns if c not in cluster_by]]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -250,3 +250,16 @@ def test_hot_store_and_product_are_split_in_joins(spark, hot, products, skew_set
     assert split_joins(lookups.join_folded(stock, demand, ["store_key", "upc"])) == 1
     assert split_joins(stock.join(demand, ["store_key", "upc"], "left")) == 0  # what join_folded is for
     assert split_joins(gold.weekly_store_demand(hot.repartition(8), stores, products)) >= 1
+
+
+def test_sorted_files_cover_ranges_and_split_a_hot_value(spark, tmp_path, hot):
+    path = str(tmp_path / "sorted")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or the fixture ends up in one file
+    try:
+        tables.write_sorted(hot, path, ["upc"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("upc").alias("a"), F.max("upc").alias("b"), F.count("*").alias("n"))
+    ranges = sorted((r.a, r.b, r.n) for r in files.collect())
+    assert all(x[1] <= y[0] for x, y in zip(ranges, ranges[1:])) and sum(r[2] for r in ranges) == 30_000
+    assert sum(r[0] == ranges[0][0] for r in ranges) > 1  # the product on a third of the rows
