@@ -2,9 +2,11 @@
 
 Each text below runs unchanged in Spark and in DuckDB; names in braces stand for the
 tables it reads. Whole tables are used: every line item becomes a sale, a stock
-snapshot and an order line; every (brand, type) of the part table becomes a product
-with two versions. Some order keys carry damaged text so that each validation rule
-has work to do; damaged rows stay in the feed.
+snapshot and an order line. Shops sell product lines, one per (brand, type), so that a
+shop and a line meet often enough for long series; orders are for single parts. Lines and
+parts are all in the product master, in two versions, and in the promotion calendar, the
+parts with other retailers. Nations are shops, suppliers are warehouses. Some keys carry
+damaged text so that each validation rule has work to do; damaged rows stay in the feed.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from shelfline import schemas
 from shelfline.session import shared_dir
 from shelfline.sources.tables import overwrite, read_table
 
-BASE_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
+BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
 def _iso(date: str) -> str:
@@ -39,15 +41,16 @@ _CURRENCY = "case l_suppkey % 4 when 0 then 'CAD' when 1 then 'EUR' when 2 then
 _CODE = """cast(substr(p_brand, 7) as int) * 10 + case p_type when 'ECONOMY' then 0 when 'SMALL' then 1
  when 'MEDIUM' then 2 when 'PROMO' then 3 when 'STANDARD' then 4 when 'LARGE' then 5 else 6 end"""
 _MATERIAL = "concat('MAT-', lpad(cast(code as string), 6, '0'))"
+_PART_MATERIAL = "concat('MAT-P', lpad(cast({key} as string), 9, '0'))"
 _UPC_BODY = "lpad(cast(code as string), 9, '0')"
 
 
 def _product_version(factor: int, first: str, last: str, current: str) -> str:
-    return f"""select {_MATERIAL} material_number, concat('028', {_UPC_BODY}) upc, product_name, brand,
- category, concat(category, ' ', cast(pack_size % 4 as string)) sub_category,
+    return f"""select material_number, upc, product_name, brand, category,
+ concat(category, ' ', cast(pack_size % 4 as string)) sub_category,
  cast(pack_size * {factor} as decimal(10,4)) unit_weight_kg, cast(pack_size as decimal(5,0)) pack_size,
  cast(price as decimal(10,2)) avg_price_per_kg, date '{first}' effective_from, date '{last}' effective_to,
- {current} is_current from {{product_line}}"""
+ {current} is_current from {{product_base}}"""
 
 
 def _rate(currency: str, rate: str) -> str:
@@ -57,13 +60,20 @@ def _rate(currency: str, rate: str) -> str:
 FEEDS: dict[str, str] = {
     "product_line": f"""select {_CODE} code, p_brand brand, p_type category, min(p_name) product_name,
  max(p_size) pack_size, max(p_retailprice) price from {{part}} group by {_CODE}, p_brand, p_type""",
+    "product_base": f"""select {_MATERIAL} material_number, concat('028', {_UPC_BODY}) upc, product_name, brand, category,
+ pack_size, price from {{product_line}} union all
+ select {_PART_MATERIAL.format(key='p_partkey')}, concat('029', lpad(cast(p_partkey as string), 9, '0')), p_name, p_brand, p_type,
+ p_size, p_retailprice from {{part}}""",
     "part_code": f"select p_partkey, {_CODE} code from {{part}}",
     "order_month": "select distinct cast(date_trunc('month', o_orderdate) as date) month_start from {orders}",
     "dim_store": f"""select cast(n_nationkey as bigint) store_key, {_RETAILER} retailer_code,
  concat({_RETAILER}, ' Stores') retailer_name,
  concat({_RETAILER}, '-', lpad(cast(n_nationkey as string), 4, '0')) store_id, n_name store_name,
  concat('City ', cast(n_nationkey as string)) city, concat('State ', cast(n_nationkey % 7 as string)) state,
- r_name region, 'US' country from {{nation}} join {{region}} on n_regionkey = r_regionkey""",
+ r_name region, 'US' country from {{nation}} join {{region}} on n_regionkey = r_regionkey union all
+ select 1000 + s_suppkey, 'WHS', 'Warehouses', concat('WHS-', lpad(cast(s_suppkey as string), 9, '0')), s_name,
+ concat('City ', cast(n_nationkey as string)), concat('State ', cast(n_nationkey % 7 as string)), r_name, 'US'
+ from {{supplier}} join {{nation}} on s_nationkey = n_nationkey join {{region}} on n_regionkey = r_regionkey""",
     "dim_product": _product_version(1, "1990-01-01", "1998-06-30", "false")
     + " union all "
     + _product_version(2, "1998-07-01", "9999-12-31", "true"),
@@ -71,7 +81,7 @@ FEEDS: dict[str, str] = {
     "placed_order": """select o_orderkey, o_orderdate, c_custkey, retailer_code, store_id from {orders}
  join {customer} on o_custkey = c_custkey join {dim_store} on c_nationkey = store_key""",
     # The hint keeps line items, the large side, out of a broadcast: the estimate for the joined orders is far too high.
-    "sale": """select /*+ MERGE(o) */ l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate,
+    "sale": """select /*+ MERGE(o) */ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate,
  o_orderdate, code, retailer_code, store_id, c_custkey
  from {lineitem} join {placed_order} o on l_orderkey = o_orderkey join {part_code} on l_partkey = p_partkey""",
     "raw_pos": f"""select case when l_orderkey % 53 = 0 then concat(' ', lower(retailer_code)) else retailer_code end retailer_code,
@@ -90,19 +100,23 @@ FEEDS: dict[str, str] = {
  case when l_orderkey % 61 = 0 then null else cast(l_suppkey % 40 as string) end in_transit_qty,
  cast(l_suppkey % 90 as string) on_order_qty, concat('inv_', cast(year(l_shipdate) as string), '.csv') _file_name,
  l_shipdate + interval 1 day _loaded_at from {{sale}}""",
-    "promo_window": """select code, brand, category, pack_size, cast(date '1995-02-01' + cast(code * 9 as int) as date) first_day,
- cast(date '1995-02-01' + cast(code * 9 + 6 + pack_size % 9 - case when code % 37 = 0 then 30 else 0 end as int) as date) last_day from {product_line}""",
-    "raw_promo": f"""select concat('PRM-', cast(code as string)) promo_id, concat(brand, ' ', category) promo_name,
- case code % 3 when 0 then 'WMT' when 1 then 'KRO' else 'TGT' end retailer_code,
- case when code % 50 = 0 then 'MAT-NONE' when code % 62 = 0 then null else {_MATERIAL} end material_number,
- case when code % 41 = 0 then 'soon' else {_iso('first_day')} end start_date, {_iso('last_day')} end_date,
- case code % 2 when 0 then 'TPR' else 'DISPLAY' end promo_mechanic,
- case when code % 43 = 0 then 'half' else cast(pack_size as string) end discount_pct,
+    "promo_base": f"""select concat('PRM-', cast(code as string)) promo_id, code number, brand, category, pack_size,
+ case code % 3 when 0 then 'WMT' when 1 then 'KRO' else 'TGT' end retailer_code, {_MATERIAL} material,
+ cast(date '1995-02-01' + cast(code * 9 as int) as date) first_day from {{product_line}} union all
+ select concat('PRM-P', cast(p_partkey as string)), p_partkey, p_brand, p_type, p_size, concat('R', cast(p_partkey % 500 as string)),
+ {_PART_MATERIAL.format(key='p_partkey')}, cast(date '1995-02-01' + cast(p_partkey % 2300 as int) as date) from {{part}}""",
+    "promo_window": """select *, cast(first_day + cast(6 + pack_size % 9 - case when number % 37 = 0 then 30 else 0 end as int) as date) last_day
+ from {promo_base}""",
+    "raw_promo": f"""select promo_id, concat(brand, ' ', category) promo_name, retailer_code,
+ case when number % 50 = 0 then 'MAT-NONE' when number % 62 = 0 then null else material end material_number,
+ case when number % 41 = 0 then 'soon' else {_iso('first_day')} end start_date, {_iso('last_day')} end_date,
+ case number % 2 when 0 then 'TPR' else 'DISPLAY' end promo_mechanic,
+ case when number % 43 = 0 then 'half' else cast(pack_size as string) end discount_pct,
  cast(pack_size * 100 as string) trade_spend_usd, 'promo.csv' _file_name,
  cast(first_day as timestamp) _loaded_at from {{promo_window}}""",
     "raw_orders": f"""select concat('SO-', cast(l_orderkey as string), '-', cast(l_linenumber as string)) record_id,
  '1000' sales_org, case when l_suppkey % 5 = 0 then '20' else '10' end distribution_channel,
- case when l_orderkey % 89 = 0 then null else {_MATERIAL} end material_number,
+ case when l_orderkey % 89 = 0 then null else {_PART_MATERIAL.format(key='l_partkey')} end material_number,
  concat('PL0', cast(l_suppkey % 3 as string)) plant, concat('CUST-', cast(c_custkey as string)) customer_number,
  case when l_orderkey % 73 = 0 then '20241399' else {_joined('o_orderdate', '', 'ymd')} end order_date,
  {_joined('l_shipdate', '', 'ymd')} delivery_date,
