@@ -242,6 +242,10 @@ def _audit(moment: str, hours: int) -> str:
  from clean_pos where _loaded_at >= timestamp '{moment}' - interval {hours} hour"""
 
 
+_NUMBERED_PRODUCTS = f"""select row_number() over (order by substr(md5(concat_ws('|', {_all_text(_PRODUCT_SPEC)})), 1, 3), material_number, effective_from) product_sk, *,
+ timestamp '{RUN_TIME}' _updated_at from dim_product"""
+
+
 # Query name -> (SQL over the steps and feeds, column types).
 _ORACLES: dict[str, tuple[str, str]] = {
     "raw_orders": (f"select * replace ('csv' as _file_name, timestamp '{RUN_TIME}' as _loaded_at) from raw_orders",
@@ -259,7 +263,8 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "rebuild_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "clustered_pos_sales": ("select cast(date_trunc('month', transaction_date) as date) sale_month, retailer_code, count(*) as rows, sum(units_sold) units, sum(kg_sold) kg from pos_fact group by all",
         "sale_month:s retailer_code:s rows:i units:f kg:f"),
-    "sorted_products": ("select brand, category, count(*) versions, sum(unit_weight_kg) kg from dim_product group by all", "brand:s category:s versions:i kg:f"),
+    "sorted_products": (_NUMBERED_PRODUCTS, "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
+    "built_features": ("select store_key, count(*) as rows, sum(daily_units) units, (select count(*) from day_sale) rows_written from day_sale group by store_key", "store_key:i rows:i units:f rows_written:i"),
     "named_tables": ("select st.region, f.brand, sum(f.units_sold) units from pos_fact f join dim_store st on st.store_key = f.store_key group by all", "region:s brand:s units:f"),
     "staging_views": ("select 'stg_pos' view_name, count(*) as rows, max(loaded_at) newest from staged_pos union all select 'stg_inventory', count(*), max(loaded_at) from staged_inventory union all select 'stg_promo', count(*), max(loaded_at) from staged_promo",
         "view_name:s rows:i newest:s"),
@@ -329,8 +334,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "fct_inventory_from_bronze": (f"select {_K1A.format(day='snapshot_date')} inventory_sk, retailer_code, store_key, upc, snapshot_date, on_hand_qty, in_transit_qty, on_order_qty, total_pipeline_qty, loaded_at _loaded_at from wide_inventory", _STOCK_FACT_SPEC),
     "fct_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "fct_promotions_loaded": (f"select *, timestamp '{RUN_TIME}' _loaded_at from promo_fact", _PROMO_FACT_SPEC + " _loaded_at:s"),
-    "dim_product_versions": (f"""select row_number() over (order by substr(md5(concat_ws('|', {_all_text(_PRODUCT_SPEC)})), 1, 3), material_number, effective_from) product_sk, *,
- timestamp '{RUN_TIME}' _updated_at from dim_product""", "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
+    "dim_product_versions": (_NUMBERED_PRODUCTS, "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
     "numbered_orders": ("select 1000 + row_number() over (order by substr(md5(record_id || '|' || plant || '|' || order_qty), 1, 3), record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", "order_sk:i record_id:s plant:s order_qty:s"),
     "hashed_products": ("select material_number, count(*) versions from dim_product group by material_number", "material_number:s versions:i"),
     "conformed_sales": ("""select record_id sales_order_id, sales_org, distribution_channel, order_type, order_date, delivery_date, plant, product_number material_number, upc, product_name, brand, category,

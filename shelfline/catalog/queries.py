@@ -169,12 +169,20 @@ def clustered_pos_sales(t: Tables) -> DataFrame:
 
 @query("S11", "M4")
 def sorted_products(t: Tables) -> DataFrame:
-    path = _new_dir(t, "dim_product_versions")
-    tables.write_sorted(silver.dim_product_versions(t.dim_product, RUN_TIME), path, ["brand", "category"])
+    root = _new_dir(t, "built")
+    build.build_product_versions(t.dim_product, root, RUN_TIME)
+    return tables.read_table(t.spark, build.silver_path(root, "dim_product_versions"))
+
+
+@query("S9", "A11", "M5")
+def built_features(t: Tables) -> DataFrame:
+    root = _new_dir(t, "built")
+    rows = build.build_features(t.pos_cleansed, root)
     return (
-        tables.read_table(t.spark, path)
-        .groupBy("brand", "category")
-        .agg(F.count("*").alias("versions"), F.sum("unit_weight_kg").alias("kg"))
+        tables.read_table(t.spark, build.silver_path(root, "demand_features"))
+        .groupBy("store_key")
+        .agg(F.count("*").alias("rows"), F.sum("daily_units").alias("units"))
+        .withColumn("rows_written", F.lit(rows))
     )
 
 

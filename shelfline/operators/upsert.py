@@ -103,7 +103,7 @@ def upsert(
     partitions that ``source`` touches are read and rewritten. Rows without a key are
     counted and left out. Increment and merged partitions are written to the shared
     folder before the table is changed, see ``finish_interrupted``. ``mode="full"``
-    rebuilds the table from ``source``.
+    rebuilds the table from ``source``. A table has one writer at a time.
     """
     cluster_by = cluster_by or [key]
     stage = _stage_of(spark, path)

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from shelfline.operators.lookups import if_small
 from shelfline.operators.quality import MODEL_CHECKS, run_checks
 from shelfline.operators.upsert import UpsertResult, finish_interrupted, newer_than, upsert
-from shelfline.plans import gold, silver, staging
+from shelfline.plans import features, gold, silver, staging
 from shelfline.plans.refresh import rebuild
 from shelfline.sources.raw import register_views
-from shelfline.sources.tables import read_table, table_exists
+from shelfline.sources.tables import read_table, table_exists, write_sorted
 
 # Fact -> (its date, the key it is merged on).
 FACTS = {
@@ -87,6 +87,17 @@ def build_silver(
     return run_checks({**built, "dim_store": stores, "dim_product": products}, MODEL_CHECKS)
 
 
+def build_features(cleansed: DataFrame, root: str) -> int:
+    """Rebuilds the forecasting features from the cleansed sales; returns the row count."""
+    return rebuild(lambda: features.demand_features(cleansed), silver_path(root, "demand_features"))
+
+
+def build_product_versions(products: DataFrame, root: str, updated_at: str | None = None) -> None:
+    """Rebuilds the numbered product dimension, sorted by brand and category."""
+    versions = silver.dim_product_versions(products, updated_at)
+    write_sorted(versions, silver_path(root, "dim_product_versions"), ["brand", "category"])
+
+
 def build_gold(
     spark: SparkSession,
     reference: Mapping[str, DataFrame],

@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     The cluster names that folder in ``spark.checkpoint.dir``. Only a session
     without the setting (a local test) gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         app = spark.sparkContext.applicationId
         if app not in _local_root:
