@@ -232,7 +232,6 @@ _FEATURE_SPEC = "store_key:i upc:s transaction_date:s daily_units:f daily_revenu
 _REPORT_SPEC = "check_name:s severity:s violations:i passed:i"
 _RICH_SPEC = "upc:s retailer_code:s store_id:s transaction_date:s units_sold:i revenue:f currency_code:s promo_flag:s _file_name:s _loaded_at:s sale_date:s brand:s category:s unit_weight_kg:f product_name:s kg_sold:f revenue_per_kg:f"
 _AUDIT_SPEC = "audit_timestamp:s total_rows:i null_store_key_count:i future_date_count:i negative_revenue_count:i"
-_OUT_SPEC = "store_key:i upc:s transaction_date:s daily_units:f days_since_stockout:i"
 
 
 
@@ -307,9 +306,10 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "demand_features": ("select * from feature", _FEATURE_SPEC),
     "demand_features_iso_week": ("select store_key, upc, transaction_date, extract(isodow from transaction_date) day_of_week, extract(month from transaction_date) month_num, case when extract(isodow from transaction_date) >= 6 then 1 else 0 end is_weekend from day_sale",
         "store_key:i upc:s transaction_date:s day_of_week:i month_num:i is_weekend:i"),
-    "days_since_stockout": ("""select store_key, upc, transaction_date, daily_units, date_diff('day', last_out, transaction_date) days_since_stockout from (
- select f.store_key, f.upc, f.transaction_date, f.daily_units, max(o.snapshot_date) last_out from day_sale f left join clean_inventory o
- on o.store_key = f.store_key and o.upc = f.upc and o.on_hand_qty = 0 and o.snapshot_date <= f.transaction_date group by all) g""", _OUT_SPEC),
+    "days_since_stockout": ("""select * exclude (last_out), date_diff('day', last_out, transaction_date) days_since_stockout from feature join (
+ select f.store_key s_key, f.upc s_upc, f.transaction_date s_day, max(o.snapshot_date) last_out from day_sale f left join clean_inventory o
+ on o.store_key = f.store_key and o.upc = f.upc and o.on_hand_qty = 0 and o.snapshot_date <= f.transaction_date group by all) g
+ on s_key is not distinct from store_key and s_upc = upc and s_day is not distinct from transaction_date""", _FEATURE_SPEC + " days_since_stockout:i"),
     "latest_sales": ("""select retailer_code, store_id, upc, sale_date, product_name, brand, units_sold, kg_sold, revenue, revenue_per_kg, promo_flag from rich_pos
  order by sale_date desc nulls first, retailer_code nulls last, store_id nulls last, upc nulls last, product_name nulls last, brand nulls last, units_sold nulls last, kg_sold nulls last, revenue nulls last, revenue_per_kg nulls last, promo_flag nulls last limit 20""",
         "retailer_code:s store_id:s upc:s sale_date:s product_name:s brand:s units_sold:i kg_sold:f revenue:f revenue_per_kg:f promo_flag:s"),

@@ -463,9 +463,7 @@ def demand_features_iso_week(t: Tables) -> DataFrame:
 
 @query("X2")
 def days_since_stockout(t: Tables) -> DataFrame:
-    return features.days_since_stockout(t.demand_features, t.inventory_cleansed).select(
-        "store_key", "upc", "transaction_date", "daily_units", "days_since_stockout"
-    )
+    return features.demand_features_with_stockouts(t.pos_cleansed, t.inventory_cleansed)
 
 
 @query("L1", "B6")

@@ -37,12 +37,15 @@ def demand_features(cleansed: DataFrame, week_start: int = 0) -> DataFrame:
     Windows count rows, not days. All of them share one partitioning and order, hence
     one sort; a series is no longer than the calendar, whatever its raw row count.
     """
-    series = Window.partitionBy("store_key", "upc").orderBy(F.asc_nulls_last("transaction_date"))
+    return _features(daily_store_sales(cleansed), ["store_key", "upc"], week_start)
+
+
+def _features(daily: DataFrame, series_key: list[str], week_start: int) -> DataFrame:
+    series = Window.partitionBy(*series_key).orderBy(F.asc_nulls_last("transaction_date"))
     week, month = series.rowsBetween(-6, 0), series.rowsBetween(-27, 0)
     units, revenue = F.col("daily_units"), F.col("daily_revenue")
     return (
-        daily_store_sales(cleansed)
-        .select(
+        daily.select(
             "*",
             mean(units, week).alias("units_7d_avg"),
             mean(units, month).alias("units_28d_avg"),
@@ -62,26 +65,32 @@ def demand_features(cleansed: DataFrame, week_start: int = 0) -> DataFrame:
     )
 
 
-def days_since_stockout(features: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Adds the days since the last snapshot with nothing on hand, on or before the row's day.
+def demand_features_with_stockouts(cleansed: DataFrame, inventory: DataFrame, week_start: int = 0) -> DataFrame:
+    """``demand_features`` plus the days since the last snapshot with nothing on hand.
 
-    Not part of ``demand_features``. Stock-out days join the series as marker rows, so
-    one window finds the latest one; no row is compared with all earlier ones.
+    The snapshot may be of the row's own day. Stock-out days join the series as rows of
+    their own, so a running maximum finds the latest one and no row is compared with all
+    earlier ones. They are kept out of the feature windows by their flag; both windows
+    run on one shuffle by store and product.
     """
-    series = Window.partitionBy("store_key", "upc").orderBy("transaction_date")
-    marks = (
+    day_key = ["store_key", "upc", "transaction_date"]
+    stockouts = (
         inventory.where(
             (F.col("on_hand_qty") == 0) & F.col("store_key").isNotNull() & F.col("upc").isNotNull()
         )
-        .select("store_key", "upc", F.col("snapshot_date").alias("transaction_date"))
-        .distinct()
-        .withColumns({"_out": F.col("transaction_date"), "_mark": F.lit(True)})
+        .groupBy("store_key", "upc", F.col("snapshot_date").alias("transaction_date"))
+        .agg(F.max("snapshot_date").alias("_out"))
     )
-    return (
-        features.withColumn("_mark", F.lit(False))
-        .unionByName(marks, allowMissingColumns=True)
-        .withColumn("_last_out", F.max("_out").over(series.rangeBetween(Window.unboundedPreceding, 0)))
-        .where(~F.col("_mark"))
+    sold = daily_store_sales(cleansed).withColumn("_sold", F.lit(True))
+    so_far = (
+        Window.partitionBy("store_key", "upc")
+        .orderBy(F.asc_nulls_last("transaction_date"))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    days = (
+        sold.join(stockouts, day_key, "full")
+        .withColumn("_last_out", F.max("_out").over(so_far))
         .withColumn("days_since_stockout", F.datediff("transaction_date", "_last_out"))
-        .drop("_out", "_mark", "_last_out")
+        .drop("_out", "_last_out")
     )
+    return _features(days, ["store_key", "upc", "_sold"], week_start).where(F.col("_sold")).drop("_sold")

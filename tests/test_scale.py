@@ -67,6 +67,13 @@ def test_features_need_one_window_and_two_shuffles(hot):
     assert text.count("Window [") == 1 and len(re.findall(r"Exchange hashpartitioning", text)) == 2
 
 
+def test_stockouts_add_no_shuffle_of_the_features(spark, hot, skew_settings):
+    stock = hot.select("store_key", "upc", F.col("transaction_date").alias("snapshot_date"), F.col("units_sold").alias("on_hand_qty"))
+    text = plan(features.demand_features_with_stockouts(hot, stock))
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*), 32\)", text)
+    assert len(shuffles) == 3 and sum("_date" in s for s in shuffles) == 2  # two by day, one by series
+
+
 def test_features_of_a_hot_series(hot):
     daily = defaultdict(int)
     for r in hot.select("store_key", "upc", "transaction_date", "units_sold").collect():

@@ -196,10 +196,15 @@ def test_weekend_numbering(spark):
 
 
 def test_days_since_stockout(spark):
-    daily = features.demand_features(clean(spark, [(1, "u", f"2024-01-{d:02d}", 1, 1, "USD", 1, None) for d in (1, 5, 9)]))
-    stock = frame(spark, schemas.INVENTORY_CLEANSED, [("WMT", 1, "u", "2024-01-03", 0), ("WMT", 1, "u", "2024-01-05", 0), ("WMT", 1, "u", "2024-01-08", 2)])
-    rows = features.days_since_stockout(daily, stock).orderBy("transaction_date").collect()
-    assert [r.days_since_stockout for r in rows] == [None, 0, 4]
+    days = (1, 5, 9, 10, 11, 12, 13, 14)
+    sold = clean(spark, [(s, "u", f"2024-01-{d:02d}", d, 1, "USD", 1, None) for d in days for s in (1, None)])
+    stock = frame(spark, schemas.INVENTORY_CLEANSED, [("WMT", 1, "u", "2024-01-03", 0), ("WMT", 1, "u", "2024-01-05", 0), ("WMT", 1, "u", "2024-01-08", 2), ("WMT", None, "u", "2024-01-02", 0), ("WMT", 1, "u", "2024-01-05", 0), ("WMT", 9, "u", "2024-01-02", 0)])
+    both = features.demand_features_with_stockouts(sold, stock)
+    rows = both.where("store_key = 1").orderBy("transaction_date").collect()
+    assert [r.days_since_stockout for r in rows] == [None, 0, 4, 5, 6, 7, 8, 9]
+    assert {r.days_since_stockout for r in both.where("store_key IS NULL").collect()} == {None}
+    plain = features.demand_features(sold)  # stock-out days change no other feature
+    assert sorted(map(str, both.drop("days_since_stockout").select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
 def promo_row(pid, start, end, material="MAT-001", retailer="WMT", spend="100"):
