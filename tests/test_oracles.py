@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import connect, differences
-from shelfline.catalog.queries import COVERS
+from shelfline.catalog.oracles import oracles
+from shelfline.catalog.queries import COVERS, REGISTRY
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+# The retail queries; the corpus operators have their own tests.
+QUERIES, ORACLES = {name: entry_point.queries()[name] for name in REGISTRY}, oracles()
 
 
 @pytest.fixture(scope="module")
