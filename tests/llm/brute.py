@@ -65,3 +65,66 @@ def lines(docs, min_docs=3, characters=20):
 
 def in_bucket(doc_id, buckets: int, bucket: int) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % buckets == bucket
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower(text or ""))
+    if not words:
+        return set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def near_duplicates(docs, percent=75):
+    """doc_id, n_shingles, component_id, kept: all pairs compared."""
+    sets = [(i, shingle_set(t)) for i, t in docs]
+    parent = {i: i for i, _ in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    with_shingle = {}
+    for n, (_, own) in enumerate(sets):
+        for s in own:
+            with_shingle.setdefault(s, []).append(n)
+    pairs = {}
+    for members in with_shingle.values():
+        for x in members:
+            for y in members:
+                if x < y:
+                    pairs[x, y] = pairs.get((x, y), 0) + 1
+    for (x, y), shared in pairs.items():
+        if shared * 100 >= percent * (len(sets[x][1]) + len(sets[y][1]) - shared):
+            a, b = root(sets[x][0]), root(sets[y][0])
+            parent[max(a, b)] = min(a, b)
+    return [(i, len(own), root(i), root(i) == i) for i, own in sets]
+
+
+def repeats(docs, length=200):
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    texts = [(i, (t or "").encode()) for i, t in docs]
+    times = {}
+    for _, text in texts:
+        for at in range(len(text) - length + 1):
+            window = text[at : at + length]
+            times[window] = times.get(window, 0) + 1
+    rows = []
+    for i, text in texts:
+        gone = bytearray(len(text))
+        for at in range(len(text) - length + 1):
+            if times[text[at : at + length]] > 1:
+                gone[at : at + length] = b"\1" * length
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        rows.append((i, len(text), sum(gone), spans, sha(bytes(b for b, g in zip(text, gone, strict=True) if not g))))
+    return rows
+
+
+def base_spans(text):
+    """(kind, start, end) of the fixed secret patterns, by start and then kind."""
+    found = []
+    assign = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found += [(m.start(), 0, "assign", m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
