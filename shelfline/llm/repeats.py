@@ -101,7 +101,7 @@ class Digits:
         return _mixed(self.of[128][at] * p[72] + self.of[64][at + 128] * p[8] + self.of[8][at + 192])
 
 
-def _slices(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
+def _slices(texts: list[bytes], most: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
     """Buffers with parts (text's number, its first window, windows, place of that window in the buffer).
 
     Around each part stands what its windows' anchors can reach, or ``OUTSIDE``.
@@ -109,25 +109,25 @@ def _slices(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, in
     held, parts, size = [], [], 0
     for number, text in enumerate(texts):
         windows = len(text) - LENGTH + 1
-        for low in range(0, max(0, windows), SLICE):
-            high = min(windows, low + SLICE)
+        for low in range(0, max(0, windows), most):
+            high = min(windows, low + most)
             before, body = text[max(0, low - REACH) : low], text[low : high + 2 * REACH + ANCHOR]
             part = bytes([OUTSIDE]) * (REACH - len(before)) + before + body
             part += bytes([OUTSIDE]) * (high - low + 3 * REACH + ANCHOR - len(part))
             held.append(part)
             parts.append((number, low, high - low, size + REACH))
             size += len(part)
-            if size >= SLICE:
+            if size >= most:
                 yield np.frombuffer(b"".join(held), np.uint8), parts
                 held, parts, size = [], [], 0
     if parts:
         yield np.frombuffer(b"".join(held), np.uint8), parts
 
 
-def _runs(texts: list[bytes]) -> Iterator[tuple[Digits, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _runs(texts: list[bytes], most: int) -> Iterator[tuple[Digits, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per buffer its digits and, for each run of windows with one anchor: the text's number, the first window, how many,
     the first window's place in the buffer and the anchor's."""
-    for buffer, parts in _slices(texts):
+    for buffer, parts in _slices(texts, most):
         digits = Digits(buffer)
         number, low, count, place = (np.array(x, np.int64) for x in zip(*parts, strict=True))
         starts = np.arange(count.sum()) + np.repeat(place - np.cumsum(count) + count, count)
@@ -205,7 +205,7 @@ def _settle(anchor: np.ndarray, reach: np.ndarray, flags: np.ndarray) -> tuple[n
     return marks, leads, several
 
 
-def _anchor_entries(docs: DataFrame, buckets: int) -> DataFrame:
+def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> DataFrame:
     """Passes 1 and 2 within each share: entries for the buckets, and places already settled."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +228,7 @@ def _anchor_entries(docs: DataFrame, buckets: int) -> DataFrame:
             for group in _texts(rows):
                 keys = np.array([r[0] for r in group], np.int64)
                 seen = []
-                for digits, number, first, _, place, at in _runs([r[1] for r in group]):
+                for digits, number, first, _, place, at in _runs([r[1] for r in group], most):
                     seen.append((number, first + at - place, digits.anchor_digit(at), digits.reach_digit(at)))
                 if not seen:
                     continue
@@ -236,7 +236,7 @@ def _anchor_entries(docs: DataFrame, buckets: int) -> DataFrame:
                 _, once = np.unique(number << 32 | place, return_index=True)  # two slices may share an anchor
                 held.append((anchor[once], reach[once], keys[number[once]], place[once]))
                 n += len(once)
-                if n >= SHARE_ENTRIES:
+                if n >= share:
                     yield from closed(held)
                     held, n = [], 0
             if held:
@@ -260,7 +260,7 @@ def _anchor_answers(entries: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInPandas(work, ANSWERS)
 
 
-def _window_entries(docs: DataFrame, buckets: int) -> DataFrame:
+def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> DataFrame:
     """Pass 3 within each share. ``docs``: key, text, marks. ``places`` are pairs (first window, windows)."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +288,7 @@ def _window_entries(docs: DataFrame, buckets: int) -> DataFrame:
                 given = np.bitwise_or.reduceat(given, np.flatnonzero(same))
                 wanted = wanted[same]
                 runs = []
-                for digits, number, first, count, place, at in _runs([r[1] for r in group]):
+                for digits, number, first, count, place, at in _runs([r[1] for r in group], most):
                     asked = (number << 34) + (first + at - place << 2)
                     where = np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)
                     mark = np.where(wanted[where] == asked, given[where], 0)
@@ -297,12 +297,12 @@ def _window_entries(docs: DataFrame, buckets: int) -> DataFrame:
                     ship = np.flatnonzero(mark & SHIPPED)
                     each = count[ship]
                     step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                    for low in range(0, len(step), SHARE_ENTRIES):
-                        own = slice(low, low + SHARE_ENTRIES)
+                    for low in range(0, len(step), share):
+                        own = slice(low, low + share)
                         run = np.repeat(ship, each)[own]
                         held.append((digits.window_digit(place[run] + step[own]), keys[number[run]], first[run] + step[own], whole[run]))
                         n += len(run)
-                        if n >= SHARE_ENTRIES:
+                        if n >= share:
                             yield from closed(held)
                             held, n = [], 0
                 if runs:
@@ -344,21 +344,22 @@ def _together(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("key").agg(F.collect_list("places").alias(name))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: int = SHARE_ENTRIES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes left) for each row of ``docs``.
 
     A byte goes if a 200-byte string that covers it also starts elsewhere, in any row or in the same one; strings are
     those of the input. Rows of equal content repeat each other. A null text is empty; texts of under 200 bytes stay.
-    The bytes left need not be valid UTF-8. Other columns are not read. Two different strings are taken for equal only if their 64-bit
+    The bytes left need not be valid UTF-8. ``slice_windows`` and ``share_entries`` bound what a task holds at once. Other columns are not read. Two different strings are taken for equal only if their 64-bit
     fingerprints and those of their anchors' bucket agree.
     """
     text = F.coalesce("text", F.lit("")).alias("text")
     keyed = docs.select(F.col("doc_id").cast("long"), text).withColumn("key", F.xxhash64("doc_id", "text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    anchors = _anchor_entries(keyed, 1 + size // BUCKET_ANCHOR_BYTES)
+    anchors = _anchor_entries(keyed, 1 + size // BUCKET_ANCHOR_BYTES, slice_windows, share_entries)
     settled = anchors.where("bucket is null").select("key", "places")
     marks = stored(_together(settled.unionByName(_anchor_answers(anchors)), "marks"), "anchor-marks")
-    windows = _window_entries(keyed.join(marks.hint("shuffle_hash"), "key"), 1 + size // BUCKET_WINDOW_BYTES)
+    marked = keyed.join(marks.hint("shuffle_hash"), "key")
+    windows = _window_entries(marked, 1 + size // BUCKET_WINDOW_BYTES, slice_windows, share_entries)
     settled = windows.where("bucket is null").select("key", "places")
     places = stored(_together(settled.unionByName(_window_answers(windows)), "places"), "repeat-places")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
