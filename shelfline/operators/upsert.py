@@ -28,19 +28,19 @@ def newer_than(source: DataFrame, target: DataFrame | None, source_time: str, ta
     return source if newest is None else source.where(F.col(source_time) > stamp(newest))
 
 
-def latest_per_key(df: DataFrame, key: str, order_by: str, count_as: str | None = None) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
     """One row per key: the latest by ``order_by``, then the greatest by all columns in turn.
 
     A maximum is combined before the shuffle, so a key on a third of the rows arrives
     as one row per task; a ranking window would gather and sort all of them in one.
-    ``count_as`` adds the number of rows each key had.
     """
-    rest = [c for c in df.columns if c not in (key, order_by)]
+    return _latest_of_groups(df, [key], order_by)
+
+
+def _latest_of_groups(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
+    rest = [c for c in df.columns if c not in (*keys, order_by)]
     best = F.max(F.struct(order_by, *rest)).alias("_best")
-    counts = [F.count("*").alias(count_as)] if count_as else []
-    kept = [*df.columns, count_as] if count_as else df.columns
-    extra = [count_as] if count_as else []
-    return df.groupBy(key).agg(best, *counts).select(key, "_best.*", *extra).select(*kept)
+    return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
 def _in_partitions(increment: DataFrame, partition_by: str) -> Column:
@@ -63,6 +63,7 @@ class UpsertResult:
     null_keys: int
     mode: str
     increment: DataFrame
+    rejects: DataFrame  # rows without a key, all of them
 
 
 def _stage_of(spark: SparkSession, path: str) -> str:
@@ -74,15 +75,20 @@ def _note(spark: SparkSession, stage: str, state: str) -> None:
 
 
 def finish_interrupted(spark: SparkSession, path: str, partition_by: str, cluster_by: list[str]) -> bool:
-    """Completes a merge that died while it replaced partitions of ``path``.
+    """Completes a merge, a first load or a full refresh that died while it replaced ``path`` or partitions of it.
 
     Call it before a mark is taken from the table: a table half replaced already holds
     rows of the new load, and its newest load time would hide the rest of them.
     """
     stage = _stage_of(spark, path)
-    if not table_exists(spark, f"{stage}/state") or spark.read.parquet(f"{stage}/state").first()["state"] != "merged":
+    state = spark.read.parquet(f"{stage}/state").first()["state"] if table_exists(spark, f"{stage}/state") else "done"
+    if state == "done":
         return False
-    write_clustered(spark.read.parquet(f"{stage}/merged"), path, partition_by, cluster_by, only_touched=True)
+    if state == "full":
+        rows = spark.read.parquet(f"{stage}/increment").where("not _reject").drop("_reject")
+    else:
+        rows = spark.read.parquet(f"{stage}/merged")
+    write_clustered(rows, path, partition_by, cluster_by, only_touched=state == "merged")
     _note(spark, stage, "done")
     return True
 
@@ -101,29 +107,32 @@ def upsert(
 
     The partition column must follow from the key, so a key never moves. Only the
     partitions that ``source`` touches are read and rewritten. Rows without a key are
-    counted and left out. Increment and merged partitions are written to the shared
+    left out of the table and are in ``rejects``, every one. Increment and merged partitions are written to the shared
     folder before the table is changed, see ``finish_interrupted``. ``mode="full"``
     rebuilds the table from ``source``. A table has one writer at a time.
     """
     cluster_by = cluster_by or [key]
     stage = _stage_of(spark, path)
     finish_interrupted(spark, path, partition_by, cluster_by)
-    # Rows without a key fold into one that only serves to count them.
-    latest_per_key(source, key, order_by, count_as="_rows").write.mode("overwrite").parquet(f"{stage}/increment")
-    folded = spark.read.parquet(f"{stage}/increment")
-    increment = folded.where(F.col(key).isNotNull()).drop("_rows")
-    keyless = folded.where(F.col(key).isNull()).first()
-    null_keys, written = (keyless["_rows"] if keyless else 0), increment.count()
+    # A row without a key is a group of its own, so that nothing folds such rows or gathers them.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    folded = _latest_of_groups(source.withColumn("_alone", alone), [key, "_alone"], order_by).drop("_alone")
+    folded.withColumn("_reject", F.col(key).isNull()).write.mode("overwrite").parquet(f"{stage}/increment")
+    split = spark.read.parquet(f"{stage}/increment")
+    increment, rejects = (split.where(F.col("_reject") == r).drop("_reject") for r in (False, True))
+    counts = {r["_reject"]: r["count"] for r in split.groupBy("_reject").count().collect()}
+    written, null_keys = counts.get(False, 0), counts.get(True, 0)
 
     if mode == "full" or not table_exists(spark, path):
-        write_clustered(increment, path, partition_by, cluster_by)
-        return UpsertResult(written, null_keys, "full", increment)
+        _note(spark, stage, "full")
+        finish_interrupted(spark, path, partition_by, cluster_by)
+        return UpsertResult(written, null_keys, "full", increment, rejects)
     if written == 0:
-        return UpsertResult(0, null_keys, "merge", increment)
+        return UpsertResult(0, null_keys, "merge", increment, rejects)
 
     existing = read_table(spark, path, increment.schema).where(_in_partitions(increment, partition_by))
     kept = existing.join(increment.select(key), key, "left_anti")
     kept.unionByName(increment).write.mode("overwrite").parquet(f"{stage}/merged")
     _note(spark, stage, "merged")
     finish_interrupted(spark, path, partition_by, cluster_by)
-    return UpsertResult(written, null_keys, "merge", increment)
+    return UpsertResult(written, null_keys, "merge", increment, rejects)

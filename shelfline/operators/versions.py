@@ -30,8 +30,13 @@ def apply_versions(
     stays. A key and its update meet once, in one join; closing and opening are two
     elements of an array, not two more joins. Columns not tracked are taken from the
     update when a version is opened and never open one by themselves.
+
+    A version that began on the day of the change is replaced: it was never in force before. A change
+    that would take effect before the current version began fails the job. Updates without a key are left
+    out; ``quality.missing(updates, key)`` lists them.
     """
     columns = dim.columns
+    updates = updates.where(F.col(key).isNotNull())
     if order_by:
         updates = latest_per_key(updates, key, order_by)
     incoming = [c for c in updates.columns if c not in (key, "effective_from", "effective_to", "is_current")]
@@ -55,8 +60,11 @@ def apply_versions(
         **{key: F.col("_key"), "effective_from": start,
            "effective_to": F.lit(OPEN_END).cast("date"), "is_current": F.lit(True)},
     )
-    closed = row(effective_to=F.date_sub(start, 1), is_current=F.lit(False))
+    too_late = F.concat(F.lit("a version begins after the change: "), F.col(key).cast("string"))
+    last_day = F.when(F.col("effective_from") > start, F.raise_error(too_late).cast("date")).otherwise(F.date_sub(start, 1))
+    closed = row(effective_to=last_day, is_current=F.lit(False))
     outcome = (
-        F.when(changed, F.array(closed, opened)).when(is_new, F.array(opened)).otherwise(F.array(row()))
+        F.when(changed & (F.col("effective_from") == start), F.array(opened))
+        .when(changed, F.array(closed, opened)).when(is_new, F.array(opened)).otherwise(F.array(row()))
     )
     return history.unionByName(met.select(F.inline(outcome)).select(*columns))

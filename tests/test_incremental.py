@@ -1,5 +1,7 @@
 """Watermarks, upserts, change capture and dimension versions."""
 
+from datetime import date
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from seeds import frame
 from shelfline import schemas
 from shelfline.operators.changes import snapshot_diff
+from shelfline.operators import upsert as upsert_module
 from shelfline.operators.upsert import latest_per_key, newer_than, upsert
 from shelfline.operators.versions import apply_versions
 from shelfline.session import shared_dir
@@ -68,10 +71,30 @@ def test_latest_row_wins_then_the_greatest(spark):
 
 def test_null_keys_are_counted_not_merged(spark, path):
     done = put(spark, path, fact(spark, (None, "2024-01-01", 1, "2024-01-02"), (None, "2024-01-01", 1, "2024-01-02"), ("a", "2024-01-01", 1, "2024-01-02")))
-    assert (done.written, done.null_keys) == (1, 2)
+    assert (done.written, done.null_keys, done.rejects.count()) == (1, 2, 2)
     assert tables.read_table(spark, path).count() == 1
 
 
+@pytest.mark.parametrize("mode", ["merge", "full"])
+def test_a_first_load_or_refresh_that_died_is_completed(spark, path, mode, monkeypatch):
+    """The write dies half-way; the next run, with nothing new, finishes it first."""
+    if mode == "full":
+        put(spark, path, fact(spark, ("z", "2024-01-09", 1, "2024-01-02")))
+    rows = fact(spark, ("a", "2024-01-01", 1, "2024-01-02"), ("b", "2024-01-03", 2, "2024-01-02"), (None, "2024-01-03", 2, "2024-01-02"))
+    whole = upsert_module.write_clustered
+
+    def dying(df, target, *args, **kwargs):
+        whole(df.where("k = 'a'"), target, *args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upsert_module, "write_clustered", dying)
+    with pytest.raises(RuntimeError):
+        put(spark, path, rows, mode=mode)
+    monkeypatch.setattr(upsert_module, "write_clustered", whole)
+    put(spark, path, rows.where("k = 'nothing'"))
+    assert sorted(r.k for r in tables.read_table(spark, path).collect()) == ["a", "b"]
+
+
 def test_full_mode_replaces_everything(spark, path):
     put(spark, path, fact(spark, ("a", "2024-01-01", 1, "2024-01-02")))
     put(spark, path, fact(spark, ("b", "2024-01-03", 1, "2024-01-04")), mode="full")
@@ -222,3 +245,25 @@ def test_append_casts_to_the_table_schema_and_counts(spark, tmp_path):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "a", "b") == spark.conf.get("spark.checkpoint.dir") + "/a/b"
+
+
+def versions_of(rows):
+    return sorted((r.k, r.v, str(r.effective_from), str(r.effective_to), r.is_current) for r in rows.collect())
+
+
+VERSIONED = "k string, v string, effective_from date, effective_to date, is_current boolean"
+
+
+def test_versions_without_a_key_are_left_out_and_same_day_changes_replace(spark):
+    start, end = date(2024, 1, 1), date(9999, 12, 31)
+    dim = spark.createDataFrame([("a", "1", start, end, True), ("b", "1", start, end, True)], VERSIONED)
+    updates = spark.createDataFrame([("a", "2"), (None, "x")], "k string, v string")
+    once = apply_versions(dim, updates, "k", ["v"], "2024-06-01")
+    assert versions_of(once) == [
+        ("a", "1", "2024-01-01", "2024-05-31", False), ("a", "2", "2024-06-01", "9999-12-31", True), ("b", "1", "2024-01-01", "9999-12-31", True),
+    ]
+    again = apply_versions(once, spark.createDataFrame([("a", "3")], "k string, v string"), "k", ["v"], "2024-06-01")
+    assert versions_of(again)[1] == ("a", "3", "2024-06-01", "9999-12-31", True) and again.count() == 3
+    assert again.where("effective_from > effective_to").count() == 0
+    with pytest.raises(Exception, match="a version begins after the change"):
+        apply_versions(again, spark.createDataFrame([("a", "4")], "k string, v string"), "k", ["v"], "2024-03-01").collect()
