@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.sources.tables import stored
+
 # Fixed value: stands for a null part in a hashed key.
 NULL_PART = "_dbt_utils_surrogate_key_null_"
 
@@ -25,27 +27,27 @@ def hashed_key(*parts: Column) -> Column:
 
 
 def number_rows(df: DataFrame, name: str, natural_key: list[str], start: int = 0) -> DataFrame:
-    """Dense numbers ``start+1 ..`` without sorting the table in one task.
+    """Dense numbers ``start+1 ..`` in the order of the natural key, without sorting the table in one task.
 
-    Equal rows are folded into one with a count, so copies never pile up in a task.
-    The distinct rows fall into 4,096 buckets by md5 of all their columns; each bucket
-    is numbered by itself and moved up by the size of the buckets before it, so the only
-    ungrouped window runs over at most 4,096 sums. Copies get consecutive numbers.
+    Rows are dealt to ranges of the natural key and the ranges are written; each is numbered by itself
+    and moved up by the size of those before it, so the only ungrouped window runs over one row per
+    range. Equal rows are folded into one with a count and get consecutive numbers. Rows of one
+    key are in order of their other columns.
     """
     rest = [c for c in df.columns if c not in natural_key]
-    bucket = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns])), 1, 3)
-    folded = df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).withColumn("_bucket", bucket)
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    folded = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    ranged = stored(folded.repartitionByRange(*natural_key).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        folded.groupBy("_bucket")
+        ranged.groupBy("_range")
         .agg(F.sum("_copies").alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     inside = (
-        Window.partitionBy("_bucket").orderBy(*natural_key, *rest).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_range").orderBy(*natural_key, *rest).rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = folded.withColumn("_ahead", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(
-        F.broadcast(offsets), "_bucket"  # 4,096 rows at most
+    placed = ranged.withColumn("_ahead", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(
+        F.broadcast(offsets), "_range"  # as many rows as shuffle partitions
     )
     # Copies are spelled out in runs of 10,000, spread over tasks in between.
     runs = placed.withColumn(
@@ -58,6 +60,18 @@ def number_rows(df: DataFrame, name: str, natural_key: list[str], start: int = 0
     )
 
 
+def keep_numbers(df: DataFrame, known: DataFrame, name: str, natural_key: list[str]) -> DataFrame:
+    """``df`` with the numbers that ``known`` has for its natural keys; new keys get the next ones.
+
+    Numbers stay when other columns change and are not given twice. ``known`` has one row per key.
+    """
+    held = known.select(*natural_key, name)
+    top = held.agg(F.max(name)).first()[0] or 0
+    met = df.join(held, natural_key, "left").select(name, *df.columns)
+    fresh = df.join(held, natural_key, "left_anti")
+    return met.where(F.col(name).isNotNull()).unionByName(number_rows(fresh, name, natural_key, top))
+
+
 def hash_number(*parts: str) -> Column:
     """64-bit hash as a surrogate for dimensions too large to number densely."""
     return F.xxhash64(*parts)

@@ -37,7 +37,7 @@ def parse_date(text: Column, layout: str) -> Column:
     if re.search("[A-Za-z]", re.sub("yyyy|MM|dd", "", layout)):
         return F.try_to_date(text, layout)
     iso = text if layout == ISO else F.concat_ws("-", *parts)
-    return F.when(text.rlike(f"^{shape}$"), iso.try_cast("date"))
+    return F.when(text.rlike(rf"\A{shape}\z"), iso.try_cast("date"))
 
 
 def parse_date_auto(text: Column, layouts: tuple[str, ...] = AUTO_DATES) -> Column:
@@ -76,9 +76,14 @@ def parse_decimal(text: Column, precision: int, scale: int) -> Column:
     return text.try_cast(DecimalType(precision, scale))
 
 
+def parse_wide_integer(text: Column) -> Column:
+    """Whole number of up to 38 digits; a fraction rounds half away from zero."""
+    return text.try_cast(DecimalType(38, 0))
+
+
 def parse_integer(text: Column) -> Column:
-    """Whole number held as decimal(18,0); a fraction rounds half away from zero."""
-    return text.try_cast(QTY0)
+    """The same, narrowed to the 18 digits that tables hold; null if it does not fit."""
+    return parse_wide_integer(text).try_cast(QTY0)
 
 
 def strict_integer(text: Column) -> Column:

@@ -127,6 +127,27 @@ def test_ratio_and_mean(spark):
     assert df.agg(mean(F.col("a"))).first()[0] == 2.0
 
 
+def test_no_line_feed_after_a_date(spark):
+    for layout, text in (("yyyyMMdd", "20240105"), ("yyyy-MM-dd", "2024-01-05")):
+        assert values(spark, lambda c: parsing.parse_date(c, layout).isNull(), [text, text + "\n", "\n" + text]) == [False, True, True]
+
+
+def test_long_numbers_are_read_but_do_not_fit(spark):
+    texts = ["9" * 18, "9" * 19, "9" * 38, "9" * 39]
+    assert [v is None for v in values(spark, parsing.parse_wide_integer, texts)] == [False, False, False, True]
+    assert [v is None for v in values(spark, parsing.parse_integer, texts)] == [False, True, True, True]
+
+
+def test_numbers_follow_the_natural_key_and_stay(spark):
+    rows = [(f"k{i:03}", i % 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, price int").repartition(5)
+    first = {r.k: r.n for r in keys.number_rows(df, "n", ["k"]).collect()}
+    assert [first[k] for k, _ in sorted(rows)] == list(range(1, 301))
+    repriced = df.withColumn("price", F.col("price") + 1).unionByName(spark.createDataFrame([("a", 1), ("z", 1)], "k string, price int"))
+    again = {r.k: r.n for r in keys.keep_numbers(repriced, keys.number_rows(df, "n", ["k"]), "n", ["k"]).collect()}
+    assert again == first | {"a": 301, "z": 302}
+
+
 def test_numbering_is_dense_with_many_copies(spark):
     one = spark.range(25_000).select(F.lit("a").alias("k"), F.lit(1).alias("v"))
     df = one.unionByName(spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit(2).alias("v")))
