@@ -21,7 +21,7 @@ HEADLINE = (
     "enrich_pos", "latest_sales", "stg_pos", "stg_inventory", "stg_promo",
     "fct_pos_sales", "fct_pos_sales_from_bronze", "fct_inventory", "fct_promotions", "dim_product_versions",
     "demand_features", "days_since_stockout",
-    "conformed_sales", "weekly_store_demand", "promo_lift", "promo_lift_same_product", "on_shelf_availability",
+    "conformed_sales", "weekly_store_demand", "promo_lift", "promo_lift_by_retailer", "on_shelf_availability",
     "incremental_pos_sales", "incremental_inventory", "order_changes", "new_product_versions",
     "stream_orders", "stream_pos_audits", "refreshed_weekly_demand",
     "quality_report", "assertion_report",

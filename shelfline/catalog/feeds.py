@@ -2,10 +2,11 @@
 
 Each text below runs unchanged in Spark and in DuckDB; names in braces stand for the
 tables it reads. Whole tables are used: every line item becomes a sale, a stock
-snapshot and an order line. Shops sell product lines, one per (brand, type), so that a
-shop and a line meet often enough for long series; orders are for single parts. Lines and
-parts are all in the product master, in two versions, and in the promotion calendar, the
-parts with other retailers. Nations are shops, suppliers are warehouses. Some keys carry
+snapshot and an order line. Two thirds of the orders are sold by the nations' shops, as product lines,
+one per (brand, type), so that a shop and a line meet often enough for long series. The others are sold by
+suppliers, as single parts; ten suppliers make a retailer, so products, shops and retailers with sales all
+grow with the tables. Lines and parts are in the product master, in two versions, and in the promotion
+calendar, a part at the retailer of one of its suppliers. Some keys carry
 damaged text so that each validation rule has work to do; damaged rows stay in the feed.
 """
 
@@ -45,6 +46,14 @@ _PART_MATERIAL = "concat('MAT-P', lpad(cast({key} as string), 9, '0'))"
 _UPC_BODY = "lpad(cast(code as string), 9, '0')"
 
 
+def _supplier_retailer(key: str) -> str:
+    return f"concat('R', cast(cast(floor({key} / 10) as bigint) as string))"
+
+
+def _supplier_shop(key: str) -> str:
+    return f"concat({_supplier_retailer(key)}, '-', lpad(cast({key} as string), 9, '0'))"
+
+
 def _product_version(factor: int, first: str, last: str, current: str) -> str:
     return f"""select material_number, upc, product_name, brand, category,
  concat(category, ' ', cast(pack_size % 4 as string)) sub_category,
@@ -71,7 +80,7 @@ FEEDS: dict[str, str] = {
  concat({_RETAILER}, '-', lpad(cast(n_nationkey as string), 4, '0')) store_id, n_name store_name,
  concat('City ', cast(n_nationkey as string)) city, concat('State ', cast(n_nationkey % 7 as string)) state,
  r_name region, 'US' country from {{nation}} join {{region}} on n_regionkey = r_regionkey union all
- select 1000 + s_suppkey, 'WHS', 'Warehouses', concat('WHS-', lpad(cast(s_suppkey as string), 9, '0')), s_name,
+ select 1000 + s_suppkey, {_supplier_retailer('s_suppkey')}, concat({_supplier_retailer('s_suppkey')}, ' Shops'), {_supplier_shop('s_suppkey')}, s_name,
  concat('City ', cast(n_nationkey as string)), concat('State ', cast(n_nationkey % 7 as string)), r_name, 'US'
  from {{supplier}} join {{nation}} on s_nationkey = n_nationkey join {{region}} on n_regionkey = r_regionkey""",
     "dim_product": _product_version(1, "1990-01-01", "1998-06-30", "false")
@@ -81,30 +90,34 @@ FEEDS: dict[str, str] = {
     "placed_order": """select o_orderkey, o_orderdate, c_custkey, retailer_code, store_id from {orders}
  join {customer} on o_custkey = c_custkey join {dim_store} on c_nationkey = store_key""",
     # The hint keeps line items, the large side, out of a broadcast: the estimate for the joined orders is far too high.
-    "sale": """select /*+ MERGE(o) */ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate,
- o_orderdate, code, retailer_code, store_id, c_custkey
- from {lineitem} join {placed_order} o on l_orderkey = o_orderkey join {part_code} on l_partkey = p_partkey""",
+    "sale": f"""select /*+ MERGE(o) */ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate,
+ o_orderdate, c_custkey, case when l_orderkey % 3 = 0 then {_supplier_retailer('l_suppkey')} else o.retailer_code end retailer_code,
+ case when l_orderkey % 3 = 0 then {_supplier_shop('l_suppkey')} else o.store_id end store_id,
+ case when l_orderkey % 3 = 0 then concat('029', lpad(cast(l_partkey as string), 9, '0')) else concat('028', {_UPC_BODY}) end upc
+ from {{lineitem}} join {{placed_order}} o on l_orderkey = o_orderkey join {{part_code}} on l_partkey = p_partkey""",
+    "part_seller": "select l_partkey, min(l_suppkey) seller from {lineitem} group by l_partkey",
     "raw_pos": f"""select case when l_orderkey % 53 = 0 then concat(' ', lower(retailer_code)) else retailer_code end retailer_code,
- store_id, case when l_orderkey % 41 = 0 then '028' when l_orderkey % 43 = 0 then concat('028-', {_UPC_BODY})
- when l_orderkey % 47 = 0 then concat('0028', {_UPC_BODY}) else concat('028', {_UPC_BODY}) end upc,
- case when l_orderkey % 71 = 0 then 'not-a-date' when retailer_code = 'WMT' then {_iso('o_orderdate')}
- when retailer_code = 'KRO' then {_joined('o_orderdate', '/', 'mdy')} else {_joined('o_orderdate', '', 'ymd')} end transaction_date,
- case when l_orderkey % 59 = 0 then '-5' when l_orderkey % 61 = 0 then 'N/A' else cast(cast(l_quantity as bigint) as string) end units_sold,
+ store_id, case when l_orderkey % 41 = 0 then substr(upc, 1, 3) when l_orderkey % 43 = 0 then concat(substr(upc, 1, 3), '-', substr(upc, 4))
+ when l_orderkey % 47 = 0 then concat('0', upc) else upc end upc,
+ case when l_orderkey % 71 = 0 then 'not-a-date' when retailer_code = 'KRO' then {_joined('o_orderdate', '/', 'mdy')}
+ when retailer_code = 'TGT' then {_joined('o_orderdate', '', 'ymd')} else {_iso('o_orderdate')} end transaction_date,
+ case when l_orderkey % 59 = 0 then '-5' when l_orderkey % 61 = 0 then 'N/A' when l_orderkey % 103 = 0 then '1234567890123456789' else cast(cast(l_quantity as bigint) as string) end units_sold,
  case when l_orderkey % 67 = 0 then 'bad' when l_orderkey % 101 = 0 then '-12.50'
  else cast(cast(l_extendedprice as decimal(18,2)) as string) end revenue,
  {_CURRENCY} currency_code, case when l_returnflag = 'R' then 'Y' when l_returnflag = 'A' then 'N' end promo_flag,
  concat('pos_', cast(year(o_orderdate) as string), '.csv') _file_name, o_orderdate + interval 1 day _loaded_at from {{sale}}""",
-    "raw_inventory": f"""select retailer_code, store_id, concat('028', {_UPC_BODY}) upc,
+    "raw_inventory": f"""select retailer_code, store_id, upc,
  case when l_orderkey % 71 = 0 then '' when l_orderkey % 3 = 0 then {_joined('l_shipdate', '/', 'mdy')} else {_iso('l_shipdate')} end snapshot_date,
- case when l_orderkey % 59 = 0 then '-1' else cast(cast((l_quantity - 1) * 20 as bigint) as string) end on_hand_qty,
+ case when l_orderkey % 59 = 0 then '-1' when l_orderkey % 61 = 0 then 'none' when l_orderkey % 103 = 0 then '1234567890123456789' else cast(cast((l_quantity - 1) * 20 as bigint) as string) end on_hand_qty,
  case when l_orderkey % 61 = 0 then null else cast(l_suppkey % 40 as string) end in_transit_qty,
  cast(l_suppkey % 90 as string) on_order_qty, concat('inv_', cast(year(l_shipdate) as string), '.csv') _file_name,
  l_shipdate + interval 1 day _loaded_at from {{sale}}""",
     "promo_base": f"""select concat('PRM-', cast(code as string)) promo_id, code number, brand, category, pack_size,
  case code % 3 when 0 then 'WMT' when 1 then 'KRO' else 'TGT' end retailer_code, {_MATERIAL} material,
  cast(date '1995-02-01' + cast(code * 9 as int) as date) first_day from {{product_line}} union all
- select concat('PRM-P', cast(p_partkey as string)), p_partkey, p_brand, p_type, p_size, concat('R', cast(p_partkey % 500 as string)),
- {_PART_MATERIAL.format(key='p_partkey')}, cast(date '1995-02-01' + cast(p_partkey % 2300 as int) as date) from {{part}}""",
+ select concat('PRM-P', cast(p_partkey as string)), p_partkey, p_brand, p_type, p_size, {_supplier_retailer('seller')},
+ {_PART_MATERIAL.format(key='p_partkey')}, cast(date '1995-02-01' + cast(p_partkey % 2300 as int) as date)
+ from {{part}} left join {{part_seller}} on l_partkey = p_partkey""",
     "promo_window": """select *, cast(first_day + cast(6 + pack_size % 9 - case when number % 37 = 0 then 30 else 0 end as int) as date) last_day
  from {promo_base}""",
     "raw_promo": f"""select promo_id, concat(brand, ' ', category) promo_name, retailer_code,
@@ -155,12 +168,7 @@ class Feeds:
         self.spark, self.sf_dir = spark, sf_dir
 
     def base(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name == "lineitem" and len(df.inputFiles()) < cores:
-            # A table in one small file is one task; real feeds come in many files.
-            df = df.repartition(cores, "l_orderkey")
-        return df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def derive(self, name: str) -> DataFrame:
         if name in BASE_TABLES:

@@ -1,7 +1,7 @@
 """The same results in plain SQL for DuckDB, over the same tables.
 
-Written from the definitions, not from the Spark plans: range joins stay range joins,
-latest rows come from rankings, averages are taken over the rows themselves.
+Written from the definitions, not from the Spark plans: range joins stay range joins, latest rows
+come from rankings, numbers from one ranking of the table, averages are taken over the rows themselves.
 """
 
 from __future__ import annotations
@@ -62,14 +62,14 @@ _STOCK = ["retailer_code", "store_key", "upc", "snapshot_date", "on_hand_qty", "
 STEPS: dict[str, str] = {
     "typed_order": f"""select *, {_date('order_date', '%Y%m%d')} o_day, {_date('delivery_date', '%Y%m%d')} d_day,
  {_dec('order_qty', 18, 3)} qty, {_dec('net_value', 18, 2)} val from raw_orders""",
-    "good_order": "select * from typed_order where o_day is not null and qty is not null and val is not null and material_number is not null",
-    "bad_order": "select * from typed_order where o_day is null or qty is null or val is null or material_number is null",
+    "good_order": "select * from typed_order where o_day is not null and qty is not null and val is not null and material_number is not null and record_id is not null",
+    "bad_order": "select * from typed_order where o_day is null or qty is null or val is null or material_number is null or record_id is null",
     "staged_order": f"""select record_id, sales_org, distribution_channel, material_number, plant, customer_number,
  o_day order_date, d_day delivery_date, qty order_qty, order_qty_uom, val net_value, currency, order_type,
  _file_name _source_file, _loaded_at, timestamp '{RUN_TIME}' _staged_at from good_order""",
     "rejected_order": f"""select record_id, order_date raw_order_date, order_qty raw_order_qty, net_value raw_net_value, material_number,
  case when o_day is null then 'INVALID_DATE' when qty is null then 'INVALID_QUANTITY' when val is null then 'INVALID_NET_VALUE'
- when material_number is null then 'NULL_MATERIAL' else 'UNKNOWN' end rejection_reason, timestamp '{RUN_TIME}' _rejected_at from bad_order""",
+ when material_number is null then 'NULL_MATERIAL' when record_id is null then 'NULL_RECORD_ID' else 'UNKNOWN' end rejection_reason, timestamp '{RUN_TIME}' _rejected_at from bad_order""",
     "staged_pos": f"""select retailer_code, store_id, upc, {_sale_date()} transaction_date, {_dec('units_sold', 18, 0)} units_sold,
  {_dec('revenue', 18, 2)} revenue, currency_code, promo_flag = 'Y' is_promo, _file_name source_file, _loaded_at loaded_at from raw_pos
  where length({_digits('upc')}) in (12, 13) and {_dec('units_sold', 18, 0)} >= 0""",
@@ -79,6 +79,12 @@ STEPS: dict[str, str] = {
     "staged_promo": f"""select promo_id, promo_name, retailer_code, material_number, {_auto_date('start_date')} start_date, {_auto_date('end_date')} end_date,
  promo_mechanic, {_dec('discount_pct', 5, 2)} discount_pct, {_dec('trade_spend_usd', 18, 2)} trade_spend_usd, _file_name source_file,
  _loaded_at loaded_at from raw_promo""",
+    "judged_pos": f"""select *, case when coalesce(length({_digits('upc')}), 0) not in (12, 13) then 'INVALID_UPC' when {_dec('units_sold', 38, 0)} is null then 'INVALID_UNITS'
+ when {_dec('units_sold', 18, 0)} is null then 'UNITS_TOO_LARGE' when {_dec('units_sold', 18, 0)} < 0 then 'NEGATIVE_UNITS' end rejection_reason from raw_pos""",
+    "judged_stock": f"""select *, case when {_auto_date('snapshot_date')} is null then 'INVALID_DATE' when {_dec('on_hand_qty', 38, 0)} is null then 'INVALID_QUANTITY'
+ when {_dec('on_hand_qty', 18, 0)} is null then 'QUANTITY_TOO_LARGE' when {_dec('on_hand_qty', 18, 0)} < 0 then 'NEGATIVE_QUANTITY' end rejection_reason from raw_inventory""",
+    "judged_text": f"""select *, case when {_dec('units_sold', 18, 0)} is null then 'UNREADABLE_UNITS' when {_dec('revenue', 18, 2)} is null then 'UNREADABLE_REVENUE'
+ when {_sale_date('upper(trim(retailer_code))')} is null then 'UNREADABLE_DATE' end rejection_reason from raw_pos""",
     "live_product": "select * from dim_product where is_current",
     "wide_pos": """select s.*, st.store_key, p.unit_weight_kg, p.brand, p.category, r.rate_to_usd rate,
  s.revenue * coalesce(r.rate_to_usd, cast(1 as decimal(18,6))) usd from staged_pos s
@@ -127,8 +133,8 @@ STEPS: dict[str, str] = {
     **{f"promo_sum{m}": f"""select c.promo_id, c.promo_name, c.promo_mechanic, c.retailer_code, c.trade_spend_usd, c.discount_pct, c.start_date, c.end_date,
  date_diff('day', c.start_date, c.end_date) + 1 promo_days, p.upc, p.brand, p.category, sum(f.units_sold) promo_units,
  sum(f.units_sold * p.unit_weight_kg) promo_kg, sum(f.revenue_usd) promo_revenue
- from pos_fact{m} f, live_product p, promo_fact c where p.material_number = c.material_number and f.upc = p.upc and f.retailer_code = c.retailer_code
- and f.transaction_date >= c.start_date and f.transaction_date <= c.end_date group by all""" for m in ("", "_merged")},
+ from promo_fact c join live_product p on p.material_number = c.material_number join pos_fact{m} f on f.upc = p.upc and f.retailer_code = c.retailer_code
+ and f.transaction_date between c.start_date and c.end_date group by all""" for m in ("", "_merged")},
     **{f"usual{m}": f"""select f.upc, f.retailer_code, {_ratio('sum(f.units_sold * p.unit_weight_kg)', 'count(f.units_sold * p.unit_weight_kg)')} baseline_daily_kg
  from pos_fact{m} f join live_product p on p.upc = f.upc where not exists (select 1 from promo_fact c where c.retailer_code = f.retailer_code
  and f.transaction_date between c.start_date and c.end_date) group by f.upc, f.retailer_code""" for m in ("", "_merged")},
@@ -150,13 +156,25 @@ def _weighted_digits(size: int) -> str:
     return " + ".join(f"{1 if (size - i) % 2 == 0 else 3} * try_cast(substr(d, {i}, 1) as int)" for i in range(1, size + 1))
 
 
-def _lift(pair_on: str, fact: str = "") -> str:
+def _lift(fact: str = "") -> str:
     extra = "cast(s.promo_revenue as double) - b.baseline_daily_kg * s.promo_days * cast(bp.brand_price_per_kg as double)"
     daily = _ratio("s.promo_kg", "s.promo_days")
     return f"""select s.promo_id, s.promo_name, s.promo_mechanic, s.retailer_code, s.brand, s.category, s.start_date, s.end_date, s.promo_days, s.promo_kg,
  {daily} promo_daily_kg, b.baseline_daily_kg, {_ratio(daily + ' - b.baseline_daily_kg', 'b.baseline_daily_kg')} lift_pct, s.promo_revenue, s.trade_spend_usd,
  {extra} incremental_revenue_est, {_ratio(extra, 's.trade_spend_usd')} promo_roi
- from promo_sum{fact} s left join usual{fact} b on {pair_on} left join brand_price bp on bp.brand = s.brand"""
+ from promo_sum{fact} s left join usual{fact} b on b.retailer_code = s.retailer_code and b.upc = s.upc left join brand_price bp on bp.brand = s.brand"""
+
+
+# The mean over all products of the retailer of what a pairing with each of them would give.
+_RETAILER_LIFT = f"""select * exclude (extra), round(extra, 6) incremental_revenue_est, round({_ratio('extra', 'trade_spend_usd')}, 6) promo_roi from (
+ select s.promo_id, s.promo_name, s.promo_mechanic, s.retailer_code, s.brand, s.category, s.start_date, s.end_date, s.promo_days, sum(s.promo_kg) promo_kg,
+ {_ratio('sum(s.promo_kg)', 's.promo_days')} promo_daily_kg, coalesce(b.products, 0) products, round(b.base, 6) baseline_daily_kg,
+ round({_ratio('sum(s.promo_kg)', 's.promo_days')} * b.inverse - 1, 6) lift_pct, sum(s.promo_revenue) promo_revenue, s.trade_spend_usd,
+ cast(sum(s.promo_revenue) as double) - b.base * s.promo_days * cast(bp.brand_price_per_kg as double) extra
+ from promo_sum s left join (select retailer_code, count(baseline_daily_kg) products, avg(baseline_daily_kg) base, avg(1 / nullif(baseline_daily_kg, 0)) inverse
+ from usual group by retailer_code) b on b.retailer_code = s.retailer_code left join brand_price bp on bp.brand = s.brand
+ group by s.promo_id, s.promo_name, s.promo_mechanic, s.retailer_code, s.brand, s.category, s.start_date, s.end_date, s.promo_days, s.trade_spend_usd,
+ b.products, b.base, b.inverse, bp.brand_price_per_kg) lifted"""
 
 
 def _weekly(fact: str) -> str:
@@ -171,7 +189,7 @@ def _check(name: str, severity: str, violations: str) -> str:
 
 
 def _report(lines: list[tuple[str, str, str]]) -> str:
-    return "select *, violations = 0 passed from (" + " union all ".join(_check(*line) for line in lines) + ") lines"
+    return "select *, violations = 0 passed, case when violations = 0 then 'PASS' when severity = 'warn' then 'WARN' else 'ERROR' end status from (" + " union all ".join(_check(*line) for line in lines) + ") lines"
 
 
 def _repeats(table: str, column: str, null_too: bool = False) -> str:
@@ -227,9 +245,10 @@ _PROMO_FACT_SPEC = "promo_id:s promo_name:s retailer_code:s material_number:s up
 _LIFT_SPEC = "promo_id:s promo_name:s promo_mechanic:s retailer_code:s brand:s category:s start_date:s end_date:s promo_days:i promo_kg:f promo_daily_kg:f baseline_daily_kg:f lift_pct:f promo_revenue:f trade_spend_usd:f incremental_revenue_est:f promo_roi:f"
 _WEEKLY_SPEC = "week_start:s retailer_name:s region:s store_name:s store_id:s brand:s category:s sub_category:s total_units:f total_kg:f total_revenue_usd:f selling_days:i avg_daily_kg:f"
 _PRODUCT_SPEC = "material_number:s upc:s product_name:s brand:s category:s sub_category:s unit_weight_kg:f pack_size:f avg_price_per_kg:f effective_from:s effective_to:s is_current:i"
+_RAW_STOCK_SPEC = "retailer_code:s store_id:s upc:s snapshot_date:s on_hand_qty:s in_transit_qty:s on_order_qty:s _file_name:s _loaded_at:s"
 _RAW_POS_SPEC = "retailer_code:s store_id:s upc:s transaction_date:s units_sold:s revenue:s currency_code:s promo_flag:s _file_name:s _loaded_at:s"
 _FEATURE_SPEC = "store_key:i upc:s transaction_date:s daily_units:f daily_revenue:f had_promo:i units_7d_avg:f units_28d_avg:f revenue_7d_avg:f promo_running_count:i wow_growth:f day_of_week:i month_num:i is_weekend:i"
-_REPORT_SPEC = "check_name:s severity:s violations:i passed:i"
+_REPORT_SPEC = "check_name:s severity:s violations:i passed:i status:s"
 _RICH_SPEC = "upc:s retailer_code:s store_id:s transaction_date:s units_sold:i revenue:f currency_code:s promo_flag:s _file_name:s _loaded_at:s sale_date:s brand:s category:s unit_weight_kg:f product_name:s kg_sold:f revenue_per_kg:f"
 _AUDIT_SPEC = "audit_timestamp:s total_rows:i null_store_key_count:i future_date_count:i negative_revenue_count:i"
 
@@ -241,7 +260,7 @@ def _audit(moment: str, hours: int) -> str:
  from clean_pos where _loaded_at >= timestamp '{moment}' - interval {hours} hour"""
 
 
-_NUMBERED_PRODUCTS = f"""select row_number() over (order by substr(md5(concat_ws('|', {_all_text(_PRODUCT_SPEC)})), 1, 3), material_number, effective_from) product_sk, *,
+_NUMBERED_PRODUCTS = f"""select row_number() over (order by material_number, effective_from) product_sk, *,
  timestamp '{RUN_TIME}' _updated_at from dim_product"""
 
 
@@ -250,7 +269,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "raw_orders": (f"select * replace ('csv' as _file_name, timestamp '{RUN_TIME}' as _loaded_at) from raw_orders",
         "record_id:s sales_org:s distribution_channel:s material_number:s plant:s customer_number:s order_date:s delivery_date:s order_qty:s order_qty_uom:s net_value:s currency:s order_type:s _file_name:s _loaded_at:s"),
     "raw_pos": ("select * from raw_pos", _RAW_POS_SPEC),
-    "raw_inventory": ("select * from raw_inventory", "retailer_code:s store_id:s upc:s snapshot_date:s on_hand_qty:s in_transit_qty:s on_order_qty:s _file_name:s _loaded_at:s"),
+    "raw_inventory": ("select * from raw_inventory", _RAW_STOCK_SPEC),
     "raw_promo": ("select * from raw_promo", "promo_id:s promo_name:s retailer_code:s material_number:s start_date:s end_date:s promo_mechanic:s discount_pct:s trade_spend_usd:s _file_name:s _loaded_at:s"),
     "dim_product": ("select * from dim_product", _PRODUCT_SPEC),
     "dim_store": ("select * from dim_store", "store_key:i retailer_code:s retailer_name:s store_id:s store_name:s city:s state:s region:s country:s"),
@@ -295,7 +314,6 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "promo_sales": ("select * from promo_sum", "promo_id:s promo_name:s promo_mechanic:s retailer_code:s trade_spend_usd:f discount_pct:f start_date:s end_date:s promo_days:i brand:s category:s promo_units:f promo_kg:f promo_revenue:f"),
     "baseline_sales": ("select * from usual", "upc:s retailer_code:s baseline_daily_kg:f"),
     "promo_calendar_days": ("select distinct retailer_code, cast(unnest(generate_series(start_date, end_date, interval 1 day)) as date) transaction_date from promo_fact where start_date <= end_date", "retailer_code:s transaction_date:s"),
-    "baseline_pairs": ("select c.promo_id, c.retailer_code, count(*) pairs, max(b.baseline_daily_kg) highest from promo_fact c left join usual b on b.retailer_code = c.retailer_code group by all", "promo_id:s retailer_code:s pairs:i highest:f"),
     "stock_and_demand": ("select i.store_key, i.upc, i.snapshot_date, i.on_hand_qty, d.avg_daily_units from stock_fact i left join demand d on d.store_key = i.store_key and d.upc = i.upc where i.store_key is not null and i.upc is not null", "store_key:i upc:s snapshot_date:s on_hand_qty:f avg_daily_units:f"),
     "orphan_upcs": ("select upc, count(*) as rows from staged_pos s where upc is not null and not exists (select 1 from dim_product p where p.upc = s.upc) group by upc", "upc:s rows:i"),
     "brand_prices": ("select * from brand_price", "brand:s brand_price_per_kg:f"),
@@ -335,15 +353,15 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "fct_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "fct_promotions_loaded": (f"select *, timestamp '{RUN_TIME}' _loaded_at from promo_fact", _PROMO_FACT_SPEC + " _loaded_at:s"),
     "dim_product_versions": (_NUMBERED_PRODUCTS, "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
-    "numbered_orders": ("select 1000 + row_number() over (order by substr(md5(record_id || '|' || plant || '|' || order_qty), 1, 3), record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", "order_sk:i record_id:s plant:s order_qty:s"),
+    "numbered_orders": ("select 1000 + row_number() over (order by record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", "order_sk:i record_id:s plant:s order_qty:s"),
     "hashed_products": ("select material_number, count(*) versions from dim_product group by material_number", "material_number:s versions:i"),
     "conformed_sales": ("""select record_id sales_order_id, sales_org, distribution_channel, order_type, order_date, delivery_date, plant, product_number material_number, upc, product_name, brand, category,
  sub_category, order_qty, order_qty_uom, order_qty * unit_weight_kg order_weight_kg, net_value, currency, net_value * coalesce(rate_to_usd, cast(1 as decimal(18,6))) net_value_usd, customer_number,
  _staged_at source_timestamp from priced_order""",
         "sales_order_id:s sales_org:s distribution_channel:s order_type:s order_date:s delivery_date:s plant:s material_number:s upc:s product_name:s brand:s category:s sub_category:s order_qty:f order_qty_uom:s order_weight_kg:f net_value:f currency:s net_value_usd:f customer_number:s source_timestamp:s"),
     "weekly_store_demand": (_weekly("pos_fact"), _WEEKLY_SPEC),
-    "promo_lift": (_lift("b.retailer_code = s.retailer_code"), _LIFT_SPEC),
-    "promo_lift_same_product": (_lift("b.retailer_code = s.retailer_code and b.upc = s.upc"), _LIFT_SPEC),
+    "promo_lift": (_lift(), _LIFT_SPEC),
+    "promo_lift_by_retailer": (_RETAILER_LIFT, "promo_id:s promo_name:s promo_mechanic:s retailer_code:s brand:s category:s start_date:s end_date:s promo_days:i promo_kg:f promo_daily_kg:f products:i baseline_daily_kg:f lift_pct:f promo_revenue:f trade_spend_usd:f incremental_revenue_est:f promo_roi:f"),
     "on_shelf_availability": (f"""select *, case when on_hand_qty = 0 then 'OUT_OF_STOCK' when days_of_supply < 3 then 'CRITICAL' when days_of_supply < 7 then 'LOW' when days_of_supply > 28 then 'OVERSTOCK' else 'HEALTHY' end availability_status
  from (select i.snapshot_date, st.retailer_name, st.region, st.store_name, st.store_id, p.brand, p.category, p.product_name, i.on_hand_qty, i.in_transit_qty, d.avg_daily_units,
  {_ratio('i.on_hand_qty', 'd.avg_daily_units')} days_of_supply, {_ratio('i.on_hand_qty + i.in_transit_qty', 'd.avg_daily_units')} days_of_supply_incl_transit
@@ -355,7 +373,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "build_report": (_report(_MERGED_LINES), _REPORT_SPEC),
     "build_counts": (f"""select 'conformed_sales' table_name, count(*) rows_written, count(*) as rows, cast(sum(net_value * coalesce(rate_to_usd, cast(1 as decimal(18,6)))) as decimal(38,4)) total from priced_order
  union all select 'weekly_store_demand', count(*), count(*), cast(sum(total_kg) as decimal(38,4)) from ({_weekly('pos_fact_merged')}) w
- union all select 'promo_lift', count(*), count(*), cast(sum(promo_kg) as decimal(38,4)) from ({_lift('b.retailer_code = s.retailer_code', '_merged')}) l
+ union all select 'promo_lift', count(*), count(*), cast(sum(promo_kg) as decimal(38,4)) from ({_lift('_merged')}) l
  union all select 'on_shelf_availability', count(*), count(*), cast(sum(i.on_hand_qty) as decimal(38,4)) from stock_fact_merged i join dim_store st on st.store_key = i.store_key join live_product p on p.upc = i.upc""",
         "table_name:s rows_written:i rows:i total:f"),
     "incremental_inventory": ("select * from stock_fact_merged", _STOCK_FACT_SPEC),
@@ -372,6 +390,17 @@ _ORACLES: dict[str, tuple[str, str]] = {
  select * replace (date '1999-12-31' as effective_to, false as is_current) from live_product where category = 'PROMO' union all
  select * replace (avg_price_per_kg + 1 as avg_price_per_kg, date '2000-01-01' as effective_from) from live_product where category = 'PROMO' union all
  select material_number || '-N', '9' || substr(upc, 2, 11), null, brand, category, null, null, null, avg_price_per_kg, date '2000-01-01', date '9999-12-31', true from live_product where category = 'SMALL'""", _PRODUCT_SPEC),
+    "rejected_sales": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_pos where rejection_reason is not null", _RAW_POS_SPEC + " rejection_reason:s _rejected_at:s"),
+    "rejected_stock": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_stock where rejection_reason is not null", _RAW_STOCK_SPEC + " rejection_reason:s _rejected_at:s"),
+    "unreadable_sales": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_text where rejection_reason is not null", _RAW_POS_SPEC + " rejection_reason:s _rejected_at:s"),
+    "feed_counts": ("""select 'orders' feed, (select count(*) from raw_orders) landed, (select count(*) from good_order) accepted, (select count(*) from bad_order) rejected
+ union all select 'sales', (select count(*) from raw_pos), (select count(*) from staged_pos), (select count(*) from judged_pos where rejection_reason is not null)
+ union all select 'stock', (select count(*) from raw_inventory), (select count(*) from staged_inventory), (select count(*) from judged_stock where rejection_reason is not null)
+ union all select 'readable sales', (select count(*) from raw_pos), (select count(*) from readable_pos), (select count(*) from judged_text where rejection_reason is not null)""",
+        "feed:s landed:i accepted:i rejected:i"),
+    "keyless_sales": ("select * from bronze_fact where pos_sale_sk is null", _POS_FACT_SPEC),
+    "sales_from_bronze_build": ("select * from bronze_fact_merged", _POS_FACT_SPEC),
+    "stream_pos": ("select * from clean_pos", _CLEAN_POS_SPEC),
     "stream_orders": ("select * from staged_order", _ORDER_SPEC),
     "stream_rejects": ("select * from rejected_order", _REJECT_SPEC),
     "stream_reruns": ("select 0 batches_of_second_run, (select count(*) from good_order) staged, (select count(*) from bad_order) rejected", "batches_of_second_run:i staged:i rejected:i"),

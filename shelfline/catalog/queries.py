@@ -286,6 +286,41 @@ def check_digits(t: Tables) -> DataFrame:
 # --- filters -----------------------------------------------------------------------
 
 
+@query("P5", "F3", "B3")
+def rejected_sales(t: Tables) -> DataFrame:
+    return bronze.rejected_pos(t.raw_pos, RUN_TIME)
+
+
+@query("P5", "F5", "B4")
+def rejected_stock(t: Tables) -> DataFrame:
+    return bronze.rejected_inventory(t.raw_inventory, RUN_TIME)
+
+
+@query("P6", "F4", "B6")
+def unreadable_sales(t: Tables) -> DataFrame:
+    return bronze.unreadable_pos(t.raw_pos, RUN_TIME)
+
+
+@query("F1", "F2", "F3", "F5", "A7")
+def feed_counts(t: Tables) -> DataFrame:
+    """Rows landed, accepted and rejected; the last two add up to the first."""
+    feeds = {
+        "orders": (t.raw_orders, t.orders_staged, bronze.quarantine_orders(t.raw_orders, RUN_TIME)),
+        "sales": (t.raw_pos, t.stg_pos, bronze.rejected_pos(t.raw_pos)),
+        "stock": (t.raw_inventory, t.stg_inventory, bronze.rejected_inventory(t.raw_inventory)),
+        "readable sales": (t.raw_pos, t.readable_pos, bronze.unreadable_pos(t.raw_pos)),
+    }
+    counted = [
+        df.agg(F.lit(feed).alias("feed"), F.lit(kind).alias("kind"), F.count("*").alias("n"))
+        for feed, frames in feeds.items()
+        for kind, df in zip(("landed", "accepted", "rejected"), frames, strict=True)
+    ]
+    kinds = ["landed", "accepted", "rejected"]
+    return reduce(DataFrame.unionByName, counted).groupBy("feed").agg(
+        *[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in kinds]
+    )
+
+
 @query("F1", "F2", "F9", "A10")
 def order_counts(t: Tables) -> DataFrame:
     return bronze.order_counts(t.raw_orders)
@@ -390,17 +425,6 @@ def promo_calendar_days(t: Tables) -> DataFrame:
     return promo_days.covered_days(t.fct_promotions)
 
 
-@query("J10")
-def baseline_pairs(t: Tables) -> DataFrame:
-    baseline = tables.stored(gold.baseline_sales(*_promo_inputs(t), t.dim_product), "baseline_sales")
-    promos = t.fct_promotions.select("promo_id", "retailer_code")
-    return (
-        promo_days.pair_by_retailer(promos, baseline, "upc", "baseline_daily_kg")
-        .groupBy("promo_id", "retailer_code")
-        .agg(F.count("*").alias("pairs"), F.max("baseline_daily_kg").alias("highest"))
-    )
-
-
 @query("J11")
 def stock_and_demand(t: Tables) -> DataFrame:
     known = t.fct_inventory.where(F.col("store_key").isNotNull() & F.col("upc").isNotNull())
@@ -604,14 +628,14 @@ def weekly_store_demand(t: Tables) -> DataFrame:
     return t.weekly_store_demand
 
 
-@query("G3", "J8", "J9", "J10", "J13")
+@query("G3", "J8", "J9", "J13")
 def promo_lift(t: Tables) -> DataFrame:
     return gold.promo_lift(t.fct_promotions, t.dim_product, t.fct_pos_sales)
 
 
-@query("G3")
-def promo_lift_same_product(t: Tables) -> DataFrame:
-    return gold.promo_lift(t.fct_promotions, t.dim_product, t.fct_pos_sales, match_upc=True)
+@query("G3", "J10")
+def promo_lift_by_retailer(t: Tables) -> DataFrame:
+    return gold.promo_lift_by_retailer(t.fct_promotions, t.dim_product, t.fct_pos_sales)
 
 
 @query("G4", "J11", "X4")
@@ -672,6 +696,21 @@ def incremental_from_bronze(t: Tables) -> DataFrame:
     return build.read_fact(t.spark, root, "fct_pos_sales")
 
 
+@query("I2", "K1a")
+def keyless_sales(t: Tables) -> DataFrame:
+    """The rows that the merge of the bronze sales leaves out: all without a key."""
+    rows = silver.fct_pos_sales_from_bronze(t.pos_cleansed, t.dim_product)
+    return upsert.upsert(t.spark, _new_dir(t, "keyless"), rows, "pos_sale_sk", "retailer_code").rejects
+
+
+@query("M1", "M2", "M5", "I2")
+def sales_from_bronze_build(t: Tables) -> DataFrame:
+    """The build from bronze to silver; the sales fact it makes."""
+    root = _new_dir(t, "built")
+    build.build_silver_from_bronze(t.spark, t.pos_cleansed, t.inventory_cleansed, t.dim_product, root, by="month")
+    return build.read_fact(t.spark, root, "fct_pos_sales")
+
+
 @query("I2", "M2")
 def incremental_inventory(t: Tables) -> DataFrame:
     root = _new_dir(t, "incremental")
@@ -686,7 +725,7 @@ def incremental_inventory(t: Tables) -> DataFrame:
 def _built(t: Tables) -> tuple[str, DataFrame]:
     root = _new_dir(t, "built")
     feeds = {n: getattr(t, n) for n in ("raw_pos", "raw_inventory", "raw_promo")}
-    return root, build.build_silver(t.spark, feeds, _reference_tables(t), root, by="month")
+    return root, build.build_silver(t.spark, feeds, _reference_tables(t), root, by="month", stop=False)
 
 
 @query("C5", "S13", "Q-S", "I3")
@@ -780,14 +819,24 @@ def stream_reruns(t: Tables) -> DataFrame:
 @query("C1", "C5", "B3", "B5")
 def stream_pos_audits(t: Tables) -> DataFrame:
     root = _new_dir(t, "bronze")
-    ingest.ingest_pos(t.spark, t.path("raw_pos"), root, t.dim_store, t.dim_fx, AUDIT_AT).awaitTermination()
+    ingest.ingest_pos(t.spark, t.path("raw_pos"), root, t.path("dim_store"), t.path("dim_fx"), AUDIT_AT).awaitTermination()
     return ingest.read_batches(t.spark, root, "pos_quality_log")
 
 
+@query("C1", "B3")
+def stream_pos(t: Tables) -> DataFrame:
+    """The cleansed sales themselves, from several batches."""
+    root = _new_dir(t, "bronze")
+    ingest.ingest_pos(
+        t.spark, t.path("raw_pos"), root, t.path("dim_store"), t.path("dim_fx"), AUDIT_AT, max_files=4
+    ).awaitTermination()
+    return ingest.read_batches(t.spark, root, "pos_cleansed")
+
+
 @query("C1", "B4")
 def stream_inventory(t: Tables) -> DataFrame:
     root = _new_dir(t, "bronze")
-    ingest.ingest_inventory(t.spark, t.path("raw_inventory"), root, t.dim_store, max_files=4).awaitTermination()
+    ingest.ingest_inventory(t.spark, t.path("raw_inventory"), root, t.path("dim_store"), max_files=4).awaitTermination()
     return ingest.read_batches(t.spark, root, "inventory_cleansed")
 
 
@@ -798,7 +847,7 @@ def refreshed_weekly_demand(t: Tables) -> DataFrame:
     for landed in _loads(t):
         changed = _merge_sales(t, root, landed)
         refresh.refresh_weekly_demand(
-            t.spark, weekly, build.read_fact(t.spark, root, "fct_pos_sales"), t.dim_store, t.dim_product, changed
+            t.spark, weekly, build.read_fact(t.spark, root, "fct_pos_sales", parts=True), t.dim_store, t.dim_product, changed
         )
     return tables.read_table(t.spark, weekly)
 

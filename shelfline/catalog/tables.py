@@ -5,11 +5,8 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shelfline.catalog.feeds import Feeds
-from shelfline.functions import parsing as p
-from shelfline.operators.upsert import latest_per_key
 from shelfline.plans import bronze, features, gold, silver, staging
 from shelfline.sources.tables import stored
 
@@ -48,18 +45,8 @@ class Tables(Feeds):
 
     @cached_property
     def readable_pos(self) -> DataFrame:
-        """Sell-through rows whose numbers and date the strict job can read.
-
-        Written before use: Spark may evaluate the strict casts ahead of this filter if
-        both end up in one plan.
-        """
-        code = p.tidy_code(F.col("retailer_code"))
-        readable = self.raw_pos.where(
-            p.parse_integer(F.col("units_sold")).isNotNull()
-            & p.parse_decimal(F.col("revenue"), 18, 2).isNotNull()
-            & p.parse_date_by_source(code, F.col("transaction_date")).isNotNull()
-        )
-        return stored(readable, "readable_pos")
+        """What the strict job takes; the rows it can't are in ``bronze.unreadable_pos``."""
+        return stored(bronze.readable_pos(self.raw_pos), "readable_pos")
 
     @cached_property
     def pos_enriched(self) -> DataFrame:
@@ -69,10 +56,6 @@ class Tables(Feeds):
     def fct_pos_sales(self) -> DataFrame:
         return silver.fct_pos_sales(self.stg_pos, self.dim_store, self.dim_product, self.dim_fx)
 
-    @cached_property
-    def fct_pos_sales_merged(self) -> DataFrame:
-        return latest_per_key(self.fct_pos_sales, "pos_sale_sk", "_loaded_at")
-
     @cached_property
     def fct_inventory(self) -> DataFrame:
         return silver.fct_inventory(self.stg_inventory, self.dim_store)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.operators.lookups import join_folded
+
 
 def daily_sales(pos: DataFrame) -> DataFrame:
     """Sales folded to product, retailer and day.
@@ -67,7 +69,10 @@ def off_promo(daily: DataFrame, promos: DataFrame) -> DataFrame:
     alone, which has few values.
     """
     days = covered_days(promos, "first_day", "last_day")
-    return daily.join(days, ["retailer_code", "transaction_date"], "left_anti")
+    # The null-safe form lets Spark split a hot (retailer, day): see join_folded. Sales lacking either are kept.
+    known = daily.where(F.col("retailer_code").isNotNull() & F.col("transaction_date").isNotNull())
+    unknown = daily.where(F.col("retailer_code").isNull() | F.col("transaction_date").isNull())
+    return join_folded(known, days, ["retailer_code", "transaction_date"], "left_anti").unionByName(unknown)
 
 
 def on_promo(daily: DataFrame, promos: DataFrame) -> DataFrame:
@@ -81,22 +86,3 @@ def on_promo(daily: DataFrame, promos: DataFrame) -> DataFrame:
     return calendar.join(by_month, ["upc", "retailer_code", "month"]).where(
         F.col("transaction_date").between(F.col("first_day"), F.col("last_day"))
     )
-
-
-def pair_by_retailer(left: DataFrame, right: DataFrame, spread_by: str, value: str, slices: int = 128) -> DataFrame:
-    """Left join on ``retailer_code`` where both sides hold many rows per retailer.
-
-    ``right`` is cut into ``slices`` by hash of ``spread_by`` and ``left`` is repeated
-    once per slice, so a retailer's pairs come out of many tasks. Left rows of a
-    retailer unknown to ``right`` are added apart, with nulls.
-    """
-    sliced = right.select(
-        "retailer_code", value, F.pmod(F.xxhash64(spread_by), F.lit(slices)).cast("int").alias("_slice")
-    )
-    repeated = left.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    paired = repeated.join(sliced, ["retailer_code", "_slice"]).select(*left.columns, value)
-    known = right.groupBy("retailer_code").agg(F.count(value).alias("_rows"))
-    unpaired = left.join(known, "retailer_code", "left_anti").select(
-        *left.columns, F.lit(None).cast(right.schema[value].dataType).alias(value)
-    )
-    return paired.unionByName(unpaired)

@@ -113,4 +113,16 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] = MODEL_
         ])
         parts.append(counted.select(F.inline(lines)))
     report = reduce(DataFrame.unionByName, parts)
-    return report.withColumn("passed", F.col("violations") == 0)
+    status = F.when(F.col("violations") == 0, "PASS").when(F.col("severity") == "warn", "WARN").otherwise("ERROR")
+    return report.withColumn("passed", F.col("violations") == 0).withColumn("status", status)
+
+
+class ChecksFailed(Exception):
+    """A check of severity ``error`` found something."""
+
+
+def stop_on_errors(report: DataFrame) -> None:
+    """Raises ``ChecksFailed`` if a line of the report, which has one per check, is an error. Warnings pass."""
+    failed = report.where("status = 'ERROR'").orderBy("check_name").collect()
+    if failed:
+        raise ChecksFailed(", ".join(f"{r['check_name']}: {r['violations']}" for r in failed))

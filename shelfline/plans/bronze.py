@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import schemas
 from shelfline.functions.measures import ratio
 from shelfline.functions.parsing import (
+    ISO,
     digits,
+    parse_date_by_source,
+    parse_decimal,
+    parse_integer,
     strict_date_by_source,
     strict_float,
     strict_integer,
     tidy_code,
 )
 from shelfline.operators.lookups import add_product, add_rate, add_store_key
-from shelfline.plans.staging import stage_inventory, stage_pos, type_orders
+from shelfline.plans.staging import stage_inventory, stage_pos, type_inventory, type_orders, type_pos
 from shelfline.sources.raw import day, stamp
 from shelfline.sources.tables import conform
 
@@ -43,6 +47,7 @@ def rejected_orders(typed: DataFrame, rejected_at: datetime | str | None = None)
         .when(F.col("typed_order_qty").isNull(), "INVALID_QUANTITY")
         .when(F.col("typed_net_value").isNull(), "INVALID_NET_VALUE")
         .when(F.col("material_number").isNull(), "NULL_MATERIAL")
+        .when(F.col("record_id").isNull(), "NULL_RECORD_ID")
         .otherwise("UNKNOWN")
     )
     rows = typed.where(~F.col("is_valid")).select(
@@ -78,6 +83,18 @@ def order_counts(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_pos(raw: DataFrame, rejected_at: datetime | str | None = None) -> DataFrame:
+    """Sell-through rows that ``cleanse_pos`` leaves out, as sent, with the first rule each one breaks."""
+    rows = type_pos(raw).where(F.col("rejection_reason").isNotNull())
+    return rows.select(*schemas.RAW_POS.names, "rejection_reason", stamp(rejected_at).alias("_rejected_at"))
+
+
+def rejected_inventory(raw: DataFrame, rejected_at: datetime | str | None = None) -> DataFrame:
+    """Snapshots that ``cleanse_inventory`` leaves out, as sent, with the first rule each one breaks."""
+    rows = type_inventory(raw).where(F.col("rejection_reason").isNotNull())
+    return rows.select(*schemas.RAW_INVENTORY.names, "rejection_reason", stamp(rejected_at).alias("_rejected_at"))
+
+
 def cleanse_pos(raw: DataFrame, stores: DataFrame, fx: DataFrame) -> DataFrame:
     """Valid sell-through with store key and revenue in USD at the rate of the month's first day."""
     rows = add_store_key(stage_pos(raw), stores)
@@ -119,6 +136,32 @@ def pos_quality_audit(cleansed: DataFrame, as_of: datetime | str | None = None,
     )
 
 
+def _unreadable(raw: DataFrame) -> Column:
+    """What the strict job could not read in a row; null if it can read all of it."""
+    code = tidy_code(F.col("retailer_code"))
+    return (
+        F.when(parse_integer(F.col("units_sold")).isNull(), "UNREADABLE_UNITS")
+        .when(parse_decimal(F.col("revenue"), 18, 2).isNull(), "UNREADABLE_REVENUE")
+        .when(parse_date_by_source(code, F.col("transaction_date"), default=(ISO,)).isNull(), "UNREADABLE_DATE")
+    )
+
+
+def readable_pos(raw: DataFrame) -> DataFrame:
+    """The rows of a feed that ``strict_pos`` can read; ``unreadable_pos`` has all others.
+
+    Write the result before the strict job reads it: Spark may run a strict cast ahead of this filter if
+    both are in one plan.
+    """
+    return raw.where(_unreadable(raw).isNull())
+
+
+def unreadable_pos(raw: DataFrame, rejected_at: datetime | str | None = None) -> DataFrame:
+    reason = _unreadable(raw)
+    return raw.where(reason.isNotNull()).select(
+        *schemas.RAW_POS.names, reason.alias("rejection_reason"), stamp(rejected_at).alias("_rejected_at")
+    )
+
+
 def strict_pos(raw: DataFrame) -> DataFrame:
     """Sell-through with tidied codes and strict typing: text that does not parse fails the job."""
     return (

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.lookups import if_small
-from shelfline.operators.quality import MODEL_CHECKS, run_checks
+from shelfline.operators.quality import MODEL_CHECKS, run_checks, stop_on_errors
 from shelfline.operators.upsert import UpsertResult, finish_interrupted, newer_than, upsert
 from shelfline.plans import features, gold, silver, staging
 from shelfline.plans.refresh import rebuild
 from shelfline.sources.raw import register_views
-from shelfline.sources.tables import read_table, table_exists, write_sorted
+from shelfline.sources.tables import read_table, stored, table_exists, write_sorted
 
 # Fact -> (its date, the key it is merged on).
 FACTS = {
@@ -31,26 +31,30 @@ def gold_path(root: str, table: str) -> str:
 
 
 def merge_fact(
-    spark: SparkSession, root: str, table: str, landed: DataFrame, make, by: str = "day", full: bool = False
+    spark: SparkSession, root: str, table: str, landed: DataFrame, make, by: str = "day", full: bool = False, lookback: str | None = None
 ) -> UpsertResult:
     """Brings a fact up to date with the rows landed since its newest one.
 
     ``make`` turns landed rows into fact rows. Partitions are days; ``by="month"`` suits
-    tables with few rows a day. ``full`` rebuilds the fact from all landed rows.
+    tables with few rows a day. ``full`` rebuilds the fact from all landed rows. ``lookback`` (such as
+    ``'2 hours'``) also takes rows that landed so long before the newest one.
     """
     path, (date, key) = silver_path(root, table), FACTS[table]
     part, order = f"{date}_{by}" if by != "day" else date, [date, "retailer_code"]
     finish_interrupted(spark, path, part, order)
     if not full and table_exists(spark, path):
-        landed = newer_than(landed, read_table(spark, path), "_loaded_at", "_loaded_at")
+        landed = newer_than(landed, read_table(spark, path), "_loaded_at", "_loaded_at", lookback)
     rows = make(landed)
     if part != date:
         rows = rows.withColumn(part, F.trunc(date, by))
     return upsert(spark, path, rows, key, part, cluster_by=order, mode="full" if full else "merge")
 
 
-def read_fact(spark: SparkSession, root: str, table: str) -> DataFrame:
+def read_fact(spark: SparkSession, root: str, table: str, parts: bool = False) -> DataFrame:
+    """The fact; with ``parts`` also the month column it is partitioned by, if it is."""
     df = read_table(spark, silver_path(root, table))
+    if parts:
+        return df
     return df.drop(*[c for c in df.columns if c.endswith("_month")])
 
 
@@ -61,11 +65,13 @@ def build_silver(
     root: str,
     by: str = "day",
     full: bool = False,
+    stop: bool = True,
 ) -> DataFrame:
     """Staging views, the two merged facts, the rebuilt promotions, then the checks on them.
 
     ``feeds``: raw_pos, raw_inventory, raw_promo. ``reference``: dim_product, dim_store,
-    dim_fx. Returns the check report.
+    dim_fx. Returns the check report, a stored table. A failed check of severity ``error`` stops the build with
+    ``ChecksFailed``, so that no gold table is made of such facts; ``stop=False`` only reports it.
     """
     stores, products, fx = (if_small(reference[n]) for n in ("dim_store", "dim_product", "dim_fx"))
     staged = {
@@ -84,7 +90,30 @@ def build_silver(
     )
     rebuild(lambda: silver.fct_promotions(staged["stg_promo"], products), silver_path(root, "fct_promotions"))
     built = {n: read_fact(spark, root, n) for n in (*FACTS, "fct_promotions")}
-    return run_checks({**built, "dim_store": stores, "dim_product": products}, MODEL_CHECKS)
+    report = stored(run_checks({**built, "dim_store": stores, "dim_product": products}, MODEL_CHECKS), "check_report")
+    if stop:
+        stop_on_errors(report)
+    return report
+
+
+def build_silver_from_bronze(
+    spark: SparkSession, cleansed_pos: DataFrame, cleansed_inventory: DataFrame, products: DataFrame, root: str, by: str = "day", full: bool = False
+) -> dict[str, UpsertResult]:
+    """The facts of the other lineage, merged from the cleansed bronze tables, and the features.
+
+    Keys are null here for rows of unknown stores or days; the results' ``rejects`` hold these rows.
+    """
+    products = if_small(products)
+    done = {
+        "fct_pos_sales": merge_fact(
+            spark, root, "fct_pos_sales", cleansed_pos, lambda rows: silver.fct_pos_sales_from_bronze(rows, products), by, full
+        ),
+        "fct_inventory": merge_fact(
+            spark, root, "fct_inventory", cleansed_inventory, silver.fct_inventory_from_bronze, by, full
+        ),
+    }
+    build_features(cleansed_pos, root)
+    return done
 
 
 def build_features(cleansed: DataFrame, root: str) -> int:

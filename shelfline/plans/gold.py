@@ -14,7 +14,7 @@ from shelfline.operators.lookups import (
     join_folded,
     price_by_brand,
 )
-from shelfline.operators.promo_days import daily_sales, off_promo, on_promo, pair_by_retailer, running
+from shelfline.operators.promo_days import daily_sales, off_promo, on_promo, running
 from shelfline.sources.raw import day
 from shelfline.sources.tables import stored
 
@@ -60,18 +60,21 @@ def rows_without_rate(fact: DataFrame, fx: DataFrame, date: str, currency: str,
 def weekly_store_demand(pos: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Units, weight and revenue per week, store and product group. Weeks start on Monday.
 
-    Days are summed first and counted afterwards: the distinct day count then needs no
+    The fact is folded to store, product and day before any join, so that only these sums are shuffled to large
+    reference tables. Days are then summed and counted: the distinct day count needs no
     second pass over the rows.
     """
     place = ("retailer_name", "region", "store_name", "store_id")
     group = ("brand", "category", "sub_category")
-    sales = pos.select("store_key", "upc", "transaction_date", "units_sold", "revenue_usd")
+    sales = pos.groupBy("store_key", "upc", "transaction_date").agg(
+        F.sum("units_sold").alias("units"), F.sum("revenue_usd").alias("revenue")
+    )
     rows = sales.join(stores.select("store_key", *place), "store_key")
     rows = add_product(rows, products, "upc", *group, "unit_weight_kg", how="inner")
     by_day = rows.groupBy(*place, *group, "transaction_date").agg(
-        F.sum("units_sold").alias("units"),
-        F.sum(F.col("units_sold") * F.col("unit_weight_kg")).alias("kg"),
-        F.sum("revenue_usd").alias("revenue"),
+        F.sum("units").alias("units"),
+        F.sum(F.col("units") * F.col("unit_weight_kg")).alias("kg"),
+        F.sum("revenue").alias("revenue"),
     )
     return (
         by_day.groupBy(F.trunc("transaction_date", "week").alias("week_start"), *place, *group)
@@ -127,35 +130,33 @@ def baseline_sales(daily: DataFrame, promos: DataFrame, products: DataFrame) ->
     )
 
 
+def _lift_inputs(promos, products, pos, daily) -> tuple[DataFrame, DataFrame]:
+    """Promotion sums with the brand's price, and baselines. The fact is read once: its daily sums are stored."""
+    daily = stored(daily_sales(pos), "daily_sales") if daily is None else daily
+    calendar = running(promos, daily)
+    summary = promo_sales(daily, calendar, products, by_upc=True).join(price_by_brand(products), "brand", "left")
+    return summary, baseline_sales(daily, calendar, products)
+
+
+_PROMO = (
+    "promo_id", "promo_name", "promo_mechanic", "retailer_code", "brand", "category", "start_date", "end_date",
+    "promo_days", "trade_spend_usd", "brand_price_per_kg",
+)
+
+
 def promo_lift(
-    promos: DataFrame,
-    products: DataFrame,
-    pos: DataFrame | None = None,
-    daily: DataFrame | None = None,
-    match_upc: bool = False,
+    promos: DataFrame, products: DataFrame, pos: DataFrame | None = None, daily: DataFrame | None = None
 ) -> DataFrame:
-    """Promotion sales against the baseline, with lift, extra revenue and return on spend.
-
-    By default a promotion is set against the baseline of every product of its
-    retailer, one row each; ``match_upc=True`` compares it with its own product only.
+    """Promotion sales against the product's own baseline, with lift, extra revenue and return on spend.
 
-    The fact is read once: its daily sums are stored, then used for both sides. Pass
-    ``daily`` if such a table is at hand. The baseline is stored too, so that the
-    joins below know its size.
+    One row per promotion and product. Pass ``daily``, as ``daily_sales`` makes it, if such a table is at hand.
     """
-    daily = stored(daily_sales(pos), "daily_sales") if daily is None else daily
-    calendar = running(promos, daily)
-    summary = promo_sales(daily, calendar, products, by_upc=match_upc)
-    summary = summary.join(price_by_brand(products), "brand", "left")
-    baseline = stored(baseline_sales(daily, calendar, products), "baseline_sales")
-    if match_upc:
-        paired = summary.join(baseline, ["retailer_code", "upc"], "left")
-    else:
-        paired = pair_by_retailer(summary, baseline, spread_by="upc", value="baseline_daily_kg")
+    summary, baseline = _lift_inputs(promos, products, pos, daily)
     base, days = F.col("baseline_daily_kg"), F.col("promo_days")
     usual_revenue = base * days * F.col("brand_price_per_kg").cast("double")
     return (
-        paired.withColumn("promo_daily_kg", ratio(F.col("promo_kg"), days))
+        join_folded(summary, baseline, ["retailer_code", "upc"])
+        .withColumn("promo_daily_kg", ratio(F.col("promo_kg"), days))
         .withColumn("lift_pct", ratio(F.col("promo_daily_kg") - base, base))
         .withColumn("incremental_revenue_est", F.col("promo_revenue").cast("double") - usual_revenue)
         .withColumn("promo_roi", ratio(F.col("incremental_revenue_est"), F.col("trade_spend_usd")))
@@ -168,6 +169,42 @@ def promo_lift(
     )
 
 
+def promo_lift_by_retailer(
+    promos: DataFrame, products: DataFrame, pos: DataFrame | None = None, daily: DataFrame | None = None
+) -> DataFrame:
+    """Promotion sales against the baselines of all products of the retailer.
+
+    Setting a promotion against each product of its retailer would give a row per pair. All that a report asks of these
+    rows is linear in the baseline or in one over it, so the retailer's baselines are folded first, to a count and two
+    means, and each promotion is one row: the mean lift, extra revenue and return over its retailer's products. Measures
+    with a baseline are rounded to six places, since means of doubles depend on their order.
+    """
+    summary, baseline = _lift_inputs(promos, products, pos, daily)
+    base, days = F.col("base"), F.col("promo_days")
+    folded = baseline.groupBy("retailer_code").agg(
+        F.count("baseline_daily_kg").alias("products"),
+        F.avg("baseline_daily_kg").alias("base"),
+        F.avg(ratio(F.lit(1), F.col("baseline_daily_kg"))).alias("inverse"),
+    )
+    totals = summary.groupBy(*_PROMO).agg(F.sum("promo_kg").alias("promo_kg"), F.sum("promo_revenue").alias("promo_revenue"))
+    extra = F.col("promo_revenue").cast("double") - base * days * F.col("brand_price_per_kg").cast("double")
+    return (
+        join_folded(totals, folded, ["retailer_code"])
+        .withColumn("promo_daily_kg", ratio(F.col("promo_kg"), days))
+        .withColumn("extra", extra)
+        .select(
+            "promo_id", "promo_name", "promo_mechanic", "retailer_code", "brand", "category",
+            "start_date", "end_date", "promo_days", "promo_kg", "promo_daily_kg",
+            F.coalesce("products", F.lit(0)).alias("products"),
+            F.round(base, 6).alias("baseline_daily_kg"),
+            F.round(F.col("promo_daily_kg") * F.col("inverse") - 1, 6).alias("lift_pct"),
+            "promo_revenue", "trade_spend_usd",
+            F.round("extra", 6).alias("incremental_revenue_est"),
+            F.round(ratio(F.col("extra"), F.col("trade_spend_usd")), 6).alias("promo_roi"),
+        )
+    )
+
+
 def recent_demand(pos: DataFrame, as_of: str | None = None, days: int = 28) -> DataFrame:
     """Mean units per sales row of the last ``days``, by store and product."""
     return (

@@ -12,14 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfline.plans.gold import weekly_store_demand
 from shelfline.sources.tables import overwrite, table_exists, write_clustered
 
-# How old each gold table may get.
-TARGET_LAG = {
-    "conformed_sales": "30 minutes",
-    "weekly_store_demand": "1 hour",
-    "promo_lift": "2 hours",
-    "on_shelf_availability": "30 minutes",
-}
-
 
 def rebuild(build: Callable[[], DataFrame], path: str) -> int:
     """Computes a table anew and replaces it; returns its row count."""
@@ -37,7 +29,8 @@ def refresh_weekly_demand(
     """Brings the weekly table up to date after the rows ``changed`` reached ``pos``.
 
     Only the weeks that ``changed`` has days in are recomputed. Weeks are few; they are
-    named day by day in the filter, which prunes a fact partitioned by day.
+    named day by day in the filter, which prunes a fact partitioned by day. A fact partitioned by
+    ``transaction_date_month`` is pruned by the months of these days.
     """
     rows, partial = pos, changed is not None and table_exists(spark, path)
     if partial:
@@ -45,6 +38,8 @@ def refresh_weekly_demand(
         weeks = [row.week for row in changed.select(week).distinct().collect()]
         days = [w + timedelta(days=i) for w in weeks if w is not None for i in range(7)]
         in_weeks = F.col("transaction_date").isin(days)
+        if "transaction_date_month" in pos.columns:
+            in_weeks = in_weeks & F.col("transaction_date_month").isin(sorted({d.replace(day=1) for d in days}))
         rows = pos.where(in_weeks | F.col("transaction_date").isNull() if None in weeks else in_weeks)
     write_clustered(
         weekly_store_demand(rows, stores, products),

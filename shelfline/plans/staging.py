@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.parsing import (
+    AUTO_DATES,
     COMPACT,
     parse_date,
     parse_date_auto,
     parse_date_by_source,
     parse_decimal,
     parse_integer,
+    parse_wide_integer,
     upc_has_length,
     yes_flag,
 )
@@ -21,46 +23,90 @@ def _lineage() -> list:
     return [F.col("_file_name").alias("source_file"), F.col("_loaded_at").alias("loaded_at")]
 
 
-def stage_pos(raw: DataFrame) -> DataFrame:
+def type_pos(raw: DataFrame, layouts: dict[str, str] | None = None, default: tuple[str, ...] = AUTO_DATES) -> DataFrame:
+    """Sell-through rows with typed twins of the text columns and ``rejection_reason``, null for accepted ones.
+
+    One column decides, so accepted and rejected rows always add up to the input.
+    """
+    units = F.col("typed_units_sold")
+    return raw.withColumns(
+        {
+            "typed_date": parse_date_by_source(F.col("retailer_code"), F.col("transaction_date"), layouts, default),
+            "typed_units_sold": parse_integer(F.col("units_sold")),
+            "typed_revenue": parse_decimal(F.col("revenue"), 18, 2),
+        }
+    ).withColumn(
+        "rejection_reason",
+        F.when(~F.coalesce(upc_has_length(F.col("upc"), 12, 13), F.lit(False)), "INVALID_UPC")
+        .when(parse_wide_integer(F.col("units_sold")).isNull(), "INVALID_UNITS")
+        .when(units.isNull(), "UNITS_TOO_LARGE")
+        .when(units < 0, "NEGATIVE_UNITS"),
+    )
+
+
+def stage_pos(raw: DataFrame, layouts: dict[str, str] | None = None, default: tuple[str, ...] = AUTO_DATES) -> DataFrame:
     """Sell-through rows with a plausible UPC and a unit count of zero or more.
 
     A date that cannot be read stays as null. The UPC is checked on its digits but
-    passed on as sent.
+    passed on as sent. ``layouts`` names date layouts by retailer, ``default`` those tried for others.
     """
-    return raw.select(
-        "retailer_code",
-        "store_id",
-        "upc",
-        parse_date_by_source(F.col("retailer_code"), F.col("transaction_date")).alias("transaction_date"),
-        parse_integer(F.col("units_sold")).alias("units_sold"),
-        parse_decimal(F.col("revenue"), 18, 2).alias("revenue"),
-        "currency_code",
-        yes_flag(F.col("promo_flag")).alias("is_promo"),
-        *_lineage(),
-    ).where(upc_has_length(F.col("upc"), 12, 13) & (F.col("units_sold") >= 0))
+    return (
+        type_pos(raw, layouts, default)
+        .where(F.col("rejection_reason").isNull())
+        .select(
+            "retailer_code",
+            "store_id",
+            "upc",
+            F.col("typed_date").alias("transaction_date"),
+            F.col("typed_units_sold").alias("units_sold"),
+            F.col("typed_revenue").alias("revenue"),
+            "currency_code",
+            yes_flag(F.col("promo_flag")).alias("is_promo"),
+            *_lineage(),
+        )
+    )
+
 
+def type_inventory(raw: DataFrame, layouts: tuple[str, ...] = AUTO_DATES) -> DataFrame:
+    """Snapshots with typed twins of the text columns and ``rejection_reason``, null for accepted ones."""
+    counts = ("on_hand_qty", "in_transit_qty", "on_order_qty")
+    on_hand = F.col("typed_on_hand_qty")
+    return raw.withColumns(
+        {"typed_date": parse_date_auto(F.col("snapshot_date"), layouts), **{f"typed_{c}": parse_integer(F.col(c)) for c in counts}}
+    ).withColumn(
+        "rejection_reason",
+        F.when(F.col("typed_date").isNull(), "INVALID_DATE")
+        .when(parse_wide_integer(F.col("on_hand_qty")).isNull(), "INVALID_QUANTITY")
+        .when(on_hand.isNull(), "QUANTITY_TOO_LARGE")
+        .when(on_hand < 0, "NEGATIVE_QUANTITY"),
+    )
 
-def stage_inventory(raw: DataFrame) -> DataFrame:
+
+def stage_inventory(raw: DataFrame, layouts: tuple[str, ...] = AUTO_DATES) -> DataFrame:
     """Snapshots with a readable date and an on-hand count of zero or more."""
-    return raw.select(
-        "retailer_code",
-        "store_id",
-        "upc",
-        parse_date_auto(F.col("snapshot_date")).alias("snapshot_date"),
-        *[parse_integer(F.col(c)).alias(c) for c in ("on_hand_qty", "in_transit_qty", "on_order_qty")],
-        *_lineage(),
-    ).where(F.col("snapshot_date").isNotNull() & (F.col("on_hand_qty") >= 0))
+    return (
+        type_inventory(raw, layouts)
+        .where(F.col("rejection_reason").isNull())
+        .select(
+            "retailer_code",
+            "store_id",
+            "upc",
+            F.col("typed_date").alias("snapshot_date"),
+            *[F.col(f"typed_{c}").alias(c) for c in ("on_hand_qty", "in_transit_qty", "on_order_qty")],
+            *_lineage(),
+        )
+    )
 
 
-def stage_promo(raw: DataFrame) -> DataFrame:
+def stage_promo(raw: DataFrame, layouts: tuple[str, ...] = AUTO_DATES) -> DataFrame:
     """The promotion calendar, all rows."""
     return raw.select(
         "promo_id",
         "promo_name",
         "retailer_code",
         "material_number",
-        parse_date_auto(F.col("start_date")).alias("start_date"),
-        parse_date_auto(F.col("end_date")).alias("end_date"),
+        parse_date_auto(F.col("start_date"), layouts).alias("start_date"),
+        parse_date_auto(F.col("end_date"), layouts).alias("end_date"),
         "promo_mechanic",
         parse_decimal(F.col("discount_pct"), 5, 2).alias("discount_pct"),
         parse_decimal(F.col("trade_spend_usd"), 18, 2).alias("trade_spend_usd"),
@@ -85,5 +131,6 @@ def type_orders(raw: DataFrame) -> DataFrame:
         F.col("typed_order_date").isNotNull()
         & F.col("typed_order_qty").isNotNull()
         & F.col("typed_net_value").isNotNull()
-        & F.col("material_number").isNotNull(),
+        & F.col("material_number").isNotNull()
+        & F.col("record_id").isNotNull(),
     )

@@ -33,7 +33,9 @@ from shelfline.plans.bronze import (
 from shelfline.plans.staging import type_orders
 from shelfline.sources.raw import stamp, stream_feed
 
-POLL_INTERVAL = "5 minutes"  # fixed value
+# A reference table that may change while a stream polls is given as its path, or as a function that reads it;
+# a frame is for tables that do not, since its list of files is that of its making.
+Reference = DataFrame | str | Callable[[SparkSession], DataFrame]
 
 _POS_LAYOUT = StructType(
     [*schemas.POS_CLEANSED.fields, StructField("newest_day", schemas.DATE), StructField("batch", schemas.KEY)]
@@ -48,6 +50,15 @@ def _write_batch(df: DataFrame, root: str, table: str, batch: int) -> int:
     return seen.get["rows"]
 
 
+def _now(table: Reference, session: SparkSession) -> DataFrame:
+    """A reference table as it is at this batch: a path or a function is read anew."""
+    if isinstance(table, str):
+        table = session.read.parquet(table)
+    elif not isinstance(table, DataFrame):
+        table = table(session)
+    return if_small(table)
+
+
 def _newest_day(batch: DataFrame) -> str:
     """Latest load day in the batch, as a folder name."""
     newest = batch.agg(F.to_date(F.max("_loaded_at")).alias("day")).first()["day"]
@@ -105,8 +116,8 @@ def ingest_pos(
     spark: SparkSession,
     landing: str,
     root: str,
-    stores: DataFrame,
-    fx: DataFrame,
+    stores: Reference,
+    fx: Reference,
     as_of: datetime | str | None = None,
     processingTime: str | None = None,
     after: Callable[[DataFrame], None] | None = None,
@@ -116,12 +127,11 @@ def ingest_pos(
 
     ``after`` is called with the cleansed rows of the batch, for refreshes that follow.
     """
-    stores, fx = if_small(stores), if_small(fx)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         folder = f"pos_cleansed/{_newest_day(batch)}"
-        rows = _write_batch(cleanse_pos(batch, stores, fx), root, folder, batch_id)
+        rows = _write_batch(cleanse_pos(batch, _now(stores, session), _now(fx, session)), root, folder, batch_id)
         cleansed = session.read.schema(_POS_LAYOUT).parquet(f"{root}/pos_cleansed")
         first_day = F.to_date(stamp(as_of) - F.expr("interval 1 hour"))
         audit = pos_quality_audit(cleansed.where(F.col("newest_day") >= first_day), as_of, hours=1)
@@ -137,15 +147,14 @@ def ingest_inventory(
     spark: SparkSession,
     landing: str,
     root: str,
-    stores: DataFrame,
+    stores: Reference,
     processingTime: str | None = None,
     **source,
 ) -> StreamingQuery:
     """Fills ``inventory_cleansed``."""
-    stores = if_small(stores)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = _write_batch(cleanse_inventory(batch, stores), root, "inventory_cleansed", batch_id)
+        rows = _write_batch(cleanse_inventory(batch, _now(stores, batch.sparkSession)), root, "inventory_cleansed", batch_id)
         _log(batch.sparkSession, root, "inventory", batch_id, f"Processed {rows} inventory records.")
 
     return _start(

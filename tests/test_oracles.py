@@ -46,7 +46,7 @@ def test_query(spark, con, sf_dir, name):
 
 
 SORT_MERGE = (
-    "fct_pos_sales", "fct_inventory", "conformed_sales", "weekly_store_demand", "promo_lift", "promo_lift_same_product",
+    "fct_pos_sales", "fct_inventory", "conformed_sales", "weekly_store_demand", "promo_lift", "promo_lift_by_retailer",
     "on_shelf_availability", "demand_features", "order_changes", "new_product_versions", "quality_report",
     "incremental_pos_sales", "cleanse_pos", "orphan_upcs",
 )

@@ -117,32 +117,47 @@ def test_lift_with_a_hot_product_and_retailer(spark, hot, products):
     for s in sales:
         if (s.retailer_code, s.transaction_date) not in covered:
             base[(s.retailer_code, s.upc)].append(float(s.units_sold) * weight[s.upc])
-    want = Counter()
+    want = {}
     for p in calendar:
         mine = [s for s in sales if s.upc == upc_of[p.material_number] and s.retailer_code == p.retailer_code and p.start_date <= s.transaction_date <= p.end_date]
         if mine:
             kg = round(sum(float(s.units_sold) * weight[s.upc] for s in mine), 6)
-            means = [sum(v) / len(v) for (r, _), v in base.items() if r == p.retailer_code] or [None]
-            want.update((p.promo_id, kg, None if m is None else round(m, 6)) for m in means)
-    rows = gold.promo_lift(promos, products, silver_fact(hot)).collect()
-    got = Counter((r.promo_id, round(float(r.promo_kg), 6), None if r.baseline_daily_kg is None else round(r.baseline_daily_kg, 6)) for r in rows)
-    assert got == want and sum(want.values()) > 1000
+            means = [sum(v) / len(v) for (r, u), v in base.items() if r == p.retailer_code]
+            own = base.get((p.retailer_code, upc_of[p.material_number]))
+            want[p.promo_id] = (kg, len(means), round(sum(means) / len(means), 5), own and round(sum(own) / len(own), 5))
+    alone = {r.promo_id: r.baseline_daily_kg for r in gold.promo_lift(promos, products, silver_fact(hot)).collect()}
+    rows = gold.promo_lift_by_retailer(promos, products, silver_fact(hot)).collect()
+    got = {r.promo_id: (round(float(r.promo_kg), 6), r.products, round(r.baseline_daily_kg, 5), alone[r.promo_id] and round(alone[r.promo_id], 5)) for r in rows}
+    # One row per promotion, however many products its retailer sells.
+    assert got == want and len(rows) == len(alone) == len(want) > 20
+
+
+def test_lift_pairs_nothing_by_retailer_alone(spark, hot, products):
+    promos = spark.createDataFrame([], schemas.FCT_PROMOTIONS)
+    for job in (gold.promo_lift, gold.promo_lift_by_retailer):
+        text = plan(job(promos, products, silver_fact(hot)))
+        assert "CartesianProduct" not in text and "NestedLoop" not in text
+        assert "Generate explode(sequence(0" not in text
+
+
+def test_off_promo_splits_a_hot_day(spark, skew_settings):
+    """Past the broadcast limit AQE can split a (retailer, day) that holds most sales."""
+    daily = spark.range(200_000).select(
+        F.col("id").cast("string").alias("upc"), F.when(F.col("id") >= 0, "R").alias("retailer_code"),
+        F.when(F.col("id") % 3 > 0, F.lit("2024-01-01")).otherwise("2024-02-01").cast("date").alias("transaction_date"),
+        F.lit(1).alias("day_units"), F.lit(1).alias("day_rows"), F.md5(F.col("id").cast("string")).alias("filler"),
+    )
+    promos = spark.createDataFrame([("P", "R", "2024-02-01", "2024-02-03")], "promo_id string, retailer_code string, s string, e string")
+    promos = promos.select("promo_id", "retailer_code", F.col("s").cast("date").alias("first_day"), F.col("e").cast("date").alias("last_day"))
+    left = promo_days.off_promo(daily, promos)
+    assert split_joins(left) >= 1
+    assert left.count() == 133_333
 
 
 def silver_fact(cleansed):
     return cleansed.withColumn("pos_sale_sk", F.lit("x"))
 
 
-def test_pairs_with_one_retailer(spark):
-    left = spark.range(50).select(F.col("id").cast("string").alias("promo_id"), F.lit("R").alias("retailer_code"))
-    left = left.unionByName(spark.createDataFrame([("lone", "X"), ("null", None)], "promo_id string, retailer_code string"))
-    right = spark.range(400).select(F.col("id").cast("string").alias("upc"), F.lit("R").alias("retailer_code"), F.col("id").cast("double").alias("v"))
-    got = Counter((r.promo_id, r.v) for r in promo_days.pair_by_retailer(left, right, "upc", "v").collect())
-    want = Counter({(str(i), float(j)): 1 for i in range(50) for j in range(400)})
-    want.update([("lone", None), ("null", None)])
-    assert got == want
-
-
 def test_latest_of_a_hot_key_is_combined_before_the_shuffle(spark):
     df = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("at"), F.lit(1).alias("v")

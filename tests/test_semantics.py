@@ -10,7 +10,7 @@ from seeds import frame, landing, seed_tables
 from shelfline import schemas
 from shelfline.functions.measures import ratio
 from shelfline.operators import lookups, promo_days, quality
-from shelfline.plans import bronze, features, gold, silver, staging
+from shelfline.plans import bronze, build, features, gold, silver, staging
 
 
 @pytest.fixture(scope="module")
@@ -231,18 +231,20 @@ def lift_tables(spark, ref):
     return promos, fact
 
 
-def test_lift_pairs_every_product_of_the_retailer(ref, lift_tables):
+def test_lift_folds_the_products_of_the_retailer(ref, lift_tables):
     promos, fact = lift_tables
-    rows = gold.promo_lift(promos, ref["dim_product"], fact).collect()
-    got = sorted((r.promo_id, None if r.baseline_daily_kg is None else round(r.baseline_daily_kg, 6)) for r in rows)
+    rows = gold.promo_lift_by_retailer(promos, ref["dim_product"], fact).collect()
+    got = {r.promo_id: (r.products, r.baseline_daily_kg, r.lift_pct) for r in rows}
     # MAT-001 off promotion: 10, 30 and the undated 70 units at 0.2 kg; MAT-002: 50 at 0.0415.
-    a, b = round((10 + 30 + 70) * 0.2 / 3, 6), round(50 * 0.0415, 6)
-    assert got == sorted([("P1", a), ("P1", b), ("P2", a), ("P2", b), ("P5", None)], key=str)
+    a, b = (10 + 30 + 70) * 0.2 / 3, 50 * 0.0415
+    daily = {r.promo_id: r.promo_daily_kg for r in rows}
+    assert got["P1"] == (2, round((a + b) / 2, 6), round(((daily["P1"] - a) / a + (daily["P1"] - b) / b) / 2, 6))
+    assert got["P2"][:2] == got["P1"][:2] and got["P5"] == (0, None, None)
 
 
 def test_lift_measures(ref, lift_tables):
     promos, fact = lift_tables
-    row = {r.promo_id: r for r in gold.promo_lift(promos, ref["dim_product"], fact, match_upc=True).collect()}
+    row = {r.promo_id: r for r in gold.promo_lift(promos, ref["dim_product"], fact).collect()}
     base = 110 * 0.2 / 3
     p1 = row["P1"]
     assert (p1.promo_days, float(p1.promo_kg), p1.promo_daily_kg) == (2, 4.0, 2.0)
@@ -305,3 +307,43 @@ def test_checks_report_what_they_find(spark, ref):
 
 def test_division_by_zero_is_null(spark):
     assert spark.range(1).select(ratio(F.lit(1), F.lit(0))).first()[0] is None
+
+
+def test_rejects_and_accepted_rows_add_up(spark):
+    rows = [sale(units="1234567890123456789"), sale(units="N/A"), sale(units="-1"), sale(units=None), sale(upc="12"), sale(upc=None), sale(), sale(day="bad")]
+    raw = pos(spark, *rows)
+    reasons = [r.rejection_reason for r in bronze.rejected_pos(raw).collect()]
+    assert sorted(reasons) == sorted(["UNITS_TOO_LARGE", "INVALID_UNITS", "NEGATIVE_UNITS", "INVALID_UNITS", "INVALID_UPC", "INVALID_UPC"])
+    assert staging.stage_pos(raw).count() + len(reasons) == len(rows)
+    assert bronze.readable_pos(raw).count() + bronze.unreadable_pos(raw).count() == len(rows)
+
+
+def test_date_layouts_are_arguments(spark):
+    raw = pos(spark, sale(code="NEW", day="05.11.2024"), sale(code="OLD", day="2024/11/05"))
+    got = [str(r.transaction_date) for r in staging.stage_pos(raw, {"NEW": "dd.MM.yyyy"}, ("yyyy/MM/dd",)).collect()]
+    assert got == ["2024-11-05"] * 2
+
+
+def test_an_error_stops_and_a_warning_does_not(spark):
+    report = spark.createDataFrame([("a", "warn", 3, False, "WARN"), ("b", "error", 0, True, "PASS")], "check_name string, severity string, violations long, passed boolean, status string")
+    quality.stop_on_errors(report)
+    with pytest.raises(quality.ChecksFailed, match="c: 2"):
+        quality.stop_on_errors(report.unionByName(report.limit(1).selectExpr("'c' check_name", "'error' severity", "2L violations", "false passed", "'ERROR' status")))
+
+
+def test_a_build_stops_on_errors(spark, ref, tmp_path):
+    """A sale without a date is an error by the checks."""
+    feeds = {
+        "raw_pos": pos(spark, sale(day="bad")),
+        **{n: seed_tables(spark)[n] for n in ("raw_inventory", "raw_promo")},
+    }
+    with pytest.raises(quality.ChecksFailed, match="fct_pos_sales.transaction_date.not_null: 1"):
+        build.build_silver(spark, feeds, ref, str(tmp_path / "stop"))
+    report = build.build_silver(spark, feeds, ref, str(tmp_path / "go"), stop=False)
+    assert {r.status for r in report.collect()} == {"PASS", "ERROR"}
+
+
+def test_an_order_without_an_id_is_rejected(spark):
+    raw = landing(spark, schemas.RAW_ORDERS, [order("ok"), order(None)])
+    assert [r.rejection_reason for r in bronze.quarantine_orders(raw).collect()] == ["NULL_RECORD_ID"]
+    assert bronze.stage_orders(raw).count() == 1

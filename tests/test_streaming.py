@@ -9,7 +9,7 @@ from seeds import ORDERS, POS, INVENTORY, landing, seed_tables
 from shelfline import schemas
 from shelfline.operators.upsert import upsert
 from shelfline.plans import bronze, gold, silver, staging
-from shelfline.plans.refresh import TARGET_LAG, refresh_on_change, refresh_weekly_demand
+from shelfline.plans.refresh import refresh_on_change, refresh_weekly_demand
 from shelfline.sources import tables
 from shelfline.sources.raw import stream_feed
 from shelfline.streaming import ingest
@@ -111,7 +111,7 @@ def test_polling(spark, dirs):
         query.processAllAvailable()
     finally:
         query.stop()
-    assert counts(spark, root) == (8, 0) and ingest.POLL_INTERVAL == "5 minutes"
+    assert counts(spark, root) == (8, 0)
 
 
 def test_stock_snapshots(spark, dirs):
@@ -152,7 +152,27 @@ def test_gold_follows_the_stream(spark, tmp_path):
     assert got.agg(F.sum("total_units")).first()[0] == 927
 
 
-def test_target_lags():
-    assert TARGET_LAG == {
-        "conformed_sales": "30 minutes", "weekly_store_demand": "1 hour", "promo_lift": "2 hours", "on_shelf_availability": "30 minutes",
-    }
+def test_reference_tables_are_read_for_each_batch(spark, dirs, tmp_path):
+    """A store and a rate that come between two batches, by overwriting the tables, count for the second."""
+    land, root = dirs
+    t = seed_tables(spark)
+    paths = [str(tmp_path / n) for n in ("store", "fx")]
+
+    def write(stores, fx):
+        stores.write.mode("overwrite").parquet(paths[0])
+        fx.write.mode("overwrite").parquet(paths[1])
+
+    known = t["dim_store"].where("store_id <> 'WMT-4201'")
+    write(known, t["dim_fx"].where("false"))
+    query = ingest.ingest_pos(spark, land, root, *paths, "2024-11-05 08:30:00", processingTime="1 second")
+    try:
+        sale = ("WMT", "WMT-4201", "028000000012", "2024-11-04", "7", "1.00", "EUR", "N")
+        drop(spark, land, schemas.RAW_POS, [sale])
+        query.processAllAvailable()
+        write(t["dim_store"], t["dim_fx"].where("currency_code = 'USD'").limit(1).selectExpr("date'2024-11-01' rate_date", "'EUR' currency_code", "cast(2 as decimal(18,6)) rate_to_usd"))
+        drop(spark, land, schemas.RAW_POS, [sale])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = sorted((r.store_key is not None, float(r.revenue_usd)) for r in ingest.read_batches(spark, root, "pos_cleansed").collect())
+    assert got == [(False, 1.0), (True, 2.0)]
