@@ -36,6 +36,7 @@ from shelfline.llm.common import ascii_lower, batches, by_key, held_out, rows_of
 
 CHUNK_WORDS = 4 << 20
 PRIOR_TOKENS = 10_000.0
+_BEGUN = math.inf
 MARK = "▁"  # stands before a word in the vocabulary's pieces
 
 CHUNKS = "chunk long, doc_id long, held_out boolean, n_words long, codes binary, word binary, code int, n long"
@@ -100,33 +101,55 @@ class Vocabulary:
     pieces: dict[str, float]
     byte: list[float]
     end: float
-    longest: int
+
+    def __post_init__(self):
+        # Beginnings of pieces that are no pieces themselves: a search along a word ends where neither goes on.
+        begun = {piece[:n]: _BEGUN for piece in self.pieces for n in range(1, len(piece))}
+        self.steps = begun | self.pieces
+        self.characters: dict[str, float] = {}
+
+    def spelled(self, character: str) -> float:
+        """log of the probability of a character's bytes, as pieces of their own."""
+        cost = self.characters.get(character)
+        if cost is None:
+            cost = self.characters[character] = sum(self.byte[b] for b in character.encode())
+        return cost
 
     def word(self, word: bytes) -> float:
-        """log of the sum over all segmentations: forward recursion over the characters of the word."""
+        """log of the sum over all segmentations: forward recursion over the characters of the word.
+
+        For each place the greatest log-probability of a path to it, and the sum of all paths relative to that one.
+        """
         text = MARK + word.decode("utf-8", "replace")
-        n, pieces, longest, exp, log = len(text), self.pieces, self.longest, math.exp, math.log
-        forward = [-math.inf] * (n + 1)
-        forward[0] = 0.0
+        n, step, exp, log = len(text), self.steps.get, math.exp, math.log
+        top, rest = [-math.inf] * (n + 1), [0.0] * (n + 1)
+        top[0], rest[0] = 0.0, 1.0
         for start in range(n):
-            here = forward[start]
-            if here == -math.inf:
-                continue
-            for end in range(start + 1, min(n, start + longest) + 1):
-                p = pieces.get(text[start:end])
-                if p is not None:
-                    path, so_far = here + p, forward[end]
-                    if so_far == -math.inf:
-                        forward[end] = path
-                    elif path > so_far:
-                        forward[end] = path + log(1.0 + exp(so_far - path))
-                    else:
-                        forward[end] = so_far + log(1.0 + exp(path - so_far))
-            # The bytes of one character, a path of their own.
-            path, so_far = here + sum(self.byte[b] for b in text[start].encode()), forward[start + 1]
-            top = max(path, so_far)
-            forward[start + 1] = top + log(exp(path - top) + exp(so_far - top))
-        return forward[n]
+            here = top[start] + log(rest[start])
+            # The bytes of one character lead on from every place, so each place is reached.
+            path, end = here + self.spelled(text[start]), start + 1
+            off = path - top[end]
+            if off <= 0.0:
+                if off > -40.0:  # less changes no digit
+                    rest[end] += exp(off)
+            else:
+                rest[end] = 1.0 + (rest[end] * exp(-off) if off < 40.0 else 0.0)
+                top[end] = path
+            for end in range(start + 1, n + 1):
+                p = step(text[start:end])
+                if p is None:
+                    break
+                if p == _BEGUN:
+                    continue
+                path = here + p
+                off = path - top[end]
+                if off <= 0.0:
+                    if off > -40.0:
+                        rest[end] += exp(off)
+                else:
+                    rest[end] = 1.0 + (rest[end] * exp(-off) if off < 40.0 else 0.0)
+                    top[end] = path
+        return top[n] + log(rest[n])
 
 
 def _tokenizer(path: str):
@@ -164,7 +187,7 @@ def train_vocabulary(chunks: DataFrame, path: str, prior_tokens: float = PRIOR_T
     # A piece that goes on past a blank can't be part of one word.
     pieces = {p: v for p, v in pieces.items() if MARK not in p[1:]}
     byte = [logs[tokenizer.piece_to_id(f"<0x{b:02X}>")] for b in range(256)]
-    return Vocabulary(pieces, byte, math.log((counts_end + 1) / total), max(map(len, pieces)))
+    return Vocabulary(pieces, byte, math.log((counts_end + 1) / total))
 
 
 def _answers(chunks: DataFrame, vocabulary) -> DataFrame:

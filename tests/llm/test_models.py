@@ -78,7 +78,7 @@ def test_search_stops_before_the_last_segment_and_stays_exact():
 
 def test_lattice_adds_up_all_segmentations():
     pieces = {"▁a": -1.0, "▁": -2.0, "a": -1.5, "ab": -1.2, "b": -2.5, "▁ab": -3.0, "ba": -1.1}
-    vocabulary = subword_lm.Vocabulary(pieces, [-6.0] * 256, -1.0, 3)
+    vocabulary = subword_lm.Vocabulary(pieces, [-6.0] * 256, -1.0)
 
     def paths(text):
         if not text:
