@@ -31,7 +31,7 @@ SEQUENCE = 4096
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-CACHED_CHARACTERS = 14 << 20
+CACHED_CHARACTERS = 8 << 20
 JOINED_WORDS = 256
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_length long"
@@ -53,9 +53,9 @@ class WordEncoder:
         # A special token stands for itself wherever it is found, so it can hold words apart.
         apart = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)]
         self.mark, self.mark_text = min(apart, default=(-1, ""))
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.codes: dict[str, int] = {"": 0}
         self.characters = 0
         self.flat = np.zeros(0, np.uint32)
@@ -80,7 +80,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         if self.characters > CACHED_CHARACTERS:
-            self._clear()
+            self.clear()
         codes = self.codes
         new = list(set().union(*split).difference(codes))
         if new:
@@ -150,6 +150,8 @@ def pack(
     """
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker that has run other jobs gives their memory back before the tables of this one grow.
+        pa.default_memory_pool().release_unused()
         task = TaskContext.get().partitionId() << 32
         opened = 0
         held: list[tuple] = []
@@ -188,7 +190,10 @@ def pack(
                 yield from packed()
                 held = []
 
-        yield from batches(pieces(), _SCHEMA)
+        try:
+            yield from batches(pieces(), _SCHEMA)
+        finally:  # the worker goes on to other jobs
+            encoder(tokenizer).clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, PIECES)
 
