@@ -19,7 +19,7 @@ settled there, and one entry stands for it in the bucket: a passage in a third o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,12 +36,14 @@ REACH = LENGTH - ANCHOR
 SLICE = 1 << 19  # windows of a document that are looked at together
 SHARE_ENTRIES = 1 << 18
 BUCKET_ANCHOR_BYTES, BUCKET_WINDOW_BYTES = 16 << 20, 4 << 20
+BROADCAST_KEYS = 500_000  # 8 MB
 OUTSIDE = 0xFF  # stands around a text; no byte of UTF-8
 
 REPEATED, SHIPPED = 1, 2  # marks of anchors; both may hold
 # What an entry of a bucket stands for: two or more equal ones of its share, or an anchor with several reaches there.
 TWICE, MIXED = 1, 2
 
+_ORDER = np.uint64(0x9E3779B97F4A7C15)
 _ENTRIES = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("data", pa.binary()), ("key", pa.int64()), ("places", pa.binary())])
 ENTRIES = "bucket int, n int, data binary, key long, places binary"
 ANSWERS = "key long, places binary"
@@ -78,7 +80,8 @@ class Digits:
     def anchors(self, starts: np.ndarray) -> np.ndarray:
         """For each window the place of its anchor. Equal fingerprints within a window need no order: the digits are the same."""
         places = np.arange(len(self.of[64]), dtype=np.uint64) & np.uint64(0xFFFF)
-        least, n = _mixed(self.of[64]) & ~np.uint64(0xFFFF) | places, 1
+        # Another mix than that of the digits: the least of many would all fall into the first buckets.
+        least, n = _mixed(self.of[64] ^ _ORDER) & ~np.uint64(0xFFFF) | places, 1
         while 2 * n <= REACH + 1:
             least = np.minimum(least[:-n], least[n:])
             n *= 2
@@ -170,7 +173,7 @@ def _packed(digit: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[t
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for number in np.flatnonzero(np.diff(edges)).tolist():
         own = order[edges[number] : edges[number + 1]]
-        yield number, len(own), b"".join(c[own].tobytes() for c in (digit, *columns)), None, None
+        yield number, len(own), b"".join(c[own].tobytes() for c in (digit, *columns)), 0, None
 
 
 def _unpacked(rows: pd.DataFrame, *kinds: str) -> list[np.ndarray]:
@@ -183,6 +186,28 @@ def _unpacked(rows: pd.DataFrame, *kinds: str) -> list[np.ndarray]:
     return [np.concatenate(p) for p in parts]
 
 
+def _settled(keys: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """What a share knows by itself goes along with the entries, dealt by key."""
+    return ((key % buckets, 0, None, key, own) for key, own in _by_key(keys, places))
+
+
+def _single(starts: np.ndarray) -> np.ndarray:
+    """Places (first window, windows) of single windows."""
+    return np.stack([starts, np.ones_like(starts)], 1).astype("<i4")
+
+
+def _answered(entries: DataFrame, answer: Callable[[pd.DataFrame], Iterator[tuple]]) -> DataFrame:
+    """Answers of the buckets to their entries, and what the shares had settled."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        asked = rows["data"].notna()
+        found = list(answer(rows[asked])) if asked.any() else []
+        settled = rows.loc[~asked, ["key", "places"]].itertuples(index=False, name=None)
+        return pd.DataFrame([*found, *settled], columns=["key", "places"]).astype({"key": "int64"})
+
+    return entries.groupBy("bucket").applyInPandas(work, ANSWERS)
+
+
 def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by the columns, and in that order the number of the group of equal ones."""
     order = np.lexsort(columns[::-1])
@@ -215,7 +240,7 @@ def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
             # An anchor with several reaches here is settled: its windows are shipped, and one entry tells the bucket so.
             # Of equal pairs of digits one asks the bucket; the others are repeated and need no more.
             settled = mixed | ~leads
-            yield from ((None, None, None, k, v) for k, v in _by_key(key[settled], place[settled] << 2 | marks[settled]))
+            yield from _settled(key[settled], place[settled] << 2 | marks[settled], buckets)
             flags = np.where(mixed, MIXED, np.where(marks & REPEATED, TWICE, 0)).astype(np.uint8)
             _, first = np.unique(anchor, return_index=True)
             sent = leads & ~mixed
@@ -244,20 +269,19 @@ def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
 
         yield from batches(found(), _ENTRIES)
 
-    return stored(docs.select("key", "text").mapInArrow(work, ENTRIES), "anchor-entries")
+    return docs.select("key", "text").mapInArrow(work, ENTRIES)
 
 
 def _anchor_answers(entries: DataFrame) -> DataFrame:
     """Passes 1 and 2 over the buckets: marks of the anchors that repeat."""
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
+    def answer(rows: pd.DataFrame) -> Iterator[tuple]:
         anchor, reach, key, place, flags = _unpacked(rows, "<u8", "<u8", "<i8", "<i8", "u1")
         marks, _, _ = _settle(anchor, reach, flags)
         hit = (marks > 0) & (flags != MIXED)
-        return pd.DataFrame(_by_key(key[hit], place[hit] << 2 | marks[hit]), columns=["key", "places"])
+        return _by_key(key[hit], place[hit] << 2 | marks[hit])
 
-    asked = entries.where("bucket is not null").select("bucket", "n", "data")
-    return asked.groupBy("bucket").applyInPandas(work, ANSWERS)
+    return _answered(entries, answer)
 
 
 def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> DataFrame:
@@ -267,12 +291,13 @@ def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
         def closed(held: list[tuple]) -> Iterator[tuple]:
             digit, key, start, known = (np.concatenate(x) for x in zip(*held, strict=True))
             order, group = _groups(digit)
-            several = np.bincount(group)[group] > 1
-            lead = np.append(True, group[1:] != group[:-1])
-            digit, key, start, known = (x[order] for x in (digit, key, start, known))
+            several = np.zeros(len(order), bool)
+            several[order] = np.bincount(group)[group] > 1
             settled = several & ~known
-            yield from ((None, None, None, k, v) for k, v in _by_key(key[settled], np.stack([start[settled], np.ones_like(start[settled])], 1)))
-            yield from _packed(digit[lead], buckets, key[lead], start[lead], (several | known)[lead].astype(np.uint8))
+            yield from _settled(key[settled], _single(start[settled]), buckets)
+            # In the order of the texts, in which keys and places compress well.
+            sent = np.sort(order[np.append(True, group[1:] != group[:-1])])
+            yield from _packed(digit[sent], buckets, key[sent], start[sent].astype("<i4"), (several | known)[sent].astype(np.uint8))
 
         def found() -> Iterator[tuple]:
             held, n = [], 0
@@ -307,31 +332,31 @@ def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
                             held, n = [], 0
                 if runs:
                     number, first, count = (np.concatenate(x) for x in zip(*runs, strict=True))
-                    yield from ((None, None, None, k, v) for k, v in _by_key(keys[number], np.stack([first, count], 1)))
+                    yield from _settled(keys[number], np.stack([first, count], 1).astype("<i4"), buckets)
             if held:
                 yield from closed(held)
 
         yield from batches(found(), _ENTRIES)
 
-    return stored(docs.select("key", "text", "marks").mapInArrow(work, ENTRIES), "window-entries")
+    # Shares must come out alike if a task runs again, so its rows are put in order first.
+    return docs.select("key", "text", "marks").sortWithinPartitions("key").mapInArrow(work, ENTRIES)
 
 
 def _window_answers(entries: DataFrame) -> DataFrame:
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        digit, key, start, known = _unpacked(rows, "<u8", "<i8", "<i8", "u1")
+    def answer(rows: pd.DataFrame) -> Iterator[tuple]:
+        digit, key, start, known = _unpacked(rows, "<u8", "<i8", "<i4", "u1")
         order, group = _groups(digit)
-        hit = order[(np.bincount(group)[group] > 1) & (known[order] == 0)]
-        return pd.DataFrame(_by_key(key[hit], np.stack([start[hit], np.ones_like(start[hit])], 1)), columns=["key", "places"])
+        hit = np.sort(order[(np.bincount(group)[group] > 1) & (known[order] == 0)])
+        return _by_key(key[hit], _single(start[hit]))
 
-    asked = entries.where("bucket is not null").select("bucket", "n", "data")
-    return asked.groupBy("bucket").applyInPandas(work, ANSWERS)
+    return _answered(entries, answer)
 
 
 def cut(text: bytes, places: list[bytes] | None) -> tuple[bytes, int, int]:
     """The bytes left, the number removed and the number of maximal runs removed."""
     if not places:
         return text, 0, 0
-    first, count = np.frombuffer(b"".join(places), np.int64).reshape(-1, 2).T
+    first, count = np.frombuffer(b"".join(places), "<i4").astype(np.int64).reshape(-1, 2).T
     change = np.zeros(len(text) + 1, np.int64)
     np.add.at(change, first, 1)
     np.add.at(change, first + count - 1 + LENGTH, -1)
@@ -340,6 +365,20 @@ def cut(text: bytes, places: list[bytes] | None) -> tuple[bytes, int, int]:
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), int(gone.sum()), spans
 
 
+def _few(found: DataFrame) -> DataFrame:
+    """The keys of a stored table, broadcast if they are few: only the texts they name need a shuffle then."""
+    keys = found.select("key")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def _with(docs: DataFrame, found: DataFrame) -> DataFrame:
+    return docs.join(_few(found), "key", "left_semi").join(found.hint("shuffle_hash"), "key")
+
+
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    return docs.join(_few(found), "key", "left_anti")
+
+
 def _together(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("key").agg(F.collect_list("places").alias(name))
 
@@ -356,12 +395,10 @@ def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: i
     keyed = docs.select(F.col("doc_id").cast("long"), text).withColumn("key", F.xxhash64("doc_id", "text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     anchors = _anchor_entries(keyed, 1 + size // BUCKET_ANCHOR_BYTES, slice_windows, share_entries)
-    settled = anchors.where("bucket is null").select("key", "places")
-    marks = stored(_together(settled.unionByName(_anchor_answers(anchors)), "marks"), "anchor-marks")
-    marked = keyed.join(marks.hint("shuffle_hash"), "key")
+    marks = stored(_together(_anchor_answers(anchors), "marks"), "anchor-marks")
+    marked = _with(keyed, marks)
     windows = _window_entries(marked, 1 + size // BUCKET_WINDOW_BYTES, slice_windows, share_entries)
-    settled = windows.where("bucket is null").select("key", "places")
-    places = stored(_together(settled.unionByName(_window_answers(windows)), "places"), "repeat-places")
+    places = stored(_together(_window_answers(windows), "places"), "repeat-places")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,8 +411,8 @@ def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: i
 
         yield from batches(found(), pa.schema([*((n, pa.int64()) for n in ("doc_id", "n_bytes", "n_removed", "n_spans")), ("kept", pa.binary())]))
 
-    joined = keyed.join(places.hint("shuffle_hash"), "key", "left").select("doc_id", "text", "places")
-    return joined.mapInArrow(work, schema)
+    whole = _without(keyed, places).withColumn("places", F.lit(None).cast("array<binary>"))
+    return whole.unionByName(_with(keyed, places)).select("doc_id", "text", "places").mapInArrow(work, schema)
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
