@@ -186,9 +186,20 @@ def _unpacked(rows: pd.DataFrame, *kinds: str) -> list[np.ndarray]:
     return [np.concatenate(p) for p in parts]
 
 
-def _settled(keys: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """What a share knows by itself goes along with the entries, dealt by key."""
-    return ((key % buckets, 0, None, key, own) for key, own in _by_key(keys, places))
+def _dealt(keys: np.ndarray, values: np.ndarray, groups: int) -> Iterator[tuple[int, int, bytes]]:
+    """Values of eight bytes with their keys, packed by groups of keys: (group, how many, keys and values)."""
+    values = np.ascontiguousarray(values).view(np.int64).reshape(-1)
+    group = keys % groups
+    order = np.argsort(group, kind="stable")
+    edges = np.flatnonzero(np.diff(group[order])) + 1
+    for own in np.split(order, edges):
+        if len(own):
+            yield int(group[own[0]]), len(own), keys[own].tobytes() + values[own].tobytes()
+
+
+def _settled(keys: np.ndarray, places: np.ndarray, groups: int) -> Iterator[tuple]:
+    """What a share knows by itself goes along with the entries."""
+    return ((group, n, None, 0, packed) for group, n, packed in _dealt(keys, places, groups))
 
 
 def _single(starts: np.ndarray) -> np.ndarray:
@@ -196,16 +207,25 @@ def _single(starts: np.ndarray) -> np.ndarray:
     return np.stack([starts, np.ones_like(starts)], 1).astype("<i4")
 
 
-def _answered(entries: DataFrame, answer: Callable[[pd.DataFrame], Iterator[tuple]]) -> DataFrame:
-    """Answers of the buckets to their entries, and what the shares had settled."""
+def _answered(entries: DataFrame, buckets: int, answer: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Per key the answers of the buckets to their entries, and what the shares had settled.
+
+    A bucket packs its answers by groups of keys, as many as there are buckets, so it has a row per group and not per key.
+    """
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         asked = rows["data"].notna()
-        found = list(answer(rows[asked])) if asked.any() else []
-        settled = rows.loc[~asked, ["key", "places"]].itertuples(index=False, name=None)
-        return pd.DataFrame([*found, *settled], columns=["key", "places"]).astype({"key": "int64"})
+        found = list(_dealt(*answer(rows[asked]), buckets)) if asked.any() else []
+        settled = rows.loc[~asked, ["bucket", "n", "places"]].itertuples(index=False, name=None)
+        return pd.DataFrame([*found, *settled], columns=["part", "n", "packed"]).astype({"part": "int32", "n": "int32"})
 
-    return entries.groupBy("bucket").applyInPandas(work, ANSWERS)
+    def spread(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = np.concatenate([np.frombuffer(d, np.int64, n) for n, d in zip(rows["n"], rows["packed"], strict=True)])
+        values = np.concatenate([np.frombuffer(d, np.int64, n, 8 * n) for n, d in zip(rows["n"], rows["packed"], strict=True)])
+        return pd.DataFrame(_by_key(keys, values), columns=["key", "places"])
+
+    packed = entries.groupBy("bucket").applyInPandas(work, "part int, n int, packed binary")
+    return packed.groupBy("part").applyInPandas(spread, ANSWERS).select("key", F.array("places").alias("found"))
 
 
 def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,16 +292,16 @@ def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
     return docs.select("key", "text").mapInArrow(work, ENTRIES)
 
 
-def _anchor_answers(entries: DataFrame) -> DataFrame:
+def _anchor_answers(entries: DataFrame, buckets: int) -> DataFrame:
     """Passes 1 and 2 over the buckets: marks of the anchors that repeat."""
 
-    def answer(rows: pd.DataFrame) -> Iterator[tuple]:
+    def answer(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         anchor, reach, key, place, flags = _unpacked(rows, "<u8", "<u8", "<i8", "<i8", "u1")
         marks, _, _ = _settle(anchor, reach, flags)
         hit = (marks > 0) & (flags != MIXED)
-        return _by_key(key[hit], place[hit] << 2 | marks[hit])
+        return key[hit], place[hit] << 2 | marks[hit]
 
-    return _answered(entries, answer)
+    return _answered(entries, buckets, answer)
 
 
 def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> DataFrame:
@@ -342,14 +362,14 @@ def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
     return docs.select("key", "text", "marks").sortWithinPartitions("key").mapInArrow(work, ENTRIES)
 
 
-def _window_answers(entries: DataFrame) -> DataFrame:
-    def answer(rows: pd.DataFrame) -> Iterator[tuple]:
+def _window_answers(entries: DataFrame, buckets: int) -> DataFrame:
+    def answer(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         digit, key, start, known = _unpacked(rows, "<u8", "<i8", "<i4", "u1")
         order, group = _groups(digit)
         hit = np.sort(order[(np.bincount(group)[group] > 1) & (known[order] == 0)])
-        return _by_key(key[hit], _single(start[hit]))
+        return key[hit], _single(start[hit])
 
-    return _answered(entries, answer)
+    return _answered(entries, buckets, answer)
 
 
 def cut(text: bytes, places: list[bytes] | None) -> tuple[bytes, int, int]:
@@ -379,10 +399,6 @@ def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(_few(found), "key", "left_anti")
 
 
-def _together(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("key").agg(F.collect_list("places").alias(name))
-
-
 def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: int = SHARE_ENTRIES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes left) for each row of ``docs``.
 
@@ -394,11 +410,13 @@ def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: i
     text = F.coalesce("text", F.lit("")).alias("text")
     keyed = docs.select(F.col("doc_id").cast("long"), text).withColumn("key", F.xxhash64("doc_id", "text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    anchors = _anchor_entries(keyed, 1 + size // BUCKET_ANCHOR_BYTES, slice_windows, share_entries)
-    marks = stored(_together(_anchor_answers(anchors), "marks"), "anchor-marks")
+    buckets = 1 + size // BUCKET_ANCHOR_BYTES
+    anchors = _anchor_entries(keyed, buckets, slice_windows, share_entries)
+    marks = stored(_anchor_answers(anchors, buckets).withColumnRenamed("found", "marks"), "anchor-marks")
     marked = _with(keyed, marks)
-    windows = _window_entries(marked, 1 + size // BUCKET_WINDOW_BYTES, slice_windows, share_entries)
-    places = stored(_together(_window_answers(windows), "places"), "repeat-places")
+    buckets = 1 + size // BUCKET_WINDOW_BYTES
+    windows = _window_entries(marked, buckets, slice_windows, share_entries)
+    places = stored(_window_answers(windows, buckets).withColumnRenamed("found", "places"), "repeat-places")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
