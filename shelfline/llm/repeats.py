@@ -228,9 +228,9 @@ def _answered(entries: DataFrame, buckets: int, answer: Callable[[pd.DataFrame],
     return packed.groupBy("part").applyInPandas(spread, ANSWERS).select("key", F.array("places").alias("found"))
 
 
-def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by the columns, and in that order the number of the group of equal ones."""
-    order = np.lexsort(columns[::-1])
+def _groups(*columns: np.ndarray, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """An order by the columns, and in that order the number of the group of equal ones. Rows of ``last`` end their group."""
+    order = np.lexsort(columns[::-1] if last is None else (last, *columns[::-1]))
     new = np.zeros(len(order), bool)
     for c in columns:
         new[1:] |= c[order][1:] != c[order][:-1]
@@ -239,7 +239,8 @@ def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _settle(anchor: np.ndarray, reach: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Marks of anchors; which is the first of its pair of digits; which has an anchor's digit with several reaches."""
-    order, group = _groups(anchor, reach)
+    # A share's MIXED entry gets no answer, so it may lead only where all of its group are such.
+    order, group = _groups(anchor, reach, last=flags == MIXED)
     _, anchors = _groups(anchor[order])  # these are in order already
     lead = np.append(True, group[1:] != group[:-1])
     repeated = np.bincount(group, 1 + (flags[order] == TWICE))[group] > 1

@@ -265,6 +265,32 @@ def test_repeats_at_all_overlaps(spark):
     assert repeated(repeats.remove_repeats(frame(spark, docs))) == Counter(brute.repeats(docs))
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_a_settled_share_does_not_answer_for_others(order):
+    """A share with two reaches of an anchor, and one with the first of them only, in both orders of the bucket's rows."""
+    anchor, reach, flags = np.array([7, 7], np.uint64), np.array([1, 1], np.uint64), np.array([repeats.MIXED, 0], np.uint8)[::order]
+    marks, _, _ = repeats._settle(anchor, reach, flags)
+    assert marks[flags != repeats.MIXED].tolist() == [repeats.REPEATED | repeats.SHIPPED]
+
+
+@pytest.mark.parametrize("order", [1, -1])
+@pytest.mark.parametrize("share", [1, 4, 12])
+def test_repeats_of_a_passage_in_several_contexts(spark, share, order):
+    """Copies of a text in some shares, and the passage they hold in another context in others."""
+    random = np.random.default_rng(12)
+
+    def text(n):
+        return "".join(random.choice(list("abcdefghijklmnop"), n))
+
+    passage, docs = text(230), []
+    for i in range(6):
+        whole = text(300) + passage + text(300)
+        docs += [(10 * i, whole), (10 * i + 1, text(250) + passage + text(250)), (10 * i + 2, whole), (10 * i + 3, whole[:700])]
+    docs = docs[::order]
+    own = spark.createDataFrame(docs, "doc_id long, text string").repartition(5, "doc_id")
+    assert repeated(repeats.remove_repeats(own, share_entries=share)) == Counter(brute.repeats(docs))
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
