@@ -171,6 +171,36 @@ def test_random_tokens_are_found_and_prose_is_not(spark):
     assert np.mean([len(set(found[i]) - {planted[i]}) > 0 for i in planted]) < 0.05
 
 
+@pytest.mark.parametrize("planted_tokens", [1, 3, 10])
+def test_few_random_tokens_of_a_length_are_found(spark, planted_tokens):
+    """Keys of all lengths, at the start of texts and one after another, among many that are not random."""
+    random = np.random.default_rng(20 + planted_tokens)
+    word = ["river", "stone", "window", "because", "Morning", "under", "there", "nothing", "people", "written"]
+    alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    docs = [(i, " ".join(random.choice(word, 150)) + f" {'-'.join(random.choice(word, 5))}-2024") for i in range(300)]
+    planted = {}
+    for length in (48, 64, 130, 300, 2000):
+        tokens = []
+        while len(tokens) < planted_tokens:  # such as the battery takes for random
+            token = "".join(random.choice(alphabet, length))
+            if secrets.randomness(token)[1] > 0.05:
+                tokens.append(token)
+        planted[1000 + length] = [(i * (length + 1), i * (length + 1) + length) for i in range(planted_tokens)]
+        docs.append((1000 + length, " ".join(tokens)))
+    found = {r["doc_id"]: [s[1:] for s in spans(r["spans"])] for r in secrets.scan(frame(spark, docs)).collect()}
+    assert {i: found[i] for i in planted} == planted
+    assert sum(len(found[i]) for i in range(300)) <= 3
+
+
+def test_tail_of_prose_goes_below_one_in_all():
+    steps = Counter((40 + 4 * np.random.default_rng(13).standard_normal(5000)).astype(int).tolist())
+    p = secrets.p_values(steps)
+    assert p == sorted(p) and p[5] < 1e-5 and abs(p[40] - 0.55) < 0.1
+    assert secrets.p_values(Counter({30: 3}))[0] == 1 / 4
+    steps[0] += 50
+    assert secrets.p_values(steps)[0] >= 50 / 5050
+
+
 def test_battery_accepts_random_and_rejects_patterns():
     random = np.random.default_rng(11)
     values = [secrets.randomness("".join(random.choice(list("0123456789abcdef"), 40)))[1] for _ in range(400)]
