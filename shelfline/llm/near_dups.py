@@ -1,10 +1,11 @@
 """Near duplicates by b-bit MinHash, confirmed on full sets.
 
 A document's set are its distinct five-word shingles, as 64-bit hashes. Equal sets are one node
-from the start. Of 128 minima per set, groups of four make 32 band keys; of every minimum only the
-four lowest bits are kept, 64 bytes a set. Sets that share a band are candidates; counting the equal
-groups of bits, less the sixteenth that agree by chance, estimates their similarity, and pairs
-far below the threshold are dropped. At a similarity of 0.75 a pair shares no band in one case of 200,000, and is dropped by the
+from the start. Of 128 minima per set, groups of four make 32 band keys; of every minimum, mixed with its
+number, four bits are kept, 64 bytes a set. (The lowest bits of the minima themselves would not do: they are those of the
+shingle, whatever the function, so that a few shingles decide for all functions whether they agree.) Sets that share a band are
+candidates; counting the equal groups of bits, less the sixteenth that agree by chance, estimates their similarity, and pairs
+far below the threshold are dropped. Sets of up to 32 shingles are kept whole beside their bits, and two such sets are compared exactly instead. At a similarity of 0.75 a pair shares no band in one case of 200,000, and is dropped by the
 estimate (0.55) in one of millions. What is left is compared on the full sets.
 
 Members of a bucket are not paired with one another at once. First each is compared with the bucket's smallest
@@ -40,6 +41,7 @@ LEAST_FINE = 0.67
 TILE = 256
 BROADCAST_IDS = 500_000  # 8 MB of ids
 CACHED_WORDS = 400_000
+SMALL = 32  # shingles of sets that need no estimate
 
 _RANDOM = np.random.default_rng(20_240_601)
 _FACTORS = _RANDOM.integers(0, 1 << 32, max(BANDS * ROWS, FINE_MINIMA), np.uint64).astype(np.uint32) | np.uint32(1)
@@ -48,8 +50,8 @@ _PLACES = _RANDOM.integers(0, 1 << 63, WORDS, np.uint64) | np.uint64(1)
 _BAND_PLACES = _RANDOM.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) | np.uint64(1)
 _LONGS = BANDS * ROWS * BITS // 64
 
-SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>, small array<long>"
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())), ("small", pa.list_(pa.int64()))])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,13 +98,14 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 
 
 def low_bits(found: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """The lowest bits of all minima, packed to 64-bit numbers."""
-    own = (found & np.uint32((1 << bits) - 1)).astype(np.uint64).reshape(-1, 64 // bits)
+    """Bits of all minima, each mixed with its number, packed to 64-bit numbers."""
+    own = _mixed(found.astype(np.uint64) << np.uint64(32) | np.arange(1, len(found) + 1, dtype=np.uint64))
+    own = (own >> np.uint64(64 - bits)).reshape(-1, 64 // bits)
     return (own << (np.arange(own.shape[1], dtype=np.uint64) * np.uint64(bits))).sum(1, dtype=np.uint64).view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and, unless the set is empty, its digest, band keys and low bits."""
+    """doc_id, n_shingles and, unless the set is empty, its digest, band keys, bits and, if it is small, all of it."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -112,10 +115,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                 for doc_id, text in rows_of(batch):
                     own = shingler(text)
                     if not len(own):
-                        yield doc_id, 0, None, None, None
+                        yield doc_id, 0, None, None, None, None
                         continue
                     least = minima(own)
-                    yield doc_id, len(own), xxhash.xxh3_128_digest(own.tobytes()), band_keys(least), low_bits(least)
+                    yield doc_id, len(own), xxhash.xxh3_128_digest(own.tobytes()), band_keys(least), low_bits(least), own.view(np.int64) if len(own) <= SMALL else None
 
         yield from batches(found(), _SIGNED, size=2048)
 
@@ -138,13 +141,20 @@ def estimate(a: str, b: str, bits: int = BITS, longs: int = _LONGS) -> Column:
 
 
 def _likely(a: str, b: str) -> Column:
-    """Pairs whose sizes allow the threshold and whose estimate comes near it."""
+    """Pairs whose sizes allow the threshold and whose estimate comes near it; of two small sets those that are links."""
     small, large = F.least(f"n_{a}", f"n_{b}"), F.greatest(f"n_{a}", f"n_{b}")
-    return (small * 100 >= large * PERCENT) & (estimate(f"bits_{a}", f"bits_{b}") >= LEAST_ESTIMATE)
+    shared = F.size(F.array_intersect(f"small_{a}", f"small_{b}"))
+    exact = shared * 100 >= PERCENT * (F.col(f"n_{a}") + F.col(f"n_{b}") - shared)
+    near = F.when(_both_small(a, b), exact).otherwise(estimate(f"bits_{a}", f"bits_{b}") >= LEAST_ESTIMATE)
+    return (small * 100 >= large * PERCENT) & near
+
+
+def _both_small(a: str, b: str) -> Column:
+    return (F.col(f"n_{a}") <= SMALL) & (F.col(f"n_{b}") <= SMALL)
 
 
 def _nodes(nodes: DataFrame, name: str) -> DataFrame:
-    return nodes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    return nodes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"), F.col("small").alias(f"small_{name}"))
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -207,10 +217,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stored(signatures(docs), "signatures")
     real = signed.where("digest is not null and doc_id is not null")
     classes = stored(
-        real.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("bits").alias("bits")),
+        real.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.first("small").alias("small")),
         "shingle-classes",
     )
-    nodes = classes.select("node", "n_shingles", "bits", "bands")
+    nodes = classes.select("node", "n_shingles", "bits", "small", "bands")
 
     # Buckets of two or more, each member with the bucket's smallest.
     banded = classes.select(F.explode("bands").alias("band"), "node")
@@ -241,14 +251,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketched = open_members.join(nodes.join(fine, "node"), "node")
 
     def side(name: str, tile: Column) -> DataFrame:
-        columns = {"node": name, "component": f"of_{name}", "n_shingles": f"n_{name}", "bits": f"bits_{name}", "fine": f"fine_{name}", "bands": f"bands_{name}"}
+        columns = {"node": name, "component": f"of_{name}", "n_shingles": f"n_{name}", "bits": f"bits_{name}", "small": f"small_{name}", "fine": f"fine_{name}", "bands": f"bands_{name}"}
         return sketched.select(F.col("band").alias(f"band_{name}"), tile.alias(f"tile_{name}"), *[F.col(c).alias(n) for c, n in columns.items()])
 
     left = side("a", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
     right = side("b", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     same_tile = (F.col("band_a") == F.col("band_b")) & (F.col("tile_a") == F.col("tile_b"))
     different = (F.col("a") > F.col("b")) & (F.col("of_a") != F.col("of_b"))
-    likely_fine = estimate("fine_a", "fine_b", 1, FINE_MINIMA // 64) >= LEAST_FINE
+    likely_fine = _both_small("a", "b") | (estimate("fine_a", "fine_b", 1, FINE_MINIMA // 64) >= LEAST_FINE)
     # A pair comes out of the first band that it shares only.
     first_band = F.array_intersect("bands_a", "bands_b")[0] == F.col("band_a")
     across = left.join(right, same_tile & different & _likely("a", "b") & likely_fine & first_band)

@@ -189,6 +189,29 @@ def test_rows_of_one_id_are_one_document(spark):
     assert set(found.values()) == {3}
 
 
+@pytest.mark.parametrize("core, more", [(3, 1), (6, 2), (12, 4), (21, 7), (30, 10)])
+def test_short_texts_among_unlinked_smaller_ids(spark, core, more):
+    """Pairs of similarity 0.75; buckets they share hold texts with smaller ids that are linked with neither."""
+    docs = []
+    for case in range(20):
+        base = [f"c{case}w{i}" for i in range(core + 4)]
+        docs += [(case * 40 + i, " ".join(base + [f"p{case}n{i}w{j}" for j in range(core * 2 // 3)])) for i in range(30)]
+        docs += [(10_000 + 2 * case, " ".join(base)), (10_001 + 2 * case, " ".join(base + [f"b{case}w{j}" for j in range(more)]))]
+    found = near_dups.near_duplicates(frame(spark, docs)).where("doc_id >= 10000").collect()
+    assert len(found) == 40 and {r["doc_id"]: r["component_id"] for r in found} == {i: i // 2 * 2 for i in range(10_000, 10_040)}
+
+
+@pytest.mark.parametrize("bits, n", [(1, near_dups.FINE_MINIMA), (near_dups.BITS, near_dups.BANDS * near_dups.ROWS)])
+def test_bits_of_different_shingles_agree_by_chance_only(bits, n):
+    """Sets of one shingle have minima of that shingle for all functions."""
+    for x in np.random.default_rng(14).integers(0, 1 << 63, (50, 2), np.uint64):
+        one, other = (near_dups.low_bits(near_dups.minima(x[i : i + 1], n), bits).view(np.uint64) for i in (0, 1))
+        places = (np.arange(0, 64, bits, dtype=np.uint64)[None], np.uint64((1 << bits) - 1))
+        agree = np.mean((one[:, None] >> places[0] & places[1]) == (other[:, None] >> places[0] & places[1]))
+        chance = 0.5**bits
+        assert abs(agree - chance) < 5 * (chance * (1 - chance) / n) ** 0.5
+
+
 def test_estimate_counts_equal_bits(spark):
     random = np.random.default_rng(6)
     shared = random.integers(0, 1 << 63, 4000, np.uint64)
