@@ -192,6 +192,38 @@ def test_few_random_tokens_of_a_length_are_found(spark, planted_tokens):
     assert sum(len(found[i]) for i in range(300)) <= 3
 
 
+def test_keys_without_digits_and_in_paths_are_found(spark):
+    """Letters only, digits only, url-safe after a path, and glued to an identifier."""
+    random = np.random.default_rng(30)
+    word = ["river", "stone", "window", "because", "Morning", "under", "there", "nothing", "people", "written"]
+    letters, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789"
+
+    def key(alphabet, n, *holds):
+        while True:
+            own = "".join(random.choice(list(alphabet), n))
+            if all(h in own for h in holds) and secrets.randomness(own)[1] > 0.1:
+                return own
+
+    docs = [(i, " ".join(random.choice(word, 150))) for i in range(200)]
+    path, name = "/usr/share/objects/windows/river/stone/keys/", "river_stone_window_because_morning_under_nothing_people_"
+    keys = {1001: ("", key(letters, 40)), 1002: ("", key(digits, 32)), 1005: ("", key(digits, 100)), 1006: ("", key(letters[26:], 900))}
+    keys |= {1003: (path, key(letters + digits + "-_", 86, "-", "_")), 1004: (name, key(letters + digits, 64))}
+    docs += [(i, f"{' '.join(word)} {before}{own} {' '.join(word)}") for i, (before, own) in keys.items()]
+    found = {r["doc_id"]: [s[1:] for s in spans(r["spans"])] for r in secrets.scan(frame(spark, docs)).collect()}
+    for i, (before, own) in keys.items():
+        start = len(" ".join(word)) + 1
+        assert any(a <= start + len(before) and b == start + len(before) + len(own) for a, b in found[i]), (i, found[i])
+    assert sum(len(found[i]) for i in range(200)) == 0
+
+
+def test_parts_of_runs():
+    run = "/keys/of/AbC-d_EfGhIjKlMnOpQr+StUvWxYzAbCdEfGhIjKl"
+    parts = {run[a:b] for a, b in secrets.token_spans(run, 0, len(run))}
+    assert parts == {run, "AbC-d_EfGhIjKlMnOpQr", "StUvWxYzAbCdEfGhIjKl", "EfGhIjKlMnOpQr+StUvWxYzAbCdEfGhIjKl"}
+    assert secrets.token_spans("a" * 30, 0, 30) == [(0, 30)]
+    assert [t[:2] for t in secrets.scan_text("x " + "QwErTyUiOpAsDfGhJkLz")[1]] == [(2, 22)]
+
+
 def test_tail_of_prose_goes_below_one_in_all():
     steps = Counter((40 + 4 * np.random.default_rng(13).standard_normal(5000)).astype(int).tolist())
     p = secrets.p_values(steps)
