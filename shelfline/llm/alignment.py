@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import batches, rows_of, stored, table
 from shelfline.operators.lookups import join_folded
 
-WINDOW = 1 << 19  # characters that are aligned at once
-BLOCK = 1 << 23
-TABLE_STRETCHES = 300_000
+WINDOW = 1 << 18  # characters that are aligned at once
+BLOCK = 1 << 22
+TABLE_STRETCHES = 200_000
+JOINED = 8192
 
 _STRETCH = re.compile(r"(?<=\S) (?=\S)")
 PARTS = "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs binary, times binary, codes binary, docs binary"
@@ -108,21 +109,35 @@ class Stretches:
         self.length = [np.zeros(0, np.int64) for _ in self.sides]
 
     def add(self, stretches: Iterable[str]) -> None:
-        new = list(set(stretches).difference(self.codes))
-        if not new:
+        new = set(stretches).difference(self.codes)
+        # Stretches with white space at an end, which only a text's first and last can have, don't stand beside others.
+        odd = [s for s in new if s[0].isspace() or s[-1].isspace()]
+        plain = list(new.difference(odd))
+        for at in range(0, len(plain), JOINED):
+            self._add(plain[at : at + JOINED])
+        for stretch in odd:
+            self._add([stretch])
+
+    def _add(self, new: list[str]) -> None:
+        """Encodes stretches as one text: tokens end where they meet. Those that can't be spelled are found one by one."""
+        joined = " ".join(new)
+        expected = (" " + joined).encode("utf-8", "replace")
+        found = [np.array(side.ids([joined])[0], np.int32) for side in self.sides]
+        good = all(b"".join(map(side.bytes.__getitem__, ids.tolist())) == expected for side, ids in zip(self.sides, found, strict=True))
+        if not good and len(new) > 1:
+            for stretch in new:
+                self._add([stretch])
             return
-        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new)), strict=True))
-        good = np.ones(len(new), bool)
-        for i, side in enumerate(self.sides):
-            found = [side.ids(new[at : at + 1024]) for at in range(0, len(new), 1024)]
-            found = [ids for part in found for ids in part]
-            for n, (stretch, ids) in enumerate(zip(new, found, strict=True)):
-                good[n] &= b"".join([side.bytes[x] for x in ids]) == (" " + stretch).encode("utf-8", "replace")
-            length = np.fromiter(map(len, found), np.int64, len(found))
-            self.first[i] = np.concatenate([self.first[i], len(self.flat[i]) + np.cumsum(length) - length])
-            self.length[i] = np.concatenate([self.length[i], length])
-            self.flat[i] = np.concatenate([self.flat[i], *[np.array(ids, np.int32) for ids in found]])
-        self.good = np.concatenate([self.good, good])
+        first = len(self.codes)
+        self.codes.update(zip(new, range(first, first + len(new)), strict=True))
+        self.good = np.append(self.good, np.full(len(new), good))
+        ends = np.cumsum([1 + len(s) if s.isascii() else 1 + len(s.encode("utf-8", "replace")) for s in new])
+        for i, ids in enumerate(found):
+            # After how many tokens each stretch is spelled out.
+            last = np.searchsorted(np.cumsum(self.sizes[i][ids]), ends) + 1 if good else np.array([len(ids)])
+            self.first[i] = np.concatenate([self.first[i], len(self.flat[i]) + np.append(0, last[:-1])])
+            self.length[i] = np.concatenate([self.length[i], np.diff(last, prepend=0)])
+            self.flat[i] = np.concatenate([self.flat[i], ids])
 
     def numbers(self, stretches: list[str]) -> np.ndarray:
         return np.fromiter(map(self.codes.__getitem__, stretches), np.int64, len(stretches))
@@ -347,7 +362,11 @@ def align(docs: DataFrame, a_path: str, b_path: str, whole_groups: bool = False,
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = stretches(a_path, b_path)
         rows = (row for batch in parts for row in rows_of(batch))
-        yield from batches(_aligned(rows, known, whole_groups, block_size, window), _schema(PARTS))
+        try:
+            yield from batches(_aligned(rows, known, whole_groups, block_size, window), _schema(PARTS))
+        finally:  # the worker goes on to other jobs
+            known.clear()
+            pa.default_memory_pool().release_unused()
 
     import sentencepiece
 
