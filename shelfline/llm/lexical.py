@@ -33,7 +33,7 @@ HASHES = 4
 DENSITY = 0.3  # share of bits that may be set in the widest document's signature
 LEVELS = (1, 2, 4, 8)  # frequencies from which a term has entries of its own
 AREA = 1 << 19  # documents of a block times entries of the widest
-HELD_ENTRIES = 1 << 21
+HELD_ENTRIES = 1 << 20
 QUERY_TERMS = 50_000
 SALTS = 32
 
@@ -193,7 +193,7 @@ class Block:
             rows = _rows(first, second, len(self.slices))
             has = np.bitwise_and.reduce(self.slices[rows, low // 8 : -(-high // 8)], axis=1)
             below = has if below is None else has & below
-            found.append(np.unpackbits(below, axis=1)[:, : high - low].astype(np.float64))
+            found.append(np.unpackbits(below, axis=1)[:, : high - low])
         return found
 
     def bounds(self, queries: Queries, low: int, high: int) -> Iterator[np.ndarray]:
@@ -205,7 +205,7 @@ class Block:
             for at in range(0, len(own), 2048):
                 some, w = own[at : at + 2048], weights[at : at + 2048].astype(np.float64)
                 for level, step in zip(presence, steps, strict=True):
-                    total += step * (w @ level[some])
+                    total += step * (w @ level[some].astype(np.float64))
             yield total
 
     def scores(self, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
