@@ -15,23 +15,25 @@ encoded once and its ids are reused.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import batches, rows_of, table
+from shelfline.llm.common import batches, table
 
 SEQUENCE = 4096
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-CACHED_CHARACTERS = 8 << 20
+CACHED_CHARACTERS = 5 << 20
 JOINED_WORDS = 256
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_length long"
@@ -42,7 +44,8 @@ class WordEncoder:
     """Token ids of texts, through a table of the words seen so far.
 
     Only blanks and line feeds separate words here: the tokenizer drops both, and treats all
-    that stands between them on its own. The table is emptied when its words grow past a bound.
+    that stands between them on its own. When its words grow past a bound, the table keeps those found in several
+    batches of texts, up to half the bound; most distinct words of a corpus occur once.
     """
 
     def __init__(self, path: str):
@@ -53,6 +56,12 @@ class WordEncoder:
         # A special token stands for itself wherever it is found, so it can hold words apart.
         apart = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)]
         self.mark, self.mark_text = min(apart, default=(-1, ""))
+        # Ids that close a stretch of letters, and closing marks that are one id; none if the vocabulary doesn't show ends.
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.closes[[i for entry, i in vocabulary.items() if suffix and entry.endswith(suffix)]] = True
+        self.marks = {c: vocabulary[c + suffix] for c in ".,!?;:" if suffix and c + suffix in vocabulary}
         self.clear()
 
     def clear(self) -> None:
@@ -60,9 +69,66 @@ class WordEncoder:
         self.characters = 0
         self.flat = np.zeros(0, np.uint32)
         self.length = self.first = np.zeros(1, np.int64)
+        self.batches = np.zeros(1, np.int32)  # how many batches of texts held the word
+
+    def shrink(self, characters: int) -> None:
+        """Leaves the words found in the most batches of texts, two at least, of at most so many characters together."""
+        words = list(self.codes)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 8
+        held = np.minimum(self.batches, 1000)
+        by_batches = np.cumsum(np.bincount(held, size)[::-1])[::-1]  # characters of words found in so many batches or more
+        enough = np.flatnonzero(np.append(by_batches, 0) <= characters)
+        keep = held >= max(2, enough[0])
+        keep[0] = True
+        chosen = np.flatnonzero(keep)
+        length = self.length[chosen]
+        ends = np.cumsum(length)
+        self.flat = self.flat[np.repeat(self.first[chosen] - ends + length, length) + np.arange(ends[-1])]
+        self.first, self.length = ends - length, length
+        # Words not met again lose their place in the end.
+        self.batches = self.batches[chosen] // 2
+        self.codes = dict(zip([words[i] for i in chosen.tolist()], range(len(chosen)), strict=True))
+        self.characters = int(size[chosen].sum())
 
     def _add(self, words: list[str]) -> None:
-        """Encodes words that are not in the table, many in one call with a special token between them."""
+        """Encodes words that are not in the table: letters, with or without one closing mark, as the letters' ids and the mark's."""
+        marks = self.marks
+        letters = [w if _of_letters(w) else w[:-1] if w[-1] in marks and _of_letters(w[:-1]) else "" for w in words]
+        bases = list(set(letters).difference([""]))
+        place = dict(zip(bases, range(len(bases)), strict=True)) if bases else {}
+        other = [w for w, own in zip(words, letters, strict=True) if not own]
+        found = [self._encoded_letters(bases[at : at + JOINED_WORDS]) for at in range(0, len(bases), JOINED_WORDS)]
+        found.append(self._encoded(other))
+        flat = np.concatenate([ids for ids, _ in found])
+        length = np.concatenate([n for _, n in found])
+        first = np.cumsum(length) - length
+        # Which of what was encoded each word begins with, and the mark it ends with.
+        rest = iter(range(len(bases), len(bases) + len(other)))
+        base = np.fromiter((place[own] if own else next(rest) for own in letters), np.int64, len(words))
+        mark = np.fromiter((marks[w[-1]] if own and len(own) < len(w) else -1 for w, own in zip(words, letters, strict=True)), np.int64, len(words))
+        total = length[base] + (mark >= 0)
+        ends = np.cumsum(total)
+        at = np.repeat(first[base] - ends + total, total) + np.arange(ends[-1])
+        own_flat = np.append(flat, np.uint32(0))[np.minimum(at, len(flat))]
+        own_flat[ends[mark >= 0] - 1] = mark[mark >= 0]
+
+        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + len(words)), strict=True))
+        self.characters += sum(map(len, words)) + 8 * len(words)
+        self.first = np.concatenate([self.first, len(self.flat) + ends - total])
+        self.length = np.concatenate([self.length, total])
+        self.flat = np.concatenate([self.flat, own_flat])
+        self.batches = np.concatenate([self.batches, np.zeros(len(words), np.int32)])
+
+    def _encoded_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each of some words of letters only: the ids of a word end with one that closes it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.flatnonzero(self.closes[ids])
+        if len(ends) != len(words):  # some letter is none to the tokenizer
+            return self._encoded(words)
+        return ids.astype(np.uint32), np.diff(ends, prepend=-1)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each of some words, many in one call with a special token between them."""
         # A word that has the token's text in it goes by itself.
         alone = [w for w in words if self.mark_text in w]
         plain = [w for w in words if self.mark_text not in w] if alone else words
@@ -70,27 +136,39 @@ class WordEncoder:
         found = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([*joined, *alone], add_special_tokens=False)]
         ids = np.concatenate([np.zeros(0, np.uint32), *found[: len(joined)]])
         ends = np.flatnonzero(ids == self.mark)
-        length = np.concatenate([np.diff(ends, prepend=-1) - 1, np.fromiter(map(len, found[len(joined) :]), np.int64, len(alone))])
-        self.codes.update(zip([*plain, *alone], range(len(self.codes), len(self.codes) + len(words)), strict=True))
-        self.characters += sum(map(len, words)) + 8 * len(words)
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, np.delete(ids, ends), *found[len(joined) :]])
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        lengths = iter(np.diff(ends, prepend=-1) - 1)
+        by_itself = iter(found[len(joined) :])
+        if not alone:
+            return np.delete(ids, ends), np.fromiter(lengths, np.int64, len(words))
+        starts = iter(np.append(0, ends[:-1] + 1))
+        parts = [next(by_itself) if self.mark_text in w else ids[(at := next(starts)) : at + next(lengths)] for w in words]
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(words))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; a null text has none. The texts' distinct words are looked up once, together."""
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        found = split.flatten().dictionary_encode()
+        # The tokenizer lower-cases; letters beyond ASCII are left to it.
+        distinct = [w.lower() if w.isascii() else w for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()]
         if self.characters > CACHED_CHARACTERS:
-            self.clear()
-        codes = self.codes
-        new = list(set().union(*split).difference(codes))
+            self.shrink(CACHED_CHARACTERS // 2)
+        new = list(set(distinct).difference(self.codes))
         if new:
             self._add(new)
-        for words in split:
-            code = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-            length = self.length[code]
-            ends = np.cumsum(length)
-            places = np.repeat(self.first[code] - ends + length, length) + np.arange(ends[-1])
-            yield self.flat[places]
+        own = np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+        self.batches[own] += 1
+        code = own[found.indices.to_numpy()]
+        length = self.length[code]
+        ends = np.cumsum(length)
+        ids = self.flat[np.repeat(self.first[code] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.append(0, ends)[np.cumsum(pc.list_value_length(split).to_numpy())]
+        for low, high in zip(np.append(0, last[:-1]).tolist(), last.tolist(), strict=True):
+            yield ids[low:high]
+
+
+def _of_letters(word: str) -> bool:
+    """Letters only, and such as stay letters in lower case and in composed form."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0530" and "İ" not in word))
 
 
 @lru_cache(maxsize=1)
@@ -172,8 +250,8 @@ def pack(
         def pieces() -> Iterator[tuple]:
             nonlocal opened, tokens, held
             for batch in parts:
-                for rows in _groups(rows_of(batch)):
-                    for (doc_id, _), ids in zip(rows, encoder(tokenizer).encode([t or "" for _, t in rows]), strict=True):
+                for ids_of, texts in _groups(batch):
+                    for doc_id, ids in zip(ids_of.to_pylist(), encoder(tokenizer).encode(texts), strict=True):
                         ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                         n = len(ids)
                         full = n - n % sequence
@@ -193,22 +271,20 @@ def pack(
         try:
             yield from batches(pieces(), _SCHEMA)
         finally:  # the worker goes on to other jobs
-            encoder(tokenizer).clear()
+            encoder(tokenizer).shrink(CACHED_CHARACTERS // 2)
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, PIECES)
 
 
-def _groups(rows: Iterator[tuple], characters: int = 1 << 20) -> Iterator[list[tuple]]:
-    """Rows of about so many characters together."""
-    held, n = [], 0
-    for row in rows:
-        held.append(row)
-        n += len(row[1] or "") + 64
-        if n >= characters:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def _groups(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[list[pa.Array]]:
+    """The columns of a batch, in stretches of about so many bytes of text; a longer text goes by itself."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64) + 64)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size)))
+        yield batch.slice(at, end - at).columns
+        at = end
 
 
 def default_tokenizer() -> str:
