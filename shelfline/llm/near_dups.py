@@ -11,10 +11,11 @@ estimate (0.55) in one of millions. What is left is compared on the full sets.
 Members of a bucket are not paired with one another at once. First each is compared with the bucket's smallest
 member, and the links found make components. Only buckets that then hold several components are
 looked at again, for pairs of different components, so every candidate pair is either compared or already
-known to be connected. A large bucket is cut into tiles for that. Their members get a second, finer sketch, one bit of each of 1,024
-minima, since a large group of near copies has very many pairs just below the threshold: with a
-standard error of 0.02 it drops most below 0.67, and a pair of 0.75 in one case of 18,000. The estimates are part
-of the join, so what comes out of it are likely links and not pairs.
+known to be connected. Of such a bucket only the members outside its largest component go to the tiles it is cut into; the
+others stay in one. Its members get a second, finer sketch, one bit of each of 1,024 minima, with a standard error of 0.02: it drops
+most pairs below 0.67, and a pair of 0.75 in one case of 18,000. A large group of near copies has very many pairs just below the threshold, so sets of
+up to 1,024 shingles also carry half of each hash, and what two such sets can share at most is counted in the join itself. So what
+comes out of the join are links, but for chance or larger sets, and not pairs.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import ascii_lower, batches, rows_of, shielded, stored, table
 from shelfline.llm.components import components
+from shelfline.operators.lookups import join_folded
 
 WORDS = 5
 PERCENT = 75
@@ -42,6 +44,7 @@ TILE = 256
 BROADCAST_IDS = 500_000  # 8 MB of ids
 CACHED_WORDS = 400_000
 SMALL = 32  # shingles of sets that need no estimate
+CARRIED = 1024  # shingles of sets that are taken along where buckets are looked at again
 
 _RANDOM = np.random.default_rng(20_240_601)
 _FACTORS = _RANDOM.integers(0, 1 << 32, max(BANDS * ROWS, FINE_MINIMA), np.uint64).astype(np.uint32) | np.uint32(1)
@@ -164,15 +167,30 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _fine_bits(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """node, fine: one bit of each of many minima, for the documents ``ids`` only."""
+    """For the documents ``ids`` only: node, fine (one bit of each of many minima), halves (the distinct lower halves of the shingles'
+    hashes, of sets that are not too large) and lost (how many halves fell together)."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        sets = ((doc_id, shingler(text)) for batch in parts for doc_id, text in rows_of(batch))
-        found = ((doc_id, low_bits(minima(own, FINE_MINIMA), 1)) for doc_id, own in sets if len(own))
-        yield from batches(found, pa.schema([("node", pa.int64()), ("fine", pa.list_(pa.int64()))]))
 
-    return stored(_only(docs, ids).mapInArrow(work, "node long, fine array<long>"), "fine-sketches")
+        def found() -> Iterator[tuple]:
+            for batch in parts:
+                for doc_id, text in rows_of(batch):
+                    own = shingler(text)
+                    if len(own):
+                        halves = np.unique(own.astype(np.uint32).view(np.int32))
+                        yield doc_id, low_bits(minima(own, FINE_MINIMA), 1), halves if len(own) <= CARRIED else None, len(own) - len(halves)
+
+        yield from batches(found(), pa.schema([("node", pa.int64()), ("fine", pa.list_(pa.int64())), ("halves", pa.list_(pa.int32())), ("lost", pa.int32())]))
+
+    return stored(_only(docs, ids).mapInArrow(work, "node long, fine array<long>, halves array<int>, lost int"), "fine-sketches")
+
+
+def _may_link(a: str, b: str) -> Column:
+    """False for pairs that share too little: sets share no more than their halves do, and those that fell together."""
+    shared = F.size(F.array_intersect(f"halves_{a}", f"halves_{b}")) + F.least(f"lost_{a}", f"lost_{b}")
+    enough = shared * 100 >= PERCENT * (F.col(f"n_{a}") + F.col(f"n_{b}") - shared)
+    return F.col(f"halves_{a}").isNull() | F.col(f"halves_{b}").isNull() | enough
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -225,7 +243,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Buckets of two or more, each member with the bucket's smallest.
     banded = classes.select(F.explode("bands").alias("band"), "node")
     buckets = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last").drop("last")
-    members = stored(banded.join(buckets, "band"), "buckets")
+    members = stored(join_folded(banded, buckets, ["band"], "inner"), "buckets")
     stars = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     likely = stars.join(_nodes(nodes, "a"), "a").join(_nodes(nodes, "b"), "b").where(_likely("a", "b")).select("a", "b")
     likely = stored(likely.distinct(), "likely-stars")
@@ -240,29 +258,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = stored(components(links), "components")
     placed = members.join(joined, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = (
-        placed.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where("low <> high")
-        .select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+        placed.groupBy("band", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("band")
+        .agg(F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("n"))
+        .where("kinds > 1")
+        .select("band", "main", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     )
-    open_members = stored(placed.join(mixed, "band"), "open-buckets")
+    open_members = stored(join_folded(placed, mixed, ["band"], "inner"), "open-buckets")
     fine = _fine_bits(stored(open_members.select(F.col("node").alias("doc_id")).distinct(), "open-nodes"), docs)
     # A doc_id with several texts has a sketch of each; any two rows may meet.
     sketched = open_members.join(nodes.join(fine, "node"), "node")
 
-    def side(name: str, tile: Column) -> DataFrame:
-        columns = {"node": name, "component": f"of_{name}", "n_shingles": f"n_{name}", "bits": f"bits_{name}", "small": f"small_{name}", "fine": f"fine_{name}", "bands": f"bands_{name}"}
-        return sketched.select(F.col("band").alias(f"band_{name}"), tile.alias(f"tile_{name}"), *[F.col(c).alias(n) for c, n in columns.items()])
+    def side(own: DataFrame, name: str, tile: Column) -> DataFrame:
+        renamed = {"node": name, "component": f"of_{name}", "n_shingles": f"n_{name}"} | {c: f"{c}_{name}" for c in ("bits", "small", "fine", "halves", "lost", "bands", "band")}
+        return own.select(tile.alias(f"tile_{name}"), (F.col("component") == F.col("main")).alias(f"main_{name}"), *[F.col(c).alias(n) for c, n in renamed.items()])
 
-    left = side("a", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    right = side("b", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    left = side(sketched, "a", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    right = side(sketched.where("component <> main"), "b", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     same_tile = (F.col("band_a") == F.col("band_b")) & (F.col("tile_a") == F.col("tile_b"))
-    different = (F.col("a") > F.col("b")) & (F.col("of_a") != F.col("of_b"))
+    # Two members outside the largest component meet twice.
+    different = (F.col("of_a") != F.col("of_b")) & (F.col("main_a") | (F.col("a") > F.col("b")))
     likely_fine = _both_small("a", "b") | (estimate("fine_a", "fine_b", 1, FINE_MINIMA // 64) >= LEAST_FINE)
     # A pair comes out of the first band that it shares only.
     first_band = F.array_intersect("bands_a", "bands_b")[0] == F.col("band_a")
-    across = left.join(right, same_tile & different & _likely("a", "b") & likely_fine & first_band)
-    across = stored(across.select("a", "b").distinct().join(likely, ["a", "b"], "left_anti"), "likely-across")
+    near = F.when(different & _likely("a", "b") & likely_fine, first_band & _may_link("a", "b")).otherwise(False)
+    across = left.join(right, same_tile & near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    across = stored(across.distinct().join(likely, ["a", "b"], "left_anti"), "likely-across")
 
     # Links between components make components of components.
     known = joined.select("node", "component")
