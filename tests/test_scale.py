@@ -271,7 +271,29 @@ def test_hot_store_and_product_are_split_in_joins(spark, hot, products, skew_set
     demand = gold.recent_demand(hot, "2024-03-01")
     assert split_joins(lookups.join_folded(stock, demand, ["store_key", "upc"])) == 1
     assert split_joins(stock.join(demand, ["store_key", "upc"], "left")) == 0  # what join_folded is for
-    assert split_joins(gold.weekly_store_demand(hot.repartition(8), stores, products)) >= 1
+
+
+def test_hot_store_is_split_after_folding(spark, skew_settings):
+    """Two thirds of 300,000 sums of store, product and day lie at one store: large enough that AQE leaves the folded shuffle
+    in many pieces, which is what a split takes."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16KB")
+    number = F.col("id")
+    pos = spark.range(300_000, numPartitions=8).select(
+        F.when(number % 3 < 2, 0).otherwise(number % 40).alias("store_key"),
+        F.lpad((number % 997).cast("string"), 12, "0").alias("upc"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (number / 997).cast("int")).alias("transaction_date"),
+        F.lit(3).cast("decimal(18,0)").alias("units_sold"), F.lit(2).cast("decimal(18,2)").alias("revenue_usd"),
+    )
+    names = ("retailer_name", "region", "store_name", "store_id")
+    stores = spark.range(40).select(F.col("id").alias("store_key"), *[F.concat(F.lit(n), "id").alias(n) for n in names])
+    master = spark.range(997).select(
+        F.lpad(F.col("id").cast("string"), 12, "0").alias("upc"), *[F.lit(n).alias(n) for n in ("brand", "category", "sub_category")],
+        F.lit(1).cast("decimal(10,4)").alias("unit_weight_kg"), F.lit(True).alias("is_current"),
+    )
+    weekly = gold.weekly_store_demand(pos, stores, master)
+    assert split_joins(weekly) >= 1
+    assert weekly.agg(F.sum("total_units")).first()[0] == 900_000
 
 
 def test_sorted_files_cover_ranges_and_split_a_hot_value(spark, tmp_path, hot):
