@@ -3,29 +3,36 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.session import shared_dir
 from shelfline.sources.raw import stamp
-from shelfline.sources.tables import read_table, table_exists, write_clustered
+from shelfline.sources.tables import empty_folder, read_table, table_exists, write_clustered
 
 
 def newer_than(source: DataFrame, target: DataFrame | None, source_time: str, target_time: str, lookback: str | None = None) -> DataFrame:
     """Source rows loaded after the newest row of ``target``; all rows if it has none.
 
-    ``lookback`` (such as ``'2 hours'``) moves the mark back to pick up stragglers.
+    ``lookback`` (such as ``'2 hours'``) moves the mark back to pick up stragglers. The target is scanned for one
+    value; tables kept by ``upsert`` have it stored, see ``stored_mark``.
     """
     if target is None:
         return source
-    mark = F.max(target_time)
-    if lookback:
-        mark = mark - F.expr(f"interval {lookback}")
-    # One value; as a literal it prunes partitions and parquet row groups of the source.
-    newest = target.agg(mark.cast("string").alias("newest")).first()["newest"]
-    return source if newest is None else source.where(F.col(source_time) > stamp(newest))
+    return after_mark(source, source_time, target.agg(F.max(target_time).cast("string")).first()[0], lookback)
+
+
+def after_mark(source: DataFrame, source_time: str, mark: str | None, lookback: str | None = None) -> DataFrame:
+    """Source rows later than ``mark``; all if there is none. As a literal it prunes partitions and parquet row groups."""
+    if mark is None:
+        return source
+    newest = stamp(mark)
+    return source.where(F.col(source_time) > (newest - F.expr(f"interval {lookback}") if lookback else newest))
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
@@ -43,53 +50,92 @@ def _latest_of_groups(df: DataFrame, keys: list[str], order_by: str) -> DataFram
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
-def _in_partitions(increment: DataFrame, partition_by: str) -> Column:
+def _in_partitions(increment: DataFrame, partition_by: str | Sequence[str]) -> Column:
     """Filter on the partitions ``increment`` has rows in.
 
     The values are few, one for each folder that is about to be written, and as literals
     they prune the folders that are read; a join would read them all.
     """
-    column = F.col(partition_by)
-    values = [row[0] for row in increment.select(partition_by).distinct().collect()]
-    named = column.isin([v for v in values if v is not None])
-    return named | column.isNull() if None in values else named
+    first, *rest = _columns(partition_by)
+    rows = increment.select(first, *rest).distinct().collect()
+    if not rest:
+        return _is_one_of(first, [row[0] for row in rows])
+    # Folders that differ in the first value only are named together.
+    inner: dict[tuple, list] = {}
+    for row in rows:
+        inner.setdefault(tuple(row[1:]), []).append(row[0])
+    groups = [reduce(and_, [_is_one_of(first, values), *[_is_one_of(c, [v]) for c, v in zip(rest, own, strict=True)]]) for own, values in inner.items()]
+    return reduce(or_, groups, F.lit(False))
+
+
+def _columns(names: str | Sequence[str]) -> list[str]:
+    return [names] if isinstance(names, str) else list(names)
+
+
+def _is_one_of(name: str, values: list) -> Column:
+    column, known = F.col(name), [v for v in values if v is not None]
+    named = column.isin(known)
+    return named if len(known) == len(values) else named | column.isNull()
 
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """What a run did. ``increment`` holds its rows until the next run on the same table."""
+    """What a run did. Its frames hold their rows until the next run on the same table."""
 
     written: int
     null_keys: int
     mode: str
     increment: DataFrame
     rejects: DataFrame  # rows without a key, all of them
+    replaced: DataFrame  # what the table held under the keys of the increment; empty after a full load
 
 
-def _stage_of(spark: SparkSession, path: str) -> str:
+def stage_of(spark: SparkSession, path: str) -> str:
     return shared_dir(spark, "upsert", hashlib.md5(path.encode()).hexdigest())
 
 
-def _note(spark: SparkSession, stage: str, state: str) -> None:
-    spark.range(1).select(F.lit(state).alias("state")).coalesce(1).write.mode("overwrite").parquet(f"{stage}/state")
+def note(spark: SparkSession, stage: str, state: str, mark: str | None) -> None:
+    row = spark.range(1).select(F.lit(state).alias("state"), F.lit(mark).cast("string").alias("mark"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{stage}/state")
+
+
+def note_emptied(spark: SparkSession, stage: str, folders: list[str]) -> None:
+    """Folders that a change set leaves without rows; as few as it touches at most."""
+    spark.createDataFrame([(f,) for f in folders], "folder string").coalesce(1).write.mode("overwrite").parquet(f"{stage}/emptied")
+
+
+def noted(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """State and mark of the last run on ``path``; done and none if there was no run, or its notes are gone."""
+    stage = stage_of(spark, path)
+    return tuple(spark.read.parquet(f"{stage}/state").first()) if table_exists(spark, f"{stage}/state") else ("done", None)
+
+
+def stored_mark(spark: SparkSession, path: str) -> str | None:
+    """The newest ``order_by`` value that the runs on ``path`` brought in, without a look at the table.
+
+    It is written together with the state of a merge, so a merge that ``finish_interrupted`` completes has its mark too.
+    """
+    return noted(spark, path)[1]
 
 
-def finish_interrupted(spark: SparkSession, path: str, partition_by: str, cluster_by: list[str]) -> bool:
+def finish_interrupted(spark: SparkSession, path: str, partition_by: str | Sequence[str], cluster_by: list[str]) -> bool:
     """Completes a merge, a first load or a full refresh that died while it replaced ``path`` or partitions of it.
 
     Call it before a mark is taken from the table: a table half replaced already holds
     rows of the new load, and its newest load time would hide the rest of them.
     """
-    stage = _stage_of(spark, path)
-    state = spark.read.parquet(f"{stage}/state").first()["state"] if table_exists(spark, f"{stage}/state") else "done"
+    stage = stage_of(spark, path)
+    state, mark = noted(spark, path)
     if state == "done":
         return False
-    if state == "full":
-        rows = spark.read.parquet(f"{stage}/increment").where("not _reject").drop("_reject")
-    else:
-        rows = spark.read.parquet(f"{stage}/merged")
-    write_clustered(rows, path, partition_by, cluster_by, only_touched=state == "merged")
-    _note(spark, stage, "done")
+    gone = "_reject" if state == "full" else "_gone"
+    rows = spark.read.parquet(f"{stage}/{'increment' if state == 'full' else 'merged'}")
+    write_clustered(rows.where(~F.col(gone)).drop(gone), path, partition_by, cluster_by, only_touched=state != "full")
+    if state == "changed":
+        inside = rows.drop(gone, *_columns(partition_by)).schema
+        for row in spark.read.parquet(f"{stage}/emptied").collect():
+            empty_folder(spark, row["folder"], inside)
+    note(spark, stage, "done", mark)
     return True
 
 
@@ -98,41 +144,54 @@ def upsert(
     path: str,
     source: DataFrame,
     key: str,
-    partition_by: str,
+    partition_by: str | Sequence[str],
     order_by: str = "_loaded_at",
     cluster_by: list[str] | None = None,
     mode: str = "merge",
 ) -> UpsertResult:
     """Replaces rows of ``path`` that share a key with ``source`` and adds the others.
 
-    The partition column must follow from the key, so a key never moves. Only the
+    The partition columns must follow from the key, so a key never moves. Only the
     partitions that ``source`` touches are read and rewritten. Rows without a key are
     left out of the table and are in ``rejects``, every one. Increment and merged partitions are written to the shared
     folder before the table is changed, see ``finish_interrupted``. ``mode="full"``
-    rebuilds the table from ``source``. A table has one writer at a time.
+    rebuilds the table from ``source``. A table has one writer at a time. Counts and the newest load are taken by the write of the increment.
     """
     cluster_by = cluster_by or [key]
-    stage = _stage_of(spark, path)
+    stage = stage_of(spark, path)
     finish_interrupted(spark, path, partition_by, cluster_by)
+    exists = mode != "full" and table_exists(spark, path)
+    before = stored_mark(spark, path)
+    if exists and before is None:
+        before = read_table(spark, path).agg(F.max(order_by).cast("string")).first()[0]
     # A row without a key is a group of its own, so that nothing folds such rows or gathers them.
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     folded = _latest_of_groups(source.withColumn("_alone", alone), [key, "_alone"], order_by).drop("_alone")
-    folded.withColumn("_reject", F.col(key).isNull()).write.mode("overwrite").parquet(f"{stage}/increment")
+    seen = Observation()
+    newest = F.max(F.when(~F.col("_reject"), F.col(order_by)))
+    counted = folded.withColumn("_reject", F.col(key).isNull()).observe(
+        seen, F.count_if(~F.col("_reject")).alias("written"), F.count_if("_reject").alias("null_keys"),
+        newest.cast("string").alias("newest"),
+        F.greatest(newest, F.lit(before).cast(source.schema[order_by].dataType)).cast("string").alias("newest_of_all"),
+    )
+    counted.write.mode("overwrite").parquet(f"{stage}/increment")
+    found = seen.get
+    written, null_keys = found["written"], found["null_keys"]
     split = spark.read.parquet(f"{stage}/increment")
     increment, rejects = (split.where(F.col("_reject") == r).drop("_reject") for r in (False, True))
-    counts = {r["_reject"]: r["count"] for r in split.groupBy("_reject").count().collect()}
-    written, null_keys = counts.get(False, 0), counts.get(True, 0)
 
-    if mode == "full" or not table_exists(spark, path):
-        _note(spark, stage, "full")
+    if not exists:
+        note(spark, stage, "full", found["newest"])
         finish_interrupted(spark, path, partition_by, cluster_by)
-        return UpsertResult(written, null_keys, "full", increment, rejects)
+        return UpsertResult(written, null_keys, "full", increment, rejects, increment.limit(0))
     if written == 0:
-        return UpsertResult(0, null_keys, "merge", increment, rejects)
+        return UpsertResult(0, null_keys, "merge", increment, rejects, increment.limit(0))
 
     existing = read_table(spark, path, increment.schema).where(_in_partitions(increment, partition_by))
-    kept = existing.join(increment.select(key), key, "left_anti")
-    kept.unionByName(increment).write.mode("overwrite").parquet(f"{stage}/merged")
-    _note(spark, stage, "merged")
+    met = increment.select(key, F.lit(True).alias("_met"))
+    old = existing.join(met, key, "left").select(*increment.columns, F.coalesce("_met", F.lit(False)).alias("_gone"))
+    old.unionByName(increment.withColumn("_gone", F.lit(False))).write.mode("overwrite").parquet(f"{stage}/merged")
+    note(spark, stage, "merged", found["newest_of_all"])
     finish_interrupted(spark, path, partition_by, cluster_by)
-    return UpsertResult(written, null_keys, "merge", increment, rejects)
+    replaced = spark.read.parquet(f"{stage}/merged").where("_gone").drop("_gone")
+    return UpsertResult(written, null_keys, "merge", increment, rejects, replaced)

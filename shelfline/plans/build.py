@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.lookups import if_small
 from shelfline.operators.quality import MODEL_CHECKS, run_checks, stop_on_errors
-from shelfline.operators.upsert import UpsertResult, finish_interrupted, newer_than, upsert
+from shelfline.operators.upsert import UpsertResult, after_mark, finish_interrupted, newer_than, stored_mark, upsert
 from shelfline.plans import features, gold, silver, staging
 from shelfline.plans.refresh import rebuild
 from shelfline.sources.raw import register_views
@@ -30,6 +30,16 @@ def gold_path(root: str, table: str) -> str:
     return f"{root}/gold/{table}"
 
 
+# Rows without a date have no day to lie under; they are dealt to so many folders by their key.
+UNDATED_SHARES = 64
+
+
+def fact_parts(table: str, by: str = "day") -> list[str]:
+    """Partition columns of a fact: its day or month, then the share of a row without a date."""
+    date, _ = FACTS[table]
+    return [date if by == "day" else f"{date}_{by}", "undated_share"]
+
+
 def merge_fact(
     spark: SparkSession, root: str, table: str, landed: DataFrame, make, by: str = "day", full: bool = False, lookback: str | None = None
 ) -> UpsertResult:
@@ -37,25 +47,35 @@ def merge_fact(
 
     ``make`` turns landed rows into fact rows. Partitions are days; ``by="month"`` suits
     tables with few rows a day. ``full`` rebuilds the fact from all landed rows. ``lookback`` (such as
-    ``'2 hours'``) also takes rows that landed so long before the newest one.
+    ``'2 hours'``) also takes rows that landed so long before the newest one. The newest load time is the one that the last
+    merge stored; only a table written by other means is scanned for it. A row without a date is merged within one of
+    ``UNDATED_SHARES`` folders, which follows from its key.
     """
     path, (date, key) = silver_path(root, table), FACTS[table]
-    part, order = f"{date}_{by}" if by != "day" else date, [date, "retailer_code"]
-    finish_interrupted(spark, path, part, order)
+    parts, order = fact_parts(table, by), [date, "retailer_code"]
+    finish_interrupted(spark, path, parts, order)
     if not full and table_exists(spark, path):
-        landed = newer_than(landed, read_table(spark, path), "_loaded_at", "_loaded_at", lookback)
-    rows = make(landed)
-    if part != date:
-        rows = rows.withColumn(part, F.trunc(date, by))
-    return upsert(spark, path, rows, key, part, cluster_by=order, mode="full" if full else "merge")
+        mark = stored_mark(spark, path)
+        if mark is None:
+            landed = newer_than(landed, read_table(spark, path), "_loaded_at", "_loaded_at", lookback)
+        else:
+            landed = after_mark(landed, "_loaded_at", mark, lookback)
+    share = F.when(F.col(date).isNull(), F.pmod(F.xxhash64(key), F.lit(UNDATED_SHARES))).otherwise(0).cast("int")
+    rows = make(landed).withColumn("undated_share", share)
+    if by != "day":
+        rows = rows.withColumn(parts[0], F.trunc(date, by))
+    return upsert(spark, path, rows, key, parts, cluster_by=order, mode="full" if full else "merge")
+
+
+def plain_rows(fact: DataFrame) -> DataFrame:
+    """A fact without the columns that only name its folders."""
+    return fact.drop("undated_share", *[c for c in fact.columns if c.endswith("_month")])
 
 
 def read_fact(spark: SparkSession, root: str, table: str, parts: bool = False) -> DataFrame:
-    """The fact; with ``parts`` also the month column it is partitioned by, if it is."""
+    """The fact; with ``parts`` also the columns it is partitioned by."""
     df = read_table(spark, silver_path(root, table))
-    if parts:
-        return df
-    return df.drop(*[c for c in df.columns if c.endswith("_month")])
+    return df if parts else plain_rows(df)
 
 
 def build_silver(

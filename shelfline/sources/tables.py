@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,26 +36,40 @@ def _write_counted(df: DataFrame, path: str, mode: str) -> int:
 def write_clustered(
     df: DataFrame,
     path: str,
-    partition_by: str,
+    partition_by: str | Sequence[str],
     cluster_by: list[str],
     mode: str = "overwrite",
     only_touched: bool = False,
 ) -> None:
-    """One folder per ``partition_by`` value, rows sorted by ``cluster_by`` inside its files.
+    """One folder per value of ``partition_by``, or per combination of several columns', rows sorted by ``cluster_by`` inside its files.
 
     The rebalance hint shuffles by folder so that a folder gets few files, and lets
     AQE cut a folder that holds far more rows than the others into several tasks.
     """
+    folders = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (
-        df.hint("rebalance", partition_by)
-        .sortWithinPartitions(partition_by, *cluster_by)
+        df.hint("rebalance", *folders)
+        .sortWithinPartitions(*folders, *cluster_by)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
-        .partitionBy(partition_by)
+        .partitionBy(*folders)
         .parquet(path)
     )
 
 
+def folders_of(table: DataFrame, parts: DataFrame) -> list[str]:
+    """Folders of a partitioned ``table`` in which the rows lie whose partition columns are in ``parts``, a few rows."""
+    rows = table.select(*parts.columns, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"))
+    wanted = parts.select(*[F.col(c).alias(f"_{c}") for c in parts.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in parts.columns]
+    return [r["_folder"] for r in rows.join(F.broadcast(wanted), same, "left_semi").select("_folder").distinct().collect()]
+
+
+def empty_folder(spark: SparkSession, folder: str, schema: StructType) -> None:
+    """Leaves a folder of a partitioned table without rows; overwriting the folders that a frame has rows in can't do that."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
+
+
 def write_sorted(df: DataFrame, path: str, cluster_by: list[str]) -> None:
     """A table without folders whose files cover consecutive ranges of ``cluster_by``.
 
