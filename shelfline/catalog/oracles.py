@@ -140,6 +140,8 @@ STEPS: dict[str, str] = {
  and f.transaction_date between c.start_date and c.end_date) group by f.upc, f.retailer_code""" for m in ("", "_merged")},
     "brand_price": "select brand, arg_min(avg_price_per_kg, material_number) brand_price_per_kg from live_product group by brand",
     "demand": f"""select store_key, upc, {_ratio('sum(units_sold)', 'count(units_sold)')} avg_daily_units from pos_fact
+ where transaction_date >= date '{AS_OF}' - interval 28 day group by store_key, upc""",
+    "demand_merged": f"""select store_key, upc, {_ratio('sum(units_sold)', 'count(units_sold)')} avg_daily_units from pos_fact_merged
  where transaction_date >= date '{AS_OF}' - interval 28 day group by store_key, upc""",
     "priced_order": """select o.*, p.material_number product_number, p.upc, p.product_name, p.brand, p.category, p.sub_category, p.unit_weight_kg, r.rate_to_usd
  from staged_order o left join dim_product p on p.material_number = o.material_number and o.order_date between p.effective_from and p.effective_to
@@ -254,6 +256,16 @@ _AUDIT_SPEC = "audit_timestamp:s total_rows:i null_store_key_count:i future_date
 
 
 
+def _availability(merged: str = "") -> str:
+    return f"""select *, case when on_hand_qty = 0 then 'OUT_OF_STOCK' when days_of_supply < 3 then 'CRITICAL' when days_of_supply < 7 then 'LOW' when days_of_supply > 28 then 'OVERSTOCK' else 'HEALTHY' end availability_status
+ from (select i.snapshot_date, st.retailer_name, st.region, st.store_name, st.store_id, p.brand, p.category, p.product_name, i.on_hand_qty, i.in_transit_qty, d.avg_daily_units,
+ {_ratio('i.on_hand_qty', 'd.avg_daily_units')} days_of_supply, {_ratio('i.on_hand_qty + i.in_transit_qty', 'd.avg_daily_units')} days_of_supply_incl_transit
+ from stock_fact{merged} i join dim_store st on st.store_key = i.store_key join live_product p on p.upc = i.upc left join demand{merged} d on d.store_key = i.store_key and d.upc = i.upc) x"""
+
+
+_SHELF_SPEC = "snapshot_date:s retailer_name:s region:s store_name:s store_id:s brand:s category:s product_name:s on_hand_qty:f in_transit_qty:f avg_daily_units:f days_of_supply:f days_of_supply_incl_transit:f availability_status:s"
+
+
 def _audit(moment: str, hours: int) -> str:
     return f"""select timestamp '{moment}' audit_timestamp, count(*) total_rows, count(*) filter (where store_key is null) null_store_key_count,
  count(*) filter (where transaction_date > cast(timestamp '{moment}' as date)) future_date_count, count(*) filter (where revenue < 0) negative_revenue_count
@@ -362,11 +374,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "weekly_store_demand": (_weekly("pos_fact"), _WEEKLY_SPEC),
     "promo_lift": (_lift(), _LIFT_SPEC),
     "promo_lift_by_retailer": (_RETAILER_LIFT, "promo_id:s promo_name:s promo_mechanic:s retailer_code:s brand:s category:s start_date:s end_date:s promo_days:i promo_kg:f promo_daily_kg:f products:i baseline_daily_kg:f lift_pct:f promo_revenue:f trade_spend_usd:f incremental_revenue_est:f promo_roi:f"),
-    "on_shelf_availability": (f"""select *, case when on_hand_qty = 0 then 'OUT_OF_STOCK' when days_of_supply < 3 then 'CRITICAL' when days_of_supply < 7 then 'LOW' when days_of_supply > 28 then 'OVERSTOCK' else 'HEALTHY' end availability_status
- from (select i.snapshot_date, st.retailer_name, st.region, st.store_name, st.store_id, p.brand, p.category, p.product_name, i.on_hand_qty, i.in_transit_qty, d.avg_daily_units,
- {_ratio('i.on_hand_qty', 'd.avg_daily_units')} days_of_supply, {_ratio('i.on_hand_qty + i.in_transit_qty', 'd.avg_daily_units')} days_of_supply_incl_transit
- from stock_fact i join dim_store st on st.store_key = i.store_key join live_product p on p.upc = i.upc left join demand d on d.store_key = i.store_key and d.upc = i.upc) x""",
-        "snapshot_date:s retailer_name:s region:s store_name:s store_id:s brand:s category:s product_name:s on_hand_qty:f in_transit_qty:f avg_daily_units:f days_of_supply:f days_of_supply_incl_transit:f availability_status:s"),
+    "on_shelf_availability": (_availability(), _SHELF_SPEC),
     "incremental_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "full_refresh_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "incremental_from_bronze": ("select * from bronze_fact_merged", _POS_FACT_SPEC),
@@ -407,6 +415,11 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "stream_pos_audits": (_audit(AUDIT_AT, 1), _AUDIT_SPEC),
     "stream_inventory": ("select * from clean_inventory", _CLEAN_INV_SPEC),
     "refreshed_weekly_demand": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),
+    "refreshed_weekly_demand_of_new_master": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),
+    "refreshed_promo_lift": (_lift("_merged"), _LIFT_SPEC),
+    "refreshed_availability": (_availability("_merged"), _SHELF_SPEC),
+    "refreshed_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
+    "applied_order_changes": ("select record_id, material_number, order_qty, net_value, plant, order_type from raw_orders", "record_id:s material_number:s order_qty:s net_value:s plant:s order_type:s"),
     "check_repeated_inventory_keys": ("select inventory_sk, count(*) as rows from stock_fact where inventory_sk is not null group by inventory_sk having count(*) > 1", "inventory_sk:s rows:i"),
     "check_missing_sale_dates": ("select pos_sale_sk, store_key, upc, units_sold from pos_fact where transaction_date is null", "pos_sale_sk:s store_key:i upc:s units_sold:f"),
     "check_missing_promo_starts": ("select promo_id, retailer_code, end_date from promo_fact where start_date is null", "promo_id:s retailer_code:s end_date:s"),
@@ -419,6 +432,9 @@ _ORACLES: dict[str, tuple[str, str]] = {
 }
 
 
+_ORACLES["refreshed_conformed_sales"] = _ORACLES["conformed_sales"]
+
+
 def _definition(name: str) -> str | None:
     if name in FEEDS:
         return re.sub(r"\{(\w+)\}", r"\1", FEEDS[name])

@@ -13,8 +13,9 @@ from pyspark.sql.types import BooleanType, DateType, DecimalType, FractionalType
 from shelfline import schemas
 from shelfline.catalog.tables import AS_OF, AUDIT_AT, FIRST_LOAD_END, RUN_TIME, Tables
 from shelfline.functions import keys, measures, parsing
-from shelfline.operators import changes, lookups, promo_days, quality, upsert, versions
-from shelfline.plans import bronze, build, features, gold, refresh, silver, staging
+from shelfline.operators import changes, deltas, lookups, promo_days, quality, upsert, versions
+from shelfline.operators.deltas import Delta
+from shelfline.plans import bronze, build, features, gold, maintain, refresh, silver, staging
 from shelfline.session import shared_dir
 from shelfline.sources import raw, tables
 from shelfline.streaming import ingest
@@ -658,13 +659,13 @@ def _loads(t: Tables, feed: str = "raw_pos") -> list[DataFrame]:
     return [landed.where(F.col("_loaded_at") <= F.lit(FIRST_LOAD_END).cast("timestamp_ntz")), landed]
 
 
-def _merge_sales(t: Tables, root: str, landed: DataFrame, full: bool = False) -> DataFrame:
-    """One run over what has landed; returns the rows it brought in. Months, as there are few rows a day."""
+def _merge_sales(t: Tables, root: str, landed: DataFrame, full: bool = False) -> upsert.UpsertResult:
+    """One run over what has landed. Months, as there are few rows a day."""
 
     def make(rows: DataFrame) -> DataFrame:
         return silver.fct_pos_sales(staging.stage_pos(rows), t.dim_store, t.dim_product, t.dim_fx)
 
-    return build.merge_fact(t.spark, root, "fct_pos_sales", landed, make, by="month", full=full).increment
+    return build.merge_fact(t.spark, root, "fct_pos_sales", landed, make, by="month", full=full)
 
 
 @query("I1", "I2", "J14")
@@ -711,14 +712,18 @@ def sales_from_bronze_build(t: Tables) -> DataFrame:
     return build.read_fact(t.spark, root, "fct_pos_sales")
 
 
+def _merge_inventory(t: Tables, root: str, landed: DataFrame) -> upsert.UpsertResult:
+    def make(rows: DataFrame) -> DataFrame:
+        return silver.fct_inventory(staging.stage_inventory(rows), t.dim_store)
+
+    return build.merge_fact(t.spark, root, "fct_inventory", landed, make, by="month")
+
+
 @query("I2", "M2")
 def incremental_inventory(t: Tables) -> DataFrame:
     root = _new_dir(t, "incremental")
     for landed in _loads(t, "raw_inventory"):
-        build.merge_fact(
-            t.spark, root, "fct_inventory", landed,
-            lambda rows: silver.fct_inventory(staging.stage_inventory(rows), t.dim_store), by="month",
-        )
+        _merge_inventory(t, root, landed)
     return build.read_fact(t.spark, root, "fct_inventory")
 
 
@@ -783,6 +788,119 @@ def new_product_versions(t: Tables) -> DataFrame:
     )
 
 
+# --- tables kept up to date --------------------------------------------------------------
+
+
+def _products_before(t: Tables) -> DataFrame:
+    """The product master as it was when the gold tables were made: other weights and prices, and a category not yet sold."""
+    heavier = F.when(F.col("category") == "PROMO", F.col("unit_weight_kg") * 2).otherwise(F.col("unit_weight_kg"))
+    dearer = F.when(F.col("category") == "LARGE", F.col("avg_price_per_kg") + 3).otherwise(F.col("avg_price_per_kg"))
+    before = t.dim_product.where(F.col("category") != "SMALL").withColumns({"unit_weight_kg": heavier, "avg_price_per_kg": dearer})
+    return tables.conform(before, schemas.DIM_PRODUCT)
+
+
+def _stores_before(t: Tables) -> DataFrame:
+    return t.dim_store.withColumn("region", F.when(F.col("store_key") % 5 == 0, F.lit("elsewhere")).otherwise(F.col("region")))
+
+
+def _rates_before(t: Tables) -> DataFrame:
+    rows = t.dim_fx.where(~((F.col("currency_code") == "EUR") & (F.month("rate_date") == 3)))
+    doubled = F.when(F.col("currency_code") == "CAD", F.col("rate_to_usd") * 2).otherwise(F.col("rate_to_usd"))
+    return tables.conform(rows.withColumn("rate_to_usd", doubled), schemas.DIM_FX)
+
+
+def _promos_before(t: Tables) -> DataFrame:
+    """The landed calendar before some promotions were added, taken back and moved."""
+    other_shop = F.when(F.col("promo_id").endswith("7"), F.lit("WMT")).otherwise(F.col("retailer_code"))
+    rows = t.raw_promo.where(~F.col("promo_id").endswith("3")).withColumn("retailer_code", other_shop)
+    return rows.unionByName(t.raw_promo.where(F.col("promo_id").endswith("5")).withColumn("promo_id", F.concat("promo_id", F.lit("-X"))))
+
+
+@query("C4")
+def applied_order_changes(t: Tables) -> DataFrame:
+    """Orders, some repriced, dropped, added and doubled, brought to the feed as it is by the change set between the two."""
+    new = t.raw_orders.select("record_id", "material_number", "order_qty", "net_value", "plant", "order_type")
+    repriced = F.when(F.col("order_type") == "A", F.concat(F.lit("1"), "net_value")).otherwise(F.col("net_value"))
+    old = new.where(F.col("plant") != "PL00").withColumn("net_value", repriced)
+    old = old.unionByName(new.where(F.col("plant") == "PL01")).unionByName(new.where(F.col("plant") == "PL02").withColumn("record_id", F.concat("record_id", F.lit("-B"))))
+    return deltas.apply_changes(old, changes.snapshot_diff(old, new, ["record_id"]))
+
+
+@query("C4", "M3")
+def refreshed_promotions(t: Tables) -> DataFrame:
+    """The promotion fact follows edits of the calendar, one change set a load, and then of the product master."""
+    path, before, products = _new_dir(t, "fct_promotions"), _promos_before(t), _products_before(t)
+    edits = tables.stored(changes.snapshot_diff(before, t.raw_promo, ["promo_id"]), "calendar-edits")
+    nothing = edits.limit(0)
+    maintain.refresh_promotions(t.spark, path, before, nothing, maintain.same(products), "first")
+    maintain.refresh_promotions(t.spark, path, before, edits, maintain.same(products), "calendar")
+    maintain.refresh_promotions(t.spark, path, before, edits, maintain.same(products), "calendar")  # skipped
+    maintain.refresh_promotions(t.spark, path, t.raw_promo, nothing, maintain.Versions(products, t.dim_product), "products")
+    return tables.read_table(t.spark, path).drop("start_month")
+
+
+@query("C6", "G1")
+def refreshed_conformed_sales(t: Tables) -> DataFrame:
+    """Orders land in two loads; then product versions and rates change."""
+    path, products, rates = _new_dir(t, "conformed_sales"), _products_before(t), _rates_before(t)
+    first = F.col("_loaded_at") <= F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
+    old, new = (tables.stored(t.orders_staged.where(c), "orders") for c in (first, ~first))
+    nothing = Delta(old.limit(0), old.limit(0))
+    maintain.refresh_conformed_sales(t.spark, path, old, nothing, maintain.same(products), maintain.same(rates), "first")
+    maintain.refresh_conformed_sales(t.spark, path, old, Delta(new, new.limit(0)), maintain.Versions(products, t.dim_product), maintain.same(rates), "second")
+    maintain.refresh_conformed_sales(t.spark, path, old.unionByName(new), nothing, maintain.same(t.dim_product), maintain.Versions(rates, t.dim_fx), "rates")
+    return tables.read_table(t.spark, path).drop("order_month")
+
+
+@query("C6", "G2")
+def refreshed_weekly_demand_of_new_master(t: Tables) -> DataFrame:
+    """As ``refreshed_weekly_demand``, and with the second load products and stores change as well."""
+    root, weekly = _new_dir(t, "incremental"), _new_dir(t, "weekly_store_demand")
+    first, second = _loads(t)
+    _merge_sales(t, root, first)
+    refresh.refresh_weekly_demand(t.spark, weekly, build.read_fact(t.spark, root, "fct_pos_sales", parts=True), _stores_before(t), _products_before(t))
+    changed = _merge_sales(t, root, second).increment
+    refresh.refresh_weekly_demand(
+        t.spark, weekly, build.read_fact(t.spark, root, "fct_pos_sales", parts=True), t.dim_store, t.dim_product, changed, _stores_before(t), _products_before(t)
+    )
+    return tables.read_table(t.spark, weekly)
+
+
+@query("C6", "G3")
+def refreshed_promo_lift(t: Tables) -> DataFrame:
+    """Sales land in two loads, the second with another calendar and product master; the fact is read in neither refresh."""
+    root, daily, path = _new_dir(t, "incremental"), _new_dir(t, "daily_sales"), _new_dir(t, "promo_lift")
+    products = maintain.Versions(_products_before(t), t.dim_product)
+    promos = maintain.Versions(
+        tables.stored(silver.fct_promotions(staging.stage_promo(_promos_before(t)), t.dim_product), "promotions"), tables.stored(t.fct_promotions, "promotions")
+    )
+    for i, landed in enumerate(_loads(t)):
+        sales = maintain.sales_delta(_merge_sales(t, root, landed))
+        maintain.refresh_daily_sales(t.spark, daily, sales, str(i))
+        known = (promos, products) if i else (maintain.same(promos.old), maintain.same(products.old))
+        maintain.refresh_promo_lift(t.spark, path, daily, sales, *known, str(i))
+    return tables.read_table(t.spark, path).drop("start_month")
+
+
+@query("C6", "G4", "F8")
+def refreshed_availability(t: Tables) -> DataFrame:
+    """Sales and snapshots land in two loads, nine days apart; stores and products change with the second."""
+    root, demand, path = _new_dir(t, "incremental"), _new_dir(t, "demand"), _new_dir(t, "on_shelf_availability")
+    days = ["2001-07-23", AS_OF]
+    for i, (landed, stock) in enumerate(zip(_loads(t), _loads(t, "raw_inventory"), strict=True)):
+        sales = maintain.sales_delta(_merge_sales(t, root, landed))
+        maintain.refresh_demand(t.spark, demand, build.read_fact(t.spark, root, "fct_pos_sales"), sales if i else None, days[i])
+        before = build.read_fact(t.spark, root, "fct_inventory") if i else None
+        before = None if before is None else tables.stored(before, "stock-before")
+        snapshots = maintain.sales_delta(_merge_inventory(t, root, stock))
+        old = snapshots.added.limit(0) if before is None else before
+        stores = maintain.Versions(_stores_before(t), t.dim_store) if i else maintain.same(_stores_before(t))
+        products = maintain.Versions(_products_before(t), t.dim_product) if i else maintain.same(_products_before(t))
+        kept = maintain.Versions(*(maintain.demand(t.spark, demand, d) for d in (days[0], days[i])))
+        maintain.refresh_availability(t.spark, path, old, snapshots, stores, products, kept, str(i))
+    return tables.read_table(t.spark, path).drop("snapshot_month")
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 
@@ -845,7 +963,7 @@ def refreshed_weekly_demand(t: Tables) -> DataFrame:
     """The fact grows in two runs; after the second only the touched weeks are rebuilt."""
     root, weekly = _new_dir(t, "incremental"), _new_dir(t, "weekly_store_demand")
     for landed in _loads(t):
-        changed = _merge_sales(t, root, landed)
+        changed = _merge_sales(t, root, landed).increment
         refresh.refresh_weekly_demand(
             t.spark, weekly, build.read_fact(t.spark, root, "fct_pos_sales", parts=True), t.dim_store, t.dim_product, changed
         )

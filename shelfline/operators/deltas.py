@@ -54,10 +54,11 @@ class Delta:
         """As a change set, without what cancels out."""
         return snapshot_diff(self.removed, self.added, keys)
 
-    def sums(self, keys: list[str], **measures) -> DataFrame:
-        """By ``keys``, how much each of ``measures`` (a column of sums) grew or shrank."""
-        sides = [rows.select(*keys, *[(m * sign).alias(n) for n, m in measures.items()]) for rows, sign in ((self.added, 1), (self.removed, -1))]
-        return sides[0].unionByName(sides[1]).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
+    def sums(self, keys: list[str], **measures: str) -> DataFrame:
+        """By ``keys``, how much the sum of each of ``measures`` (SQL expressions) grew or shrank."""
+        grown = self.added.select(*keys, *[F.expr(m).alias(n) for n, m in measures.items()])
+        shrunk = self.removed.select(*keys, *[F.negative(F.expr(m)).alias(n) for n, m in measures.items()])
+        return grown.unionByName(shrunk).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
 
 
 def join_delta(
@@ -100,28 +101,40 @@ def _matched(target: DataFrame, deletes: DataFrame, columns: list[str]) -> DataF
     return held.alias("t").join(deletes.alias("d"), _same("t", "d", columns)).select(*[F.col(f"t.`{c}`") for c in columns], "held", "copies")
 
 
+def _compared(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a change set deletes, and which of it ``target`` holds; both stored."""
+    columns = target.columns
+    deletes = stored(_deletes(changes, columns), "deletes")
+    return deletes, stored(_matched(target, deletes, columns), "deleted")
+
+
+def _applied(target: DataFrame, changes: DataFrame, deletes: DataFrame, matched: DataFrame) -> DataFrame:
+    columns = target.columns
+    kept = target.alias("t").join(if_small(deletes).alias("d"), _same("t", "d", columns), "left_anti")
+    rest = matched.withColumn("copies", F.col("held") - F.col("copies")).where("copies > 0").drop("held")
+    added = changes.where("change = 'INSERT'").select(*columns, "copies")
+    return kept.unionByName(spelled_out(rest)).unionByName(spelled_out(added))
+
+
+def _missing(deletes: DataFrame, matched: DataFrame) -> DataFrame:
+    columns = [c for c in deletes.columns if c != "copies"]
+    both = deletes.alias("d").join(matched.alias("t"), _same("d", "t", columns), "left")
+    missing = F.col("d.copies") - F.coalesce("held", F.lit(0))
+    return both.select(*[F.col(f"d.`{c}`") for c in columns], missing.alias("copies")).where("copies > 0")
+
+
 def apply_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
     """``target`` after a change set: as many copies of each row go and come as ``copies`` says.
 
     Both halves of an update are a DELETE and an INSERT, so ``is_update`` needs no care of its own. Rows that no DELETE names pass
     untouched; only those it names are counted. What it names beyond the copies there are is ignored here, see ``missing_deletes``.
     """
-    columns = target.columns
-    deletes = stored(_deletes(changes, columns), "deletes")
-    kept = target.alias("t").join(if_small(deletes).alias("d"), _same("t", "d", columns), "left_anti")
-    rest = _matched(target, deletes, columns).withColumn("copies", F.col("held") - F.col("copies")).where("copies > 0")
-    added = changes.where("change = 'INSERT'").select(*columns, "copies")
-    return kept.unionByName(spelled_out(rest.drop("held"))).unionByName(spelled_out(added))
+    return _applied(target, changes, *_compared(target, changes))
 
 
 def missing_deletes(target: DataFrame, changes: DataFrame) -> DataFrame:
     """Rows that a change set deletes and ``target`` doesn't hold, with how many copies are missing."""
-    columns = target.columns
-    deletes = stored(_deletes(changes, columns), "deletes")
-    found = _matched(target, deletes, columns).select(*columns, "held")
-    both = deletes.alias("d").join(found.alias("t"), _same("d", "t", columns), "left")
-    missing = F.col("d.copies") - F.coalesce("held", F.lit(0))
-    return both.select(*[F.col(f"d.`{c}`") for c in columns], missing.alias("copies")).where("copies > 0")
+    return _missing(*_compared(target, changes))
 
 
 def merge_changes(
@@ -146,10 +159,11 @@ def merge_changes(
         target = read_table(spark, path, schema).where(_in_partitions(changes, _columns(partition_by))).select(*columns)
     else:
         target = changes.select(*columns).limit(0)
-    missing = missing_deletes(target, changes).agg(F.sum("copies")).first()[0]
+    compared = _compared(target, changes)
+    missing = _missing(*compared).agg(F.sum("copies")).first()[0]
     if missing:
         raise ChangesDontFit(f"{missing} rows to delete are not in {path}")
-    after = apply_changes(target, changes)
+    after = _applied(target, changes, *compared)
     if not exists:
         after.withColumn("_reject", F.lit(False)).write.mode("overwrite").parquet(f"{stage}/increment")
         note(spark, stage, "full", version)

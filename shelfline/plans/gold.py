@@ -134,8 +134,11 @@ def _lift_inputs(promos, products, pos, daily) -> tuple[DataFrame, DataFrame]:
     """Promotion sums with the brand's price, and baselines. The fact is read once: its daily sums are stored."""
     daily = stored(daily_sales(pos), "daily_sales") if daily is None else daily
     calendar = running(promos, daily)
-    summary = promo_sales(daily, calendar, products, by_upc=True).join(price_by_brand(products), "brand", "left")
-    return summary, baseline_sales(daily, calendar, products)
+    return _priced_sales(calendar, products, daily), baseline_sales(daily, calendar, products)
+
+
+def _priced_sales(promos: DataFrame, products: DataFrame, daily: DataFrame) -> DataFrame:
+    return promo_sales(daily, promos, products, by_upc=True).join(price_by_brand(products), "brand", "left")
 
 
 _PROMO = (
@@ -151,7 +154,18 @@ def promo_lift(
 
     One row per promotion and product. Pass ``daily``, as ``daily_sales`` makes it, if such a table is at hand.
     """
-    summary, baseline = _lift_inputs(promos, products, pos, daily)
+    return _lift(*_lift_inputs(promos, products, pos, daily))
+
+
+def lift_of(promos: DataFrame, calendar: DataFrame, products: DataFrame, daily: DataFrame) -> DataFrame:
+    """``promo_lift`` of some promotions, from the daily sums of their products at their retailers.
+
+    ``calendar`` are all promotions; both as from ``running``.
+    """
+    return _lift(_priced_sales(promos, products, daily), baseline_sales(daily, calendar, products))
+
+
+def _lift(summary: DataFrame, baseline: DataFrame) -> DataFrame:
     base, days = F.col("baseline_daily_kg"), F.col("promo_days")
     usual_revenue = base * days * F.col("brand_price_per_kg").cast("double")
     return (
@@ -233,6 +247,11 @@ def on_shelf_availability(
     Demand is folded to store and product before the join, which matches each snapshot
     to one row at most.
     """
+    return availability_of(inventory, stores, products, recent_demand(pos, as_of))
+
+
+def availability_of(inventory: DataFrame, stores: DataFrame, products: DataFrame, recent: DataFrame) -> DataFrame:
+    """``on_shelf_availability`` with the demand as a table, one row per store and product."""
     rows = inventory.select("snapshot_date", "store_key", "upc", "on_hand_qty", "in_transit_qty")
     rows = rows.join(
         stores.select("store_key", "retailer_name", "region", "store_name", "store_id"), "store_key"
@@ -240,7 +259,7 @@ def on_shelf_availability(
     rows = add_product(rows, products, "upc", "brand", "category", "product_name", how="inner")
     demand, on_hand = F.col("avg_daily_units"), F.col("on_hand_qty")
     return (
-        join_folded(rows, recent_demand(pos, as_of), ["store_key", "upc"])
+        join_folded(rows, recent, ["store_key", "upc"])
         .withColumn("days_of_supply", ratio(on_hand, demand))
         .withColumn("days_of_supply_incl_transit", ratio(on_hand + F.col("in_transit_qty"), demand))
         .withColumn("availability_status", stock_status(on_hand, F.col("days_of_supply")))
