@@ -365,6 +365,8 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "fct_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "fct_promotions_loaded": (f"select *, timestamp '{RUN_TIME}' _loaded_at from promo_fact", _PROMO_FACT_SPEC + " _loaded_at:s"),
     "dim_product_versions": (_NUMBERED_PRODUCTS, "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
+    "lasting_product_numbers": (f"""select row_number() over (order by category = 'SMALL', material_number, effective_from) product_sk, *,
+ timestamp '{RUN_TIME}' _updated_at from dim_product""", "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
     "numbered_orders": ("select 1000 + row_number() over (order by record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", "order_sk:i record_id:s plant:s order_qty:s"),
     "hashed_products": ("select material_number, count(*) versions from dim_product group by material_number", "material_number:s versions:i"),
     "conformed_sales": ("""select record_id sales_order_id, sales_org, distribution_channel, order_type, order_date, delivery_date, plant, product_number material_number, upc, product_name, brand, category,
@@ -376,6 +378,18 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "promo_lift_by_retailer": (_RETAILER_LIFT, "promo_id:s promo_name:s promo_mechanic:s retailer_code:s brand:s category:s start_date:s end_date:s promo_days:i promo_kg:f promo_daily_kg:f products:i baseline_daily_kg:f lift_pct:f promo_revenue:f trade_spend_usd:f incremental_revenue_est:f promo_roi:f"),
     "on_shelf_availability": (_availability(), _SHELF_SPEC),
     "incremental_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
+    "late_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
+    "sales_with_layouts": ("select pos_sale_sk, transaction_date, units_sold from pos_fact_merged union all select inventory_sk, snapshot_date, on_hand_qty from stock_fact_merged",
+        "pos_sale_sk:s transaction_date:s units_sold:f"),
+    "found_layouts": ("""select retailer_code, case when best = 0 then null when iso = best and not dotted then 'yyyy-MM-dd' when iso = best then 'dd.MM.yyyy' when us = best then 'MM/dd/yyyy'
+ else 'yyyyMMdd' end layout, texts, best fits, best > 0 and us = best and day_first = best ambiguous from (select *, greatest(iso, us, compact) best from (
+ select retailer_code, starts_with(retailer_code, 'R') dotted, count(transaction_date) texts, count(try_strptime(transaction_date, '%Y-%m-%d')) iso, count(try_strptime(transaction_date, '%m/%d/%Y')) us,
+ count(try_strptime(transaction_date, '%Y%m%d')) compact, count(try_strptime(transaction_date, '%d/%m/%Y')) day_first from raw_pos group by retailer_code) g) b""",
+        "retailer_code:s layout:s texts:i fits:i ambiguous:i"),
+    "sales_of_found_layouts": (f"""select retailer_code, cast(coalesce(try_strptime(transaction_date, '%Y-%m-%d'), try_strptime(transaction_date, '%m/%d/%Y'), try_strptime(transaction_date, '%Y%m%d')) as date) transaction_date,
+ count(*) as rows, sum({_dec('units_sold', 18, 0)}) units from raw_pos where length({_digits('upc')}) in (12, 13) and {_dec('units_sold', 18, 0)} >= 0 group by 1, 2""", "retailer_code:s transaction_date:s rows:i units:f"),
+    "stores_lacking_required": ("""select store_key, store_name, case when store_key % 5 = 0 and store_key % 7 = 0 then 'retailer_code,store_id' when store_key % 5 = 0 then 'retailer_code' else 'store_id' end missing
+ from dim_store where store_key % 5 = 0 or store_key % 7 = 0""", "store_key:i store_name:s missing:s"),
     "full_refresh_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "incremental_from_bronze": ("select * from bronze_fact_merged", _POS_FACT_SPEC),
     "build_report": (_report(_MERGED_LINES), _REPORT_SPEC),
@@ -416,6 +430,17 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "stream_inventory": ("select * from clean_inventory", _CLEAN_INV_SPEC),
     "refreshed_weekly_demand": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),
     "refreshed_weekly_demand_of_new_master": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),
+    "kept_selling_days": ("select store_key, brand, count(distinct transaction_date) selling_days from pos_fact_merged group by store_key, brand", "store_key:i brand:s selling_days:i"),
+    "demand_features_by_calendar": (f"""select d.store_key, d.upc, d.transaction_date, any_value(d.daily_units) daily_units, any_value(d.daily_revenue) daily_revenue, any_value(d.had_promo) had_promo,
+ {_ratio('coalesce(sum(e.daily_units) filter (where e.transaction_date > d.transaction_date - 7), 0)', 'least(7, any_value(d.age))')} units_7d_avg,
+ {_ratio('coalesce(sum(e.daily_units), 0)', 'least(28, any_value(d.age))')} units_28d_avg,
+ {_ratio('coalesce(sum(e.daily_revenue) filter (where e.transaction_date > d.transaction_date - 7), 0)', 'least(7, any_value(d.age))')} revenue_7d_avg,
+ sum(e.had_promo) filter (where e.transaction_date > d.transaction_date - 7) promo_running_count,
+ case when any_value(d.age) > 7 then {_ratio('(coalesce(any_value(d.daily_units), 0) - coalesce(sum(e.daily_units) filter (where e.transaction_date = d.transaction_date - 7), 0))', 'coalesce(sum(e.daily_units) filter (where e.transaction_date = d.transaction_date - 7), 0)')} end wow_growth,
+ extract(dow from d.transaction_date) day_of_week, extract(month from d.transaction_date) month_num, case when extract(dow from d.transaction_date) in (6, 7) then 1 else 0 end is_weekend
+ from (select *, transaction_date - min(transaction_date) over (partition by store_key, upc) + 1 age from day_sale where transaction_date is not null) d
+ join day_sale e on e.store_key is not distinct from d.store_key and e.upc is not distinct from d.upc and e.transaction_date between d.transaction_date - 27 and d.transaction_date
+ group by d.store_key, d.upc, d.transaction_date""", _FEATURE_SPEC),
     "refreshed_promo_lift": (_lift("_merged"), _LIFT_SPEC),
     "refreshed_availability": (_availability("_merged"), _SHELF_SPEC),
     "refreshed_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),

@@ -13,7 +13,7 @@ from pyspark.sql.types import BooleanType, DateType, DecimalType, FractionalType
 from shelfline import schemas
 from shelfline.catalog.tables import AS_OF, AUDIT_AT, FIRST_LOAD_END, RUN_TIME, Tables
 from shelfline.functions import keys, measures, parsing
-from shelfline.operators import changes, deltas, lookups, promo_days, quality, upsert, versions
+from shelfline.operators import changes, deltas, layouts, lookups, promo_days, quality, upsert, versions
 from shelfline.operators.deltas import Delta
 from shelfline.plans import bronze, build, features, gold, maintain, refresh, silver, staging
 from shelfline.session import shared_dir
@@ -486,6 +486,11 @@ def demand_features_iso_week(t: Tables) -> DataFrame:
     )
 
 
+@query("W1", "W2", "W3", "W4", "W5")
+def demand_features_by_calendar(t: Tables) -> DataFrame:
+    return features.demand_features_by_calendar(t.pos_cleansed)
+
+
 @query("X2")
 def days_since_stockout(t: Tables) -> DataFrame:
     return features.demand_features_with_stockouts(t.pos_cleansed, t.inventory_cleansed)
@@ -619,6 +624,15 @@ def hashed_products(t: Tables) -> DataFrame:
     return numbered.groupBy("material_number").agg(F.count_distinct("product_sk").alias("versions"))
 
 
+@query("M4", "K2")
+def lasting_product_numbers(t: Tables) -> DataFrame:
+    """The dimension built before a category was sold, and again with it: versions keep the numbers they had."""
+    root = _new_dir(t, "built")
+    for products in (_products_before(t), t.dim_product, t.dim_product):
+        build.build_product_versions(products, root, RUN_TIME)
+    return tables.read_table(t.spark, build.silver_path(root, "dim_product_versions"))
+
+
 @query("G1")
 def conformed_sales(t: Tables) -> DataFrame:
     return t.conformed_sales
@@ -697,6 +711,17 @@ def incremental_from_bronze(t: Tables) -> DataFrame:
     return build.read_fact(t.spark, root, "fct_pos_sales")
 
 
+@query("I1", "J14")
+def late_sales(t: Tables) -> DataFrame:
+    """Some sales of the last month before the first load land after it; a lookback picks them up."""
+    root, end = _new_dir(t, "incremental"), F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
+    late = F.coalesce(F.col("store_id").endswith("3"), F.lit(False)) & (F.col("_loaded_at") > end - F.expr("interval 30 days"))
+    for landed in (t.raw_pos.where((F.col("_loaded_at") <= end) & ~late), t.raw_pos):
+        feeds = {"raw_pos": landed, "raw_inventory": t.raw_inventory.limit(0), "raw_promo": t.raw_promo.limit(0)}
+        build.build_silver(t.spark, feeds, _reference_tables(t), root, by="month", stop=False, lookback="40 days")
+    return build.read_fact(t.spark, root, "fct_pos_sales")
+
+
 @query("I2", "K1a")
 def keyless_sales(t: Tables) -> DataFrame:
     """The rows that the merge of the bronze sales leaves out: all without a key."""
@@ -727,6 +752,52 @@ def incremental_inventory(t: Tables) -> DataFrame:
     return build.read_fact(t.spark, root, "fct_inventory")
 
 
+def _dotted(text: str):
+    """A third date layout: ISO texts with the day first and dots between."""
+    return F.regexp_replace(text, r"^(\d{4})-(\d{2})-(\d{2})$", "$3.$2.$1")
+
+
+def _dotted_sales(t: Tables) -> DataFrame:
+    return t.raw_pos.withColumn("transaction_date", F.when(F.col("retailer_code").startswith("R"), _dotted("transaction_date")).otherwise(F.col("transaction_date")))
+
+
+@query("P2", "P3", "S13")
+def sales_with_layouts(t: Tables) -> DataFrame:
+    """The silver build over feeds in a third date layout, which the build is told."""
+    root = _new_dir(t, "built")
+    stock = t.raw_inventory.withColumn("snapshot_date", _dotted("snapshot_date"))
+    told = staging.Layouts(sales_default=(*parsing.AUTO_DATES, layouts.DOTTED), snapshots=(*parsing.AUTO_DATES, layouts.DOTTED))
+    feeds = {"raw_pos": _dotted_sales(t), "raw_inventory": stock, "raw_promo": t.raw_promo}
+    build.build_silver(t.spark, feeds, _reference_tables(t), root, by="month", stop=False, layouts=told)
+    sales, snapshots = (build.read_fact(t.spark, root, n) for n in build.FACTS)
+    return sales.select("pos_sale_sk", "transaction_date", "units_sold").unionByName(
+        snapshots.select(F.col("inventory_sk").alias("pos_sale_sk"), F.col("snapshot_date").alias("transaction_date"), F.col("on_hand_qty").alias("units_sold"))
+    )
+
+
+@query("P2", "P3")
+def found_layouts(t: Tables) -> DataFrame:
+    """The date layout of each retailer's sales, found in their texts."""
+    return layouts.find_layouts(_dotted_sales(t), "transaction_date")
+
+
+@query("P2", "P3", "B3")
+def sales_of_found_layouts(t: Tables) -> DataFrame:
+    """Sales dated by the layouts that were found."""
+    landed = _dotted_sales(t)
+    found = tables.stored(layouts.find_layouts(landed, "transaction_date"), "layouts")
+    cleansed = bronze.cleanse_pos(landed, t.dim_store, t.dim_fx, staging.Layouts(sales=found))
+    return cleansed.groupBy("retailer_code", "transaction_date").agg(F.count("*").alias("rows"), F.sum("units_sold").alias("units"))
+
+
+@query("S8", "Q-N")
+def stores_lacking_required(t: Tables) -> DataFrame:
+    """Rows that a table can't take, since a column declared as never null is null."""
+    key = F.col("store_key")
+    damaged = t.dim_store.withColumns({"store_id": F.when(key % 7 != 0, F.col("store_id")), "retailer_code": F.when(key % 5 != 0, F.col("retailer_code"))})
+    return tables.lacking_required(damaged, schemas.DIM_STORE).select("store_key", "store_name", "missing")
+
+
 def _built(t: Tables) -> tuple[str, DataFrame]:
     root = _new_dir(t, "built")
     feeds = {n: getattr(t, n) for n in ("raw_pos", "raw_inventory", "raw_promo")}
@@ -901,6 +972,15 @@ def refreshed_availability(t: Tables) -> DataFrame:
     return tables.read_table(t.spark, path).drop("snapshot_month")
 
 
+@query("A4", "C6")
+def kept_selling_days(t: Tables) -> DataFrame:
+    """Distinct selling days from bits that two loads left."""
+    root, path = _new_dir(t, "incremental"), _new_dir(t, "selling_days")
+    for landed in _loads(t):
+        maintain.refresh_selling_days(t.spark, path, maintain.sales_delta(_merge_sales(t, root, landed)))
+    return maintain.selling_days(t.spark, path, t.dim_product)
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 

@@ -63,6 +63,11 @@ def parse_date_by_source(
     )
 
 
+def parse_date_named(text: Column, layout: Column, layouts: tuple[str, ...], default: tuple[str, ...] = AUTO_DATES) -> Column:
+    """Date text in the layout that ``layout`` names, one of ``layouts``; in one of ``default`` where it is null."""
+    return _by_source(layout, {name: parse_date(text, name) for name in layouts}, parse_date_auto(text, default))
+
+
 def strict_date_by_source(
     code: Column, text: Column, layouts: dict[str, str] | None = None, default: str = ISO
 ) -> Column:

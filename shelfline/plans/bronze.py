@@ -21,7 +21,7 @@ from shelfline.functions.parsing import (
     tidy_code,
 )
 from shelfline.operators.lookups import add_product, add_rate, add_store_key
-from shelfline.plans.staging import stage_inventory, stage_pos, type_inventory, type_orders, type_pos
+from shelfline.plans.staging import Layouts, stage_inventory, stage_pos, type_inventory, type_orders, type_pos
 from shelfline.sources.raw import day, stamp
 from shelfline.sources.tables import conform
 
@@ -83,21 +83,21 @@ def order_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def rejected_pos(raw: DataFrame, rejected_at: datetime | str | None = None) -> DataFrame:
+def rejected_pos(raw: DataFrame, rejected_at: datetime | str | None = None, layouts: Layouts = Layouts()) -> DataFrame:
     """Sell-through rows that ``cleanse_pos`` leaves out, as sent, with the first rule each one breaks."""
-    rows = type_pos(raw).where(F.col("rejection_reason").isNotNull())
+    rows = type_pos(raw, layouts.sales, layouts.sales_default).where(F.col("rejection_reason").isNotNull())
     return rows.select(*schemas.RAW_POS.names, "rejection_reason", stamp(rejected_at).alias("_rejected_at"))
 
 
-def rejected_inventory(raw: DataFrame, rejected_at: datetime | str | None = None) -> DataFrame:
+def rejected_inventory(raw: DataFrame, rejected_at: datetime | str | None = None, layouts: Layouts = Layouts()) -> DataFrame:
     """Snapshots that ``cleanse_inventory`` leaves out, as sent, with the first rule each one breaks."""
-    rows = type_inventory(raw).where(F.col("rejection_reason").isNotNull())
+    rows = type_inventory(raw, layouts.snapshots).where(F.col("rejection_reason").isNotNull())
     return rows.select(*schemas.RAW_INVENTORY.names, "rejection_reason", stamp(rejected_at).alias("_rejected_at"))
 
 
-def cleanse_pos(raw: DataFrame, stores: DataFrame, fx: DataFrame) -> DataFrame:
+def cleanse_pos(raw: DataFrame, stores: DataFrame, fx: DataFrame, layouts: Layouts = Layouts()) -> DataFrame:
     """Valid sell-through with store key and revenue in USD at the rate of the month's first day."""
-    rows = add_store_key(stage_pos(raw), stores)
+    rows = add_store_key(stage_pos(raw, layouts.sales, layouts.sales_default), stores)
     rows = add_rate(rows, fx, F.col("transaction_date"), "currency_code", monthly=True)
     return conform(
         rows.withColumns(
@@ -112,8 +112,8 @@ def cleanse_pos(raw: DataFrame, stores: DataFrame, fx: DataFrame) -> DataFrame:
     )
 
 
-def cleanse_inventory(raw: DataFrame, stores: DataFrame) -> DataFrame:
-    rows = add_store_key(stage_inventory(raw), stores)
+def cleanse_inventory(raw: DataFrame, stores: DataFrame, layouts: Layouts = Layouts()) -> DataFrame:
+    rows = add_store_key(stage_inventory(raw, layouts.snapshots), stores)
     return conform(
         rows.withColumns({"_source_file": F.col("source_file"), "_loaded_at": F.col("loaded_at")}),
         schemas.INVENTORY_CLEANSED,

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline import schemas
+from shelfline.operators import numbering
 from shelfline.operators.lookups import if_small
 from shelfline.operators.quality import MODEL_CHECKS, run_checks, stop_on_errors
 from shelfline.operators.upsert import UpsertResult, after_mark, finish_interrupted, newer_than, stored_mark, upsert
@@ -30,6 +32,7 @@ def gold_path(root: str, table: str) -> str:
     return f"{root}/gold/{table}"
 
 
+_DECLARED = {"fct_pos_sales": schemas.FCT_POS_SALES, "fct_inventory": schemas.FCT_INVENTORY, "fct_promotions": schemas.FCT_PROMOTIONS}
 # Rows without a date have no day to lie under; they are dealt to so many folders by their key.
 UNDATED_SHARES = 64
 
@@ -73,8 +76,11 @@ def plain_rows(fact: DataFrame) -> DataFrame:
 
 
 def read_fact(spark: SparkSession, root: str, table: str, parts: bool = False) -> DataFrame:
-    """The fact; with ``parts`` also the columns it is partitioned by."""
-    df = read_table(spark, silver_path(root, table))
+    """The fact; with ``parts`` also the columns it is partitioned by. One that has no rows yet has its declared columns."""
+    path = silver_path(root, table)
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], _DECLARED[table])
+    df = read_table(spark, path)
     return df if parts else plain_rows(df)
 
 
@@ -86,27 +92,36 @@ def build_silver(
     by: str = "day",
     full: bool = False,
     stop: bool = True,
+    layouts: staging.Layouts = staging.Layouts(),
+    lookback: str | None = None,
 ) -> DataFrame:
     """Staging views, the two merged facts, the rebuilt promotions, then the checks on them.
 
-    ``feeds``: raw_pos, raw_inventory, raw_promo. ``reference``: dim_product, dim_store,
+    ``layouts`` are the date layouts of the feeds; ``lookback`` is for rows that land late, see ``merge_fact``. ``feeds``: raw_pos, raw_inventory, raw_promo. ``reference``: dim_product, dim_store,
     dim_fx. Returns the check report, a stored table. A failed check of severity ``error`` stops the build with
     ``ChecksFailed``, so that no gold table is made of such facts; ``stop=False`` only reports it.
     """
     stores, products, fx = (if_small(reference[n]) for n in ("dim_store", "dim_product", "dim_fx"))
+
+    def stage_pos(rows: DataFrame) -> DataFrame:
+        return staging.stage_pos(rows, layouts.sales, layouts.sales_default)
+
+    def stage_inventory(rows: DataFrame) -> DataFrame:
+        return staging.stage_inventory(rows, layouts.snapshots)
+
     staged = {
-        "stg_pos": staging.stage_pos(feeds["raw_pos"]),
-        "stg_inventory": staging.stage_inventory(feeds["raw_inventory"]),
-        "stg_promo": staging.stage_promo(feeds["raw_promo"]),
+        "stg_pos": stage_pos(feeds["raw_pos"]),
+        "stg_inventory": stage_inventory(feeds["raw_inventory"]),
+        "stg_promo": staging.stage_promo(feeds["raw_promo"], layouts.promotions),
     }
     register_views(spark, staged)
     merge_fact(
         spark, root, "fct_pos_sales", feeds["raw_pos"],
-        lambda landed: silver.fct_pos_sales(staging.stage_pos(landed), stores, products, fx), by, full,
+        lambda landed: silver.fct_pos_sales(stage_pos(landed), stores, products, fx), by, full, lookback,
     )
     merge_fact(
         spark, root, "fct_inventory", feeds["raw_inventory"],
-        lambda landed: silver.fct_inventory(staging.stage_inventory(landed), stores), by, full,
+        lambda landed: silver.fct_inventory(stage_inventory(landed), stores), by, full, lookback,
     )
     rebuild(lambda: silver.fct_promotions(staged["stg_promo"], products), silver_path(root, "fct_promotions"))
     built = {n: read_fact(spark, root, n) for n in (*FACTS, "fct_promotions")}
@@ -117,7 +132,7 @@ def build_silver(
 
 
 def build_silver_from_bronze(
-    spark: SparkSession, cleansed_pos: DataFrame, cleansed_inventory: DataFrame, products: DataFrame, root: str, by: str = "day", full: bool = False
+    spark: SparkSession, cleansed_pos: DataFrame, cleansed_inventory: DataFrame, products: DataFrame, root: str, by: str = "day", full: bool = False, lookback: str | None = None
 ) -> dict[str, UpsertResult]:
     """The facts of the other lineage, merged from the cleansed bronze tables, and the features.
 
@@ -126,10 +141,10 @@ def build_silver_from_bronze(
     products = if_small(products)
     done = {
         "fct_pos_sales": merge_fact(
-            spark, root, "fct_pos_sales", cleansed_pos, lambda rows: silver.fct_pos_sales_from_bronze(rows, products), by, full
+            spark, root, "fct_pos_sales", cleansed_pos, lambda rows: silver.fct_pos_sales_from_bronze(rows, products), by, full, lookback
         ),
         "fct_inventory": merge_fact(
-            spark, root, "fct_inventory", cleansed_inventory, silver.fct_inventory_from_bronze, by, full
+            spark, root, "fct_inventory", cleansed_inventory, silver.fct_inventory_from_bronze, by, full, lookback
         ),
     }
     build_features(cleansed_pos, root)
@@ -142,8 +157,13 @@ def build_features(cleansed: DataFrame, root: str) -> int:
 
 
 def build_product_versions(products: DataFrame, root: str, updated_at: str | None = None) -> None:
-    """Rebuilds the numbered product dimension, sorted by brand and category."""
-    versions = silver.dim_product_versions(products, updated_at)
+    """Rebuilds the numbered product dimension, sorted by brand and category.
+
+    A version keeps the number it was given first, whatever is added later; ``product_numbers`` holds them.
+    """
+    key = ["material_number", "effective_from"]
+    numbers = numbering.allocate(products, silver_path(root, "product_numbers"), "product_sk", key)
+    versions = silver.numbered_product_versions(numbering.with_numbers(products, numbers, key), updated_at)
     write_sorted(versions, silver_path(root, "dim_product_versions"), ["brand", "category"])
 
 

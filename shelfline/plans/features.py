@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfline.functions.measures import mean, ratio
@@ -65,6 +65,43 @@ def _features(daily: DataFrame, series_key: list[str], week_start: int) -> DataF
     )
 
 
+def demand_features_by_calendar(cleansed: DataFrame, week_start: int = 0) -> DataFrame:
+    """``demand_features`` over calendar days: a day without sales counts as one with nothing sold.
+
+    Such days are not spelled out. Frames are ranges of day numbers, so a sum over the last seven days takes the rows there are; it is
+    divided by seven, or by the days since the series began if these are fewer. Growth is against the day a week before,
+    zero if nothing was sold then, and unknown before the series began. Rows without a date have no place in a calendar and are left out.
+    """
+    daily = daily_store_sales(cleansed).where(F.col("transaction_date").isNotNull()).withColumn("_day", F.unix_date("transaction_date"))
+    series = Window.partitionBy("store_key", "upc").orderBy("_day")
+    week, month, week_ago = series.rangeBetween(-6, 0), series.rangeBetween(-27, 0), series.rangeBetween(-7, -7)
+    age = F.col("_day") - F.min("_day").over(series) + 1
+
+    def average(column: str, frame: WindowSpec, days: int) -> Column:
+        return ratio(F.coalesce(F.sum(column).over(frame), F.lit(0)), F.least(F.lit(days), age))
+
+    before = F.when(age > 7, F.coalesce(F.sum("daily_units").over(week_ago), F.lit(0)))
+    return (
+        daily.select(
+            "*",
+            average("daily_units", week, 7).alias("units_7d_avg"),
+            average("daily_units", month, 28).alias("units_28d_avg"),
+            average("daily_revenue", week, 7).alias("revenue_7d_avg"),
+            F.sum("had_promo").over(week).alias("promo_running_count"),
+            before.alias("_before"),
+        )
+        .withColumns(
+            {
+                "wow_growth": ratio(F.coalesce("daily_units", F.lit(0)) - F.col("_before"), F.col("_before")),
+                "day_of_week": _day_number("transaction_date", week_start),
+                "month_num": F.month("transaction_date"),
+            }
+        )
+        .withColumn("is_weekend", F.when(F.col("day_of_week").isin(*WEEKEND_DAYS), 1).otherwise(0))
+        .drop("_before", "_day")
+    )
+
+
 def demand_features_with_stockouts(cleansed: DataFrame, inventory: DataFrame, week_start: int = 0) -> DataFrame:
     """``demand_features`` plus the days since the last snapshot with nothing on hand.
 

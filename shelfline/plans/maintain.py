@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.measures import ratio
+from shelfline.operators.day_bits import day_bits, distinct_days, merged_bits
 from shelfline.operators.deltas import Delta, merge_changes
 from shelfline.operators.lookups import current_products, if_small, price_by_brand
 from shelfline.operators.promo_days import running
-from shelfline.operators.upsert import UpsertResult
+from shelfline.operators.upsert import UpsertResult, _in_partitions
 from shelfline.plans import gold, silver, staging
 from shelfline.plans.build import plain_rows
-from shelfline.sources.tables import overwrite, read_table, stored, table_exists
+from shelfline.sources.tables import overwrite, read_table, stored, table_exists, write_clustered
 
 DEMAND_DAYS = 28
 
@@ -204,6 +205,30 @@ def refresh_promo_lift(
     return _replace(spark, path, change, ["promo_id"], ["start_month"], ["retailer_code"], version)
 
 
+# --- selling days --------------------------------------------------------------------------
+
+
+def refresh_selling_days(spark: SparkSession, path: str, sales: Delta) -> None:
+    """Bits of the days on which each store sold each product, after ``sales`` came in. Only the months with new days are rewritten.
+
+    Store, product and day follow from the key of a sale, so a replaced version leaves the same bit behind.
+    """
+    bits = day_bits(sales.added, _SERIES, "transaction_date", "sale_month")
+    if not table_exists(spark, path):
+        write_clustered(bits, path, "sale_month", _SERIES)
+        return
+    bits = stored(bits, "new-days")
+    held = read_table(spark, path, bits.schema).where(_in_partitions(bits, "sale_month"))
+    both = stored(merged_bits([held, bits], _SERIES, "sale_month"), "merged-days")
+    write_clustered(both, path, "sale_month", _SERIES, only_touched=True)
+
+
+def selling_days(spark: SparkSession, path: str, products: DataFrame) -> DataFrame:
+    """Distinct selling days by store and brand; products count for the brand they have now."""
+    brands = if_small(current_products(products).select("upc", "brand"))
+    return distinct_days(read_table(spark, path).join(brands, "upc", "left"), ["store_key", "brand"], "sale_month")
+
+
 # --- trailing demand and availability ------------------------------------------------------
 
 _SERIES = ["store_key", "upc"]

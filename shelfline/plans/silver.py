@@ -124,5 +124,9 @@ def dim_product_versions(
     products: DataFrame, updated_at: datetime | str | None = None, first_key: int = 1
 ) -> DataFrame:
     """All product versions with a surrogate number and the build time."""
-    numbered = number_rows(products, "product_sk", ["material_number", "effective_from"], first_key - 1)
+    return numbered_product_versions(number_rows(products, "product_sk", ["material_number", "effective_from"], first_key - 1), updated_at)
+
+
+def numbered_product_versions(numbered: DataFrame, updated_at: datetime | str | None = None) -> DataFrame:
+    """The dimension of rows that have their number already."""
     return conform(numbered.withColumn("_updated_at", stamp(updated_at)), schemas.DIM_PRODUCT_VERSIONS)

@@ -1,7 +1,10 @@
-"""Typed views over the landing feeds. Nothing is joined or written here."""
+"""Typed views over the landing feeds. Nothing is written here, and nothing joined but layouts that were found."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,27 +14,45 @@ from shelfline.functions.parsing import (
     parse_date,
     parse_date_auto,
     parse_date_by_source,
+    parse_date_named,
     parse_decimal,
     parse_integer,
     parse_wide_integer,
     upc_has_length,
     yes_flag,
 )
+from shelfline.operators.layouts import CANDIDATES, add_layout
 
 
 def _lineage() -> list:
     return [F.col("_file_name").alias("source_file"), F.col("_loaded_at").alias("loaded_at")]
 
 
-def type_pos(raw: DataFrame, layouts: dict[str, str] | None = None, default: tuple[str, ...] = AUTO_DATES) -> DataFrame:
+@dataclass(frozen=True)
+class Layouts:
+    """Date layouts of the feeds. A frame is what ``layouts.find_layouts`` returns for the feed."""
+
+    sales: Mapping[str, str] | DataFrame | None = None  # by retailer; None: the fixed ones
+    sales_default: tuple[str, ...] = AUTO_DATES  # tried for other retailers
+    snapshots: tuple[str, ...] | DataFrame = AUTO_DATES
+    promotions: tuple[str, ...] = AUTO_DATES
+
+
+def type_pos(raw: DataFrame, layouts: Mapping[str, str] | DataFrame | None = None, default: tuple[str, ...] = AUTO_DATES) -> DataFrame:
     """Sell-through rows with typed twins of the text columns and ``rejection_reason``, null for accepted ones.
 
     One column decides, so accepted and rejected rows always add up to the input.
     """
+    text = F.col("transaction_date")
+    if isinstance(layouts, DataFrame):
+        raw = add_layout(raw, layouts)
+        typed_date = parse_date_named(text, F.col("_layout"), CANDIDATES, default)
+    else:
+        typed_date = parse_date_by_source(F.col("retailer_code"), text, layouts, default)
     units = F.col("typed_units_sold")
     return raw.withColumns(
         {
-            "typed_date": parse_date_by_source(F.col("retailer_code"), F.col("transaction_date"), layouts, default),
+            "typed_date": typed_date,
             "typed_units_sold": parse_integer(F.col("units_sold")),
             "typed_revenue": parse_decimal(F.col("revenue"), 18, 2),
         }
@@ -44,11 +65,11 @@ def type_pos(raw: DataFrame, layouts: dict[str, str] | None = None, default: tup
     )
 
 
-def stage_pos(raw: DataFrame, layouts: dict[str, str] | None = None, default: tuple[str, ...] = AUTO_DATES) -> DataFrame:
+def stage_pos(raw: DataFrame, layouts: Mapping[str, str] | DataFrame | None = None, default: tuple[str, ...] = AUTO_DATES) -> DataFrame:
     """Sell-through rows with a plausible UPC and a unit count of zero or more.
 
     A date that cannot be read stays as null. The UPC is checked on its digits but
-    passed on as sent. ``layouts`` names date layouts by retailer, ``default`` those tried for others.
+    passed on as sent. ``layouts`` names date layouts by retailer (a mapping, or what ``find_layouts`` found), ``default`` those tried for others.
     """
     return (
         type_pos(raw, layouts, default)
@@ -67,12 +88,17 @@ def stage_pos(raw: DataFrame, layouts: dict[str, str] | None = None, default: tu
     )
 
 
-def type_inventory(raw: DataFrame, layouts: tuple[str, ...] = AUTO_DATES) -> DataFrame:
+def type_inventory(raw: DataFrame, layouts: tuple[str, ...] | DataFrame = AUTO_DATES) -> DataFrame:
     """Snapshots with typed twins of the text columns and ``rejection_reason``, null for accepted ones."""
+    text = F.col("snapshot_date")
+    if isinstance(layouts, DataFrame):
+        raw, typed_date = add_layout(raw, layouts), parse_date_named(text, F.col("_layout"), CANDIDATES)
+    else:
+        typed_date = parse_date_auto(text, layouts)
     counts = ("on_hand_qty", "in_transit_qty", "on_order_qty")
     on_hand = F.col("typed_on_hand_qty")
     return raw.withColumns(
-        {"typed_date": parse_date_auto(F.col("snapshot_date"), layouts), **{f"typed_{c}": parse_integer(F.col(c)) for c in counts}}
+        {"typed_date": typed_date, **{f"typed_{c}": parse_integer(F.col(c)) for c in counts}}
     ).withColumn(
         "rejection_reason",
         F.when(F.col("typed_date").isNull(), "INVALID_DATE")
@@ -82,7 +108,7 @@ def type_inventory(raw: DataFrame, layouts: tuple[str, ...] = AUTO_DATES) -> Dat
     )
 
 
-def stage_inventory(raw: DataFrame, layouts: tuple[str, ...] = AUTO_DATES) -> DataFrame:
+def stage_inventory(raw: DataFrame, layouts: tuple[str, ...] | DataFrame = AUTO_DATES) -> DataFrame:
     """Snapshots with a readable date and an on-hand count of zero or more."""
     return (
         type_inventory(raw, layouts)

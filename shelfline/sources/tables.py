@@ -18,12 +18,32 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def required_columns(schema: StructType) -> list[str]:
+    """Columns declared as never null."""
+    return [f.name for f in schema.fields if not f.nullable]
+
+
+def conform_strictly(df: DataFrame, schema: StructType) -> DataFrame:
+    """``conform``, and a job that reads a null in a column declared as never null fails."""
+    found = conform(df, schema)
+    checked = {c: F.coalesce(c, F.raise_error(F.lit(f"null in {c}, which is declared as never null"))) for c in required_columns(schema)}
+    return found.withColumns(checked) if checked else found
+
+
+def lacking_required(df: DataFrame, schema: StructType) -> DataFrame:
+    """Rows that a table of this schema can't take, with ``missing``, the declared columns they lack; typed as the table's rows."""
+    wanted = required_columns(schema)
+    found = conform(df, schema)
+    names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in wanted])) if wanted else F.array().cast("array<string>")
+    return found.withColumn("missing", F.array_join(names, ",")).where("missing <> ''")
+
+
 def append(df: DataFrame, path: str, schema: StructType | None = None) -> int:
-    return _write_counted(df if schema is None else conform(df, schema), path, "append")
+    return _write_counted(df if schema is None else conform_strictly(df, schema), path, "append")
 
 
 def overwrite(df: DataFrame, path: str, schema: StructType | None = None) -> int:
-    return _write_counted(df if schema is None else conform(df, schema), path, "overwrite")
+    return _write_counted(df if schema is None else conform_strictly(df, schema), path, "overwrite")
 
 
 def _write_counted(df: DataFrame, path: str, mode: str) -> int:

@@ -1,9 +1,9 @@
 """Landing folders to bronze tables, in micro-batches.
 
 Each batch writes folders of its own, ``batch=<id>``, in overwrite mode: a batch that is
-run again after a failure replaces what it left behind. Sales lie one level deeper, below
-the newest load day of their batch: the audit after each batch skips all batches that
-ended before the hours it looks at.
+run again after a failure replaces what it left behind. A batch of sales also writes a manifest, with the folder, rows, first and
+last load of each batch whose loads reach into the hours that audits look at; it is made of the one before and of what the
+batch's own write has counted. The audit opens the folders named there, and nothing is listed.
 
 With the default trigger a run takes in whatever has landed since the last one and
 stops; if nothing has, no batch runs. ``processingTime="5 minutes"`` keeps polling.
@@ -19,7 +19,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType
 
 from shelfline import schemas
 from shelfline.operators.lookups import if_small
@@ -30,16 +29,14 @@ from shelfline.plans.bronze import (
     pos_quality_audit,
     rejected_orders,
 )
-from shelfline.plans.staging import type_orders
+from shelfline.plans.staging import Layouts, type_orders
 from shelfline.sources.raw import stamp, stream_feed
 
 # A reference table that may change while a stream polls is given as its path, or as a function that reads it;
 # a frame is for tables that do not, since its list of files is that of its making.
 Reference = DataFrame | str | Callable[[SparkSession], DataFrame]
 
-_POS_LAYOUT = StructType(
-    [*schemas.POS_CLEANSED.fields, StructField("newest_day", schemas.DATE), StructField("batch", schemas.KEY)]
-)
+MANIFEST = "folder string, rows long, first_load timestamp_ntz, last_load timestamp_ntz"
 
 
 def _write_batch(df: DataFrame, root: str, table: str, batch: int) -> int:
@@ -59,20 +56,31 @@ def _now(table: Reference, session: SparkSession) -> DataFrame:
     return if_small(table)
 
 
-def _newest_day(batch: DataFrame) -> str:
-    """Latest load day in the batch, as a folder name."""
-    newest = batch.agg(F.to_date(F.max("_loaded_at")).alias("day")).first()["day"]
-    return f"newest_day={newest or '__HIVE_DEFAULT_PARTITION__'}"
-
-
 def _log(spark: SparkSession, root: str, job: str, batch: int, message: str) -> None:
     line = spark.range(1).select(F.lit(job).alias("job"), F.lit(message).alias("message"))
     line.coalesce(1).write.mode("overwrite").parquet(f"{root}/ingest_log/{job}/batch={batch}")
 
 
 def read_batches(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A bronze table as one frame, without its folder columns."""
-    return spark.read.parquet(f"{root}/{table}").drop("batch", "newest_day")
+    """A bronze table as one frame, without its folder column."""
+    return spark.read.parquet(f"{root}/{table}").drop("batch")
+
+
+def read_manifest(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """The manifest that a batch left: a row per batch of sales that audits may still ask for."""
+    return spark.read.schema(MANIFEST).parquet(f"{root}/pos_manifest/batch={batch}")
+
+
+def _write_manifest(spark: SparkSession, root: str, batch: int, entry: tuple, since: datetime) -> list[str]:
+    """Writes the manifest of a batch and returns the folders with loads at ``since`` or later.
+
+    Audits look at ever later hours, so what one no longer needs is not needed again.
+    """
+    own = spark.createDataFrame([entry], MANIFEST)
+    known = own if batch == 0 else read_manifest(spark, root, batch - 1).unionByName(own)
+    recent = known.where(F.col("last_load") >= F.lit(since).cast("timestamp_ntz")).coalesce(1)
+    recent.write.mode("overwrite").parquet(f"{root}/pos_manifest/batch={batch}")
+    return [row["folder"] for row in read_manifest(spark, root, batch).select("folder").collect()]
 
 
 def _start(
@@ -121,24 +129,30 @@ def ingest_pos(
     as_of: datetime | str | None = None,
     processingTime: str | None = None,
     after: Callable[[DataFrame], None] | None = None,
+    layouts: Layouts = Layouts(),
     **source,
 ) -> StreamingQuery:
-    """Fills ``pos_cleansed``, then audits the last hour of loads into ``pos_quality_log``.
+    """Fills ``pos_cleansed``, then audits the last hour of loads into ``pos_quality_log``. The batch is read once.
 
     ``after`` is called with the cleansed rows of the batch, for refreshes that follow.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        folder = f"pos_cleansed/{_newest_day(batch)}"
-        rows = _write_batch(cleanse_pos(batch, _now(stores, session), _now(fx, session)), root, folder, batch_id)
-        cleansed = session.read.schema(_POS_LAYOUT).parquet(f"{root}/pos_cleansed")
-        first_day = F.to_date(stamp(as_of) - F.expr("interval 1 hour"))
-        audit = pos_quality_audit(cleansed.where(F.col("newest_day") >= first_day), as_of, hours=1)
-        _write_batch(audit, root, "pos_quality_log", batch_id)
-        _log(session, root, "pos", batch_id, f"Processed {rows} POS records.")
+        folder = f"pos_cleansed/batch={batch_id}"
+        seen = Observation()
+        rows = cleanse_pos(batch, _now(stores, session), _now(fx, session), layouts)
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("_loaded_at").alias("first"), F.max("_loaded_at").alias("last"))
+        rows.write.mode("overwrite").parquet(f"{root}/{folder}")
+        found = seen.get
+        since = session.range(1).select((stamp(as_of) - F.expr("interval 1 hour")).alias("since")).first()["since"]
+        recent = _write_manifest(session, root, batch_id, (folder, found["rows"], found["first"], found["last"]), since)
+        cleansed = session.read.schema(schemas.POS_CLEANSED)
+        loaded = cleansed.parquet(*[f"{root}/{f}" for f in recent]) if recent else session.createDataFrame([], schemas.POS_CLEANSED)
+        _write_batch(pos_quality_audit(loaded, as_of, hours=1), root, "pos_quality_log", batch_id)
+        _log(session, root, "pos", batch_id, f"Processed {found['rows']} POS records.")
         if after:
-            after(cleansed.where(F.col("batch") == batch_id).drop("newest_day", "batch"))
+            after(cleansed.parquet(f"{root}/{folder}"))
 
     return _start(stream_feed(spark, "raw_pos", landing, **source), work, root, "pos", processingTime)
 
@@ -149,12 +163,13 @@ def ingest_inventory(
     root: str,
     stores: Reference,
     processingTime: str | None = None,
+    layouts: Layouts = Layouts(),
     **source,
 ) -> StreamingQuery:
     """Fills ``inventory_cleansed``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = _write_batch(cleanse_inventory(batch, _now(stores, batch.sparkSession)), root, "inventory_cleansed", batch_id)
+        rows = _write_batch(cleanse_inventory(batch, _now(stores, batch.sparkSession), layouts), root, "inventory_cleansed", batch_id)
         _log(batch.sparkSession, root, "inventory", batch_id, f"Processed {rows} inventory records.")
 
     return _start(

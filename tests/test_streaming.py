@@ -91,6 +91,23 @@ def test_a_repeated_sales_batch_replaces_its_rows(spark, dirs):
     assert [r.total_rows for r in spark.read.parquet(f"{root}/pos_quality_log").collect()] == [15]
 
 
+def test_audits_open_the_folders_that_the_manifest_names(spark, dirs):
+    """Batches whose loads ended before the audited hour are in no later manifest; their folders may even be gone."""
+    land, root = dirs
+    t = seed_tables(spark)
+    early = landing(spark, schemas.RAW_POS, POS[:10]).withColumn("_loaded_at", F.lit("2024-11-01 08:00:00").cast("timestamp_ntz"))
+    early.coalesce(1).write.mode("append").parquet(land)
+    run = lambda: ingest.ingest_pos(spark, land, root, t["dim_store"], t["dim_fx"], "2024-11-05 08:30:00").awaitTermination()
+    run()
+    assert ingest.read_manifest(spark, root, 0).count() == 0
+    shutil.rmtree(f"{root}/pos_cleansed/batch=0")
+    drop(spark, land, schemas.RAW_POS, POS[10:])
+    run()
+    (entry,) = ingest.read_manifest(spark, root, 1).collect()
+    assert (entry.folder, entry.rows) == ("pos_cleansed/batch=1", 5) and entry.first_load <= entry.last_load
+    assert [r.total_rows for r in spark.read.parquet(f"{root}/pos_quality_log").orderBy("batch").collect()] == [0, 5]
+
+
 def test_plain_csv_files(spark, dirs):
     land, root = dirs
     payload = landing(spark, schemas.RAW_ORDERS, [*ORDERS, bad_order()]).drop(*schemas.LINEAGE)
