@@ -8,11 +8,21 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql.types import BooleanType, DecimalType, FractionalType, IntegralType, StructType
+
+from shelfline import schemas
 from shelfline.catalog.feeds import FEEDS
 from shelfline.catalog.tables import AS_OF, AUDIT_AT, FIRST_LOAD_END, RUN_TIME
 from shelfline.functions.keys import NULL_PART
 
-_CASTS = {"s": "varchar", "f": "double", "i": "bigint"}
+# What the columns of a result are cast to.
+TEXT, WHOLE, NUMBER = "varchar", "bigint", "double"
+
+
+def _columns(schema: StructType) -> dict[str, str]:
+    """The columns of a declared table in these types; flags are whole numbers, dates and times are text."""
+    kinds = ((DecimalType, NUMBER), (FractionalType, NUMBER), (IntegralType, WHOLE), (BooleanType, WHOLE))
+    return {f.name: next((kind for t, kind in kinds if isinstance(f.dataType, t)), TEXT) for f in schema.fields}
 
 
 def _date(text: str, layout: str) -> str:
@@ -149,8 +159,8 @@ STEPS: dict[str, str] = {
 }
 
 
-def _all_text(spec: str) -> str:
-    return ", ".join(f"cast({c.split(':')[0]} as varchar)" for c in spec.split())
+def _all_text(spec: dict[str, str]) -> str:
+    return ", ".join(f"cast({c} as varchar)" for c in spec)
 
 
 def _weighted_digits(size: int) -> str:
@@ -237,22 +247,22 @@ _ASSERTION_LINES = [
     ("fct_promotions.material_number.reference_or_null", "error", _strays("promo_fact", "material_number", "dim_product", True)),
 ]
 
-_ORDER_SPEC = "record_id:s sales_org:s distribution_channel:s material_number:s plant:s customer_number:s order_date:s delivery_date:s order_qty:f order_qty_uom:s net_value:f currency:s order_type:s _source_file:s _loaded_at:s _staged_at:s"
-_REJECT_SPEC = "record_id:s raw_order_date:s raw_order_qty:s raw_net_value:s material_number:s rejection_reason:s _rejected_at:s"
-_CLEAN_POS_SPEC = "retailer_code:s store_key:i upc:s transaction_date:s units_sold:f revenue:f currency_code:s revenue_usd:f promo_flag:i _source_file:s _loaded_at:s"
-_CLEAN_INV_SPEC = "retailer_code:s store_key:i upc:s snapshot_date:s on_hand_qty:f in_transit_qty:f on_order_qty:f _source_file:s _loaded_at:s"
-_POS_FACT_SPEC = "pos_sale_sk:s retailer_code:s store_key:i upc:s transaction_date:s units_sold:f revenue:f revenue_usd:f kg_sold:f promo_flag:i brand:s category:s _loaded_at:s"
-_STOCK_FACT_SPEC = "inventory_sk:s retailer_code:s store_key:i upc:s snapshot_date:s on_hand_qty:f in_transit_qty:f on_order_qty:f total_pipeline_qty:f _loaded_at:s"
-_PROMO_FACT_SPEC = "promo_id:s promo_name:s retailer_code:s material_number:s upc:s start_date:s end_date:s promo_mechanic:s discount_pct:f trade_spend_usd:f promo_duration_days:i"
-_LIFT_SPEC = "promo_id:s promo_name:s promo_mechanic:s retailer_code:s brand:s category:s start_date:s end_date:s promo_days:i promo_kg:f promo_daily_kg:f baseline_daily_kg:f lift_pct:f promo_revenue:f trade_spend_usd:f incremental_revenue_est:f promo_roi:f"
-_WEEKLY_SPEC = "week_start:s retailer_name:s region:s store_name:s store_id:s brand:s category:s sub_category:s total_units:f total_kg:f total_revenue_usd:f selling_days:i avg_daily_kg:f"
-_PRODUCT_SPEC = "material_number:s upc:s product_name:s brand:s category:s sub_category:s unit_weight_kg:f pack_size:f avg_price_per_kg:f effective_from:s effective_to:s is_current:i"
-_RAW_STOCK_SPEC = "retailer_code:s store_id:s upc:s snapshot_date:s on_hand_qty:s in_transit_qty:s on_order_qty:s _file_name:s _loaded_at:s"
-_RAW_POS_SPEC = "retailer_code:s store_id:s upc:s transaction_date:s units_sold:s revenue:s currency_code:s promo_flag:s _file_name:s _loaded_at:s"
-_FEATURE_SPEC = "store_key:i upc:s transaction_date:s daily_units:f daily_revenue:f had_promo:i units_7d_avg:f units_28d_avg:f revenue_7d_avg:f promo_running_count:i wow_growth:f day_of_week:i month_num:i is_weekend:i"
-_REPORT_SPEC = "check_name:s severity:s violations:i passed:i status:s"
-_RICH_SPEC = "upc:s retailer_code:s store_id:s transaction_date:s units_sold:i revenue:f currency_code:s promo_flag:s _file_name:s _loaded_at:s sale_date:s brand:s category:s unit_weight_kg:f product_name:s kg_sold:f revenue_per_kg:f"
-_AUDIT_SPEC = "audit_timestamp:s total_rows:i null_store_key_count:i future_date_count:i negative_revenue_count:i"
+_ORDER_SPEC = _columns(schemas.ORDERS_STAGED)
+_REJECT_SPEC = _columns(schemas.ORDERS_REJECTED)
+_CLEAN_POS_SPEC = _columns(schemas.POS_CLEANSED)
+_CLEAN_INV_SPEC = _columns(schemas.INVENTORY_CLEANSED)
+_POS_FACT_SPEC = _columns(schemas.FCT_POS_SALES)
+_STOCK_FACT_SPEC = _columns(schemas.FCT_INVENTORY)
+_PROMO_FACT_SPEC = dict(promo_id=TEXT, promo_name=TEXT, retailer_code=TEXT, material_number=TEXT, upc=TEXT, start_date=TEXT, end_date=TEXT, promo_mechanic=TEXT, discount_pct=NUMBER, trade_spend_usd=NUMBER, promo_duration_days=WHOLE)
+_LIFT_SPEC = dict(promo_id=TEXT, promo_name=TEXT, promo_mechanic=TEXT, retailer_code=TEXT, brand=TEXT, category=TEXT, start_date=TEXT, end_date=TEXT, promo_days=WHOLE, promo_kg=NUMBER, promo_daily_kg=NUMBER, baseline_daily_kg=NUMBER, lift_pct=NUMBER, promo_revenue=NUMBER, trade_spend_usd=NUMBER, incremental_revenue_est=NUMBER, promo_roi=NUMBER)
+_WEEKLY_SPEC = dict(week_start=TEXT, retailer_name=TEXT, region=TEXT, store_name=TEXT, store_id=TEXT, brand=TEXT, category=TEXT, sub_category=TEXT, total_units=NUMBER, total_kg=NUMBER, total_revenue_usd=NUMBER, selling_days=WHOLE, avg_daily_kg=NUMBER)
+_PRODUCT_SPEC = _columns(schemas.DIM_PRODUCT)
+_RAW_STOCK_SPEC = _columns(schemas.RAW_INVENTORY)
+_RAW_POS_SPEC = _columns(schemas.RAW_POS)
+_FEATURE_SPEC = dict(store_key=WHOLE, upc=TEXT, transaction_date=TEXT, daily_units=NUMBER, daily_revenue=NUMBER, had_promo=WHOLE, units_7d_avg=NUMBER, units_28d_avg=NUMBER, revenue_7d_avg=NUMBER, promo_running_count=WHOLE, wow_growth=NUMBER, day_of_week=WHOLE, month_num=WHOLE, is_weekend=WHOLE)
+_REPORT_SPEC = dict(check_name=TEXT, severity=TEXT, violations=WHOLE, passed=WHOLE, status=TEXT)
+_RICH_SPEC = dict(upc=TEXT, retailer_code=TEXT, store_id=TEXT, transaction_date=TEXT, units_sold=WHOLE, revenue=NUMBER, currency_code=TEXT, promo_flag=TEXT, _file_name=TEXT, _loaded_at=TEXT, sale_date=TEXT, brand=TEXT, category=TEXT, unit_weight_kg=NUMBER, product_name=TEXT, kg_sold=NUMBER, revenue_per_kg=NUMBER)
+_AUDIT_SPEC = _columns(schemas.POS_QUALITY_LOG)
 
 
 
@@ -263,7 +273,7 @@ def _availability(merged: str = "") -> str:
  from stock_fact{merged} i join dim_store st on st.store_key = i.store_key join live_product p on p.upc = i.upc left join demand{merged} d on d.store_key = i.store_key and d.upc = i.upc) x"""
 
 
-_SHELF_SPEC = "snapshot_date:s retailer_name:s region:s store_name:s store_id:s brand:s category:s product_name:s on_hand_qty:f in_transit_qty:f avg_daily_units:f days_of_supply:f days_of_supply_incl_transit:f availability_status:s"
+_SHELF_SPEC = dict(snapshot_date=TEXT, retailer_name=TEXT, region=TEXT, store_name=TEXT, store_id=TEXT, brand=TEXT, category=TEXT, product_name=TEXT, on_hand_qty=NUMBER, in_transit_qty=NUMBER, avg_daily_units=NUMBER, days_of_supply=NUMBER, days_of_supply_incl_transit=NUMBER, availability_status=TEXT)
 
 
 def _audit(moment: str, hours: int) -> str:
@@ -277,76 +287,76 @@ _NUMBERED_PRODUCTS = f"""select row_number() over (order by material_number, eff
 
 
 # Query name -> (SQL over the steps and feeds, column types).
-_ORACLES: dict[str, tuple[str, str]] = {
+_ORACLES: dict[str, tuple[str, dict[str, str]]] = {
     "raw_orders": (f"select * replace ('csv' as _file_name, timestamp '{RUN_TIME}' as _loaded_at) from raw_orders",
-        "record_id:s sales_org:s distribution_channel:s material_number:s plant:s customer_number:s order_date:s delivery_date:s order_qty:s order_qty_uom:s net_value:s currency:s order_type:s _file_name:s _loaded_at:s"),
+        dict(record_id=TEXT, sales_org=TEXT, distribution_channel=TEXT, material_number=TEXT, plant=TEXT, customer_number=TEXT, order_date=TEXT, delivery_date=TEXT, order_qty=TEXT, order_qty_uom=TEXT, net_value=TEXT, currency=TEXT, order_type=TEXT, _file_name=TEXT, _loaded_at=TEXT)),
     "raw_pos": ("select * from raw_pos", _RAW_POS_SPEC),
     "raw_inventory": ("select * from raw_inventory", _RAW_STOCK_SPEC),
-    "raw_promo": ("select * from raw_promo", "promo_id:s promo_name:s retailer_code:s material_number:s start_date:s end_date:s promo_mechanic:s discount_pct:s trade_spend_usd:s _file_name:s _loaded_at:s"),
+    "raw_promo": ("select * from raw_promo", dict(promo_id=TEXT, promo_name=TEXT, retailer_code=TEXT, material_number=TEXT, start_date=TEXT, end_date=TEXT, promo_mechanic=TEXT, discount_pct=TEXT, trade_spend_usd=TEXT, _file_name=TEXT, _loaded_at=TEXT)),
     "dim_product": ("select * from dim_product", _PRODUCT_SPEC),
-    "dim_store": ("select * from dim_store", "store_key:i retailer_code:s retailer_name:s store_id:s store_name:s city:s state:s region:s country:s"),
-    "dim_fx": ("select * from dim_fx", "rate_date:s currency_code:s rate_to_usd:f"),
-    "file_lineage": (f"select 'lineitem' source_table, timestamp '{RUN_TIME}' _loaded_at, count(*) as rows from lineitem", "source_table:s _loaded_at:s rows:i"),
+    "dim_store": ("select * from dim_store", dict(store_key=WHOLE, retailer_code=TEXT, retailer_name=TEXT, store_id=TEXT, store_name=TEXT, city=TEXT, state=TEXT, region=TEXT, country=TEXT)),
+    "dim_fx": ("select * from dim_fx", dict(rate_date=TEXT, currency_code=TEXT, rate_to_usd=NUMBER)),
+    "file_lineage": (f"select 'lineitem' source_table, timestamp '{RUN_TIME}' _loaded_at, count(*) as rows from lineitem", dict(source_table=TEXT, _loaded_at=TEXT, rows=WHOLE)),
     "append_orders": ("select * from staged_order", _ORDER_SPEC),
     "overwrite_enriched_pos": ("select brand, count(*) as rows, sum(units_sold) units, sum(kg_sold) kg, (select count(*) from rich_pos) rows_written from rich_pos group by brand",
-        "brand:s rows:i units:i kg:f rows_written:i"),
+        dict(brand=TEXT, rows=WHOLE, units=WHOLE, kg=NUMBER, rows_written=WHOLE)),
     "rebuild_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
     "clustered_pos_sales": ("select cast(date_trunc('month', transaction_date) as date) sale_month, retailer_code, count(*) as rows, sum(units_sold) units, sum(kg_sold) kg from pos_fact group by all",
-        "sale_month:s retailer_code:s rows:i units:f kg:f"),
-    "sorted_products": (_NUMBERED_PRODUCTS, "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
-    "built_features": ("select store_key, count(*) as rows, sum(daily_units) units, (select count(*) from day_sale) rows_written from day_sale group by store_key", "store_key:i rows:i units:f rows_written:i"),
-    "named_tables": ("select st.region, f.brand, sum(f.units_sold) units from pos_fact f join dim_store st on st.store_key = f.store_key group by all", "region:s brand:s units:f"),
+        dict(sale_month=TEXT, retailer_code=TEXT, rows=WHOLE, units=NUMBER, kg=NUMBER)),
+    "sorted_products": (_NUMBERED_PRODUCTS, dict(product_sk=WHOLE) | _PRODUCT_SPEC | dict(_updated_at=TEXT)),
+    "built_features": ("select store_key, count(*) as rows, sum(daily_units) units, (select count(*) from day_sale) rows_written from day_sale group by store_key", dict(store_key=WHOLE, rows=WHOLE, units=NUMBER, rows_written=WHOLE)),
+    "named_tables": ("select st.region, f.brand, sum(f.units_sold) units from pos_fact f join dim_store st on st.store_key = f.store_key group by all", dict(region=TEXT, brand=TEXT, units=NUMBER)),
     "staging_views": ("select 'stg_pos' view_name, count(*) as rows, max(loaded_at) newest from staged_pos union all select 'stg_inventory', count(*), max(loaded_at) from staged_inventory union all select 'stg_promo', count(*), max(loaded_at) from staged_promo",
-        "view_name:s rows:i newest:s"),
-    "order_dates": ("select o_day order_date, count(*) as rows from typed_order group by all", "order_date:s rows:i"),
-    "snapshot_dates": (f"select {_auto_date('snapshot_date')} snapshot_date, count(*) as rows from raw_inventory group by 1", "snapshot_date:s rows:i"),
-    "sale_dates": (f"select retailer_code, {_sale_date()} sale_date, count(*) as rows from raw_pos group by 1, 2", "retailer_code:s sale_date:s rows:i"),
+        dict(view_name=TEXT, rows=WHOLE, newest=TEXT)),
+    "order_dates": ("select o_day order_date, count(*) as rows from typed_order group by all", dict(order_date=TEXT, rows=WHOLE)),
+    "snapshot_dates": (f"select {_auto_date('snapshot_date')} snapshot_date, count(*) as rows from raw_inventory group by 1", dict(snapshot_date=TEXT, rows=WHOLE)),
+    "sale_dates": (f"select retailer_code, {_sale_date()} sale_date, count(*) as rows from raw_pos group by 1, 2", dict(retailer_code=TEXT, sale_date=TEXT, rows=WHOLE)),
     "parsed_numbers": (f"""select store_id, sum({_dec('units_sold', 18, 0)}) units, sum({_dec('revenue', 18, 2)}) revenue,
  count(*) - count({_dec('units_sold', 18, 0)}) bad_units, count(*) - count({_dec('revenue', 18, 2)}) bad_revenue from raw_pos group by store_id""",
-        "store_id:s units:f revenue:f bad_units:i bad_revenue:i"),
-    "strict_sales": ("select code retailer_code, sale_date, count(*) as rows, sum(units) units from strict_pos group by all", "retailer_code:s sale_date:s rows:i units:i"),
-    "promo_flags": ("select store_id, promo_flag = 'Y' is_promo, count(*) as rows, max(case promo_flag when 'Y' then 1 when 'N' then 0 end) had_promo from raw_pos group by 1, 2", "store_id:s is_promo:i rows:i had_promo:i"),
-    "tidy_codes": (f"select upper(trim(retailer_code)) retailer_code, length({_digits('upc')}) upc_digits, count(*) as rows, min({_digits('upc')}) first_upc from raw_pos group by 1, 2", "retailer_code:s upc_digits:i rows:i first_upc:s"),
+        dict(store_id=TEXT, units=NUMBER, revenue=NUMBER, bad_units=WHOLE, bad_revenue=WHOLE)),
+    "strict_sales": ("select code retailer_code, sale_date, count(*) as rows, sum(units) units from strict_pos group by all", dict(retailer_code=TEXT, sale_date=TEXT, rows=WHOLE, units=WHOLE)),
+    "promo_flags": ("select store_id, promo_flag = 'Y' is_promo, count(*) as rows, max(case promo_flag when 'Y' then 1 when 'N' then 0 end) had_promo from raw_pos group by 1, 2", dict(store_id=TEXT, is_promo=WHOLE, rows=WHOLE, had_promo=WHOLE)),
+    "tidy_codes": (f"select upper(trim(retailer_code)) retailer_code, length({_digits('upc')}) upc_digits, count(*) as rows, min({_digits('upc')}) first_upc from raw_pos group by 1, 2", dict(retailer_code=TEXT, upc_digits=WHOLE, rows=WHOLE, first_upc=TEXT)),
     "unit_prices": (f"select *, {_ratio('amount', 'pieces')} unit_price, {_ratio('amount', 'pieces')} < 1000 is_cheap from (select store_id, upc, sum(revenue) amount, sum(units_sold) pieces from staged_pos group by all) g",
-        "store_id:s upc:s amount:f pieces:f unit_price:f is_cheap:i"),
+        dict(store_id=TEXT, upc=TEXT, amount=NUMBER, pieces=NUMBER, unit_price=NUMBER, is_cheap=WHOLE)),
     "check_digits": (f"""select store_id, count(*) as rows, count(*) filter (where length(d) = 12 and ({_weighted_digits(12)}) % 10 = 0) passing
- from (select store_id, {_digits('upc')} d from raw_pos) c group by store_id""", "store_id:s passing:i rows:i"),
-    "order_counts": ("select staged, rejected, 'Staged: ' || staged || ' rows. Rejected: ' || rejected || ' rows.' message from (select (select count(*) from good_order) staged, (select count(*) from bad_order) rejected) c", "staged:i rejected:i message:s"),
-    "upc_and_units": ("select upc, count(*) as rows from staged_pos group by upc", "upc:s rows:i"),
-    "stock_counts": ("select snapshot_date, count(*) as rows, sum(on_hand_qty) on_hand from staged_inventory group by snapshot_date", "snapshot_date:s rows:i on_hand:f"),
+ from (select store_id, {_digits('upc')} d from raw_pos) c group by store_id""", dict(store_id=TEXT, passing=WHOLE, rows=WHOLE)),
+    "order_counts": ("select staged, rejected, 'Staged: ' || staged || ' rows. Rejected: ' || rejected || ' rows.' message from (select (select count(*) from good_order) staged, (select count(*) from bad_order) rejected) c", dict(staged=WHOLE, rejected=WHOLE, message=TEXT)),
+    "upc_and_units": ("select upc, count(*) as rows from staged_pos group by upc", dict(upc=TEXT, rows=WHOLE)),
+    "stock_counts": ("select snapshot_date, count(*) as rows, sum(on_hand_qty) on_hand from staged_inventory group by snapshot_date", dict(snapshot_date=TEXT, rows=WHOLE, on_hand=NUMBER)),
     "current_products": ("select * from live_product", _PRODUCT_SPEC),
-    "recent_demand": ("select * from demand", "store_key:i upc:s avg_daily_units:f"),
-    "store_lookup": ("select retailer_code, store_id, store_key, count(*) as rows from wide_pos group by all", "retailer_code:s store_id:s store_key:i rows:i"),
-    "product_lookup": ("select upc, brand, category, count(*) as rows from wide_pos group by all", "upc:s brand:s category:s rows:i"),
-    "promo_products": ("select promo_id, material_number, upc from promo_fact", "promo_id:s material_number:s upc:s"),
-    "monthly_rates": ("select currency_code, count(*) as rows, count(*) - count(rate) without_rate from wide_pos group by currency_code", "currency_code:s rows:i without_rate:i"),
-    "daily_rates": ("select currency, count(*) as rows, count(*) - count(rate_to_usd) without_rate from priced_order group by currency", "currency:s rows:i without_rate:i"),
-    "product_as_of": ("select material_number, unit_weight_kg product_unit_weight_kg, count(*) as rows, min(order_date) as first, max(order_date) as last from priced_order group by 1, 2", "material_number:s product_unit_weight_kg:f rows:i first:s last:s"),
-    "sales_by_place": ("select st.region, p.sub_category, count(*) as rows, sum(f.units_sold) units from pos_fact f join dim_store st on st.store_key = f.store_key join live_product p on p.upc = f.upc group by all", "region:s sub_category:s rows:i units:f"),
-    "promo_sales": ("select * from promo_sum", "promo_id:s promo_name:s promo_mechanic:s retailer_code:s trade_spend_usd:f discount_pct:f start_date:s end_date:s promo_days:i brand:s category:s promo_units:f promo_kg:f promo_revenue:f"),
-    "baseline_sales": ("select * from usual", "upc:s retailer_code:s baseline_daily_kg:f"),
-    "promo_calendar_days": ("select distinct retailer_code, cast(unnest(generate_series(start_date, end_date, interval 1 day)) as date) transaction_date from promo_fact where start_date <= end_date", "retailer_code:s transaction_date:s"),
-    "stock_and_demand": ("select i.store_key, i.upc, i.snapshot_date, i.on_hand_qty, d.avg_daily_units from stock_fact i left join demand d on d.store_key = i.store_key and d.upc = i.upc where i.store_key is not null and i.upc is not null", "store_key:i upc:s snapshot_date:s on_hand_qty:f avg_daily_units:f"),
-    "orphan_upcs": ("select upc, count(*) as rows from staged_pos s where upc is not null and not exists (select 1 from dim_product p where p.upc = s.upc) group by upc", "upc:s rows:i"),
-    "brand_prices": ("select * from brand_price", "brand:s brand_price_per_kg:f"),
-    "rows_after_mark": (f"select loaded_at, count(*) as rows from staged_pos where loaded_at > (select max(loaded_at) from staged_pos where loaded_at <= timestamp '{FIRST_LOAD_END}') group by loaded_at", "loaded_at:s rows:i"),
-    "daily_store_sales": ("select * from day_sale", "store_key:i upc:s transaction_date:s daily_units:f daily_revenue:f had_promo:i"),
-    "selling_days": ("select store_key, brand, count(distinct transaction_date) selling_days, sum(units_sold) units from pos_fact group by all", "store_key:i brand:s selling_days:i units:f"),
-    "repeated_keys": ("select pos_sale_sk, count(*) as rows from pos_fact group by pos_sale_sk having count(*) > 1", "pos_sale_sk:s rows:i"),
+    "recent_demand": ("select * from demand", dict(store_key=WHOLE, upc=TEXT, avg_daily_units=NUMBER)),
+    "store_lookup": ("select retailer_code, store_id, store_key, count(*) as rows from wide_pos group by all", dict(retailer_code=TEXT, store_id=TEXT, store_key=WHOLE, rows=WHOLE)),
+    "product_lookup": ("select upc, brand, category, count(*) as rows from wide_pos group by all", dict(upc=TEXT, brand=TEXT, category=TEXT, rows=WHOLE)),
+    "promo_products": ("select promo_id, material_number, upc from promo_fact", dict(promo_id=TEXT, material_number=TEXT, upc=TEXT)),
+    "monthly_rates": ("select currency_code, count(*) as rows, count(*) - count(rate) without_rate from wide_pos group by currency_code", dict(currency_code=TEXT, rows=WHOLE, without_rate=WHOLE)),
+    "daily_rates": ("select currency, count(*) as rows, count(*) - count(rate_to_usd) without_rate from priced_order group by currency", dict(currency=TEXT, rows=WHOLE, without_rate=WHOLE)),
+    "product_as_of": ("select material_number, unit_weight_kg product_unit_weight_kg, count(*) as rows, min(order_date) as first, max(order_date) as last from priced_order group by 1, 2", dict(material_number=TEXT, product_unit_weight_kg=NUMBER, rows=WHOLE, first=TEXT, last=TEXT)),
+    "sales_by_place": ("select st.region, p.sub_category, count(*) as rows, sum(f.units_sold) units from pos_fact f join dim_store st on st.store_key = f.store_key join live_product p on p.upc = f.upc group by all", dict(region=TEXT, sub_category=TEXT, rows=WHOLE, units=NUMBER)),
+    "promo_sales": ("select * from promo_sum", dict(promo_id=TEXT, promo_name=TEXT, promo_mechanic=TEXT, retailer_code=TEXT, trade_spend_usd=NUMBER, discount_pct=NUMBER, start_date=TEXT, end_date=TEXT, promo_days=WHOLE, brand=TEXT, category=TEXT, promo_units=NUMBER, promo_kg=NUMBER, promo_revenue=NUMBER)),
+    "baseline_sales": ("select * from usual", dict(upc=TEXT, retailer_code=TEXT, baseline_daily_kg=NUMBER)),
+    "promo_calendar_days": ("select distinct retailer_code, cast(unnest(generate_series(start_date, end_date, interval 1 day)) as date) transaction_date from promo_fact where start_date <= end_date", dict(retailer_code=TEXT, transaction_date=TEXT)),
+    "stock_and_demand": ("select i.store_key, i.upc, i.snapshot_date, i.on_hand_qty, d.avg_daily_units from stock_fact i left join demand d on d.store_key = i.store_key and d.upc = i.upc where i.store_key is not null and i.upc is not null", dict(store_key=WHOLE, upc=TEXT, snapshot_date=TEXT, on_hand_qty=NUMBER, avg_daily_units=NUMBER)),
+    "orphan_upcs": ("select upc, count(*) as rows from staged_pos s where upc is not null and not exists (select 1 from dim_product p where p.upc = s.upc) group by upc", dict(upc=TEXT, rows=WHOLE)),
+    "brand_prices": ("select * from brand_price", dict(brand=TEXT, brand_price_per_kg=NUMBER)),
+    "rows_after_mark": (f"select loaded_at, count(*) as rows from staged_pos where loaded_at > (select max(loaded_at) from staged_pos where loaded_at <= timestamp '{FIRST_LOAD_END}') group by loaded_at", dict(loaded_at=TEXT, rows=WHOLE)),
+    "daily_store_sales": ("select * from day_sale", dict(store_key=WHOLE, upc=TEXT, transaction_date=TEXT, daily_units=NUMBER, daily_revenue=NUMBER, had_promo=WHOLE)),
+    "selling_days": ("select store_key, brand, count(distinct transaction_date) selling_days, sum(units_sold) units from pos_fact group by all", dict(store_key=WHOLE, brand=TEXT, selling_days=WHOLE, units=NUMBER)),
+    "repeated_keys": ("select pos_sale_sk, count(*) as rows from pos_fact group by pos_sale_sk having count(*) > 1", dict(pos_sale_sk=TEXT, rows=WHOLE)),
     "demand_features": ("select * from feature", _FEATURE_SPEC),
     "demand_features_iso_week": ("select store_key, upc, transaction_date, extract(isodow from transaction_date) day_of_week, extract(month from transaction_date) month_num, case when extract(isodow from transaction_date) >= 6 then 1 else 0 end is_weekend from day_sale",
-        "store_key:i upc:s transaction_date:s day_of_week:i month_num:i is_weekend:i"),
+        dict(store_key=WHOLE, upc=TEXT, transaction_date=TEXT, day_of_week=WHOLE, month_num=WHOLE, is_weekend=WHOLE)),
     "days_since_stockout": ("""select * exclude (last_out), date_diff('day', last_out, transaction_date) days_since_stockout from feature join (
  select f.store_key s_key, f.upc s_upc, f.transaction_date s_day, max(o.snapshot_date) last_out from day_sale f left join clean_inventory o
  on o.store_key = f.store_key and o.upc = f.upc and o.on_hand_qty = 0 and o.snapshot_date <= f.transaction_date group by all) g
- on s_key is not distinct from store_key and s_upc = upc and s_day is not distinct from transaction_date""", _FEATURE_SPEC + " days_since_stockout:i"),
+ on s_key is not distinct from store_key and s_upc = upc and s_day is not distinct from transaction_date""", _FEATURE_SPEC | dict(days_since_stockout=WHOLE)),
     "latest_sales": ("""select retailer_code, store_id, upc, sale_date, product_name, brand, units_sold, kg_sold, revenue, revenue_per_kg, promo_flag from rich_pos
  order by sale_date desc nulls first, retailer_code nulls last, store_id nulls last, upc nulls last, product_name nulls last, brand nulls last, units_sold nulls last, kg_sold nulls last, revenue nulls last, revenue_per_kg nulls last, promo_flag nulls last limit 20""",
-        "retailer_code:s store_id:s upc:s sale_date:s product_name:s brand:s units_sold:i kg_sold:f revenue:f revenue_per_kg:f promo_flag:s"),
+        dict(retailer_code=TEXT, store_id=TEXT, upc=TEXT, sale_date=TEXT, product_name=TEXT, brand=TEXT, units_sold=WHOLE, kg_sold=NUMBER, revenue=NUMBER, revenue_per_kg=NUMBER, promo_flag=TEXT)),
     "calendar_functions": ("""select distinct order_date, cast(date_trunc('week', order_date) as date) week_start, cast(date_trunc('month', order_date) as date) month_start,
  cast(order_date - interval 28 day as date) four_weeks_before, day(order_date) day_of_month, extract(dow from order_date) day_of_week, month(order_date) month_num,
  cast(order_date as timestamp) - interval 1 hour hour_before from staged_order""",
-        "order_date:s week_start:s month_start:s four_weeks_before:s day_of_month:i day_of_week:i month_num:i hour_before:s"),
+        dict(order_date=TEXT, week_start=TEXT, month_start=TEXT, four_weeks_before=TEXT, day_of_month=WHOLE, day_of_week=WHOLE, month_num=WHOLE, hour_before=TEXT)),
     "stage_orders": ("select * from staged_order", _ORDER_SPEC),
     "quarantine_orders": ("select * from rejected_order", _REJECT_SPEC),
     "cleanse_pos": ("select * from clean_pos", _CLEAN_POS_SPEC),
@@ -354,42 +364,42 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "pos_quality_audit": (_audit(AUDIT_AT, 1), _AUDIT_SPEC),
     "pos_quality_audit_all": (_audit("2000-01-01 00:00:00", 24 * 365 * 10), _AUDIT_SPEC),
     "enrich_pos": ("select * from rich_pos", _RICH_SPEC),
-    "stg_pos": ("select * from staged_pos", "retailer_code:s store_id:s upc:s transaction_date:s units_sold:f revenue:f currency_code:s is_promo:i source_file:s loaded_at:s"),
-    "stg_inventory": ("select * from staged_inventory", "retailer_code:s store_id:s upc:s snapshot_date:s on_hand_qty:f in_transit_qty:f on_order_qty:f source_file:s loaded_at:s"),
-    "stg_promo": ("select * from staged_promo", "promo_id:s promo_name:s retailer_code:s material_number:s start_date:s end_date:s promo_mechanic:s discount_pct:f trade_spend_usd:f source_file:s loaded_at:s"),
+    "stg_pos": ("select * from staged_pos", dict(retailer_code=TEXT, store_id=TEXT, upc=TEXT, transaction_date=TEXT, units_sold=NUMBER, revenue=NUMBER, currency_code=TEXT, is_promo=WHOLE, source_file=TEXT, loaded_at=TEXT)),
+    "stg_inventory": ("select * from staged_inventory", dict(retailer_code=TEXT, store_id=TEXT, upc=TEXT, snapshot_date=TEXT, on_hand_qty=NUMBER, in_transit_qty=NUMBER, on_order_qty=NUMBER, source_file=TEXT, loaded_at=TEXT)),
+    "stg_promo": ("select * from staged_promo", dict(promo_id=TEXT, promo_name=TEXT, retailer_code=TEXT, material_number=TEXT, start_date=TEXT, end_date=TEXT, promo_mechanic=TEXT, discount_pct=NUMBER, trade_spend_usd=NUMBER, source_file=TEXT, loaded_at=TEXT)),
     "fct_pos_sales": ("select * from pos_fact", _POS_FACT_SPEC),
-    "fct_pos_sales_by_store_id": (f"select {_hashed('retailer_code', 'store_id', 'upc', 'transaction_date')} pos_sale_sk, store_key, upc, transaction_date, units_sold from wide_pos", "pos_sale_sk:s store_key:i upc:s transaction_date:s units_sold:f"),
+    "fct_pos_sales_by_store_id": (f"select {_hashed('retailer_code', 'store_id', 'upc', 'transaction_date')} pos_sale_sk, store_key, upc, transaction_date, units_sold from wide_pos", dict(pos_sale_sk=TEXT, store_key=WHOLE, upc=TEXT, transaction_date=TEXT, units_sold=NUMBER)),
     "fct_pos_sales_from_bronze": ("select * from bronze_fact", _POS_FACT_SPEC),
     "fct_inventory": ("select * from stock_fact", _STOCK_FACT_SPEC),
     "fct_inventory_from_bronze": (f"select {_K1A.format(day='snapshot_date')} inventory_sk, retailer_code, store_key, upc, snapshot_date, on_hand_qty, in_transit_qty, on_order_qty, total_pipeline_qty, loaded_at _loaded_at from wide_inventory", _STOCK_FACT_SPEC),
     "fct_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
-    "fct_promotions_loaded": (f"select *, timestamp '{RUN_TIME}' _loaded_at from promo_fact", _PROMO_FACT_SPEC + " _loaded_at:s"),
-    "dim_product_versions": (_NUMBERED_PRODUCTS, "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
+    "fct_promotions_loaded": (f"select *, timestamp '{RUN_TIME}' _loaded_at from promo_fact", _PROMO_FACT_SPEC | dict(_loaded_at=TEXT)),
+    "dim_product_versions": (_NUMBERED_PRODUCTS, dict(product_sk=WHOLE) | _PRODUCT_SPEC | dict(_updated_at=TEXT)),
     "lasting_product_numbers": (f"""select row_number() over (order by category = 'SMALL', material_number, effective_from) product_sk, *,
- timestamp '{RUN_TIME}' _updated_at from dim_product""", "product_sk:i " + _PRODUCT_SPEC + " _updated_at:s"),
-    "numbered_orders": ("select 1000 + row_number() over (order by record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", "order_sk:i record_id:s plant:s order_qty:s"),
-    "hashed_products": ("select material_number, count(*) versions from dim_product group by material_number", "material_number:s versions:i"),
+ timestamp '{RUN_TIME}' _updated_at from dim_product""", dict(product_sk=WHOLE) | _PRODUCT_SPEC | dict(_updated_at=TEXT)),
+    "numbered_orders": ("select 1000 + row_number() over (order by record_id, plant, order_qty) order_sk, record_id, plant, order_qty from (select record_id, plant, coalesce(order_qty, '') order_qty from raw_orders) r", dict(order_sk=WHOLE, record_id=TEXT, plant=TEXT, order_qty=TEXT)),
+    "hashed_products": ("select material_number, count(*) versions from dim_product group by material_number", dict(material_number=TEXT, versions=WHOLE)),
     "conformed_sales": ("""select record_id sales_order_id, sales_org, distribution_channel, order_type, order_date, delivery_date, plant, product_number material_number, upc, product_name, brand, category,
  sub_category, order_qty, order_qty_uom, order_qty * unit_weight_kg order_weight_kg, net_value, currency, net_value * coalesce(rate_to_usd, cast(1 as decimal(18,6))) net_value_usd, customer_number,
  _staged_at source_timestamp from priced_order""",
-        "sales_order_id:s sales_org:s distribution_channel:s order_type:s order_date:s delivery_date:s plant:s material_number:s upc:s product_name:s brand:s category:s sub_category:s order_qty:f order_qty_uom:s order_weight_kg:f net_value:f currency:s net_value_usd:f customer_number:s source_timestamp:s"),
+        dict(sales_order_id=TEXT, sales_org=TEXT, distribution_channel=TEXT, order_type=TEXT, order_date=TEXT, delivery_date=TEXT, plant=TEXT, material_number=TEXT, upc=TEXT, product_name=TEXT, brand=TEXT, category=TEXT, sub_category=TEXT, order_qty=NUMBER, order_qty_uom=TEXT, order_weight_kg=NUMBER, net_value=NUMBER, currency=TEXT, net_value_usd=NUMBER, customer_number=TEXT, source_timestamp=TEXT)),
     "weekly_store_demand": (_weekly("pos_fact"), _WEEKLY_SPEC),
     "promo_lift": (_lift(), _LIFT_SPEC),
-    "promo_lift_by_retailer": (_RETAILER_LIFT, "promo_id:s promo_name:s promo_mechanic:s retailer_code:s brand:s category:s start_date:s end_date:s promo_days:i promo_kg:f promo_daily_kg:f products:i baseline_daily_kg:f lift_pct:f promo_revenue:f trade_spend_usd:f incremental_revenue_est:f promo_roi:f"),
+    "promo_lift_by_retailer": (_RETAILER_LIFT, dict(promo_id=TEXT, promo_name=TEXT, promo_mechanic=TEXT, retailer_code=TEXT, brand=TEXT, category=TEXT, start_date=TEXT, end_date=TEXT, promo_days=WHOLE, promo_kg=NUMBER, promo_daily_kg=NUMBER, products=WHOLE, baseline_daily_kg=NUMBER, lift_pct=NUMBER, promo_revenue=NUMBER, trade_spend_usd=NUMBER, incremental_revenue_est=NUMBER, promo_roi=NUMBER)),
     "on_shelf_availability": (_availability(), _SHELF_SPEC),
     "incremental_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "late_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "sales_with_layouts": ("select pos_sale_sk, transaction_date, units_sold from pos_fact_merged union all select inventory_sk, snapshot_date, on_hand_qty from stock_fact_merged",
-        "pos_sale_sk:s transaction_date:s units_sold:f"),
+        dict(pos_sale_sk=TEXT, transaction_date=TEXT, units_sold=NUMBER)),
     "found_layouts": ("""select retailer_code, case when best = 0 then null when iso = best and not dotted then 'yyyy-MM-dd' when iso = best then 'dd.MM.yyyy' when us = best then 'MM/dd/yyyy'
  else 'yyyyMMdd' end layout, texts, best fits, best > 0 and us = best and day_first = best ambiguous from (select *, greatest(iso, us, compact) best from (
  select retailer_code, starts_with(retailer_code, 'R') dotted, count(transaction_date) texts, count(try_strptime(transaction_date, '%Y-%m-%d')) iso, count(try_strptime(transaction_date, '%m/%d/%Y')) us,
  count(try_strptime(transaction_date, '%Y%m%d')) compact, count(try_strptime(transaction_date, '%d/%m/%Y')) day_first from raw_pos group by retailer_code) g) b""",
-        "retailer_code:s layout:s texts:i fits:i ambiguous:i"),
+        dict(retailer_code=TEXT, layout=TEXT, texts=WHOLE, fits=WHOLE, ambiguous=WHOLE)),
     "sales_of_found_layouts": (f"""select retailer_code, cast(coalesce(try_strptime(transaction_date, '%Y-%m-%d'), try_strptime(transaction_date, '%m/%d/%Y'), try_strptime(transaction_date, '%Y%m%d')) as date) transaction_date,
- count(*) as rows, sum({_dec('units_sold', 18, 0)}) units from raw_pos where length({_digits('upc')}) in (12, 13) and {_dec('units_sold', 18, 0)} >= 0 group by 1, 2""", "retailer_code:s transaction_date:s rows:i units:f"),
+ count(*) as rows, sum({_dec('units_sold', 18, 0)}) units from raw_pos where length({_digits('upc')}) in (12, 13) and {_dec('units_sold', 18, 0)} >= 0 group by 1, 2""", dict(retailer_code=TEXT, transaction_date=TEXT, rows=WHOLE, units=NUMBER)),
     "stores_lacking_required": ("""select store_key, store_name, case when store_key % 5 = 0 and store_key % 7 = 0 then 'retailer_code,store_id' when store_key % 5 = 0 then 'retailer_code' else 'store_id' end missing
- from dim_store where store_key % 5 = 0 or store_key % 7 = 0""", "store_key:i store_name:s missing:s"),
+ from dim_store where store_key % 5 = 0 or store_key % 7 = 0""", dict(store_key=WHOLE, store_name=TEXT, missing=TEXT)),
     "full_refresh_pos_sales": ("select * from pos_fact_merged", _POS_FACT_SPEC),
     "incremental_from_bronze": ("select * from bronze_fact_merged", _POS_FACT_SPEC),
     "build_report": (_report(_MERGED_LINES), _REPORT_SPEC),
@@ -397,40 +407,40 @@ _ORACLES: dict[str, tuple[str, str]] = {
  union all select 'weekly_store_demand', count(*), count(*), cast(sum(total_kg) as decimal(38,4)) from ({_weekly('pos_fact_merged')}) w
  union all select 'promo_lift', count(*), count(*), cast(sum(promo_kg) as decimal(38,4)) from ({_lift('_merged')}) l
  union all select 'on_shelf_availability', count(*), count(*), cast(sum(i.on_hand_qty) as decimal(38,4)) from stock_fact_merged i join dim_store st on st.store_key = i.store_key join live_product p on p.upc = i.upc""",
-        "table_name:s rows_written:i rows:i total:f"),
+        dict(table_name=TEXT, rows_written=WHOLE, rows=WHOLE, total=NUMBER)),
     "incremental_inventory": ("select * from stock_fact_merged", _STOCK_FACT_SPEC),
     "order_changes": ("""select case when copies > 0 then 'INSERT' else 'DELETE' end change, max(copies > 0) over (partition by record_id) and max(copies < 0) over (partition by record_id) is_update, abs(copies) copies,
  record_id, material_number, order_qty, net_value, plant, order_type from (select record_id, material_number, order_qty, net_value, plant, order_type, sum(n) copies from (
  select record_id, material_number, order_qty, net_value, plant, order_type, -1 n from raw_orders union all
  select record_id, material_number, order_qty, case when order_type = 'A' then '1' || net_value else net_value end, plant, order_type, 1 from raw_orders where not (order_type = 'N' and plant = 'PL00') union all
  select record_id || '-B', material_number, order_qty, net_value, plant, order_type, 1 from raw_orders where plant = 'PL01') u group by all having sum(n) <> 0) g""",
-        "change:s is_update:i copies:i record_id:s material_number:s order_qty:s net_value:s plant:s order_type:s"),
+        dict(change=TEXT, is_update=WHOLE, copies=WHOLE, record_id=TEXT, material_number=TEXT, order_qty=TEXT, net_value=TEXT, plant=TEXT, order_type=TEXT)),
     "promo_changes": ("""select 'DELETE' change, true is_update, 1 copies, promo_id, retailer_code, start_date, end_date, discount_pct from staged_promo where discount_pct > 25 and end_date is not null
  union all select 'INSERT', true, 1, promo_id, retailer_code, start_date, cast(end_date + interval 7 day as date), discount_pct from staged_promo where discount_pct > 25 and end_date is not null""",
-        "change:s is_update:i copies:i promo_id:s retailer_code:s start_date:s end_date:s discount_pct:f"),
+        dict(change=TEXT, is_update=WHOLE, copies=WHOLE, promo_id=TEXT, retailer_code=TEXT, start_date=TEXT, end_date=TEXT, discount_pct=NUMBER)),
     "new_product_versions": ("""select * from dim_product where not (is_current and category = 'PROMO') union all
  select * replace (date '1999-12-31' as effective_to, false as is_current) from live_product where category = 'PROMO' union all
  select * replace (avg_price_per_kg + 1 as avg_price_per_kg, date '2000-01-01' as effective_from) from live_product where category = 'PROMO' union all
  select material_number || '-N', '9' || substr(upc, 2, 11), null, brand, category, null, null, null, avg_price_per_kg, date '2000-01-01', date '9999-12-31', true from live_product where category = 'SMALL'""", _PRODUCT_SPEC),
-    "rejected_sales": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_pos where rejection_reason is not null", _RAW_POS_SPEC + " rejection_reason:s _rejected_at:s"),
-    "rejected_stock": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_stock where rejection_reason is not null", _RAW_STOCK_SPEC + " rejection_reason:s _rejected_at:s"),
-    "unreadable_sales": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_text where rejection_reason is not null", _RAW_POS_SPEC + " rejection_reason:s _rejected_at:s"),
+    "rejected_sales": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_pos where rejection_reason is not null", _RAW_POS_SPEC | dict(rejection_reason=TEXT, _rejected_at=TEXT)),
+    "rejected_stock": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_stock where rejection_reason is not null", _RAW_STOCK_SPEC | dict(rejection_reason=TEXT, _rejected_at=TEXT)),
+    "unreadable_sales": (f"select *, timestamp '{RUN_TIME}' _rejected_at from judged_text where rejection_reason is not null", _RAW_POS_SPEC | dict(rejection_reason=TEXT, _rejected_at=TEXT)),
     "feed_counts": ("""select 'orders' feed, (select count(*) from raw_orders) landed, (select count(*) from good_order) accepted, (select count(*) from bad_order) rejected
  union all select 'sales', (select count(*) from raw_pos), (select count(*) from staged_pos), (select count(*) from judged_pos where rejection_reason is not null)
  union all select 'stock', (select count(*) from raw_inventory), (select count(*) from staged_inventory), (select count(*) from judged_stock where rejection_reason is not null)
  union all select 'readable sales', (select count(*) from raw_pos), (select count(*) from readable_pos), (select count(*) from judged_text where rejection_reason is not null)""",
-        "feed:s landed:i accepted:i rejected:i"),
+        dict(feed=TEXT, landed=WHOLE, accepted=WHOLE, rejected=WHOLE)),
     "keyless_sales": ("select * from bronze_fact where pos_sale_sk is null", _POS_FACT_SPEC),
     "sales_from_bronze_build": ("select * from bronze_fact_merged", _POS_FACT_SPEC),
     "stream_pos": ("select * from clean_pos", _CLEAN_POS_SPEC),
     "stream_orders": ("select * from staged_order", _ORDER_SPEC),
     "stream_rejects": ("select * from rejected_order", _REJECT_SPEC),
-    "stream_reruns": ("select 0 batches_of_second_run, (select count(*) from good_order) staged, (select count(*) from bad_order) rejected", "batches_of_second_run:i staged:i rejected:i"),
+    "stream_reruns": ("select 0 batches_of_second_run, (select count(*) from good_order) staged, (select count(*) from bad_order) rejected", dict(batches_of_second_run=WHOLE, staged=WHOLE, rejected=WHOLE)),
     "stream_pos_audits": (_audit(AUDIT_AT, 1), _AUDIT_SPEC),
     "stream_inventory": ("select * from clean_inventory", _CLEAN_INV_SPEC),
     "refreshed_weekly_demand": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),
     "refreshed_weekly_demand_of_new_master": (_weekly("pos_fact_merged"), _WEEKLY_SPEC),
-    "kept_selling_days": ("select store_key, brand, count(distinct transaction_date) selling_days from pos_fact_merged group by store_key, brand", "store_key:i brand:s selling_days:i"),
+    "kept_selling_days": ("select store_key, brand, count(distinct transaction_date) selling_days from pos_fact_merged group by store_key, brand", dict(store_key=WHOLE, brand=TEXT, selling_days=WHOLE)),
     "demand_features_by_calendar": (f"""select d.store_key, d.upc, d.transaction_date, any_value(d.daily_units) daily_units, any_value(d.daily_revenue) daily_revenue, any_value(d.had_promo) had_promo,
  {_ratio('coalesce(sum(e.daily_units) filter (where e.transaction_date > d.transaction_date - 7), 0)', 'least(7, any_value(d.age))')} units_7d_avg,
  {_ratio('coalesce(sum(e.daily_units), 0)', 'least(28, any_value(d.age))')} units_28d_avg,
@@ -444,14 +454,14 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "refreshed_promo_lift": (_lift("_merged"), _LIFT_SPEC),
     "refreshed_availability": (_availability("_merged"), _SHELF_SPEC),
     "refreshed_promotions": ("select * from promo_fact", _PROMO_FACT_SPEC),
-    "applied_order_changes": ("select record_id, material_number, order_qty, net_value, plant, order_type from raw_orders", "record_id:s material_number:s order_qty:s net_value:s plant:s order_type:s"),
-    "check_repeated_inventory_keys": ("select inventory_sk, count(*) as rows from stock_fact where inventory_sk is not null group by inventory_sk having count(*) > 1", "inventory_sk:s rows:i"),
-    "check_missing_sale_dates": ("select pos_sale_sk, store_key, upc, units_sold from pos_fact where transaction_date is null", "pos_sale_sk:s store_key:i upc:s units_sold:f"),
-    "check_missing_promo_starts": ("select promo_id, retailer_code, end_date from promo_fact where start_date is null", "promo_id:s retailer_code:s end_date:s"),
-    "check_negative_revenue": ("select pos_sale_sk, store_key, upc, revenue from pos_fact where revenue < 0", "pos_sale_sk:s store_key:i upc:s revenue:f"),
-    "check_orphan_promos": ("select c.material_number, count(*) as rows from promo_fact c where c.material_number is not null and c.material_number not in (select material_number from dim_product) group by 1", "material_number:s rows:i"),
-    "check_orphan_promos_or_null": ("select c.material_number, count(*) as rows from promo_fact c left join dim_product p on p.material_number = c.material_number where p.material_number is null group by 1", "material_number:s rows:i"),
-    "check_inverted_promos": ("select promo_id, start_date, end_date from promo_fact where start_date > end_date", "promo_id:s start_date:s end_date:s"),
+    "applied_order_changes": ("select record_id, material_number, order_qty, net_value, plant, order_type from raw_orders", dict(record_id=TEXT, material_number=TEXT, order_qty=TEXT, net_value=TEXT, plant=TEXT, order_type=TEXT)),
+    "check_repeated_inventory_keys": ("select inventory_sk, count(*) as rows from stock_fact where inventory_sk is not null group by inventory_sk having count(*) > 1", dict(inventory_sk=TEXT, rows=WHOLE)),
+    "check_missing_sale_dates": ("select pos_sale_sk, store_key, upc, units_sold from pos_fact where transaction_date is null", dict(pos_sale_sk=TEXT, store_key=WHOLE, upc=TEXT, units_sold=NUMBER)),
+    "check_missing_promo_starts": ("select promo_id, retailer_code, end_date from promo_fact where start_date is null", dict(promo_id=TEXT, retailer_code=TEXT, end_date=TEXT)),
+    "check_negative_revenue": ("select pos_sale_sk, store_key, upc, revenue from pos_fact where revenue < 0", dict(pos_sale_sk=TEXT, store_key=WHOLE, upc=TEXT, revenue=NUMBER)),
+    "check_orphan_promos": ("select c.material_number, count(*) as rows from promo_fact c where c.material_number is not null and c.material_number not in (select material_number from dim_product) group by 1", dict(material_number=TEXT, rows=WHOLE)),
+    "check_orphan_promos_or_null": ("select c.material_number, count(*) as rows from promo_fact c left join dim_product p on p.material_number = c.material_number where p.material_number is null group by 1", dict(material_number=TEXT, rows=WHOLE)),
+    "check_inverted_promos": ("select promo_id, start_date, end_date from promo_fact where start_date > end_date", dict(promo_id=TEXT, start_date=TEXT, end_date=TEXT)),
     "quality_report": (_report(_MODEL_LINES), _REPORT_SPEC),
     "assertion_report": (_report(_ASSERTION_LINES), _REPORT_SPEC),
 }
@@ -484,8 +494,7 @@ def _with(sql: str) -> str:
 
 def oracle(name: str) -> str:
     sql, spec = _ORACLES[name]
-    columns = [c.split(":") for c in spec.split()]
-    typed = ", ".join(f"cast({column} as {_CASTS[kind]}) as {column}" for column, kind in columns)
+    typed = ", ".join(f"cast({column} as {kind}) as {column}" for column, kind in spec.items())
     return _with(f"select {typed} from ({sql}) result")
 
 
