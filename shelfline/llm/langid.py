@@ -270,10 +270,12 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents in one of the languages learned."""
+    """Pipeline stage: documents in one of the languages learned; if there is none to learn, all documents with letters."""
     models = train(docs.where(~held_out(F.col("doc_id"), 4, 2)))
     return shielded(docs, lambda own: _keep_text(own, models))
 
 
 def _keep_text(own: DataFrame, models: LanguageModels) -> DataFrame:
+    if not models.names:
+        return own.where(F.col("text").rlike(r"\p{L}"))
     return identify(own, models).where(~F.col("rejected"))

@@ -157,9 +157,9 @@ class LineIndex:
 
     @classmethod
     def build(cls, docs: DataFrame, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS) -> LineIndex:
-        # A doc_id on several rows holds a key once.
-        log = stored(references(docs).withColumn("change", F.lit(1)), "line-references")
-        counts = stored(_count(log), "line-counts")
+        # A doc_id on several rows holds a key once, so one deletion takes it back.
+        log = stored(references(docs).distinct().withColumn("change", F.lit(1)), "line-references")
+        counts = stored(_tally(log), "line-counts")
         frequent = counts.where(F.col("n_docs") >= min_docs)
         shards = 1 + frequent.count() // shard_keys
         return cls(log, counts, stored(_build_filters(frequent, shards), "line-filters"), shards, min_docs)
@@ -236,8 +236,13 @@ def _live(log: DataFrame) -> DataFrame:
     return log.groupBy("digest", "doc_id").agg(F.sum("change").alias("change")).where("change > 0")
 
 
+def _tally(held: DataFrame) -> DataFrame:
+    """From distinct (digest, doc_id)."""
+    return held.groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder"))
+
+
 def _count(log: DataFrame) -> DataFrame:
-    return _live(log).groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder"))
+    return _tally(_live(log))
 
 
 def dedup_lines(docs: DataFrame, index: LineIndex, lines: DataFrame | None = None, keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -280,7 +285,7 @@ def dedup_lines(docs: DataFrame, index: LineIndex, lines: DataFrame | None = Non
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     index = LineIndex.build(docs)
-    return dedup_lines(docs, index, lines=index.log.select("digest", "doc_id").distinct()).select(
+    return dedup_lines(docs, index, lines=index.log.select("digest", "doc_id")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
 
@@ -290,7 +295,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def work(own: DataFrame) -> DataFrame:
         index = LineIndex.build(own)
-        return dedup_lines(own, index, lines=index.log.select("digest", "doc_id").distinct())
+        return dedup_lines(own, index, lines=index.log.select("digest", "doc_id"))
 
     return shielded(docs, work)
 

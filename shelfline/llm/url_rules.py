@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import lowered, table
+from shelfline.operators.lookups import if_small, join_folded
 
 SEPARATOR = " "  # sorts before every character of a host or path but control characters
 SLICE_ROWS = 512
@@ -83,16 +84,19 @@ def match_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         .select(_reversed_host(F.col("host")).alias("node"), "path", F.concat("host", "path").alias("rule"), "verdict")
     )
     urls = pages.select("host", "path").distinct()
-    nodes = rules.select("node").distinct()
-    looked_up = urls.select("host", "path", F.explode(_enclosing_hosts(F.col("host"))).alias("node")).join(nodes, "node")
+    # Hosts with rules are broadcast if they are few, and so are their slices, no more rows.
+    plain = rules.select("node").distinct()
+    nodes = if_small(plain)
+    looked_up = join_folded(urls.select("host", "path", F.explode(_enclosing_hosts(F.col("host"))).alias("node")), nodes, ["node"], "inner")
 
     # As many slices as keep both the urls and the copies of the rules in a slice in proportion.
     sizes = looked_up.groupBy("node").agg(F.count(F.lit(1)).alias("n_urls"))
     sizes = sizes.join(rules.groupBy("node").agg(F.count(F.lit(1)).alias("n_rules")), "node").select(
         "node", F.ceil(F.col("n_urls") / F.greatest(F.col("n_rules"), F.lit(slice_rows))).cast("int").alias("slices")
     )
+    sizes = sizes if nodes is plain else F.broadcast(sizes)
     key = F.concat("node", F.lit(SEPARATOR), "path")
-    points = looked_up.join(sizes, "node").select(
+    points = join_folded(looked_up, sizes, ["node"], "inner").select(
         "node", F.pmod(F.xxhash64("host", "path"), F.col("slices")).cast("int").alias("slice"), key.alias("key"),
         F.lit(1).alias("kind"), "host", "path", F.lit(None).cast("array<struct<path:string,rule:string,verdict:string>>").alias("stack"),
     )
@@ -101,17 +105,18 @@ def match_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         F.lit(0).alias("kind"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), "stack",
     )
     sweep = Window.partitionBy("node", "slice").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    swept = points.unionByName(starts).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1")
+    # The slices of a host go to different tasks, whatever it was joined by.
+    swept = points.unionByName(starts).repartition("node", "slice").withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1")
     still_open = F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"]))
     innermost = F.element_at(still_open, -1)
     best = (
         swept.where(F.size(still_open) > 0)
         .select("host", "path", innermost["rule"].alias("rule"), innermost["verdict"].alias("verdict"), F.length("node").alias("host_length"))
         .groupBy("host", "path")
-        .agg(F.max(F.struct(F.length("rule").alias("n"), "host_length", "rule", "verdict")).alias("best"))
+        .agg(F.max(F.struct(F.length("rule").alias("n"), "host_length", "rule", "verdict")).alias("__best"))
     )
-    return pages.join(best, ["host", "path"], "left").select(
-        *[c for c in pages.columns], F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
+    return join_folded(pages, best, ["host", "path"]).select(
+        *[F.col(f"`{c}`") for c in pages.columns], F.col("__best.rule").alias("rule"), F.coalesce("__best.verdict", F.lit(default)).alias("verdict")
     )
 
 

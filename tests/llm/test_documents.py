@@ -77,6 +77,16 @@ def test_line_index_is_reversible(spark):
     assert rows(grown.insert(frame(spark, more)).counts) == rows(grown.counts)
 
 
+def test_a_document_on_several_rows_is_deleted_at_once(spark):
+    line = "this line is long enough to be counted"
+    docs = [(1, line), (2, line), (3, line), (3, line + "\nanother line that is long enough"), (4, line)]
+    index = line_dedup.LineIndex.build(frame(spark, docs))
+    assert {(r.n_docs, r.holder) for r in index.counts.collect()} == {(4, 4), (1, 3)}
+    shrunk = index.delete(spark.createDataFrame([(3,)], "doc_id long"))
+    assert rows(shrunk.counts) == rows(line_dedup.LineIndex.build(frame(spark, [d for d in docs if d[0] != 3])).counts)
+    assert rows(shrunk.insert(frame(spark, docs[2:4])).counts) == rows(index.counts)
+
+
 def test_cuckoo_filter():
     numbers = np.random.default_rng(1).integers(0, 1 << 63, (5000, 2), np.uint64)
     own = line_dedup.CuckooFilter(len(numbers))

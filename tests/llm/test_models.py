@@ -3,12 +3,15 @@
 import itertools
 import math
 import re
+import time
 from collections import Counter
 
 import brute
 import numpy as np
 import pytest
 from cases import CLASHING, DOCS, LINE, LONG, empty, frame
+from hypothesis import given as drawn
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -50,12 +53,27 @@ def test_topk_of_few_vectors(spark):
         assert Counter(tuple(r)[1:] for r in found.collect()) == best(vectors, 50, 5)
 
 
+def test_topk_of_large_components(spark):
+    """Scores are exact up to 64 bits, and stop there."""
+    rng = np.random.default_rng(8)
+    big = [(i, [float(x) for x in rng.integers(-(10**6), 10**6, 16)]) for i in range(1, 60)]
+    huge = [(60, [1e30] * 16), (100, [-1e12, *[0.0] * 15]), (61, [3e6, *[0.5] * 15])]
+    frame = spark.createDataFrame(big + huge, "vec_id long, embedding array<double>").repartition(2)
+    index = topk.build_index(frame, block_rows=16)
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.search(index, topk.query_blocks(index, every=50), k=5).collect()}
+    whole = {i: [min(max(math.floor(x * 256), -(1 << 62)), 1 << 62) for x in v] for i, v in big + huge}
+    for query in (50, 100):
+        scores = {i: min(max(sum(a * b for a, b in zip(v, whole[query], strict=True)), -(1 << 63)), (1 << 63) - 1) for i, v in whole.items() if i != query}
+        best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
+        assert [found[query, n] for n in range(1, 6)] == best
+
+
 def test_search_stops_before_the_last_segment_and_stays_exact():
     random = np.random.default_rng(9)
     own = np.floor(256 * random.normal(0, 0.125, (2000, 64))).astype(np.int64)
     rows, dims = np.nonzero(own)
     order = np.argsort(-np.abs(own[rows, dims]), kind="stable")
-    block = topk.Block(3, 64, np.arange(2000).tobytes(), rows[order].astype(np.int16).tobytes(), dims[order].astype(np.int32).tobytes(), own[rows, dims][order].astype(np.int32).tobytes())
+    block = topk.Block(3, 64, np.arange(2000).tobytes(), rows[order].astype(np.int16).tobytes(), dims[order].astype(np.int32).tobytes(), own[rows, dims][order].astype(np.int64).tobytes())
     used = []
     segments = block.segments
 
@@ -216,6 +234,29 @@ def test_keys_without_digits_and_in_paths_are_found(spark):
     assert sum(len(found[i]) for i in range(200)) == 0
 
 
+def test_one_text_with_very_many_findings():
+    """Base spans and tokens meet in one sweep: 32,000 of each in a few seconds."""
+    last, n = {0: 3}, 32_000
+    base = [{"start": 100 * i, "kind": 2, "end": 100 * i + 40} for i in range(n)]
+    tokens = [{"start": 100 * i + o, "end": 100 * i + o + 25, "class": 0, "step": i % 5} for i in range(n) for o in (20, 45, 70)]
+    began = time.monotonic()
+    found = secrets.random_spans(base, tokens, last)
+    assert time.monotonic() - began < 10
+    assert found == [(100 * i + o, 100 * i + o + 25) for i in range(n) if i % 5 <= 3 for o in (45, 70)]
+
+
+@drawn(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 12), st.integers(0, 3)), max_size=12), st.lists(st.tuples(st.integers(0, 40), st.integers(1, 6)), max_size=4))
+def test_random_spans_by_their_definition(tokens, base):
+    tokens = [{"start": a, "end": a + n, "class": 0, "step": s} for a, n, s in tokens]
+    base = [{"start": a, "kind": 0, "end": a + n} for a, n in base]
+    passed = [t for t in tokens if t["step"] <= 1 and not any(b["start"] < t["end"] and t["start"] < b["end"] for b in base)]
+    stay = [
+        (t["start"], t["end"]) for t in passed
+        if not any(o["start"] <= t["start"] and t["end"] <= o["end"] and o["end"] - o["start"] > t["end"] - t["start"] for o in passed)
+    ]
+    assert secrets.random_spans(base, tokens, {0: 1}) == sorted(stay)
+
+
 def test_parts_of_runs():
     run = "/keys/of/AbC-d_EfGhIjKlMnOpQr+StUvWxYzAbCdEfGhIjKl"
     parts = {run[a:b] for a, b in secrets.token_spans(run, 0, len(run))}
@@ -323,6 +364,39 @@ def test_url_rules_run_without_python(spark, sf_dir):
     assert "Window" in plan
 
 
+def test_url_rules_beside_columns_of_any_name(spark):
+    pages = spark.createDataFrame([("https://a.example.net/en/x", 1, 2, 3), (None, 4, 5, 6)], "url string, best int, node int, `has.dot` int")
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow")], "host string, path string, verdict string")
+    found = {r["best"]: (r["node"], r["has.dot"], r["rule"], r["verdict"]) for r in url_rules.match_urls(pages, rules).collect()}
+    assert found == {1: (2, 3, "example.net/en/", "allow"), 4: (5, 6, None, "allow")}
+
+
+def test_hot_host_is_spread(spark):
+    """Two thirds of the urls are of one host. They are looked up where they are, and its slices are swept in tasks of their own."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "32",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        pages = spark.range(60_000, numPartitions=8).select(
+            F.concat(F.lit("http://"), F.when(n % 3 < 2, F.lit("hot.example.net")).otherwise(F.concat(F.lit("h"), (n % 997).cast("string"), F.lit(".org"))), F.lit("/p"), n.cast("string")).alias("url")
+        )
+        rules = spark.createDataFrame([("example.net", "/p1", "block"), ("org", "/", "block")], "host string, path string, verdict string")
+        found = url_rules.match_urls(pages, rules)
+        blocked = sum(r["verdict"] == "block" for r in found.collect())
+        assert blocked == sum(1 for i in range(60_000) if i % 3 == 2 or str(i).startswith("1"))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert re.search(r"hashpartitioning\(node#\d+, slice#\d+", plan)
+        assert sum("BroadcastHashJoin" in x and "node#" in x for x in plan.split("\n")) >= 2
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_url_rules_of_no_pages(spark):
     assert url_rules.match_urls(spark.createDataFrame([], "page_id long, url string"), url_rules.rule_table(spark)).count() == 0
 
@@ -358,6 +432,27 @@ def test_pipeline(spark, sf_dir):
         docs = after
 
 
+def test_pipeline_of_no_and_of_unlabelled_documents(spark, sf_dir):
+    """Without labels nothing can be learned, so only texts without letters go; without documents all stages return none."""
+    language = corpus_pipeline.STAGES[0][1]
+    bare = frame(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = {r["doc_id"] for r in language(spark, bare, sf_dir).collect()}
+    assert kept == {i for i, t in DOCS if any(c.isalpha() for c in t or "")}
+    docs = frame(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, sf_dir)
+        assert after.count() == 0 and (name == "packing" or after.columns == docs.columns)
+        docs = docs if name == "packing" else after
+
+
+def test_first_and_last_stage_with_awkward_rows(spark, sf_dir):
+    odd = frame(spark, DOCS, ["n_words", "__text", "score", "LANG_PRED", "rejected", "start"])
+    language, packing_stage = corpus_pipeline.STAGES[0][1], corpus_pipeline.STAGES[-1][1]
+    assert language(spark, odd, sf_dir).columns == odd.columns
+    pieces = packing_stage(spark, odd, sf_dir)
+    assert pieces.select(F.sum("length")).first()[0] == pieces.select("doc_id", "doc_tokens", "start").where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+
+
 def test_stages_with_awkward_rows(spark, sf_dir):
     odd = frame(spark, DOCS + [(60, LINE + " " + LONG[:500])], ["n_words", "__text", "kept", "component_id", "digest"])
     for _, stage in corpus_pipeline.STAGES[1:4]:
