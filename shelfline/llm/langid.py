@@ -1,19 +1,20 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model per language, trained on a bounded sample of labelled documents (``SAMPLE_DOCS`` of each
-language, whole texts; the smallest hashes of their ids). Texts are lower-cased; letters get numbers, all
-else between letters is one boundary mark, so marks and digits sprinkled over a text change little. Kneser-Ney: the highest order uses
-counts, lower orders the number of different characters seen before, with one discount per order and what it frees
-going to the next lower order, down to equal shares.
+language, whole texts; the smallest hashes of their ids). Texts are lower-cased; every letter of the sample has a number of its own, all
+else between letters is one boundary mark, so marks and digits sprinkled over a text change little. Kneser-Ney of order ``ORDER``, whatever
+the alphabet: the highest order uses counts, lower orders the number of different characters seen before, with one discount per order
+and what it frees going to the next lower order, down to equal shares.
 
-A model is stored as two sorted arrays of hashed n-grams, of all orders together, with their counts. The
+An n-gram is a 64-bit hash of its letters. Two sorted hash arrays hold the n-grams and their contexts, of all orders and languages;
+an entry says for which languages it counts and what: an n-gram its discounted share, a context what it leaves to the lower order. The
 cross-entropy of a text, per character, is compared between languages, the lowest wins. Rejection is
 calibrated on a quarter of the sample left out of training: a text is rejected if its cross-entropy lies further above that
 of held-out texts of its language than chance allows at its length, and by more than half of what the nearest other
 language's texts cost there; and if it has no letters.
 
-Models are broadcast; their size is bounded by the sample. Each task looks a distinct n-gram up once and keeps its
-log-probabilities in a table, so the work per character is one table access.
+Models are broadcast; their size is bounded by the sample. A task looks each distinct n-gram of a batch of texts up once, order by order,
+and keeps nothing from one batch to the next.
 """
 
 from __future__ import annotations
@@ -32,35 +33,29 @@ from pyspark.sql import types as T
 from shelfline.llm.common import held_out, others, shielded, table
 
 SAMPLE_DOCS = 240
-KEY_BITS = 24  # n-gram keys; the order is as high as the alphabet allows
+ORDER = 5
+BATCH_CHARACTERS = 1 << 19
+SHARES = 32
 DEVIATIONS = 8.0
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_PLACES = np.random.default_rng(20_240_707).integers(0, 1 << 63, ORDER, np.uint64) | np.uint64(1)
+_SALTS = np.random.default_rng(20_240_708).integers(0, 1 << 63, ORDER + 1, np.uint64)
 
 
 @dataclass
 class Alphabet:
-    """Numbers of letters: 0 a boundary, 1 a letter the sample doesn't have, from 2 on the letters by frequency."""
+    """Numbers of letters: 0 a boundary, 1 a letter the sample doesn't have, from 2 on the letters of the sample."""
 
     letters: list[int]
-    bits: int
-    order: int
     numbers: np.ndarray
 
     @classmethod
     def of(cls, counts: dict[str, int]) -> Alphabet:
-        common = sorted(counts, key=lambda c: (-counts[c], c))[: (1 << 8) - 2]
-        bits = max(5, (len(common) + 1).bit_length())
-        letters = [ord(c) for c in common]
-        numbers = np.zeros(0x110000, np.uint16)
-        return cls(letters, bits, KEY_BITS // bits, cls._fill(numbers, letters))
-
-    @staticmethod
-    def _fill(numbers: np.ndarray, letters: list[int]) -> np.ndarray:
-        for i, letter in enumerate(letters):
-            numbers[letter] = i + 2
-        return numbers
+        letters = sorted(ord(c) for c in counts)
+        numbers = np.zeros(0x110000, np.uint32)
+        numbers[letters] = np.arange(2, len(letters) + 2)
+        return cls(letters, numbers)
 
     def encode(self, text: str) -> np.ndarray:
         """Letter numbers with each stretch of other characters as one 0."""
@@ -70,99 +65,120 @@ class Alphabet:
         if len(unknown):  # letters that the sample doesn't have
             own = own.copy()
             distinct, back = np.unique(points[unknown], return_inverse=True)
-            own[unknown] = np.array([chr(p).isalpha() for p in distinct.tolist()], np.uint16)[back]
+            own[unknown] = np.array([chr(p).isalpha() for p in distinct.tolist()], np.uint32)[back]
         keep = own != 0
         keep[1:] |= own[:-1] != 0
         return own[keep]
 
-    def keys(self, codes: np.ndarray) -> np.ndarray:
-        """The n-gram of highest order that ends at each place; boundaries stand before the first."""
-        padded = np.concatenate([np.zeros(self.order - 1, np.uint32), codes.astype(np.uint32)])
-        keys = np.zeros(len(codes), np.uint32)
-        for back in range(self.order):
-            at = self.order - 1 - back
-            keys |= padded[at : at + len(codes)] << np.uint32(back * self.bits)
-        return keys
-
-
-def _hashed(order: int, keys: np.ndarray) -> np.ndarray:
-    return (keys.astype(np.uint64) | np.uint64(order << 40)) * _MIX
-
-
-class Model:
-    """Counts of n-grams and of their contexts in sorted hash arrays."""
-
-    def __init__(self, alphabet: Alphabet, texts: list[np.ndarray]):
-        self.order, self.bits = alphabet.order, alphabet.bits
-        self.size = (1 << self.bits) + 1
-        found = [alphabet.keys(codes) for codes in texts]
-        keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *found]), return_counts=True)
-        grams, contexts, self.discounts = [], [], {}
-        for order in range(self.order, 0, -1):
-            ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
-            self.discounts[order] = min(0.95, max(0.05, ones / (ones + 2 * twos) if ones + twos else 0.5))
-            grams.append((_hashed(order, keys), counts))
-            context, back = np.unique(keys >> np.uint32(self.bits), return_inverse=True)
-            contexts.append((_hashed(order, context), np.bincount(back, counts, len(context)), np.bincount(back, minlength=len(context))))
-            # Each distinct n-gram counts once for the next lower order: how many characters came before it.
-            keys, counts = np.unique(keys & np.uint32((1 << self.bits * (order - 1)) - 1), return_counts=True)
-        self.grams, (self.counts,) = self._sorted(grams)
-        self.contexts, (self.totals, self.types) = self._sorted(contexts)
-
-    @staticmethod
-    def _sorted(parts: list[tuple]) -> tuple[np.ndarray, list[np.ndarray]]:
-        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-        order = np.argsort(columns[0])
-        return columns[0][order], [c[order].astype(np.float64) for c in columns[1:]]
-
-    @staticmethod
-    def _look(hashes: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-        if not len(hashes):
-            return [np.zeros(len(wanted)) for _ in values]
-        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-        hit = hashes[at] == wanted
-        return [np.where(hit, v[at], 0.0) for v in values]
-
-    def log2(self, keys: np.ndarray) -> np.ndarray:
-        """log2 of the probability of each n-gram's last character after the others."""
-        p = np.full(len(keys), 1.0 / self.size)
-        for order in range(1, self.order + 1):
-            own = keys & np.uint32((1 << self.bits * order) - 1)
-            (count,) = self._look(self.grams, _hashed(order, own), self.counts)
-            total, types = self._look(self.contexts, _hashed(order, own >> np.uint32(self.bits)), self.totals, self.types)
-            d = self.discounts[order]
-            seen = np.maximum(total, 1)
-            p = np.where(total > 0, np.maximum(count - d, 0) / seen + d * types / seen * p, p)
-        return np.log2(p)
+
+def windows(codes: np.ndarray) -> np.ndarray:
+    """The last ``ORDER`` letters at each place, a row each; boundaries stand before the first."""
+    padded = np.concatenate([np.zeros(ORDER - 1, np.uint32), codes])
+    return np.lib.stride_tricks.sliding_window_view(padded, ORDER) if len(codes) else np.zeros((0, ORDER), np.uint32)
+
+
+def keys_of(rows: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the last ``order`` letters of each row and of the ``order - 1`` before the last."""
+    own = np.full(len(rows), _SALTS[order])
+    for back in range(1, order):
+        own += (rows[:, -1 - back].astype(np.uint64) + np.uint64(1)) * _PLACES[back]
+    return own + (rows[:, -1].astype(np.uint64) + np.uint64(1)) * _PLACES[0], own
+
+
+def _kneser_ney(texts: list[np.ndarray]) -> tuple[list[tuple], list[tuple]]:
+    """For each order hashes of n-grams with their discounted shares, and of contexts with what they leave to the lower order."""
+    rows = np.concatenate([np.zeros((0, ORDER), np.uint32), *[windows(t) for t in texts]])
+    shares, rests = [], []
+    for order in range(ORDER, 0, -1):
+        keys, contexts = keys_of(rows, order)
+        # Below the highest order rows are distinct longer n-grams: a count is how many characters came before.
+        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        rows, contexts = rows[first], contexts[first]
+        ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
+        discount = min(0.95, max(0.05, ones / (ones + 2 * twos) if ones + twos else 0.5))
+        context, back = np.unique(contexts, return_inverse=True)
+        total, types = np.bincount(back, counts, len(context)), np.bincount(back, minlength=len(context))
+        shares.append((keys, np.maximum(counts - discount, 0) / total[back]))
+        rests.append((context, discount * types / total))
+    return shares, rests
+
+
+class HashArray:
+    """Values of hashes by language: sorted hashes, and behind each the languages it has a value for."""
+
+    def __init__(self, by_language: list[list[tuple[np.ndarray, np.ndarray]]]):
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))]
+        parts += [(k, np.full(len(k), i), v) for i, own in enumerate(by_language) for k, v in own]
+        keys, languages, values = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((languages, keys))
+        self.keys, self.first = np.unique(keys[order], return_index=True)
+        self.length = np.diff(np.append(self.first, len(keys)))
+        self.languages, self.values = languages[order].astype(np.uint16), values[order].astype(np.float32)
+
+    def fill(self, wanted: np.ndarray, into: np.ndarray) -> np.ndarray:
+        """Writes the values of the hashes ``wanted`` into the rows of ``into``, a column a language."""
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            hit = np.flatnonzero(self.keys[at] == wanted)
+            at = at[hit]
+            n = self.length[at]
+            places = np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            into[np.repeat(hit, n), self.languages[places]] = self.values[places]
+        return into
+
+
+class Models:
+    """The models of all languages."""
+
+    def __init__(self, alphabet: Alphabet, by_language: list[list[np.ndarray]]):
+        found = [_kneser_ney(texts) for texts in by_language]
+        self.languages = len(found)
+        self.size = len(alphabet.letters) + 2
+        self.shares = HashArray([shares for shares, _ in found])
+        self.rests = HashArray([rests for _, rests in found])
+
+    def log2(self, rows: np.ndarray) -> np.ndarray:
+        """log2 of the probability of the last letter of each row after the others, a column a language."""
+        # Distinct n-grams of each order, each with the place of its ending among those of the order below.
+        levels = []
+        for order in range(ORDER, 0, -1):
+            keys, contexts = keys_of(rows, order)
+            keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
+            rows = rows[first]
+            levels.append((keys, contexts[first], back))
+        p = np.full((1, self.languages), 1.0 / self.size)
+        below = np.zeros(len(levels[-1][0]), np.int64)
+        for keys, contexts, back in reversed(levels):
+            shape = (len(keys), self.languages)
+            p = self.shares.fill(keys, np.zeros(shape)) + self.rests.fill(contexts, np.ones(shape)) * p[below]
+            below = back
+        return np.log2(p)[below]
 
 
 @dataclass
 class LanguageModels:
     alphabet: Alphabet
     names: list[str]
-    models: list[Model]
+    models: Models
     ceilings: list[tuple[float, float, float, float]]  # mean, spread between texts, spread per character, least excess; in bits
 
-
-class Scorer:
-    """Cross-entropies of texts; keeps the log-probabilities of the n-grams met so far."""
-
-    def __init__(self, models: LanguageModels):
-        self.models = models
-        self.place = np.zeros(1 << KEY_BITS, np.int32)  # 0: not met yet
-        self.logs = np.zeros((1, len(models.names)), np.float32)
-
     def entropies(self, texts: list[np.ndarray]) -> np.ndarray:
         """Bits per character, a row for each text; texts are codes of at least one letter."""
         lengths = np.array([len(t) for t in texts], np.int64)
-        keys = np.concatenate([self.models.alphabet.keys(t) for t in texts])
-        new = np.unique(keys[self.place[keys] == 0])
-        if len(new):
-            self.place[new] = np.arange(len(self.logs), len(self.logs) + len(new))
-            self.logs = np.concatenate([self.logs, np.stack([m.log2(new) for m in self.models.models], 1).astype(np.float32)])
-        starts = np.cumsum(lengths) - lengths
-        places = self.place[keys]
-        sums = np.stack([np.add.reduceat(self.logs[places, i], starts, dtype=np.float64) for i in range(self.logs.shape[1])], 1)
+        sums = np.zeros((len(texts), len(self.names)))
+        # A long text is scored in stretches, so that memory is that of a batch.
+        parts = [(i, t, low) for i, t in enumerate(texts) for low in range(0, len(t), BATCH_CHARACTERS)]
+        at = 0
+        while at < len(parts):
+            end, n = at, 0
+            while end < len(parts) and (end == at or n + min(len(parts[end][1]) - parts[end][2], BATCH_CHARACTERS) <= BATCH_CHARACTERS):
+                n += min(len(parts[end][1]) - parts[end][2], BATCH_CHARACTERS)
+                end += 1
+            rows = [windows(t[max(0, low - ORDER + 1) : low + BATCH_CHARACTERS])[min(low, ORDER - 1) :] for _, t, low in parts[at:end]]
+            sizes = np.array([len(r) for r in rows])
+            logs = self.models.log2(np.concatenate(rows))
+            np.add.at(sums, [i for i, _, _ in parts[at:end]], np.add.reduceat(logs, np.cumsum(sizes) - sizes, axis=0))
+            at = end
         return -sums / lengths[:, None]
 
 
@@ -172,8 +188,10 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageModels:
     Only the sample's rows come to the driver, at most ``sample_docs`` for a language.
     """
     labelled = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs)
+    # Smallest hashes of each share of a language first, so that no task ranks all ids of a common language.
+    ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"), F.pmod(F.hash("doc_id"), F.lit(SHARES)).alias("share")).distinct()
+    for group in (("lang", "share"), ("lang",)):
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy("hash", "doc_id"))).where(F.col("n") <= sample_docs)
     chosen = labelled.join(F.broadcast(ids.select("doc_id", "lang")), ["doc_id", "lang"], "left_semi")
     # One text an id, should an id stand on several rows.
     rows = sorted(chosen.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).collect())
@@ -189,17 +207,16 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageModels:
         if codes.any():
             by_name.setdefault(row["lang"], []).append(codes)
     names = sorted(by_name)
-    result = LanguageModels(alphabet, names, [], [])
     apart = {name: texts[::4] if len(texts) >= 8 else [] for name, texts in by_name.items()}
-    for name in names:
-        texts = by_name[name]
-        trained = Model(alphabet, [t for i, t in enumerate(texts) if i % 4 or not apart[name]])
-        result.models.append(trained)
-        each = [-trained.log2(alphabet.keys(t)) for t in apart[name]]
+    result = LanguageModels(alphabet, names, Models(alphabet, [[t for i, t in enumerate(by_name[n]) if i % 4 or not apart[n]] for n in names]), [])
+    # Costs per character of what was left out, in every language.
+    costs = {name: [-result.models.log2(windows(t)) for t in apart[name]] for name in names}
+    for at, name in enumerate(names):
+        each = [c[:, at] for c in costs[name]]
         if not each:
             result.ceilings.append((math.inf, 0.0, 0.0, 0.0))
             continue
-        foreign = [float(np.concatenate([-trained.log2(alphabet.keys(t)) for t in apart[n]]).mean()) for n in names if n != name and apart[n]]
+        foreign = [float(np.concatenate([c[:, at] for c in costs[n]]).mean()) for n in names if n != name and costs[n]]
         means = np.array([e.mean() for e in each])
         long = np.array([len(e) >= 100 for e in each])
         between = float(means[long].std()) if long.sum() >= 4 else float(means.std())
@@ -227,11 +244,10 @@ def identify(docs: DataFrame, models: LanguageModels, keep: tuple[str, ...] | No
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
-        scorer = Scorer(models)
         for batch in parts:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                found = _predicted(models, scorer, part.column(part.num_columns - 1).to_pylist())
+                found = _predicted(models, part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(found["lang"], pa.string()), pa.array(found["score"], pa.float64()), pa.array(found["bits"], pa.float64()), pa.array(found["rejected"], pa.bool_())],
                     names=schema.names,
@@ -240,14 +256,14 @@ def identify(docs: DataFrame, models: LanguageModels, keep: tuple[str, ...] | No
     return source.mapInArrow(work, schema)
 
 
-def _predicted(models: LanguageModels, scorer: Scorer, texts: list[str | None]) -> dict[str, list]:
+def _predicted(models: LanguageModels, texts: list[str | None]) -> dict[str, list]:
     n = len(texts)
     found = {"lang": [UNKNOWN] * n, "score": [0.0] * n, "bits": [None] * n, "rejected": [True] * n}
     pairs = [(i, models.alphabet.encode(t)) for i, t in enumerate(texts) if models.names and has_letter(t)]
     pairs = [(i, codes) for i, codes in pairs if len(codes)]
     if not pairs:
         return found
-    bits = scorer.entropies([codes for _, codes in pairs])
+    bits = models.entropies([codes for _, codes in pairs])
     best = bits.argmin(1)
     top = bits[np.arange(len(pairs)), best]
     lengths = np.array([len(codes) for _, codes in pairs])

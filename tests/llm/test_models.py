@@ -296,17 +296,65 @@ def test_held_out_accuracy(spark, sf_dir):
     assert np.mean([r["rejected"] for r in found]) < 0.02
 
 
-def test_probabilities_add_up_to_one():
-    alphabet = langid.Alphabet.of(Counter("the cat sat on the mat"))
-    model = langid.Model(alphabet, [alphabet.encode(t) for t in ("the cat sat on the mat", "that hat", "a")])
-    size = model.size
-    for context in ("th", "zz", " a", ""):
-        codes = alphabet.encode(context + "x")[:-1]
-        padded = np.concatenate([codes, [0]])
-        key = int(alphabet.keys(padded)[-1])
-        every = key + np.arange(1 << alphabet.bits, dtype=np.uint32)
-        total = np.exp2(model.log2(every.astype(np.uint32))).sum()
-        assert total == pytest.approx(1, abs=1.5 / size)
+def plain_kneser_ney(texts, size, order=langid.ORDER):
+    """Probability of a letter after others, from dictionaries of tuples."""
+    grams = Counter(tuple(w) for t in texts for w in langid.windows(t).tolist())
+    tables = {}
+    for k in range(order, 0, -1):
+        ones, twos = sum(n == 1 for n in grams.values()), sum(n == 2 for n in grams.values())
+        discount = min(0.95, max(0.05, ones / (ones + 2 * twos) if ones + twos else 0.5))
+        totals, types = Counter(), Counter()
+        for g, n in grams.items():
+            totals[g[:-1]] += n
+            types[g[:-1]] += 1
+        tables[k] = (grams, totals, types, discount)
+        grams = Counter(g[1:] for g in grams)
+
+    def p(gram):
+        if not gram:
+            return 1 / size
+        counts, totals, types, d = tables[len(gram)]
+        total = totals[gram[:-1]]
+        lower = p(gram[1:])
+        return max(counts[gram] - d, 0) / total + d * types[gram[:-1]] / total * lower if total else lower
+
+    return p
+
+
+def test_probabilities_are_those_of_kneser_ney():
+    corpora = [["the cat sat on the mat", "that hat", "a", "the"], ["кот сидел на мате", "тот кот"], ["猫坐在垫子上", "那只猫", "猫"]]
+    alphabet = langid.Alphabet.of(Counter(c for own in corpora for t in own for c in t if c.isalpha()))
+    encoded = [[alphabet.encode(t) for t in own] for own in corpora]
+    models = langid.Models(alphabet, encoded)
+    rng = np.random.default_rng(5)
+    rows = np.concatenate([*[langid.windows(t) for own in encoded for t in own], rng.integers(0, models.size, (200, langid.ORDER)).astype(np.uint32)])
+    found = np.exp2(models.log2(rows))
+    for i, own in enumerate(encoded):
+        plain = plain_kneser_ney(own, models.size)
+        assert found[:, i] == pytest.approx([plain(tuple(r)) for r in rows.tolist()], rel=1e-5)
+    # Over all letters after one context they add up to one.
+    every = np.repeat(rows[3:4], models.size, 0)
+    every[:, -1] = np.arange(models.size)
+    assert np.exp2(models.log2(every)).sum(0) == pytest.approx(1, abs=1e-6)
+
+
+def test_no_letter_and_no_script_is_cut_off(spark):
+    """Latin, Cyrillic and Han texts together, with thousands of letters; close languages of a script stay apart."""
+    rng = np.random.default_rng(11)
+
+    def letters(first, n):
+        found = (chr(first + i) for i in range(2 * n + 200))
+        return [c for c in found if c.isalpha() and c.lower() == c][:n]
+
+    alphabets = {"la": letters(0x61, 26), "lb": letters(0x61, 26)[:18], "ca": letters(0x430, 30), "cb": letters(0x430, 30)[6:], "ha": letters(0x4E00, 1500), "hb": letters(0x5200, 1500), "hc": letters(0x7000, 3000)}
+    words = {name: ["".join(rng.choice(own, rng.integers(2, 7))) for _ in range(400)] for name, own in alphabets.items()}
+    names = list(words)
+    docs = [(i, " ".join(rng.choice(words[names[i % len(names)]], 25)), names[i % len(names)]) for i in range(700)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    models = langid.train(frame.where("doc_id % 4 <> 0"))
+    assert len(models.alphabet.letters) > 2000
+    found = langid.identify(frame.where("doc_id % 4 = 0"), models).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.97
 
 
 def test_languages_of_awkward_rows(spark, sf_dir):
