@@ -405,8 +405,8 @@ def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: i
 
     A byte goes if a 200-byte string that covers it also starts elsewhere, in any row or in the same one; strings are
     those of the input. Rows of equal content repeat each other. A null text is empty; texts of under 200 bytes stay.
-    The bytes left need not be valid UTF-8. ``slice_windows`` and ``share_entries`` bound what a task holds at once. Other columns are not read. Two different strings are taken for equal only if their 64-bit
-    fingerprints and those of their anchors' bucket agree.
+    The bytes left need not be valid UTF-8. ``slice_windows`` and ``share_entries`` bound what a task holds at once. Other columns are not read. Strings are taken for equal if their 64-bit
+    fingerprints agree; their bytes are not compared, so two different ones could be confused once in some 10^19 pairs.
     """
     text = F.coalesce("text", F.lit("")).alias("text")
     keyed = docs.select(F.col("doc_id").cast("long"), text).withColumn("key", F.xxhash64("doc_id", "text"))

@@ -302,5 +302,7 @@ def default_tokenizer() -> str:
 
 
 def op2_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents. No unigram vocabulary with scores is at hand: the pieces are those of a merging tokenizer,
+    whose scores are ranks, and their weights are counts over the training words' best segmentations with a prior by rank."""
     docs = table(spark, sf_dir, "documents")
     return score_texts(docs, default_tokenizer(), ~held_out(F.col("doc_id"), 10, 0))
