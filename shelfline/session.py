@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,7 +43,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         app = spark.sparkContext.applicationId
         if app not in _local_root:
-            if not spark.sparkContext.master.startswith("local"):
+            # local-cluster has executors of its own, like any cluster.
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             _local_root[app] = tempfile.mkdtemp(prefix="shelfline-")
         root = _local_root[app]
