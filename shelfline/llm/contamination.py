@@ -10,9 +10,10 @@ shortest pattern does not shorten the jumps of all others. A searcher has three
 * the patterns themselves, compared word by word with the text where a bucket names them.
 
 Words of documents are replaced by their number in the benchmark's vocabulary (0: not in it).
-Documents are read once and never shuffled. Tables are broadcast; they come from ``benchmark`` alone, and a
-benchmark of more than ``shard_words`` words is cut into shards that pass over the documents one
-after another and add to the words already hit, so what is broadcast and held in a task has a bound.
+Documents are never shuffled. A benchmark of more than ``shard_words`` words is cut into shards by its tasks and written
+as a table of parts. Shards pass over the documents one after another and add to the words already hit. Only one
+shard at a time is read by the driver, broadcast and held in a task: the result of a pass is written before the next
+one begins, so a larger benchmark takes more passes, not more memory.
 """
 
 from __future__ import annotations
@@ -21,14 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import ascii_lower, others, shielded, table
+from shelfline.llm.common import ascii_lower, batches, others, rows_of, shielded, stored, table
 
 WINDOW = 10
 SHARD_WORDS = 500_000
+SHARD_BYTES_A_WORD = 8  # a guess; it decides how many tasks cut the benchmark, not how large a shard may be
+
+_PARTS = pa.schema([("shard", pa.int64()), ("item", pa.string()), ("words", pa.binary())])
+PARTS = "shard long, item string, words binary"
 
 # Every byte that is no ASCII letter or digit and no part of a longer character separates words.
 _SEPARATORS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -100,22 +106,33 @@ class Benchmark:
                 items.update(own)
 
 
-def _shards(benchmark: DataFrame, window: int, shard_words: int) -> list[list[tuple[str | None, list[bytes]]]]:
-    """Items in shards of a bounded number of words. A longer item is cut into parts that overlap
-    by a window less one word, so no window is lost."""
-    shards: list[list] = [[]]
-    size = 0
-    for item, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        found = words(text)
-        step = max(1, shard_words - window + 1)
-        for at in range(0, max(1, len(found) - window + 1), step) if found else ():
-            part = found[at : at + step + window - 1]
-            if size and size + len(part) > shard_words:
-                shards.append([])
-                size = 0
-            shards[-1].append((item, part))
-            size += len(part)
-    return shards
+def benchmark_parts(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """A stored table of shard, item and words (with blanks between them), at most ``shard_words`` words a shard.
+
+    Each task fills shards of its own. A longer item is cut into parts that overlap by a window less one word, so no window
+    is lost. Items without words have no part.
+    """
+    texts = benchmark.select(F.col("item_id").cast("string"), "text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = 1 + size // (SHARD_BYTES_A_WORD * shard_words)
+    step = max(1, shard_words - window + 1)
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
+            shard, size = TaskContext.get().partitionId() << 32, 0
+            for batch in parts:
+                for item, text in rows_of(batch):
+                    own = words(text)
+                    for at in range(0, max(1, len(own) - window + 1), step) if own else ():
+                        part = own[at : at + step + window - 1]
+                        if size and size + len(part) > shard_words:
+                            shard, size = shard + 1, 0
+                        size += len(part)
+                        yield shard, item, b" ".join(part)
+
+        yield from batches(found(), _PARTS)
+
+    return stored(texts.coalesce(tasks).mapInArrow(work, PARTS), "benchmark-parts")
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -128,10 +145,17 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     spark = docs.sparkSession
     kept = others(docs, "n_words", "n_hit", "n_items", "items", "contaminated", "hits", keep=keep)
-    sharded = [Benchmark(items, window) for items in _shards(benchmark, window, shard_words)]
-    result = docs.select(*kept, F.col("text").alias("__text"))
-    for number, shard in enumerate(sharded):
-        result = _pass(result, spark.sparkContext.broadcast(shard), number == 0)
+    parts = benchmark_parts(benchmark, window, shard_words)
+    shards = sorted(r["shard"] for r in parts.select("shard").distinct().collect())
+    result, held = docs.select(*kept, F.col("text").alias("__text")), None
+    for shard in shards or [0]:
+        if held:
+            result = stored(result, "benchmark-pass")
+            held.destroy()
+        own = parts.where(F.col("shard") == shard).select("item", "words").collect()
+        first = held is None
+        held = spark.sparkContext.broadcast(Benchmark([(item, bytes(found).split()) for item, found in own], window))
+        result = _pass(result, held, first)
     return result.select(
         *kept,
         "n_words",

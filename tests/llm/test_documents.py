@@ -261,6 +261,21 @@ def test_contamination_of_given_tables(spark, sf_dir, given):
     assert rows(QUERIES["op8_contamination"](spark, sf_dir)) == Counter(brute.contamination(given, items))
 
 
+def test_benchmark_is_cut_into_bounded_shards(spark):
+    """Items on many partitions, one of them longer than a shard; only the last pass is part of the plan."""
+    words = [f"w{i}" for i in range(300)]
+    own = [(i, " ".join(words[7 * i : 7 * i + 5 + i])) for i in range(25)] + [(99, " ".join(words))]
+    items = spark.createDataFrame(own, "item_id long, text string").repartition(6)
+    parts = contamination.benchmark_parts(items, shard_words=40).withColumn("n", F.size(F.split(F.col("words").cast("string"), " ")))
+    sizes = [r["n"] for r in parts.groupBy("shard").agg(F.sum("n").alias("n")).collect()]
+    total = sum(5 + i for i in range(25)) + 300
+    assert max(sizes) <= 40 and sum(sizes) >= total and len(sizes) <= 4 * total // 40
+    docs = [(i, " ".join(words[i : i + 30])) for i in range(0, 300, 11)] + DOCS
+    found = contamination.mark_contamination(frame(spark, docs, CLASHING), items, shard_words=40)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert contaminated(found) == Counter(brute.contamination(docs, own))
+
+
 def test_contamination_of_nothing(spark):
     no_items = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(contamination.mark_contamination(frame(spark, TEXTS), no_items)) == Counter(brute.contamination(TEXTS, []))
