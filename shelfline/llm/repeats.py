@@ -2,7 +2,8 @@
 
 Two suffixes are told apart through their first 200 bytes only (a window), and a sort by passes of
 most-significant digits leaves as equal groups exactly the windows that repeat. A digit here is a 64-bit
-fingerprint of a block of bytes. The first digit is that of the window's anchor: of all 64-byte blocks inside the
+fingerprint of a block of bytes; the digits of passes 2 and 3 have 32 bits of a second, independent one beside them (the
+check), without which some of the many pairs of windows in 100 TB would be confused. The first digit is that of the window's anchor: of all 64-byte blocks inside the
 window the one with the least fingerprint, so that equal windows have equal anchors wherever
 they stand, and neighbouring windows mostly share one. Passes:
 
@@ -44,15 +45,16 @@ REPEATED, SHIPPED = 1, 2  # marks of anchors; both may hold
 TWICE, MIXED = 1, 2
 
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
+SEEDS = (20_240_602, 20_250_311)  # of the digits and of their checks
 _ENTRIES = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("data", pa.binary()), ("key", pa.int64()), ("places", pa.binary())])
 ENTRIES = "bucket int, n int, data binary, key long, places binary"
 ANSWERS = "key long, places binary"
 
 
-@lru_cache(maxsize=1)
-def _constants() -> tuple[np.ndarray, dict[int, np.uint64]]:
+@lru_cache(maxsize=2)
+def _constants(seed: int) -> tuple[np.ndarray, dict[int, np.uint64]]:
     """A random number for each byte, and powers of a random odd base."""
-    random = np.random.default_rng(20_240_602)
+    random = np.random.default_rng(seed)
     numbers = random.integers(0, 1 << 64, 256, np.uint64)
     base = int(random.integers(0, 1 << 63)) * 2 + 1
     return numbers, {n: np.uint64(pow(base, n, 1 << 64)) for n in (1, 2, 4, 8, 16, 32, 64, 72, 128, 136, 200)}
@@ -64,11 +66,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Digits:
-    """Fingerprints of all blocks of 8, 64 and 128 bytes of a buffer."""
+class Blocks:
+    """Fingerprints of all blocks of 8, 64 and 128 bytes of a buffer, and of longer blocks made of these."""
 
-    def __init__(self, buffer: np.ndarray):
-        numbers, self.power = _constants()
+    def __init__(self, buffer: np.ndarray, seed: int):
+        numbers, self.power = _constants(seed)
         level, n = numbers[buffer], 1
         self.of: dict[int, np.ndarray] = {}
         while n < 128:
@@ -77,11 +79,33 @@ class Digits:
             if n in (8, 64, 128):
                 self.of[n] = level
 
+    def anchor(self, at: np.ndarray) -> np.ndarray:
+        return _mixed(self.of[64][at])
+
+    def reach(self, at: np.ndarray) -> np.ndarray:
+        """Of an anchor and all that its windows may reach."""
+        h8, h64, h128, p = self.of[8], self.of[64], self.of[128], self.power
+        left = h128[at - 136] * p[8] + h8[at - 8]
+        right = h128[at + 64] * p[8] + h8[at + 192]
+        return _mixed((left * p[64] + h64[at]) * p[136] + right)
+
+    def window(self, at: np.ndarray) -> np.ndarray:
+        p = self.power
+        return _mixed(self.of[128][at] * p[72] + self.of[64][at + 128] * p[8] + self.of[8][at + 192])
+
+
+class Digits:
+    """Digits of a buffer's anchors and windows, with the checks of the latter and of what anchors reach."""
+
+    def __init__(self, buffer: np.ndarray):
+        self.blocks, self.checks = (Blocks(buffer, seed) for seed in SEEDS)
+
     def anchors(self, starts: np.ndarray) -> np.ndarray:
         """For each window the place of its anchor. Equal fingerprints within a window need no order: the digits are the same."""
-        places = np.arange(len(self.of[64]), dtype=np.uint64) & np.uint64(0xFFFF)
+        blocks = self.blocks.of[64]
+        places = np.arange(len(blocks), dtype=np.uint64) & np.uint64(0xFFFF)
         # Another mix than that of the digits: the least of many would all fall into the first buckets.
-        least, n = _mixed(self.of[64] ^ _ORDER) & ~np.uint64(0xFFFF) | places, 1
+        least, n = _mixed(blocks ^ _ORDER) & ~np.uint64(0xFFFF) | places, 1
         while 2 * n <= REACH + 1:
             least = np.minimum(least[:-n], least[n:])
             n *= 2
@@ -90,18 +114,17 @@ class Digits:
         return starts + (((least & np.uint64(0xFFFF)).astype(np.int64) - starts) & 0xFFFF)
 
     def anchor_digit(self, at: np.ndarray) -> np.ndarray:
-        return _mixed(self.of[64][at])
+        return self.blocks.anchor(at)
 
-    def reach_digit(self, at: np.ndarray) -> np.ndarray:
-        """Of an anchor and all that its windows may reach."""
-        h8, h64, h128, p = self.of[8], self.of[64], self.of[128], self.power
-        left = h128[at - 136] * p[8] + h8[at - 8]
-        right = h128[at + 64] * p[8] + h8[at + 192]
-        return _mixed((left * p[64] + h64[at]) * p[136] + right)
+    def reach_digit(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.blocks.reach(at), _high(self.checks.reach(at))
+
+    def window_digit(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.blocks.window(at), _high(self.checks.window(at))
 
-    def window_digit(self, at: np.ndarray) -> np.ndarray:
-        p = self.power
-        return _mixed(self.of[128][at] * p[72] + self.of[64][at + 128] * p[8] + self.of[8][at + 192])
+
+def _high(digit: np.ndarray) -> np.ndarray:
+    return (digit >> np.uint64(32)).astype("<u4")
 
 
 def _slices(texts: list[bytes], most: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
@@ -237,10 +260,13 @@ def _groups(*columns: np.ndarray, last: np.ndarray | None = None) -> tuple[np.nd
     return order, np.cumsum(new)
 
 
-def _settle(anchor: np.ndarray, reach: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marks of anchors; which is the first of its pair of digits; which has an anchor's digit with several reaches."""
+def _settle(anchor: np.ndarray, reach: np.ndarray, flags: np.ndarray, *checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of anchors; which is the first of its pair of digits; which has an anchor's digit with several reaches.
+
+    Reaches are equal if their ``checks`` are, too.
+    """
     # A share's MIXED entry gets no answer, so it may lead only where all of its group are such.
-    order, group = _groups(anchor, reach, last=flags == MIXED)
+    order, group = _groups(anchor, reach, *checks, last=flags == MIXED)
     _, anchors = _groups(anchor[order])  # these are in order already
     lead = np.append(True, group[1:] != group[:-1])
     repeated = np.bincount(group, 1 + (flags[order] == TWICE))[group] > 1
@@ -256,8 +282,8 @@ def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def closed(held: list[tuple]) -> Iterator[tuple]:
-            anchor, reach, key, place = (np.concatenate(x) for x in zip(*held, strict=True))
-            marks, leads, mixed = _settle(anchor, reach, np.zeros(len(anchor), np.uint8))
+            anchor, reach, check, key, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            marks, leads, mixed = _settle(anchor, reach, np.zeros(len(anchor), np.uint8), check)
             # An anchor with several reaches here is settled: its windows are shipped, and one entry tells the bucket so.
             # Of equal pairs of digits one asks the bucket; the others are repeated and need no more.
             settled = mixed | ~leads
@@ -266,7 +292,7 @@ def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
             _, first = np.unique(anchor, return_index=True)
             sent = leads & ~mixed
             sent[first] |= mixed[first]
-            yield from _packed(anchor[sent], buckets, reach[sent], key[sent], place[sent], flags[sent])
+            yield from _packed(anchor[sent], buckets, reach[sent], check[sent], key[sent], place[sent], flags[sent])
 
         def found() -> Iterator[tuple]:
             held, n = [], 0
@@ -275,12 +301,12 @@ def _anchor_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
                 keys = np.array([r[0] for r in group], np.int64)
                 seen = []
                 for digits, number, first, _, place, at in _runs([r[1] for r in group], most):
-                    seen.append((number, first + at - place, digits.anchor_digit(at), digits.reach_digit(at)))
+                    seen.append((number, first + at - place, digits.anchor_digit(at), *digits.reach_digit(at)))
                 if not seen:
                     continue
-                number, place, anchor, reach = (np.concatenate(x) for x in zip(*seen, strict=True))
+                number, place, anchor, reach, check = (np.concatenate(x) for x in zip(*seen, strict=True))
                 _, once = np.unique(number << 32 | place, return_index=True)  # two slices may share an anchor
-                held.append((anchor[once], reach[once], keys[number[once]], place[once]))
+                held.append((anchor[once], reach[once], check[once], keys[number[once]], place[once]))
                 n += len(once)
                 if n >= share:
                     yield from closed(held)
@@ -297,8 +323,8 @@ def _anchor_answers(entries: DataFrame, buckets: int) -> DataFrame:
     """Passes 1 and 2 over the buckets: marks of the anchors that repeat."""
 
     def answer(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        anchor, reach, key, place, flags = _unpacked(rows, "<u8", "<u8", "<i8", "<i8", "u1")
-        marks, _, _ = _settle(anchor, reach, flags)
+        anchor, reach, check, key, place, flags = _unpacked(rows, "<u8", "<u8", "<u4", "<i8", "<i8", "u1")
+        marks, _, _ = _settle(anchor, reach, flags, check)
         hit = (marks > 0) & (flags != MIXED)
         return key[hit], place[hit] << 2 | marks[hit]
 
@@ -310,15 +336,15 @@ def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def closed(held: list[tuple]) -> Iterator[tuple]:
-            digit, key, start, known = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, group = _groups(digit)
+            digit, check, key, start, known = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, group = _groups(digit, check)
             several = np.zeros(len(order), bool)
             several[order] = np.bincount(group)[group] > 1
             settled = several & ~known
             yield from _settled(key[settled], _single(start[settled]), buckets)
             # In the order of the texts, in which keys and places compress well.
             sent = np.sort(order[np.append(True, group[1:] != group[:-1])])
-            yield from _packed(digit[sent], buckets, key[sent], start[sent].astype("<i4"), (several | known)[sent].astype(np.uint8))
+            yield from _packed(digit[sent], buckets, check[sent], key[sent], start[sent].astype("<i4"), (several | known)[sent].astype(np.uint8))
 
         def found() -> Iterator[tuple]:
             held, n = [], 0
@@ -346,7 +372,7 @@ def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
                     for low in range(0, len(step), share):
                         own = slice(low, low + share)
                         run = np.repeat(ship, each)[own]
-                        held.append((digits.window_digit(place[run] + step[own]), keys[number[run]], first[run] + step[own], whole[run]))
+                        held.append((*digits.window_digit(place[run] + step[own]), keys[number[run]], first[run] + step[own], whole[run]))
                         n += len(run)
                         if n >= share:
                             yield from closed(held)
@@ -365,8 +391,8 @@ def _window_entries(docs: DataFrame, buckets: int, most: int, share: int) -> Dat
 
 def _window_answers(entries: DataFrame, buckets: int) -> DataFrame:
     def answer(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        digit, key, start, known = _unpacked(rows, "<u8", "<i8", "<i4", "u1")
-        order, group = _groups(digit)
+        digit, check, key, start, known = _unpacked(rows, "<u8", "<u4", "<i8", "<i4", "u1")
+        order, group = _groups(digit, check)
         hit = np.sort(order[(np.bincount(group)[group] > 1) & (known[order] == 0)])
         return key[hit], _single(start[hit])
 
@@ -405,8 +431,8 @@ def remove_repeats(docs: DataFrame, slice_windows: int = SLICE, share_entries: i
 
     A byte goes if a 200-byte string that covers it also starts elsewhere, in any row or in the same one; strings are
     those of the input. Rows of equal content repeat each other. A null text is empty; texts of under 200 bytes stay.
-    The bytes left need not be valid UTF-8. ``slice_windows`` and ``share_entries`` bound what a task holds at once. Other columns are not read. Strings are taken for equal if their 64-bit
-    fingerprints agree; their bytes are not compared, so two different ones could be confused once in some 10^19 pairs.
+    The bytes left need not be valid UTF-8. ``slice_windows`` and ``share_entries`` bound what a task holds at once. Other columns are not read. Strings are taken for equal if 96 bits of
+    fingerprints agree; their bytes are not compared, so two different ones could be confused once in some 10^28 pairs.
     """
     text = F.coalesce("text", F.lit("")).alias("text")
     keyed = docs.select(F.col("doc_id").cast("long"), text).withColumn("key", F.xxhash64("doc_id", "text"))

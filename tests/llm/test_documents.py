@@ -321,6 +321,28 @@ def test_a_settled_share_does_not_answer_for_others(order):
     assert marks[flags != repeats.MIXED].tolist() == [repeats.REPEATED | repeats.SHIPPED]
 
 
+def test_equal_digits_with_unequal_checks_are_told_apart():
+    """A confused 64-bit fingerprint does not make a repeat."""
+    anchor, reach, check = np.array([7, 7, 7], np.uint64), np.array([1, 1, 1], np.uint64), np.array([5, 9, 5], np.uint32)
+    marks, _, several = repeats._settle(anchor, reach, np.zeros(3, np.uint8), check)
+    assert several.all() and (marks & repeats.REPEATED > 0).tolist() == [True, False, True] and marks[1] == repeats.SHIPPED
+    _, group = repeats._groups(reach, check)
+    assert np.bincount(group).tolist() == [2, 1]
+
+
+def test_digits_and_checks_have_nothing_in_common():
+    """Both are equal for equal windows wherever they stand, and differ for others, each in its own way."""
+    buffer = np.random.default_rng(3).integers(0, 256, 1400, np.uint8)
+    buffer[800:1400] = buffer[200:800]
+    digits = repeats.Digits(buffer)
+    digit, check = digits.window_digit(np.arange(200, 400))
+    again = digits.window_digit(np.arange(800, 1000))
+    assert (digit == again[0]).all() and (check == again[1]).all()
+    assert len(np.unique(digit)) == len(np.unique(check)) == 200
+    bits = np.unpackbits(((digit >> np.uint64(32)).astype(np.uint32) ^ check).view(np.uint8))
+    assert 0.45 < bits.mean() < 0.55
+
+
 @pytest.mark.parametrize("order", [1, -1])
 @pytest.mark.parametrize("share", [1, 4, 12])
 def test_repeats_of_a_passage_in_several_contexts(spark, share, order):
