@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def net_rows(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Distinct rows with ``copies``, how many more of them ``new`` has than ``old``; rows with equally many are left out.
+
+    Equal rows are added up before the one shuffle, so a group of copies is never gathered.
+    """
+    columns = new.columns
+    return (
+        old.select(*columns, F.lit(-1).cast("bigint").alias("copies"))
+        .unionByName(new.select(*columns, F.lit(1).cast("bigint").alias("copies")))
+        .groupBy(*columns)
+        .agg(F.sum("copies").alias("copies"))
+        .where("copies <> 0")
+    )
+
+
+def change_of(copies: str = "copies") -> Column:
+    return F.when(F.col(copies) > 0, "INSERT").otherwise("DELETE").alias("change")
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows to remove from ``old`` and to add to reach ``new``.
 
@@ -16,13 +35,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     reach the second step.
     """
     columns = new.columns
-    net = (
-        old.select(*columns, F.lit(-1).cast("bigint").alias("copies"))
-        .unionByName(new.select(*columns, F.lit(1).cast("bigint").alias("copies")))
-        .groupBy(*columns)
-        .agg(F.sum("copies").alias("copies"))
-        .where("copies <> 0")
-    )
+    net = net_rows(old, new)
     signs = net.groupBy(*keys).agg(
         (F.bool_or(F.col("copies") > 0) & F.bool_or(F.col("copies") < 0)).alias("is_update")
     )
@@ -31,7 +44,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         net.alias("n")
         .join(signs.alias("s"), same_key)
         .select(
-            F.when(F.col("copies") > 0, "INSERT").otherwise("DELETE").alias("change"),
+            change_of(),
             "is_update",
             F.abs("copies").alias("copies"),
             *[F.col(f"n.{c}").alias(c) for c in columns],

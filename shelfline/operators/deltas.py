@@ -11,15 +11,16 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.operators.changes import snapshot_diff
-from shelfline.operators.lookups import if_small
+from shelfline.operators.changes import change_of, net_rows, snapshot_diff
+from shelfline.operators.lookups import if_small, is_small
 from shelfline.operators.upsert import _columns, _in_partitions, finish_interrupted, note, note_emptied, noted, stage_of
 from shelfline.sources.tables import folders_of, read_table, stored, table_exists
 
 RUN = 10_000
+FEW_DELETES = 16 * 1024 * 1024  # bytes of deletes that are broadcast, four times in a merge
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,11 @@ class Delta:
         """As a change set, without what cancels out."""
         return snapshot_diff(self.removed, self.added, keys)
 
+    def net(self) -> DataFrame:
+        """As a change set without ``is_update``, which only readers by key need; what cancels out is left out."""
+        found = net_rows(self.removed, self.added)
+        return found.select(change_of(), F.abs("copies").alias("copies"), *self.added.columns)
+
     def sums(self, keys: list[str], **measures: str) -> DataFrame:
         """By ``keys``, how much the sum of each of ``measures`` (SQL expressions) grew or shrank."""
         grown = self.added.select(*keys, *[F.expr(m).alias(n) for n, m in measures.items()])
@@ -123,13 +129,40 @@ def _missing(deletes: DataFrame, matched: DataFrame) -> DataFrame:
     return both.select(*[F.col(f"d.`{c}`") for c in columns], missing.alias("copies")).where("copies > 0")
 
 
+def _counted(target: DataFrame, changes: DataFrame) -> DataFrame:
+    """Each distinct row of either frame: how many copies ``_held``, ``_go`` and ``_come``. One shuffle, whatever changes."""
+    columns, none = target.columns, F.lit(0).cast("bigint")
+    held = target.select(*columns, F.lit(1).cast("bigint").alias("_held"), none.alias("_go"), none.alias("_come"))
+    sides = [F.when(F.col("change") == c, F.col("copies")).otherwise(none).alias(n) for c, n in (("DELETE", "_go"), ("INSERT", "_come"))]
+    rows = held.unionByName(changes.select(*columns, none.alias("_held"), *sides))
+    return rows.groupBy(*columns).agg(*[F.sum(n).alias(n) for n in ("_held", "_go", "_come")])
+
+
+def _settled(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """``target`` after a stored change set, and how many rows to delete it lacks; to be asked once the rows are written.
+
+    Few deletes are broadcast, and all rows they don't name pass untouched. Many would cost several joins over all columns, so then
+    the rows of both are counted together.
+    """
+    if is_small(changes.where("change = 'DELETE'"), FEW_DELETES):
+        compared = _compared(target, changes)
+        missing = _missing(*compared).agg(F.sum("copies")).first()[0] or 0
+        return _applied(target, changes, *compared), lambda: missing
+    seen = Observation()
+    found = _counted(target, changes).observe(seen, F.sum(F.greatest(F.col("_go") - F.col("_held"), F.lit(0))).alias("missing"))
+    copies = F.greatest(F.col("_held") - F.col("_go"), F.lit(0)) + F.col("_come")
+    after = found.withColumn("copies", copies).where("copies > 0").select(*target.columns, "copies")
+    return spelled_out(after), lambda: seen.get["missing"] or 0
+
+
 def apply_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
     """``target`` after a change set: as many copies of each row go and come as ``copies`` says.
 
     Both halves of an update are a DELETE and an INSERT, so ``is_update`` needs no care of its own. Rows that no DELETE names pass
-    untouched; only those it names are counted. What it names beyond the copies there are is ignored here, see ``missing_deletes``.
+    untouched; only those it names are counted, and all of them if it names many. What it names beyond the copies there are is ignored
+    here, see ``missing_deletes``.
     """
-    return _applied(target, changes, *_compared(target, changes))
+    return _settled(target, changes)[0]
 
 
 def missing_deletes(target: DataFrame, changes: DataFrame) -> DataFrame:
@@ -145,31 +178,33 @@ def merge_changes(
     Only the partitions that the changes have rows in are read and rewritten. They are written to the shared folder before the
     table is touched; ``finish_interrupted`` completes a merge that died. Applying changes twice would be wrong, so give each
     set a ``version``: one that is the last applied already is skipped. A set that deletes rows the table doesn't hold fails with
-    ``ChangesDontFit`` and changes nothing.
+    ``ChangesDontFit`` and changes nothing in the table. ``is_update`` is not needed.
     """
     finish_interrupted(spark, path, partition_by, cluster_by)
     if version is not None and noted(spark, path)[1] == version:
         return "skipped"
     stage = stage_of(spark, path)
     columns = [c for c in changes.columns if c not in ("change", "is_update", "copies")]
-    changes = stored(changes, "changes")
+    changes = changes.drop("is_update")
     exists = table_exists(spark, path)
     if exists:
+        changes = stored(changes, "changes")
         schema = changes.select(*columns).schema
         target = read_table(spark, path, schema).where(_in_partitions(changes, _columns(partition_by))).select(*columns)
+        after, missing = _settled(target, changes)
     else:
-        target = changes.select(*columns).limit(0)
-    compared = _compared(target, changes)
-    missing = _missing(*compared).agg(F.sum("copies")).first()[0]
-    if missing:
-        raise ChangesDontFit(f"{missing} rows to delete are not in {path}")
-    after = _applied(target, changes, *compared)
+        seen, gone = Observation(), F.when(F.col("change") == "DELETE", F.col("copies"))
+        rows = changes.observe(seen, F.sum(gone).alias("missing")).where("change = 'INSERT'")
+        after, missing = spelled_out(rows.select(*columns, "copies")), lambda: seen.get["missing"] or 0
+    # What lies there is of no account before it is noted.
+    flag, name = ("_gone", "merged") if exists else ("_reject", "increment")
+    after.withColumn(flag, F.lit(False)).write.mode("overwrite").parquet(f"{stage}/{name}")
+    if missing():
+        raise ChangesDontFit(f"{missing()} rows to delete are not in {path}")
     if not exists:
-        after.withColumn("_reject", F.lit(False)).write.mode("overwrite").parquet(f"{stage}/increment")
         note(spark, stage, "full", version)
     else:
         parts = _columns(partition_by)
-        after.withColumn("_gone", F.lit(False)).write.mode("overwrite").parquet(f"{stage}/merged")
         left = spark.read.parquet(f"{stage}/merged").select(*parts).distinct()
         touched = changes.select(*parts).distinct().alias("d").join(left.alias("t"), _same("d", "t", parts), "left_anti")
         note_emptied(spark, stage, folders_of(read_table(spark, path), touched))

@@ -62,8 +62,8 @@ def _either(rows: DataFrame, *keys: DataFrame) -> DataFrame:
     return met.where(wanted).select(*rows.columns)
 
 
-def _replace(spark: SparkSession, path: str, delta: Delta, keys: list[str], partition_by: list[str], cluster_by: list[str], version: str | None) -> str:
-    return merge_changes(spark, path, delta.changes(keys), partition_by, cluster_by, version)
+def _replace(spark: SparkSession, path: str, delta: Delta, partition_by: list[str], cluster_by: list[str], version: str | None) -> str:
+    return merge_changes(spark, path, delta.net(), partition_by, cluster_by, version)
 
 
 # --- conformed sales -----------------------------------------------------------------------
@@ -83,14 +83,14 @@ def refresh_conformed_sales(
 
     if not table_exists(spark, path):
         every = Delta(orders.unionByName(d_orders.added), d_orders.removed).map(lambda rows: month(gold.conformed_sales(rows, products.new, fx.new)))
-        return _replace(spark, path, every, ["sales_order_id"], ["order_month"], ["material_number"], version)
+        return _replace(spark, path, every, ["order_month"], ["material_number"], version)
     materials = products.delta(["material_number", "effective_from"]).keys("material_number")
     rates = fx.delta(["rate_date", "currency_code"]).keys("rate_date", "currency_code")
     touched = stored(_either(orders, materials, rates.select(F.col("rate_date").alias("order_date"), F.col("currency_code").alias("currency"))), "touched-orders")
     new = Delta(touched.unionByName(d_orders.added), d_orders.removed).map(lambda rows: gold.conformed_sales(rows, products.new, fx.new))
     old = gold.conformed_sales(touched, products.old, fx.old)
     change = Delta(new.added, old.unionByName(new.removed)).map(month)
-    return _replace(spark, path, change, ["sales_order_id"], ["order_month"], ["material_number"], version)
+    return _replace(spark, path, change, ["order_month"], ["material_number"], version)
 
 
 # --- promotions ----------------------------------------------------------------------------
@@ -115,7 +115,7 @@ def refresh_promotions(spark: SparkSession, path: str, raw: DataFrame, changes:
         fact(touched.unionByName(calendar.added), products.new),
         fact(touched, products.old).unionByName(fact(calendar.removed, products.new)),
     )
-    return _replace(spark, path, change, ["promo_id"], ["start_month"], ["retailer_code"], version)
+    return _replace(spark, path, change, ["start_month"], ["retailer_code"], version)
 
 
 # --- daily sales and promotion lift --------------------------------------------------------
@@ -144,7 +144,7 @@ def refresh_daily_sales(spark: SparkSession, path: str, sales: Delta, version: s
     sums = list(_MEASURES)
     if not table_exists(spark, path):
         change = Delta(grown.where("all_rows > 0"), grown.limit(0))
-        return _replace(spark, path, change, _DAY, ["sale_month"], ["retailer_code", "upc"], version)
+        return _replace(spark, path, change, ["sale_month"], ["retailer_code", "upc"], version)
     keys = grown.select(*_DAY, "sale_month")
     months = [r[0] for r in keys.select("sale_month").distinct().collect()]
     known = [m for m in months if m is not None]
@@ -153,7 +153,7 @@ def refresh_daily_sales(spark: SparkSession, path: str, sales: Delta, version: s
     old = stored(_either(old, keys), "daily-before")
     new = old.unionByName(grown).groupBy(*_DAY, "sale_month").agg(*[F.sum(c).cast(grown.schema[c].dataType).alias(c) for c in sums])
     change = Delta(new.where("all_rows <> 0"), old)
-    return _replace(spark, path, change, _DAY, ["sale_month"], ["retailer_code", "upc"], version)
+    return _replace(spark, path, change, ["sale_month"], ["retailer_code", "upc"], version)
 
 
 def daily_sales(spark: SparkSession, path: str) -> DataFrame:
@@ -178,7 +178,7 @@ def refresh_promo_lift(
 
     if not table_exists(spark, path):
         rows = month(gold.promo_lift(promos.new, products.new, daily=daily))
-        return _replace(spark, path, Delta(rows, rows.limit(0)), ["promo_id"], ["start_month"], ["retailer_code"], version)
+        return _replace(spark, path, Delta(rows, rows.limit(0)), ["start_month"], ["retailer_code"], version)
 
     def described(version: DataFrame, master: DataFrame) -> DataFrame:
         own = current_products(master).select("material_number", F.col("upc").alias("_upc"), F.col("brand").alias("_brand"))
@@ -202,7 +202,7 @@ def refresh_promo_lift(
     new = month(gold.lift_of(running(wanted, daily), calendar, products.new, of_pairs))
     old = _either(read_table(spark, path), affected)
     change = Delta(new, old.select(*new.columns))
-    return _replace(spark, path, change, ["promo_id"], ["start_month"], ["retailer_code"], version)
+    return _replace(spark, path, change, ["start_month"], ["retailer_code"], version)
 
 
 # --- selling days --------------------------------------------------------------------------
@@ -289,10 +289,9 @@ def refresh_availability(
         own = [v.new if new else v.old for v in (stores, products, demand)]
         return gold.availability_of(stock, *own).withColumn("snapshot_month", F.trunc("snapshot_date", "month"))
 
-    keys = ["store_id", "product_name"]
     if not table_exists(spark, path):
         change = Delta(rows(inventory.unionByName(d_inventory.added), True), rows(d_inventory.removed, True))
-        return _replace(spark, path, change, keys, ["snapshot_month"], ["retailer_name", "store_id"], version)
+        return _replace(spark, path, change, ["snapshot_month"], ["retailer_name", "store_id"], version)
     used = Versions(*(current_products(p).select("upc", "brand", "category", "product_name") for p in (products.old, products.new)))
     touched = _either(
         inventory, stores.delta(["store_key"]).keys("store_key"), used.delta(["upc"]).keys("upc"), demand.delta(_SERIES).keys(*_SERIES)
@@ -301,4 +300,4 @@ def refresh_availability(
     change = Delta(
         rows(touched.unionByName(d_inventory.added), True), rows(touched, False).unionByName(rows(d_inventory.removed, True))
     )
-    return _replace(spark, path, change, keys, ["snapshot_month"], ["retailer_name", "store_id"], version)
+    return _replace(spark, path, change, ["snapshot_month"], ["retailer_name", "store_id"], version)
