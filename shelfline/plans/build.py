@@ -24,6 +24,11 @@ FACTS = {
 }
 
 
+# What the lookups read of the stores, and so what is measured for a broadcast.
+STORE_KEYS = ["retailer_code", "store_id", "store_key"]
+STORE_TEXTS = ["store_key", "retailer_name", "region", "store_name", "store_id"]
+
+
 def silver_path(root: str, table: str) -> str:
     return f"{root}/silver/{table}"
 
@@ -101,7 +106,7 @@ def build_silver(
     dim_fx. Returns the check report, a stored table. A failed check of severity ``error`` stops the build with
     ``ChecksFailed``, so that no gold table is made of such facts; ``stop=False`` only reports it.
     """
-    stores, products, fx = (if_small(reference[n]) for n in ("dim_store", "dim_product", "dim_fx"))
+    stores, products, fx = (if_small(t) for t in (reference["dim_store"].select(*STORE_KEYS), reference["dim_product"], reference["dim_fx"]))
 
     def stage_pos(rows: DataFrame) -> DataFrame:
         return staging.stage_pos(rows, layouts.sales, layouts.sales_default)
@@ -175,7 +180,7 @@ def build_gold(
     as_of: str | None = None,
 ) -> dict[str, int]:
     """Rebuilds the four gold tables from the silver tables; returns their row counts."""
-    stores, products, fx = (if_small(reference[n]) for n in ("dim_store", "dim_product", "dim_fx"))
+    stores, products, fx = (if_small(t) for t in (reference["dim_store"].select(*STORE_TEXTS), reference["dim_product"], reference["dim_fx"]))
     pos, stock, promos = (read_fact(spark, root, n) for n in (*FACTS, "fct_promotions"))
     jobs = {
         "conformed_sales": lambda: gold.conformed_sales(orders_staged, products, fx),

@@ -36,6 +36,9 @@ from shelfline.sources.raw import stamp, stream_feed
 # a frame is for tables that do not, since its list of files is that of its making.
 Reference = DataFrame | str | Callable[[SparkSession], DataFrame]
 
+# What the lookups read of the stores and the rates.
+STORE_KEYS = ["retailer_code", "store_id", "store_key"]
+RATE_COLUMNS = ["rate_date", "currency_code", "rate_to_usd"]
 MANIFEST = "folder string, rows long, first_load timestamp_ntz, last_load timestamp_ntz"
 
 
@@ -47,13 +50,13 @@ def _write_batch(df: DataFrame, root: str, table: str, batch: int) -> int:
     return seen.get["rows"]
 
 
-def _now(table: Reference, session: SparkSession) -> DataFrame:
-    """A reference table as it is at this batch: a path or a function is read anew."""
+def _now(table: Reference, session: SparkSession, *columns: str) -> DataFrame:
+    """``columns`` of a reference table as it is at this batch: a path or a function is read anew."""
     if isinstance(table, str):
         table = session.read.parquet(table)
     elif not isinstance(table, DataFrame):
         table = table(session)
-    return if_small(table)
+    return if_small(table.select(*columns))
 
 
 def _log(spark: SparkSession, root: str, job: str, batch: int, message: str) -> None:
@@ -141,7 +144,7 @@ def ingest_pos(
         session = batch.sparkSession
         folder = f"pos_cleansed/batch={batch_id}"
         seen = Observation()
-        rows = cleanse_pos(batch, _now(stores, session), _now(fx, session), layouts)
+        rows = cleanse_pos(batch, _now(stores, session, *STORE_KEYS), _now(fx, session, *RATE_COLUMNS), layouts)
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("_loaded_at").alias("first"), F.max("_loaded_at").alias("last"))
         rows.write.mode("overwrite").parquet(f"{root}/{folder}")
         found = seen.get
@@ -169,7 +172,7 @@ def ingest_inventory(
     """Fills ``inventory_cleansed``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = _write_batch(cleanse_inventory(batch, _now(stores, batch.sparkSession), layouts), root, "inventory_cleansed", batch_id)
+        rows = _write_batch(cleanse_inventory(batch, _now(stores, batch.sparkSession, *STORE_KEYS), layouts), root, "inventory_cleansed", batch_id)
         _log(batch.sparkSession, root, "inventory", batch_id, f"Processed {rows} inventory records.")
 
     return _start(

@@ -34,3 +34,9 @@ def test_many_deletes_of_a_stored_table(spark, tmp_path):
     assert merge_changes(spark, path, Delta(old, nothing).net(), "part", ["k"]) == "created"
     assert merge_changes(spark, path, Delta(new, old).net(), "part", ["k"]) == "merged"
     assert snapshot_diff(read_table(spark, path).select(*new.columns), new, ["k"]).count() == 0
+
+
+def test_a_table_the_driver_could_not_hold_several_times_is_not_broadcast(spark):
+    table = wide(spark, 600_000)
+    found = spark.range(10).select(F.concat(F.lit("k"), "id").alias("k")).join(lookups.if_small(table), "k")
+    assert "broadcast" not in found._jdf.queryExecution().analyzed().toString()
