@@ -162,7 +162,7 @@ def apply_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
     untouched; only those it names are counted, and all of them if it names many. What it names beyond the copies there are is ignored
     here, see ``missing_deletes``.
     """
-    return _settled(target, changes)[0]
+    return _settled(target, stored(changes.drop("is_update"), "changes"))[0]
 
 
 def missing_deletes(target: DataFrame, changes: DataFrame) -> DataFrame:

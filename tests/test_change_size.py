@@ -40,3 +40,11 @@ def test_a_table_the_driver_could_not_hold_several_times_is_not_broadcast(spark)
     table = wide(spark, 600_000)
     found = spark.range(10).select(F.concat(F.lit("k"), "id").alias("k")).join(lookups.if_small(table), "k")
     assert "broadcast" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_change_set_is_computed_once(spark):
+    target = stored(wide(spark, 50), "target")
+    # Its rows come from a range, the target's from files.
+    after = apply_changes(target, snapshot_diff(wide(spark, 50), wide(spark, 20, 40), ["k"]))
+    assert "Range" not in plan(after)
+    assert snapshot_diff(after, wide(spark, 20, 40), ["k"]).count() == 0
