@@ -19,6 +19,7 @@ import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -146,16 +147,18 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text; a null text has none. The texts' distinct words are looked up once, together."""
-        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
-        found = split.flatten().dictionary_encode()
         # The tokenizer lower-cases; letters beyond ASCII are left to it.
-        distinct = [w.lower() if w.isascii() else w for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        split = pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts.fill_null(""), "\n", " ")), " ")
+        found = split.flatten().dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.characters > CACHED_CHARACTERS:
             self.shrink(CACHED_CHARACTERS // 2)
-        new = list(set(distinct).difference(self.codes))
-        if new:
-            self._add(new)
-        own = np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+        own = np.fromiter(map(self.codes.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(own < 0)
+        if len(unknown):
+            # Words get the next codes in their order.
+            own[unknown] = np.arange(len(self.codes), len(self.codes) + len(unknown))
+            self._add([distinct[i] for i in unknown.tolist()])
         self.batches[own] += 1
         code = own[found.indices.to_numpy()]
         length = self.length[code]
