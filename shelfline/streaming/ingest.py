@@ -59,6 +59,17 @@ def _now(table: Reference, session: SparkSession, *columns: str) -> DataFrame:
     return if_small(table.select(*columns))
 
 
+def _spread(batch: DataFrame, max_files: int = 1000, **_) -> DataFrame:
+    """A batch that may hold fewer files than there are cores, its rows dealt to all of them: one task reads a file of one row group.
+
+    Rows are dealt by their place in the files, so that equal rows don't meet and a task that is run again deals alike.
+    """
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    if max_files >= cores:
+        return batch
+    return batch.withColumn("_row", F.monotonically_increasing_id()).repartition(cores, "_row").drop("_row")
+
+
 def _log(spark: SparkSession, root: str, job: str, batch: int, message: str) -> None:
     line = spark.range(1).select(F.lit(job).alias("job"), F.lit(message).alias("message"))
     line.coalesce(1).write.mode("overwrite").parquet(f"{root}/ingest_log/{job}/batch={batch}")
@@ -112,7 +123,7 @@ def ingest_orders(
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        typed = type_orders(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        typed = type_orders(_spread(batch, **source)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             staged = _write_batch(accepted_orders(typed, run_time), root, "orders_staged", batch_id)
             rejected = _write_batch(rejected_orders(typed, run_time), root, "orders_rejected", batch_id)
@@ -144,7 +155,7 @@ def ingest_pos(
         session = batch.sparkSession
         folder = f"pos_cleansed/batch={batch_id}"
         seen = Observation()
-        rows = cleanse_pos(batch, _now(stores, session, *STORE_KEYS), _now(fx, session, *RATE_COLUMNS), layouts)
+        rows = cleanse_pos(_spread(batch, **source), _now(stores, session, *STORE_KEYS), _now(fx, session, *RATE_COLUMNS), layouts)
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("_loaded_at").alias("first"), F.max("_loaded_at").alias("last"))
         rows.write.mode("overwrite").parquet(f"{root}/{folder}")
         found = seen.get
@@ -172,7 +183,7 @@ def ingest_inventory(
     """Fills ``inventory_cleansed``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = _write_batch(cleanse_inventory(batch, _now(stores, batch.sparkSession, *STORE_KEYS), layouts), root, "inventory_cleansed", batch_id)
+        rows = _write_batch(cleanse_inventory(_spread(batch, **source), _now(stores, batch.sparkSession, *STORE_KEYS), layouts), root, "inventory_cleansed", batch_id)
         _log(batch.sparkSession, root, "inventory", batch_id, f"Processed {rows} inventory records.")
 
     return _start(
