@@ -66,6 +66,12 @@ def _replace(spark: SparkSession, path: str, delta: Delta, partition_by: list[st
     return merge_changes(spark, path, delta.net(), partition_by, cluster_by, version)
 
 
+def _create(spark: SparkSession, path: str, rows: DataFrame, partition_by: list[str], cluster_by: list[str], version: str | None) -> str:
+    """The table's first rows. Nothing can cancel out, so they are not counted."""
+    inserts = rows.select(F.lit("INSERT").alias("change"), F.lit(1).cast("bigint").alias("copies"), *rows.columns)
+    return merge_changes(spark, path, inserts, partition_by, cluster_by, version)
+
+
 # --- conformed sales -----------------------------------------------------------------------
 
 
@@ -140,11 +146,11 @@ def refresh_daily_sales(spark: SparkSession, path: str, sales: Delta, version: s
 
     The first call takes all sales as ``sales.added``. Only the months with changed days are read and rewritten.
     """
-    grown = stored(sales.sums(_DAY, **_MEASURES).withColumn("sale_month", F.trunc("transaction_date", "month")), "daily-changes")
+    grown = sales.sums(_DAY, **_MEASURES).withColumn("sale_month", F.trunc("transaction_date", "month"))
     sums = list(_MEASURES)
     if not table_exists(spark, path):
-        change = Delta(grown.where("all_rows > 0"), grown.limit(0))
-        return _replace(spark, path, change, ["sale_month"], ["retailer_code", "upc"], version)
+        return _create(spark, path, grown.where("all_rows > 0"), ["sale_month"], ["retailer_code", "upc"], version)
+    grown = stored(grown, "daily-changes")
     keys = grown.select(*_DAY, "sale_month")
     months = [r[0] for r in keys.select("sale_month").distinct().collect()]
     known = [m for m in months if m is not None]
@@ -178,7 +184,7 @@ def refresh_promo_lift(
 
     if not table_exists(spark, path):
         rows = month(gold.promo_lift(promos.new, products.new, daily=daily))
-        return _replace(spark, path, Delta(rows, rows.limit(0)), ["start_month"], ["retailer_code"], version)
+        return _create(spark, path, rows, ["start_month"], ["retailer_code"], version)
 
     def described(version: DataFrame, master: DataFrame) -> DataFrame:
         own = current_products(master).select("material_number", F.col("upc").alias("_upc"), F.col("brand").alias("_brand"))
