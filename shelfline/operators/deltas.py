@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfline.operators.changes import change_of, net_rows, snapshot_diff
 from shelfline.operators.lookups import if_small, is_small
 from shelfline.operators.upsert import _columns, _in_partitions, finish_interrupted, note, note_emptied, noted, stage_of
-from shelfline.sources.tables import folders_of, read_table, stored, table_exists
+from shelfline.sources.tables import folders_of, read_table, stored, table_exists, write_stage
 
 RUN = 10_000
 FEW_DELETES = 16 * 1024 * 1024  # bytes of deletes that are broadcast, four times in a merge
@@ -198,7 +198,7 @@ def merge_changes(
         after, missing = spelled_out(rows.select(*columns, "copies")), lambda: seen.get["missing"] or 0
     # What lies there is of no account before it is noted.
     flag, name = ("_gone", "merged") if exists else ("_reject", "increment")
-    after.withColumn(flag, F.lit(False)).write.mode("overwrite").parquet(f"{stage}/{name}")
+    write_stage(after.withColumn(flag, F.lit(False)), f"{stage}/{name}")
     if missing():
         raise ChangesDontFit(f"{missing()} rows to delete are not in {path}")
     if not exists:

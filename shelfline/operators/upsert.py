@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfline.session import shared_dir
 from shelfline.sources.raw import stamp
-from shelfline.sources.tables import empty_folder, read_table, table_exists, write_clustered
+from shelfline.sources.tables import empty_folder, read_table, table_exists, write_clustered, write_stage
 
 
 def newer_than(source: DataFrame, target: DataFrame | None, source_time: str, target_time: str, lookback: str | None = None) -> DataFrame:
@@ -44,6 +44,21 @@ def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
     return _latest_of_groups(df, [key], order_by)
 
 
+def spread_evenly(df: DataFrame, column: str, buckets: int = 4096, limit: int = 32, few: int = 1_000_000) -> bool:
+    """Whether tasks that are dealt rows by ``column`` get about equal work: no bucket of its values holds over 1/``limit`` of the rows.
+
+    A scan of that one column, counted before its shuffle. ``few`` rows are no burden, however they lie.
+    """
+    counted = df.groupBy(F.pmod(F.xxhash64(column), F.lit(buckets)).alias("_bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    most, rows = counted.agg(F.max("rows"), F.sum("rows")).first()
+    return rows is None or rows <= few or most * limit <= rows
+
+
+def _shared_hashes(rows: DataFrame, key: str) -> DataFrame:
+    """Hashes that several rows' keys have; rows without a key are left out."""
+    return rows.where(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+
+
 def _latest_of_groups(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     rest = [c for c in df.columns if c not in (*keys, order_by)]
     best = F.max(F.struct(order_by, *rest)).alias("_best")
@@ -148,6 +163,7 @@ def upsert(
     order_by: str = "_loaded_at",
     cluster_by: list[str] | None = None,
     mode: str = "merge",
+    dealt_by: str | None = None,
 ) -> UpsertResult:
     """Replaces rows of ``path`` that share a key with ``source`` and adds the others.
 
@@ -156,6 +172,10 @@ def upsert(
     left out of the table and are in ``rejects``, every one. Increment and merged partitions are written to the shared
     folder before the table is changed, see ``finish_interrupted``. ``mode="full"``
     rebuilds the table from ``source``. A table has one writer at a time. Counts and the newest load are taken by the write of the increment.
+
+    ``dealt_by`` names a column that rows of a key share and that ``source`` was dealt or joined by last, so that such rows lie together already.
+    They are folded there, and whole rows are not shuffled by key once more; a count of hashed keys finds out whether a key was left on
+    several rows, and if so all are folded by key. Hot values of that column would not be split, see ``spread_evenly``.
     """
     cluster_by = cluster_by or [key]
     stage = stage_of(spark, path)
@@ -166,16 +186,23 @@ def upsert(
         before = read_table(spark, path).agg(F.max(order_by).cast("string")).first()[0]
     # A row without a key is a group of its own, so that nothing folds such rows or gathers them.
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    folded = _latest_of_groups(source.withColumn("_alone", alone), [key, "_alone"], order_by).drop("_alone")
-    seen = Observation()
-    newest = F.max(F.when(~F.col("_reject"), F.col(order_by)))
-    counted = folded.withColumn("_reject", F.col(key).isNull()).observe(
-        seen, F.count_if(~F.col("_reject")).alias("written"), F.count_if("_reject").alias("null_keys"),
-        newest.cast("string").alias("newest"),
-        F.greatest(newest, F.lit(before).cast(source.schema[order_by].dataType)).cast("string").alias("newest_of_all"),
-    )
-    counted.write.mode("overwrite").parquet(f"{stage}/increment")
-    found = seen.get
+
+    def staged(rows: DataFrame, *groups: str) -> dict:
+        folded = _latest_of_groups(rows.withColumn("_alone", alone), [*groups, "_alone"], order_by).drop("_alone")
+        seen = Observation()
+        newest = F.max(F.when(~F.col("_reject"), F.col(order_by)))
+        counted = folded.withColumn("_reject", F.col(key).isNull()).observe(
+            seen, F.count_if(~F.col("_reject")).alias("written"), F.count_if("_reject").alias("null_keys"),
+            newest.cast("string").alias("newest"),
+            F.greatest(newest, F.lit(before).cast(source.schema[order_by].dataType)).cast("string").alias("newest_of_all"),
+        )
+        write_stage(counted, f"{stage}/increment")
+        return seen.get
+
+    found = staged(source, key, *([dealt_by] if dealt_by else []))
+    if dealt_by and not _shared_hashes(spark.read.parquet(f"{stage}/increment"), key).isEmpty():
+        write_stage(spark.read.parquet(f"{stage}/increment").drop("_reject"), f"{stage}/folded")
+        found = staged(spark.read.parquet(f"{stage}/folded"), key)
     written, null_keys = found["written"], found["null_keys"]
     split = spark.read.parquet(f"{stage}/increment")
     increment, rejects = (split.where(F.col("_reject") == r).drop("_reject") for r in (False, True))
@@ -190,7 +217,7 @@ def upsert(
     existing = read_table(spark, path, increment.schema).where(_in_partitions(increment, partition_by))
     met = increment.select(key, F.lit(True).alias("_met"))
     old = existing.join(met, key, "left").select(*increment.columns, F.coalesce("_met", F.lit(False)).alias("_gone"))
-    old.unionByName(increment.withColumn("_gone", F.lit(False))).write.mode("overwrite").parquet(f"{stage}/merged")
+    write_stage(old.unionByName(increment.withColumn("_gone", F.lit(False))), f"{stage}/merged")
     note(spark, stage, "merged", found["newest_of_all"])
     finish_interrupted(spark, path, partition_by, cluster_by)
     replaced = spark.read.parquet(f"{stage}/merged").where("_gone").drop("_gone")

@@ -11,7 +11,7 @@ from shelfline import schemas
 from shelfline.operators import numbering
 from shelfline.operators.lookups import if_small
 from shelfline.operators.quality import MODEL_CHECKS, run_checks, stop_on_errors
-from shelfline.operators.upsert import UpsertResult, after_mark, finish_interrupted, newer_than, stored_mark, upsert
+from shelfline.operators.upsert import UpsertResult, after_mark, finish_interrupted, newer_than, spread_evenly, stored_mark, upsert
 from shelfline.plans import features, gold, silver, staging
 from shelfline.plans.refresh import rebuild
 from shelfline.sources.raw import register_views
@@ -38,6 +38,9 @@ def gold_path(root: str, table: str) -> str:
 
 
 _DECLARED = {"fct_pos_sales": schemas.FCT_POS_SALES, "fct_inventory": schemas.FCT_INVENTORY, "fct_promotions": schemas.FCT_PROMOTIONS}
+# A part of their key by which facts are folded where it has dealt their rows: sales by the join to the products, stock by a shuffle
+# of the landed rows, which are narrower than the fact's.
+DEALT_BY = {"fct_pos_sales": "upc", "fct_inventory": "upc"}
 # Rows without a date have no day to lie under; they are dealt to so many folders by their key.
 UNDATED_SHARES = 64
 
@@ -57,7 +60,8 @@ def merge_fact(
     tables with few rows a day. ``full`` rebuilds the fact from all landed rows. ``lookback`` (such as
     ``'2 hours'``) also takes rows that landed so long before the newest one. The newest load time is the one that the last
     merge stored; only a table written by other means is scanned for it. A row without a date is merged within one of
-    ``UNDATED_SHARES`` folders, which follows from its key.
+    ``UNDATED_SHARES`` folders, which follows from its key. Rows are folded where they have been dealt by ``upc``, unless one product holds
+    so many of them that its rows should be split.
     """
     path, (date, key) = silver_path(root, table), FACTS[table]
     parts, order = fact_parts(table, by), [date, "retailer_code"]
@@ -68,11 +72,14 @@ def merge_fact(
             landed = newer_than(landed, read_table(spark, path), "_loaded_at", "_loaded_at", lookback)
         else:
             landed = after_mark(landed, "_loaded_at", mark, lookback)
+    dealt_by = DEALT_BY[table] if spread_evenly(landed, DEALT_BY[table]) else None
+    if dealt_by and table == "fct_inventory":
+        landed = landed.repartition(dealt_by)
     share = F.when(F.col(date).isNull(), F.pmod(F.xxhash64(key), F.lit(UNDATED_SHARES))).otherwise(0).cast("int")
     rows = make(landed).withColumn("undated_share", share)
     if by != "day":
         rows = rows.withColumn(parts[0], F.trunc(date, by))
-    return upsert(spark, path, rows, key, parts, cluster_by=order, mode="full" if full else "merge")
+    return upsert(spark, path, rows, key, parts, cluster_by=order, mode="full" if full else "merge", dealt_by=dealt_by)
 
 
 def plain_rows(fact: DataFrame) -> DataFrame:
