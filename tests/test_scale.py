@@ -307,3 +307,33 @@ def test_sorted_files_cover_ranges_and_split_a_hot_value(spark, tmp_path, hot):
     ranges = sorted((r.a, r.b, r.n) for r in files.collect())
     assert all(x[1] <= y[0] for x, y in zip(ranges, ranges[1:])) and sum(r[2] for r in ranges) == 30_000
     assert sum(r[0] == ranges[0][0] for r in ranges) > 1  # the product on a third of the rows
+
+
+def test_baselines_shuffle_no_days(spark, products, lift_tables_of_days):
+    """Days on promotion are told by a lookup of a few bits a retailer, and sales are added up over days before any shuffle."""
+    daily, promos = lift_tables_of_days
+    calendar = promo_days.running(promos, daily)
+    days = promo_days.retailer_days(calendar)
+    by_lookup, by_join = promo_days.without_promo(daily, calendar, days), promo_days.without_promo(daily, calendar, None)
+    assert "Exchange hashpartitioning" not in plan(by_lookup)
+    assert sorted(map(tuple, by_lookup.select(*daily.columns).collect()), key=str) == sorted(map(tuple, by_join.select(*daily.columns).collect()), key=str)
+    assert by_lookup.count() == 8
+    assert {r.upc for r in promo_days.on_any_promo_day(daily, days).collect()} == {"b", "c", "j", "k"}
+    found = gold.baseline_sales(daily, calendar, products)
+    shuffled = [line for line in plan(found).splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("transaction_date" in line for line in shuffled)
+    # Past the limit the days are joined.
+    assert promo_days.retailer_days(calendar, 10) is None
+
+
+@pytest.fixture
+def lift_tables_of_days(spark):
+    daily = [
+        ("a", "R", "2024-01-30"), ("b", "R", "2024-01-31"), ("c", "R", "2024-02-29"), ("d", "R", "2024-03-01"), ("e", "S", "2024-02-01"),
+        ("f", None, "2024-02-01"), ("g", "R", None), ("h", "T", "2024-05-31"), ("i", "T", "2024-07-01"), ("j", "T", "2024-06-30"), ("k", "U", "2024-06-01"),
+    ]
+    promos = [("P", "R", "2024-01-31", "2024-02-29"), ("Q", "T", "2024-06-01", "2024-06-30"), (None, "U", "2024-06-01", "9999-12-31"), ("N", None, "2024-02-01", "2024-02-02")]
+    rows = spark.createDataFrame(daily, "upc string, retailer_code string, d string")
+    rows = rows.select("upc", "retailer_code", F.col("d").cast("date").alias("transaction_date"), F.lit(1).cast("decimal(28,0)").alias("day_units"), F.lit(1).cast("bigint").alias("day_rows"))
+    calendar = spark.createDataFrame(promos, "promo_id string, retailer_code string, s string, e string")
+    return rows, calendar.select("promo_id", "retailer_code", F.col("s").cast("date").alias("start_date"), F.col("e").cast("date").alias("end_date"))
