@@ -147,7 +147,8 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     kept = others(docs, "n_words", "n_hit", "n_items", "items", "contaminated", "hits", keep=keep)
     parts = benchmark_parts(benchmark, window, shard_words)
     shards = sorted(r["shard"] for r in parts.select("shard").distinct().collect())
-    result, held = docs.select(*kept, F.col("text").alias("__text")), None
+    # A text that is kept goes to the tasks once.
+    result, held = docs.select(*kept) if "text" in kept else docs.select(*kept, F.col("text").alias("__text")), None
     for shard in shards or [0]:
         if held:
             result = stored(result, "benchmark-pass")
@@ -170,11 +171,11 @@ def _pass(docs: DataFrame, shard, first: bool) -> DataFrame:
     """One shard over all documents. The words hit so far travel along as packed bits."""
     plain = docs.schema.fields[:] if first else docs.schema.fields[:-4]
     schema = T.StructType(plain[:]).add("n_words", "long").add("n_hit", "long").add("hits", "binary").add("items", T.ArrayType(T.StringType()))
-    n = len(plain)
+    n, text_name = len(plain), "text" if any(f.name == "text" for f in plain) else "__text"
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            at_text = batch.schema.get_field_index("__text")
+            at_text = batch.schema.get_field_index(text_name)
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 texts = part.column(at_text).to_pylist()

@@ -34,7 +34,7 @@ from shelfline.llm.common import held_out, others, shielded, table
 
 SAMPLE_DOCS = 240
 ORDER = 5
-BATCH_CHARACTERS = 1 << 19
+BATCH_CHARACTERS = 1 << 17
 SHARES = 32
 DEVIATIONS = 8.0
 UNKNOWN = "und"
@@ -238,20 +238,26 @@ def identify(docs: DataFrame, models: LanguageModels, keep: tuple[str, ...] | No
     results. Columns of the same names are replaced.
     """
     kept = others(docs, "lang_pred", "score", "bits", "rejected", keep=keep)
-    source = docs.select(*kept, F.col("text").alias("__text"))
-    schema = T.StructType(source.schema.fields[:-1]).add("lang_pred", "string").add("score", "double").add("bits", "double").add("rejected", "boolean")
+    # A text that is kept goes to the tasks once.
+    source = docs.select(*kept) if "text" in kept else docs.select(*kept, F.col("text").alias("__text"))
+    at_text, n_kept = source.columns.index("text" if "text" in kept else "__text"), len(kept)
+    schema = T.StructType(source.schema.fields[:n_kept]).add("lang_pred", "string").add("score", "double").add("bits", "double").add("rejected", "boolean")
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker goes from job to job: what others left is given back first, and what this one leaves last.
+        pa.default_memory_pool().release_unused()
         models = shared.value
         for batch in parts:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                found = _predicted(models, part.column(part.num_columns - 1).to_pylist())
+                found = _predicted(models, part.column(at_text).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(found["lang"], pa.string()), pa.array(found["score"], pa.float64()), pa.array(found["bits"], pa.float64()), pa.array(found["rejected"], pa.bool_())],
+                    [*part.columns[:n_kept], pa.array(found["lang"], pa.string()), pa.array(found["score"], pa.float64()), pa.array(found["bits"], pa.float64()), pa.array(found["rejected"], pa.bool_())],
                     names=schema.names,
                 )
+            batch = part = None
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(work, schema)
 
