@@ -32,21 +32,15 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     key that loses one row version and gains another); ``copies`` counts equal rows.
     Equal rows are counted with map-side sums and cancel out, so neither a key nor a
     group of copies is ever gathered or paired with itself, and only changed rows
-    reach the second step.
+    reach the second step. Spark leaves that step out if ``is_update`` is not read.
     """
     columns = new.columns
     net = net_rows(old, new)
-    signs = net.groupBy(*keys).agg(
-        (F.bool_or(F.col("copies") > 0) & F.bool_or(F.col("copies") < 0)).alias("is_update")
-    )
-    same_key = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    return (
-        net.alias("n")
-        .join(signs.alias("s"), same_key)
-        .select(
-            change_of(),
-            "is_update",
-            F.abs("copies").alias("copies"),
-            *[F.col(f"n.{c}").alias(c) for c in columns],
-        )
+    # A struct is never null, so plain equality pairs null keys too, and Spark can tell that a row meets one key.
+    key = F.struct(*keys)
+    signs = net.groupBy(key.alias("_key")).agg((F.bool_or(F.col("copies") > 0) & F.bool_or(F.col("copies") < 0)).alias("is_update"))
+    # As many as changed keys, which the size of the files doesn't tell; the hash makes Spark shuffle them again, so that AQE splits a hot key.
+    signs = signs.withColumn("_hash", F.xxhash64("_key")).hint("merge")
+    return net.join(signs, (key == F.col("_key")) & (F.xxhash64(key) == F.col("_hash")), "left").select(
+        change_of(), "is_update", F.abs("copies").alias("copies"), *columns
     )

@@ -32,7 +32,7 @@ class Delta:
 
     @classmethod
     def between(cls, old: DataFrame, new: DataFrame, keys: list[str]) -> Delta:
-        return cls.of(stored(snapshot_diff(old, new, keys), "table-changes"))
+        return cls.of(stored(snapshot_diff(old, new, keys).drop("is_update"), "table-changes"))
 
     @classmethod
     def of(cls, changes: DataFrame) -> Delta:

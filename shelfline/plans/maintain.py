@@ -87,14 +87,18 @@ def refresh_conformed_sales(
     def month(rows: DataFrame) -> DataFrame:
         return rows.withColumn("order_month", F.trunc("order_date", "month"))
 
+    def master(version: DataFrame) -> DataFrame:
+        return if_small(version.select(*gold.PRODUCT_OF_ORDER))
+
+    master_new = master(products.new)
     if not table_exists(spark, path):
-        every = Delta(orders.unionByName(d_orders.added), d_orders.removed).map(lambda rows: month(gold.conformed_sales(rows, products.new, fx.new)))
+        every = Delta(orders.unionByName(d_orders.added), d_orders.removed).map(lambda rows: month(gold.conformed_sales(rows, master_new, fx.new)))
         return _replace(spark, path, every, ["order_month"], ["material_number"], version)
     materials = products.delta(["material_number", "effective_from"]).keys("material_number")
     rates = fx.delta(["rate_date", "currency_code"]).keys("rate_date", "currency_code")
     touched = stored(_either(orders, materials, rates.select(F.col("rate_date").alias("order_date"), F.col("currency_code").alias("currency"))), "touched-orders")
-    new = Delta(touched.unionByName(d_orders.added), d_orders.removed).map(lambda rows: gold.conformed_sales(rows, products.new, fx.new))
-    old = gold.conformed_sales(touched, products.old, fx.old)
+    new = Delta(touched.unionByName(d_orders.added), d_orders.removed).map(lambda rows: gold.conformed_sales(rows, master_new, fx.new))
+    old = gold.conformed_sales(touched, master_new if products.old is products.new else master(products.old), fx.old)
     change = Delta(new.added, old.unionByName(new.removed)).map(month)
     return _replace(spark, path, change, ["order_month"], ["material_number"], version)
 
