@@ -129,30 +129,31 @@ def _missing(deletes: DataFrame, matched: DataFrame) -> DataFrame:
     return both.select(*[F.col(f"d.`{c}`") for c in columns], missing.alias("copies")).where("copies > 0")
 
 
-def _counted(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """Each distinct row of either frame: how many copies ``_held``, ``_go`` and ``_come``. One shuffle, whatever changes."""
-    columns, none = target.columns, F.lit(0).cast("bigint")
-    held = target.select(*columns, F.lit(1).cast("bigint").alias("_held"), none.alias("_go"), none.alias("_come"))
-    sides = [F.when(F.col("change") == c, F.col("copies")).otherwise(none).alias(n) for c, n in (("DELETE", "_go"), ("INSERT", "_come"))]
-    rows = held.unionByName(changes.select(*columns, none.alias("_held"), *sides))
-    return rows.groupBy(*columns).agg(*[F.sum(n).alias(n) for n in ("_held", "_go", "_come")])
+def _counted(target: DataFrame, deletes: DataFrame) -> DataFrame:
+    """Each distinct row of either frame, with ``_left``: how many copies stay, below zero if more go than there are. One shuffle, whatever goes."""
+    columns = target.columns
+    held = target.select(*columns, F.lit(1).cast("bigint").alias("_left"))
+    rows = held.unionByName(deletes.select(*columns, (-F.col("copies")).alias("_left")))
+    return rows.groupBy(*columns).agg(F.sum("_left").alias("_left"))
 
 
 def _settled(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
     """``target`` after a stored change set, and how many rows to delete it lacks; to be asked once the rows are written.
 
     Few deletes are broadcast, and all rows they don't name pass untouched. Many would cost several joins over all columns, so then
-    the rows of both are counted together.
+    they are counted together with the rows of ``target``.
     """
     if is_small(changes.where("change = 'DELETE'"), FEW_DELETES):
         compared = _compared(target, changes)
         missing = _missing(*compared).agg(F.sum("copies")).first()[0] or 0
         return _applied(target, changes, *compared), lambda: missing
     seen = Observation()
-    found = _counted(target, changes).observe(seen, F.sum(F.greatest(F.col("_go") - F.col("_held"), F.lit(0))).alias("missing"))
-    copies = F.greatest(F.col("_held") - F.col("_go"), F.lit(0)) + F.col("_come")
-    after = found.withColumn("copies", copies).where("copies > 0").select(*target.columns, "copies")
-    return spelled_out(after), lambda: seen.get["missing"] or 0
+    lacking = F.sum(F.greatest(-F.col("_left"), F.lit(0))).alias("missing")
+    found = _counted(target, changes.where("change = 'DELETE'")).observe(seen, lacking)
+    rest = found.where("_left > 0").withColumnRenamed("_left", "copies")
+    # What comes is added to what is left, so it needs no counting.
+    added = changes.where("change = 'INSERT'").select(*target.columns, "copies")
+    return spelled_out(rest).unionByName(spelled_out(added)), lambda: seen.get["missing"] or 0
 
 
 def apply_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
