@@ -36,6 +36,7 @@ AREA = 1 << 19  # documents of a block times entries of the widest
 HELD_ENTRIES = 1 << 20
 QUERY_TERMS = 50_000
 SALTS = 32
+ROW_GROUP = 4  # blocks, of several megabytes each, that a reader or writer holds at once
 
 BLOCKS = "block long, n_docs long, n_terms long, n_words long, n_rows long, doc_ids binary, id_known binary, lengths binary, slices binary, dictionary string, ends binary, terms binary, times binary"
 _TYPES = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "int": pa.int32()}
@@ -68,7 +69,7 @@ def build_index(docs: DataFrame, area: int = AREA, held_entries: int = HELD_ENTR
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(_blocks(parts, area, held_entries), _schema(BLOCKS), size=2)
 
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, BLOCKS), "lexical-index")
+    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, BLOCKS), "lexical-index", group_rows=ROW_GROUP)
 
 
 def _blocks(parts: Iterator[pa.RecordBatch], area: int, held_entries: int) -> Iterator[tuple]:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from cases import CLASHING, DOCS, empty, frame
@@ -265,3 +266,12 @@ def test_no_ranking(spark):
     index = lexical.build_index(frame(spark))
     assert lexical.search(index, frame_of_items(spark, [])).count() == 0
     assert lexical.search(lexical.build_index(frame(spark, [(1, None), (2, "?!")])), frame_of_items(spark, ITEMS)).count() == 0
+
+
+def test_lexical_blocks_lie_in_small_row_groups(spark):
+    """A reader holds the blocks of a whole row group, several megabytes each, at once."""
+    docs = frame(spark, [(i, f"word{i} and other{i % 7} words") for i in range(400)]).coalesce(1)
+    index = lexical.build_index(docs, area=64)
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in index.inputFiles()]
+    assert max(f.metadata.num_rows for f in files) > lexical.ROW_GROUP
+    assert all(f.metadata.row_group(i).num_rows <= lexical.ROW_GROUP for f in files for i in range(f.metadata.num_row_groups))
